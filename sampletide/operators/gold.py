@@ -40,10 +40,10 @@ def record_stats(samples: DataFrame) -> DataFrame:
     Samples are first counted per (record, value). A recorder emits a limited set of levels, so the map side
     shrinks this to a histogram; where it cannot, the shuffle is spread by value and no record is one task.
     The count at either extreme then comes out of the histogram, instead of a second scan joined to the
-    extremes found by a first.
+    extremes found by a first. Canaries fall out later, when the records they belong to do.
     """
     v = F.col("value_uv")
-    levels = _kept(samples).groupBy("lid", "value_uv").agg(F.count(F.lit(1)).alias("n"))
+    levels = samples.groupBy("lid", "value_uv").agg(F.count(F.lit(1)).alias("n"))
     return levels.groupBy("lid").agg(
         F.sum("n").alias("n_samples"),
         F.sum((v * v).cast("double") * F.col("n")).alias("sum_squares"),
@@ -87,7 +87,7 @@ def channel_quality(records: DataFrame, samples: DataFrame, noise: DataFrame | N
 
 def file_names(records: DataFrame) -> DataFrame:
     """Names that a record id's file field stands for: one row per source file, so it can be broadcast."""
-    names = records.select(lid.text_file(F.col("lid")).alias("file"), "experiment", "subject_pid").distinct()
+    names = records.select(lid.file_key(F.col("lid")).alias("file"), "experiment", "subject_pid").distinct()
     return broadcast_bounded(names, "the file names")
 
 
@@ -104,7 +104,7 @@ def feature_window(records: DataFrame, samples: DataFrame, width_ms: int = 1000)
                    F.stddev_pop("value_uv").cast("float").alias("std_uv"),
                    (F.max("value_uv") - F.min("value_uv")).cast("float").alias("p2p_uv"),
                    F.min("sample_idx").alias("sample_lo"), F.max("sample_idx").alias("sample_hi")))
-    named = windows.join(file_names(_kept(records)), lid.text_file(F.col("lid")) == F.col("file"))
+    named = windows.join(file_names(_kept(records)), lid.file_key(F.col("lid")) == F.col("file"))
     return (named.withColumn("run", lid.text_run(F.col("lid"))).withColumn("channel_idx", lid.text_channel(F.col("lid")))
             .withColumn("lid", lid.relayer(F.col("lid"), 2)).select(*DATASETS["gold/feature_window"].fields))
 

@@ -93,45 +93,44 @@ def split_routable(offered: DataFrame, codes: DataFrame) -> DataFrame:
     return known.withColumn("skipped", F.when(F.col("code").isNull(), reason))
 
 
+def _with_prefix(rows: DataFrame, ingests: DataFrame) -> DataFrame:
+    """Rows with the ingest id, id prefix and canary bit of their file, one row per file broadcast."""
+    keys = ["experiment", "subject_src"]
+    prefix = lid.file_prefix(F.col("ts_ms"), F.lit(1), F.col("code"), F.col("ingest_ord"))
+    batch = ingests.select(*keys, "ingest_id", "radioactive", prefix.alias("prefix"))
+    return rows.join(broadcast_bounded(batch, "the ingest batch"), keys)
+
+
+def _bronze_lid(run: Column, channel: Column) -> Column:
+    return lid.with_prefix(F.col("prefix"), run, channel, F.col("radioactive"))
+
+
 def bronze_recording(samples: DataFrame, ingests: DataFrame) -> DataFrame:
     """Long samples with ingest id and Bronze id; a NaN becomes NULL and its row stays.
 
-    `ingests` has one row per source file. The id is plain arithmetic per row: cheaper than computing it
-    once per channel and joining it back.
+    The part of the id that a file's records share is computed once per file, the rest is one number per row.
     """
-    facts = ["experiment", "subject_src", "ingest_id", "ingest_ord", "ts_ms", "code", "radioactive"]
-    joined = samples.join(broadcast_bounded(ingests.select(*facts), "the ingest batch"), ["experiment", "subject_src"])
-    return joined.select(
+    return _with_prefix(samples, ingests).select(
         "experiment", "subject_src", F.col("run").cast("smallint"), F.col("channel_idx").cast("smallint"),
         F.col("sample_idx").cast("bigint"), values.nan_to_null(F.col("value_raw").cast("float")).alias("value_raw"),
-        "ingest_id", _bronze_lid(F.col("channel_idx")).alias("lid"))
-
-
-def _bronze_lid(channel: Column, run: Column | None = None) -> Column:
-    return lid.mint_text(F.col("ts_ms"), 1, F.col("code"), F.col("ingest_ord"),
-                         F.col("run") if run is None else run, channel, 0, F.col("radioactive"))
+        "ingest_id", _bronze_lid(F.col("run"), F.col("channel_idx")).alias("lid"))
 
 
 def bronze_event(events: DataFrame, ingests: DataFrame) -> DataFrame:
     """Cue onsets. They belong to the run, so their id carries channel 0."""
-    facts = ["ingest_id", "ingest_ord", "ts_ms", "code", "radioactive"]
-    joined = events.join(broadcast_bounded(ingests.select("experiment", "subject_src", *facts), "the ingest batch"),
-                         ["experiment", "subject_src"])
-    return joined.select(
+    return _with_prefix(events, ingests).select(
         "experiment", "subject_src", F.col("run").cast("smallint"), F.col("sample_idx").cast("bigint"),
-        F.col("event_code").cast("smallint"), "event_label", "ingest_id", _bronze_lid(F.lit(0)).alias("lid"))
+        F.col("event_code").cast("smallint"), "event_label", "ingest_id", _bronze_lid(F.col("run"), F.lit(0)).alias("lid"))
 
 
-def bronze_electrode(channels: DataFrame, locations: DataFrame, ingests: DataFrame) -> DataFrame:
+def bronze_electrode(channels: DataFrame, locations: DataFrame, ingests: DataFrame, run: int = 1) -> DataFrame:
     """One row per channel of a file; position and area are NULL where the file has none."""
     keys = ["experiment", "subject_src"]
-    facts = ["ingest_id", "ingest_ord", "ts_ms", "code", "radioactive"]
     placed = channels.join(locations, [*keys, "channel_idx"], "left")
-    joined = placed.join(broadcast_bounded(ingests.select(*keys, *facts), "the ingest batch"), keys)
-    return joined.select(
+    return _with_prefix(placed, ingests).select(
         *keys, F.col("channel_idx").cast("smallint"),
         *[F.col(c).cast("float") for c in ("x_mm", "y_mm", "z_mm")], F.col("brain_area"), "ingest_id",
-        _bronze_lid(F.col("channel_idx"), F.lit(1)).alias("lid"))
+        _bronze_lid(F.lit(run), F.col("channel_idx")).alias("lid"))
 
 
 def audit_rows(recording: DataFrame, sources: DataFrame) -> DataFrame:

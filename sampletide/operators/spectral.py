@@ -26,10 +26,15 @@ def _bins() -> list[int]:
 
 
 def with_rate(samples: DataFrame, audit: DataFrame) -> DataFrame:
-    """Sample rate of each sample's file, found through the file field of the id."""
-    rates = with_ingest_ord(audit).select("ingest_ord", "sample_rate_hz")
-    return samples.join(broadcast_bounded(rates, "the ingest audit"),
-                        lid.text_file(F.col("lid")) == F.col("ingest_ord")).drop("ingest_ord")
+    """Samples of the first seconds with the sample rate of their file, found through the id's file field.
+
+    The highest rate bounds the excerpt of every file, which lets the Parquet scan skip the row groups beyond.
+    """
+    rates = with_ingest_ord(audit).select(lid.file_key_of(F.col("ingest_ord")).alias("file"), "sample_rate_hz")
+    longest = audit.agg(F.max("sample_rate_hz") * EXCERPT_S).scalar()
+    early = samples.where(F.col("sample_idx") < longest)
+    return early.join(broadcast_bounded(rates, "the ingest audit"),
+                      lid.file_key(F.col("lid")) == F.col("file")).drop("file")
 
 
 def line_noise(samples: DataFrame, key: str = "lid") -> DataFrame:
