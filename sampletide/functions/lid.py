@@ -7,10 +7,15 @@ or replace one digit of the text and never parse the id.
 
     high word: ts_ms 48 bits | layer 4 | experiment 8 | reserved 4
     low word:  file 16 | run 4 | channel 10 | segment 10 | radioactive 1 | reserved 23
+
+Arguments are SQL fragments: a column name, a number or an expression. `text` holds the SQL of each function,
+which `functions.sql` also registers under SQL names; the functions here return it as a Column.
 """
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,202 +28,234 @@ CROCKFORD = "0123456789ABCDEFGHJKMNPQRSTVWXYZ"
 MAX_FILES = (1 << 16) - 1
 MAX_EXPERIMENTS = (1 << 8) - 1
 RESERVED_LOW = (1 << 23) - 1
+EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
-def _fail(message: Column, as_type: str) -> Column:
-    return F.raise_error(message).cast(as_type)
+def _fail(message: str, as_type: str) -> str:
+    return f"cast(raise_error({message}) as {as_type})"
 
 
-def _in_range(name: str, value: Column, width: int) -> Column:
-    value = value.cast("bigint")
-    text = F.concat(F.lit(f"lineage id: {name} does not fit {width} bits: "), value.cast("string"))
-    return F.when(value.isNull() | value.between(0, (1 << width) - 1), value).otherwise(_fail(text, "bigint"))
+def _in_range(name: str, value, width: int) -> str:
+    if isinstance(value, int):
+        if not 0 <= value < 1 << width:
+            raise ValueError(f"lineage id: {name} does not fit {width} bits: {value}")
+        return f"{value}L"
+    message = f"concat('lineage id: {name} does not fit {width} bits: ', ({value}))"
+    return f"if(({value}) not between 0 and {(1 << width) - 1}L, {_fail(message, 'bigint')}, cast(({value}) as bigint))"
 
 
-def _pack(layout, values) -> Column:
-    packed = None
-    for name, width, shift in layout:
-        part = F.shiftleft(_in_range(name, values[name], width), shift)
-        packed = part if packed is None else packed.bitwiseOR(part)
-    return packed
+def _pack(layout, values: dict) -> str:
+    return " | ".join(f"shiftleft({_in_range(name, values[name], width)}, {shift})" for name, width, shift in layout)
 
 
-def mint(ts_ms, layer, experiment, file, run, channel, segment, radioactive) -> Column:
-    """struct<hi, lo>; a value outside its field fails the job."""
-    given = dict(ts_ms=ts_ms, layer=layer, experiment=experiment, file=file, run=run, channel=channel,
-                 segment=segment, radioactive=radioactive)
-    values = {k: v if isinstance(v, Column) else F.lit(v) for k, v in given.items()}
-    return F.struct(_pack(HIGH_FIELDS, values).alias("hi"), _pack(LOW_FIELDS, values).alias("lo"))
+def _named(ts_ms, layer, experiment, file, run, channel, segment, radioactive) -> dict:
+    return dict(ts_ms=ts_ms, layer=layer, experiment=experiment, file=file, run=run, channel=channel,
+                segment=segment, radioactive=radioactive)
 
 
-def mint_text(*fields) -> Column:
-    words = mint(*fields)
-    return to_text(words["hi"], words["lo"])
+def _number(hex_text: str) -> str:
+    return f"cast(conv({hex_text}, 16, 10) as bigint)"
 
 
-def decode(hi: Column, lo: Column) -> Column:
-    """struct of the eight fields."""
-    def read(word, layout):
-        return [F.shiftrightunsigned(word, shift).bitwiseAND(F.lit((1 << width) - 1).cast("bigint")).alias(name)
-                for name, width, shift in layout]
-    return F.struct(*read(hi, HIGH_FIELDS), *read(lo, LOW_FIELDS))
+def _hi(lid: str) -> str:
+    """32 bits at a time, because 16 hex digits overflow a signed cast."""
+    return f"(shiftleft({_number(f'substr({lid}, 1, 8)')}, 32) | {_number(f'concat(substr({lid}, 10, 4), substr({lid}, 15, 4))')})"
+
+
+def _lo(lid: str) -> str:
+    return f"(shiftleft({_number(f'concat(substr({lid}, 20, 4), substr({lid}, 25, 4))')}, 32) | {_number(f'substr({lid}, 29, 8)')})"
+
+
+def _decode(hi: str, lo: str) -> str:
+    fields = [f"'{name}', shiftrightunsigned({word}, {shift}) & {(1 << width) - 1}L"
+              for word, layout in ((hi, HIGH_FIELDS), (lo, LOW_FIELDS)) for name, width, shift in layout]
+    return f"named_struct({', '.join(fields)})"
+
+
+def _words_text(hi: str, lo: str) -> str:
+    """32 hex digits with dashes set in from the right; each word enters the expression once."""
+    text = f"cast(lower(concat(lpad(hex({hi}), 16, '0'), lpad(hex({lo}), 16, '0'))) as binary)"
+    for position in (21, 17, 13, 9):
+        text = f"overlay({text} placing X'2D' from {position} for 0)"
+    return f"cast({text} as string)"
+
+
+def _slice(lid: str, position: int, length: int) -> str:
+    """Bytes of the id. Finding a character in text walks all characters before it, which measured four times
+    slower over tens of millions of rows."""
+    return f"substr(cast({lid} as binary), {position}, {length})"
+
+
+def _byte(digit: str) -> str:
+    return f"X'{ord(digit):02X}'"
+
+
+def _with_layer(lid: str, digit: str) -> str:
+    return f"cast(overlay(cast({lid} as binary) placing {digit} from 15 for 1) as string)"
+
+
+def _relayer(lid: str, expected: int) -> str:
+    if not 0 <= expected < 15:
+        return _fail(f"'lineage id: layer {expected} has no layer below'", "string")
+    message = f"concat('lineage id: expected layer {expected}, found ', substr({lid}, 15, 1))"
+    return (f"if({_slice(lid, 15, 1)} <> {_byte(f'{expected:x}')}, {_fail(message, 'string')}, "
+            f"{_with_layer(lid, _byte(f'{expected + 1:x}'))})")
+
+
+def _parent(lid: str) -> str:
+    layer = _number(f"substr({lid}, 15, 1)")
+    return (f"if({layer} <= 1, {_fail(repr('lineage id: a Bronze id has no parent'), 'string')}, "
+            f"{_with_layer(lid, f'cast(lower(hex({layer} - 1)) as binary)')})")
+
+
+def _crockford(hi: str, lo: str) -> str:
+    """26 characters, five bits each from the top; the fourteenth takes bits of both words."""
+    def digit(i):
+        shift = 125 - 5 * i
+        if shift >= 64:
+            bits = f"shiftrightunsigned({hi}, {shift - 64})"
+        elif shift > 59:
+            bits = f"(shiftleft({hi}, {64 - shift}) | shiftrightunsigned({lo}, {shift}))"
+        else:
+            bits = f"shiftrightunsigned({lo}, {shift})"
+        return f"substr('{CROCKFORD}', cast({bits} & 31L as int) + 1, 1)"
+    return f"concat({', '.join(digit(i) for i in range(26))})"
+
+
+def _from_crockford(text: str) -> str:
+    """struct<hi, lo>. 26 digits are 130 bits and the first two are proven zero: thirteen digits give 63 bits of
+    the high word, the fourteenth its last bit and the top four bits of the low word."""
+    bad = _fail(f"concat('lineage id: not a 26 character id: ', {text})", "string")
+    checked = f"if(upper({text}) not rlike '^[0-7][{CROCKFORD}]{{25}}$', {bad}, upper({text}))"
+    digits = f"transform(sequence(1, 26), i -> cast(locate(substr({checked}, i, 1), '{CROCKFORD}') - 1 as bigint))"
+
+    def fold(first, count, start):
+        return f"aggregate(slice(d, {first}, {count}), {start}, (acc, x) -> shiftleft(acc, 5) | x)"
+    high = f"shiftleft({fold(1, 13, '0L')}, 1) | shiftright(d[13], 4)"
+    low = fold(15, 12, "d[13] & 15L")
+    return f"transform(array({digits}), d -> named_struct('hi', {high}, 'lo', {low}))[0]"
+
+
+def _ts_ms(lid: str) -> str:
+    return _number(f"concat(substr({lid}, 1, 8), substr({lid}, 10, 4))")
+
+
+def _from_epoch_ms(ms: str) -> str:
+    return f"timestampadd(MILLISECOND, {ms}, {EPOCH})"
 
 
-def to_text(hi: Column, lo: Column) -> Column:
-    high, low = (F.lpad(F.lower(F.hex(word)), 16, "0") for word in (hi, lo))
-    return F.concat_ws("-", F.substring(high, 1, 8), F.substring(high, 9, 4), F.substring(high, 13, 4),
-                       F.substring(low, 1, 4), F.substring(low, 5, 12))
+text = SimpleNamespace(hi=_hi, lo=_lo, decode=_decode, words_text=_words_text, relayer=_relayer, parent=_parent,
+                       crockford=_crockford, from_crockford=_from_crockford, ts_ms=_ts_ms, from_epoch_ms=_from_epoch_ms,
+                       pack=_pack, named=_named, slice=_slice, number=_number)
 
 
-def _hex_number(text: Column) -> Column:
-    return F.conv(text, 16, 10).cast("bigint")
+def mint(*fields) -> Column:
+    """struct<hi, lo> of the eight fields in layout order; a value outside its field fails the job."""
+    values = _named(*fields)
+    return F.expr(f"named_struct('hi', {_pack(HIGH_FIELDS, values)}, 'lo', {_pack(LOW_FIELDS, values)})")
 
 
-def hi_word(lid: Column) -> Column:
-    """High word of the text form; 32 bits at a time, because 16 hex digits overflow a signed cast."""
-    left = _hex_number(F.substring(lid, 1, 8))
-    right = _hex_number(F.concat(F.substring(lid, 10, 4), F.substring(lid, 15, 4)))
-    return F.shiftleft(left, 32).bitwiseOR(right)
+def mint_text(*fields, reserved: int = 0) -> Column:
+    """The id as text; `reserved` fills the low reserved bits, for the upper bound of a prefix."""
+    values = _named(*fields)
+    return F.expr(_words_text(_pack(HIGH_FIELDS, values), f"({_pack(LOW_FIELDS, values)} | {reserved}L)"))
 
 
-def lo_word(lid: Column) -> Column:
-    left = _hex_number(F.concat(F.substring(lid, 20, 4), F.substring(lid, 25, 4)))
-    right = _hex_number(F.substring(lid, 29, 8))
-    return F.shiftleft(left, 32).bitwiseOR(right)
+def to_text(hi: str, lo: str) -> Column:
+    return F.expr(_words_text(hi, lo))
 
 
-def decode_text(lid: Column) -> Column:
-    return decode(hi_word(lid), lo_word(lid))
+def hi_word(lid: str = "lid") -> Column:
+    return F.expr(_hi(lid))
 
 
-# Single-field readers on the text form: slices of hex digits.
-def text_layer(lid: Column) -> Column:
-    return _hex_number(F.substring(lid, 15, 1)).cast("int")
+def lo_word(lid: str = "lid") -> Column:
+    return F.expr(_lo(lid))
 
 
-def text_experiment(lid: Column) -> Column:
-    return _hex_number(F.substring(lid, 16, 2)).cast("int")
+def decode(lid: str = "lid") -> Column:
+    """struct of the eight fields."""
+    return F.expr(_decode(_hi(lid), _lo(lid)))
 
 
-def text_file(lid: Column) -> Column:
-    return _hex_number(F.substring(lid, 20, 4)).cast("int")
+def layer(lid: str = "lid") -> Column:
+    return F.expr(f"cast({_number(f'substr({lid}, 15, 1)')} as int)")
 
 
-def text_run(lid: Column) -> Column:
-    return _hex_number(F.substring(lid, 25, 1)).cast("smallint")
+def file(lid: str = "lid") -> Column:
+    return F.expr(f"cast({_number(f'substr({lid}, 20, 4)')} as int)")
 
 
-def text_channel(lid: Column) -> Column:
-    return F.shiftright(_hex_number(F.substring(lid, 26, 3)), 2).cast("smallint")
+def run(lid: str = "lid") -> Column:
+    return F.expr(f"cast({_number(f'substr({lid}, 25, 1)')} as smallint)")
 
 
-def text_ts_ms(lid: Column) -> Column:
-    return _hex_number(F.concat(F.substring(lid, 1, 8), F.substring(lid, 10, 4)))
+def channel(lid: str = "lid") -> Column:
+    return F.expr(f"cast(shiftright({_number(f'substr({lid}, 26, 3)')}, 2) as smallint)")
 
 
-# Per-sample expressions slice the id's bytes: finding a character in text walks all characters before it,
-# which measured four times slower over tens of millions of rows.
-def _bytes(lid: Column, position: int, length: int) -> Column:
-    return F.substring(lid.cast("binary"), position, length)
+def ts_ms(lid: str = "lid") -> Column:
+    return F.expr(_ts_ms(lid))
 
 
-def is_canary(lid: Column) -> Column:
+def is_canary(lid: str = "lid") -> Column:
     """The radioactive bit is the top bit of one hex digit, so no decoding is needed."""
-    return _bytes(lid, 31, 1) >= F.lit(b"8")
+    return F.expr(f"{_slice(lid, 31, 1)} >= {_byte('8')}")
 
 
-def file_key(lid: Column) -> Column:
+def file_key(lid: str = "lid") -> Column:
     """The file field as its four hex digits: a join key that needs no decoding."""
-    return _bytes(lid, 20, 4)
+    return F.expr(_slice(lid, 20, 4))
 
 
-def file_key_of(ingest_ord: Column) -> Column:
-    return F.lpad(F.lower(F.hex(ingest_ord)), 4, "0").cast("binary")
+def file_key_of(ingest_ord: str) -> Column:
+    return F.expr(f"cast(lpad(lower(hex({ingest_ord})), 4, '0') as binary)")
 
 
-def file_prefix(ts_ms: Column, layer: Column, experiment: Column, file: Column) -> Column:
+def file_prefix(ts_ms, layer, experiment, file) -> Column:
     """Everything before the run digit: the same for all records of one file, so computed once per file."""
     return F.substring(mint_text(ts_ms, layer, experiment, file, 0, 0, 0, 0), 1, 24)
 
 
-def with_prefix(prefix: Column, run: Column, channel: Column, radioactive: Column) -> Column:
-    """Id of a record from its file's prefix."""
-    values = {"file": F.lit(0), "run": run, "channel": channel, "segment": F.lit(0), "radioactive": radioactive}
-    # A bit above the run keeps the leading zeros of the twelve digits.
-    low = F.hex(_pack(LOW_FIELDS, values).bitwiseOR(F.lit(1 << 48).cast("bigint")))
-    return F.concat(prefix, F.lower(F.substring(low, 2, 12)))
-
-
-def _with_layer(lid: Column, digit: Column) -> Column:
-    return F.overlay(lid.cast("binary"), digit.cast("binary"), F.lit(15), F.lit(1)).cast("string")
+def with_prefix(prefix: str, run, channel, radioactive) -> Column:
+    """Id of a record from its file's prefix. A bit above the run keeps the leading zeros of the twelve digits."""
+    values = {"file": 0, "run": run, "channel": channel, "segment": 0, "radioactive": radioactive}
+    low = f"hex({_pack(LOW_FIELDS, values)} | {1 << 48}L)"
+    return F.expr(f"concat({prefix}, lower(substr({low}, 2, 12)))")
 
 
-def relayer(lid: Column, expected: int) -> Column:
+def relayer(lid: str, expected: int) -> Column:
     """One layer down; fails on another layer than `expected` or when no layer is left."""
-    if not 0 <= expected < 15:
-        return _fail(F.lit(f"lineage id: layer {expected} has no layer below"), "string")
-    message = F.concat(F.lit(f"lineage id: expected layer {expected}, found "), text_layer(lid).cast("string"))
-    return (F.when(lid.isNull(), F.lit(None).cast("string"))
-            .when(_bytes(lid, 15, 1) == F.lit(f"{expected:x}".encode()), _with_layer(lid, F.lit(f"{expected + 1:x}")))
-            .otherwise(_fail(message, "string")))
+    return F.expr(_relayer(lid, expected))
 
 
-def parent(lid: Column) -> Column:
+def parent(lid: str = "lid") -> Column:
     """One layer up; fails at Bronze."""
-    layer = text_layer(lid)
-    return (F.when(lid.isNull(), F.lit(None).cast("string"))
-            .when(layer > 1, _with_layer(lid, F.lower(F.hex(layer - 1))))
-            .otherwise(_fail(F.lit("lineage id: a Bronze id has no parent"), "string")))
+    return F.expr(_parent(lid))
 
 
-def from_epoch_ms(ms: Column) -> Column:
+def from_epoch_ms(ms: str) -> Column:
     """UTC timestamp without zone, independent of the session zone."""
-    return F.timestamp_add("MILLISECOND", ms, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    return F.expr(_from_epoch_ms(ms))
 
 
-def epoch_ms(ts: Column) -> Column:
-    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+def epoch_ms(ts: str) -> Column:
+    return F.expr(f"timestampdiff(MILLISECOND, {EPOCH}, {ts})")
 
 
-def time(lid: Column) -> Column:
-    return from_epoch_ms(text_ts_ms(lid))
+def to_millisecond(ts: str) -> Column:
+    return F.expr(_from_epoch_ms(f"timestampdiff(MILLISECOND, {EPOCH}, {ts})"))
 
 
-def to_crockford(hi: Column, lo: Column) -> Column:
-    """26 characters, five bits each from the top; the fourteenth takes bits of both words."""
-    def digit(i):
-        shift = 125 - 5 * i
-        if shift >= 64:
-            bits = F.shiftrightunsigned(hi, shift - 64)
-        elif shift > 59:
-            bits = F.shiftleft(hi, 64 - shift).bitwiseOR(F.shiftrightunsigned(lo, shift))
-        else:
-            bits = F.shiftrightunsigned(lo, shift)
-        return F.substring(F.lit(CROCKFORD), bits.bitwiseAND(F.lit(31).cast("bigint")).cast("int") + 1, 1)
-    return F.concat(*[digit(i) for i in range(26)])
+def time(lid: str = "lid") -> Column:
+    return F.expr(_from_epoch_ms(_ts_ms(lid)))
 
 
-def from_crockford(text: Column) -> Column:
-    """struct<hi, lo>; fails unless 26 characters of the alphabet that fit 128 bits."""
-    upper = F.upper(text)
-    bad = F.concat(F.lit("lineage id: not a 26 character id: "), text)
-    valid = upper.rlike(f"^[0-7][{CROCKFORD}]{{25}}$")
-    checked = F.when(text.isNull() | valid, upper).otherwise(_fail(bad, "string"))
-    digits = F.transform(F.sequence(F.lit(1), F.lit(26)),
-                         lambda i: (F.call_function("locate", F.substring(checked, i, 1), F.lit(CROCKFORD)) - 1)
-                         .cast("bigint"))
+def crockford(lid: str = "lid") -> Column:
+    """26-character text of an id."""
+    return F.expr(_crockford(_hi(lid), _lo(lid)))
 
-    def fold(first, count, start):
-        return F.aggregate(F.slice(digits, first, count), start,
-                           lambda acc, d: F.shiftleft(acc, 5).bitwiseOR(d))
-    fourteenth = F.element_at(digits, 14)
-    # 26 digits are 130 bits and the first two are proven zero: thirteen digits give 63 bits of the high
-    # word, the fourteenth its last bit and the top four bits of the low word.
-    high = F.shiftleft(fold(1, 13, F.lit(0).cast("bigint")), 1).bitwiseOR(F.shiftright(fourteenth, 4))
-    low = fold(15, 12, fourteenth.bitwiseAND(F.lit(15).cast("bigint")))
-    return F.struct(high.alias("hi"), low.alias("lo"))
-
-
-def text_from_crockford(text: Column) -> Column:
-    words = from_crockford(text)
-    return to_text(words["hi"], words["lo"])
+
+def from_crockford(text: str) -> Column:
+    """struct<hi, lo> of a 26-character text; fails unless it is one of the alphabet that fits 128 bits."""
+    return F.expr(_from_crockford(text))

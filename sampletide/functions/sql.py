@@ -8,69 +8,38 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from sampletide.functions.lid import CROCKFORD
+from sampletide.functions.lid import HIGH_FIELDS, LOW_FIELDS, text
 
-_HI = ("shiftleft(cast(conv(substr(lid, 1, 8), 16, 10) as bigint), 32) | "
-       "cast(conv(concat(substr(lid, 10, 4), substr(lid, 15, 4)), 16, 10) as bigint)")
-_LO = ("shiftleft(cast(conv(concat(substr(lid, 20, 4), substr(lid, 25, 4)), 16, 10) as bigint), 32) | "
-       "cast(conv(substr(lid, 29, 8), 16, 10) as bigint)")
+_FIELDS = HIGH_FIELDS + LOW_FIELDS
 
 
-def _scalar(name: str, arguments: str, returns: str, body: str) -> str:
-    return f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({arguments}) RETURNS {returns} RETURN {body}"
-
-
-def _field(name: str, word: str, shift: int, width: int) -> str:
-    return _scalar(f"lid_{name}", "lid STRING", "BIGINT", f"shiftrightunsigned({word}(lid), {shift}) & {(1 << width) - 1}L")
-
-
-def _checked(name: str, width: int) -> str:
-    return f"if({name} between 0 and {(1 << width) - 1}L, {name}, raise_error(concat('lineage id: {name} out of range: ', {name})))"
-
-
-def _statements():
-    yield _scalar("lid_from_uuid", "lid STRING", "STRING", "lid")
-    yield _scalar("lid_to_uuid", "lid STRING", "STRING", "lid")
-    yield _scalar("lid_hi", "lid STRING", "BIGINT", _HI)
-    yield _scalar("lid_lo", "lid STRING", "BIGINT", _LO)
-    from sampletide.functions.lid import HIGH_FIELDS, LOW_FIELDS
-    for word, layout in (("lid_hi", HIGH_FIELDS), ("lid_lo", LOW_FIELDS)):
+def _scalars():
+    """name, arguments, result type, body."""
+    yield "lid_from_uuid", "lid STRING", "STRING", "lid"
+    yield "lid_to_uuid", "lid STRING", "STRING", "lid"
+    yield "lid_hi", "lid STRING", "BIGINT", text.hi("lid")
+    yield "lid_lo", "lid STRING", "BIGINT", text.lo("lid")
+    for word, layout in (("lid_hi(lid)", HIGH_FIELDS), ("lid_lo(lid)", LOW_FIELDS)):
         for name, width, shift in layout:
-            yield _field(name, word, shift, width)
-    every = HIGH_FIELDS + LOW_FIELDS
-    yield _scalar("lid_decode", "lid STRING", f"STRUCT<{', '.join(n + ': BIGINT' for n, _, _ in every)}>",
-                  "named_struct(" + ", ".join(f"'{n}', lid_{n}(lid)" for n, _, _ in every) + ")")
-    yield _scalar("lid_words_text", "hi BIGINT, lo BIGINT", "STRING",
-                  "concat_ws('-', substr(lpad(lower(hex(hi)), 16, '0'), 1, 8), substr(lpad(lower(hex(hi)), 16, '0'), 9, 4), "
-                  "substr(lpad(lower(hex(hi)), 16, '0'), 13, 4), substr(lpad(lower(hex(lo)), 16, '0'), 1, 4), "
-                  "substr(lpad(lower(hex(lo)), 16, '0'), 5, 12))")
-    packed = [" | ".join(f"shiftleft({_checked(n, w)}, {s})" for n, w, s in layout) for layout in (HIGH_FIELDS, LOW_FIELDS)]
-    yield _scalar("lid_encode", ", ".join(f"{n} BIGINT" for n, _, _ in every), "STRING",
-                  f"lid_words_text({packed[0]}, {packed[1]})")
-    yield _scalar("lid_time", "lid STRING", "TIMESTAMP_NTZ",
-                  "timestampadd(MILLISECOND, lid_ts_ms(lid), timestamp_ntz'1970-01-01 00:00:00')")
-    yield _scalar("lid_validate", "lid STRING, expected INT", "BOOLEAN", "lid_layer(lid) = expected")
-    yield _scalar("lid_relayer", "lid STRING, expected INT", "STRING",
-                  "if(lid_layer(lid) = expected and expected < 15, "
-                  "concat(substr(lid, 1, 14), lower(hex(expected + 1)), substr(lid, 16)), "
-                  "raise_error(concat('lineage id: cannot relayer from ', lid_layer(lid))))")
-    yield _scalar("lid_parent", "lid STRING", "STRING",
-                  "if(lid_layer(lid) > 1, concat(substr(lid, 1, 14), lower(hex(lid_layer(lid) - 1)), substr(lid, 16)), "
-                  "raise_error('lineage id: a Bronze id has no parent'))")
-    digits = []
-    for i in range(26):
-        s = 125 - 5 * i
-        bits = (f"shiftrightunsigned(lid_hi(lid), {s - 64})" if s >= 64 else
-                f"(shiftleft(lid_hi(lid), {64 - s}) | shiftrightunsigned(lid_lo(lid), {s}))" if s > 59 else
-                f"shiftrightunsigned(lid_lo(lid), {s})")
-        digits.append(f"substr('{CROCKFORD}', cast({bits} & 31L as int) + 1, 1)")
-    yield _scalar("lid_text", "lid STRING", "STRING", f"concat({', '.join(digits)})")
+            yield f"lid_{name}", "lid STRING", "BIGINT", f"shiftrightunsigned({word}, {shift}) & {(1 << width) - 1}L"
+    yield ("lid_decode", "lid STRING", f"STRUCT<{', '.join(n + ': BIGINT' for n, _, _ in _FIELDS)}>",
+           text.decode("lid_hi(lid)", "lid_lo(lid)"))
+    named = {n: n for n, _, _ in _FIELDS}
+    yield ("lid_encode", ", ".join(f"{n} BIGINT" for n in named), "STRING",
+           text.words_text(text.pack(HIGH_FIELDS, named), text.pack(LOW_FIELDS, named)))
+    yield "lid_time", "lid STRING", "TIMESTAMP_NTZ", text.from_epoch_ms("lid_ts_ms(lid)")
+    yield "lid_validate", "lid STRING, expected INT", "BOOLEAN", "lid_layer(lid) = expected"
+    yield ("lid_relayer", "lid STRING, expected INT", "STRING",
+           "if(lid_layer(lid) = expected and expected < 15, concat(substr(lid, 1, 14), lower(hex(expected + 1)), "
+           "substr(lid, 16)), raise_error(concat('lineage id: cannot go one layer down from ', lid_layer(lid))))")
+    yield "lid_parent", "lid STRING", "STRING", text.parent("lid")
+    yield "lid_text", "lid STRING", "STRING", text.crockford("lid_hi(lid)", "lid_lo(lid)")
 
 
 def register(spark: SparkSession) -> None:
     """Temporary functions of this session."""
-    for statement in _statements():
-        spark.sql(statement)
+    for name, arguments, returns, body in _scalars():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({arguments}) RETURNS {returns} RETURN {body}")
 
 
 def register_tables(spark: SparkSession) -> None:

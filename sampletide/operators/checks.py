@@ -96,7 +96,7 @@ def offender_text_of(found: DataFrame, top: DataFrame, rows: DataFrame) -> DataF
 # --- rules that find offenders ---------------------------------------------------------------------
 
 def _id_text() -> Column:
-    return lid.to_crockford(lid.hi_word(F.col("lid")), lid.lo_word(F.col("lid")))
+    return lid.crockford("lid")
 
 
 def implausible_rms(quality: DataFrame, low: float = 1, high: float = 1000) -> DataFrame:

@@ -17,7 +17,7 @@ from sampletide.sources.registry import DATASETS
 
 def _kept(rows: DataFrame) -> DataFrame:
     """Without canaries: they never enter a mart."""
-    return rows.where(~lid.is_canary(F.col("lid")))
+    return rows.where(~lid.is_canary("lid"))
 
 
 def record_extremes(records: DataFrame, samples: DataFrame) -> DataFrame:
@@ -82,12 +82,12 @@ def channel_quality(records: DataFrame, samples: DataFrame, noise: DataFrame | N
         (F.col("n_samples_src") - F.col("n_samples")).alias("missing_samples"),
         F.sqrt(F.col("sum_squares") / F.col("n_samples")).cast("float").alias("rms_uv"),
         "clipped_pct", "clipped_own_pct", F.col("line_noise_ratio").cast("float"), "scale_basis",
-        lid.relayer(F.col("lid"), 2).alias("lid"))
+        lid.relayer("lid", 2).alias("lid"))
 
 
 def file_names(records: DataFrame) -> DataFrame:
     """Names that a record id's file field stands for: one row per source file, so it can be broadcast."""
-    names = records.select(lid.file_key(F.col("lid")).alias("file"), "experiment", "subject_pid").distinct()
+    names = records.select(lid.file_key("lid").alias("file"), "experiment", "subject_pid").distinct()
     return broadcast_bounded(names, "the file names")
 
 
@@ -104,9 +104,9 @@ def feature_window(records: DataFrame, samples: DataFrame, width_ms: int = 1000)
                    F.stddev_pop("value_uv").cast("float").alias("std_uv"),
                    (F.max("value_uv") - F.min("value_uv")).cast("float").alias("p2p_uv"),
                    F.min("sample_idx").alias("sample_lo"), F.max("sample_idx").alias("sample_hi")))
-    named = windows.join(file_names(_kept(records)), lid.file_key(F.col("lid")) == F.col("file"))
-    return (named.withColumn("run", lid.text_run(F.col("lid"))).withColumn("channel_idx", lid.text_channel(F.col("lid")))
-            .withColumn("lid", lid.relayer(F.col("lid"), 2)).select(*DATASETS["gold/feature_window"].fields))
+    named = windows.join(file_names(_kept(records)), lid.file_key("lid") == F.col("file"))
+    return (named.withColumn("run", lid.run("lid")).withColumn("channel_idx", lid.channel("lid"))
+            .withColumn("lid", lid.relayer("lid", 2)).select(*DATASETS["gold/feature_window"].fields))
 
 
 def experiment_summary(records: DataFrame, samples: DataFrame, events: DataFrame) -> DataFrame:
@@ -115,7 +115,7 @@ def experiment_summary(records: DataFrame, samples: DataFrame, events: DataFrame
     channels = samples.groupBy(*subject, "run", "channel_idx").agg(F.max("ts_ms").alias("last_ms"))
     runs = channels.groupBy(*subject, "run").agg(
         F.count("channel_idx").alias("n_channels"), (F.max("last_ms") + 1).alias("duration_ms"))
-    planted = records.where(lid.is_canary(F.col("lid"))).select("subject_pid").distinct()
+    planted = records.where(lid.is_canary("lid")).select("subject_pid").distinct()
     totals = runs.join(planted, "subject_pid", "left_anti").groupBy(*subject).agg(
         F.count(F.lit(1)).cast("smallint").alias("n_runs"), F.max("n_channels").cast("smallint").alias("n_channels"),
         (F.sum("duration_ms") / F.lit(1000.0)).cast("float").alias("duration_s"))

@@ -88,7 +88,7 @@ def batch_ord(batch: DataFrame, audit: DataFrame) -> DataFrame:
 
 def split_routable(offered: DataFrame, codes: DataFrame) -> DataFrame:
     """Every offered source with its experiment code, or the reason it is skipped."""
-    known = offered.join(F.broadcast(codes), "experiment", "left")
+    known = offered.join(broadcast_bounded(codes, "the experiment codes", lid.MAX_EXPERIMENTS), "experiment", "left")
     reason = F.concat(F.lit("experiment '"), F.col("experiment"), F.lit("' has no lineage code"))
     return known.withColumn("skipped", F.when(F.col("code").isNull(), reason))
 
@@ -96,13 +96,13 @@ def split_routable(offered: DataFrame, codes: DataFrame) -> DataFrame:
 def _with_prefix(rows: DataFrame, ingests: DataFrame) -> DataFrame:
     """Rows with the ingest id, id prefix and canary bit of their file, one row per file broadcast."""
     keys = ["experiment", "subject_src"]
-    prefix = lid.file_prefix(F.col("ts_ms"), F.lit(1), F.col("code"), F.col("ingest_ord"))
+    prefix = lid.file_prefix("ts_ms", 1, "code", "ingest_ord")
     batch = ingests.select(*keys, "ingest_id", "radioactive", prefix.alias("prefix"))
     return rows.join(broadcast_bounded(batch, "the ingest batch"), keys)
 
 
-def _bronze_lid(run: Column, channel: Column) -> Column:
-    return lid.with_prefix(F.col("prefix"), run, channel, F.col("radioactive"))
+def _bronze_lid(run, channel) -> Column:
+    return lid.with_prefix("prefix", run, channel, "radioactive")
 
 
 def bronze_recording(samples: DataFrame, ingests: DataFrame) -> DataFrame:
@@ -113,14 +113,14 @@ def bronze_recording(samples: DataFrame, ingests: DataFrame) -> DataFrame:
     return _with_prefix(samples, ingests).select(
         "experiment", "subject_src", F.col("run").cast("smallint"), F.col("channel_idx").cast("smallint"),
         F.col("sample_idx").cast("bigint"), values.nan_to_null(F.col("value_raw").cast("float")).alias("value_raw"),
-        "ingest_id", _bronze_lid(F.col("run"), F.col("channel_idx")).alias("lid"))
+        "ingest_id", _bronze_lid("run", "channel_idx").alias("lid"))
 
 
 def bronze_event(events: DataFrame, ingests: DataFrame) -> DataFrame:
     """Cue onsets. They belong to the run, so their id carries channel 0."""
     return _with_prefix(events, ingests).select(
         "experiment", "subject_src", F.col("run").cast("smallint"), F.col("sample_idx").cast("bigint"),
-        F.col("event_code").cast("smallint"), "event_label", "ingest_id", _bronze_lid(F.col("run"), F.lit(0)).alias("lid"))
+        F.col("event_code").cast("smallint"), "event_label", "ingest_id", _bronze_lid("run", 0).alias("lid"))
 
 
 def bronze_electrode(channels: DataFrame, locations: DataFrame, ingests: DataFrame, run: int = 1) -> DataFrame:
@@ -130,7 +130,7 @@ def bronze_electrode(channels: DataFrame, locations: DataFrame, ingests: DataFra
     return _with_prefix(placed, ingests).select(
         *keys, F.col("channel_idx").cast("smallint"),
         *[F.col(c).cast("float") for c in ("x_mm", "y_mm", "z_mm")], F.col("brain_area"), "ingest_id",
-        _bronze_lid(F.lit(run), F.col("channel_idx")).alias("lid"))
+        _bronze_lid(run, "channel_idx").alias("lid"))
 
 
 def audit_rows(recording: DataFrame, sources: DataFrame) -> DataFrame:

@@ -90,7 +90,7 @@ def middle_record(samples: DataFrame) -> DataFrame:
 
 def smallest_partition(samples: DataFrame, records: DataFrame) -> DataFrame:
     """The experiment and subject with the fewest samples among those without canaries."""
-    kept = records.where(~lid.is_canary(F.col("lid"))).select("experiment", "subject_pid").distinct()
+    kept = records.where(~lid.is_canary("lid")).select("experiment", "subject_pid").distinct()
     counted = samples.groupBy("experiment", "subject_pid").agg(F.count(F.lit(1)).alias("n_samples"))
     return (counted.join(kept, ["experiment", "subject_pid"], "left_semi")
             .orderBy("n_samples", "experiment", "subject_pid").limit(1))

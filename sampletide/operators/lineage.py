@@ -7,12 +7,17 @@ from pyspark.sql import functions as F
 
 from sampletide.functions import lid, values
 from sampletide.operators.ingest import with_ingest_ord
-from sampletide.sources.bounds import broadcast_bounded
+from sampletide.sources.bounds import broadcast_bounded, literal
 from sampletide.sources.registry import EXPERIMENT_CODES
 
 
 def experiment_codes(spark: SparkSession, codes: dict[str, int] = EXPERIMENT_CODES) -> DataFrame:
-    return spark.createDataFrame([(c, e) for e, c in codes.items()], "code int, experiment string")
+    return literal(spark, [(c, e) for e, c in codes.items()], "code int, experiment string")
+
+
+def _few(codes: DataFrame) -> DataFrame:
+    """The experiment field has eight bits, so its code table has at most 255 rows."""
+    return broadcast_bounded(codes, "the experiment codes", lid.MAX_EXPERIMENTS)
 
 
 def edges(spark: SparkSession) -> DataFrame:
@@ -20,19 +25,25 @@ def edges(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "child_lid string, parent_lid string")
 
 
+def file_dim(audit: DataFrame) -> DataFrame:
+    """One row per ingested file: ordinal, source path, digest, time. Needs the audit alone."""
+    return with_ingest_ord(audit).select(
+        "ingest_ord", "ingest_id", values.source_path(F.col("data_root"), F.col("source_path_rel")).alias("source_path"),
+        "source_url", "sha256", lid.epoch_ms("ingested_at").alias("ts_ms"))
+
+
 def lineage_dim(audit: DataFrame, recording: DataFrame) -> DataFrame:
-    """One row per ingested file: ordinal, source path, digest, time, experiment."""
+    """The file dimension with each file's experiment, which the Bronze partition of its ingest carries."""
     held = recording.select("experiment", "ingest_id").distinct()
-    return with_ingest_ord(audit).join(held, "ingest_id", "left").select(
-        "ingest_ord", "ingest_id", values.source_path(F.col("data_root"), F.col("source_path_rel")).alias("source_path"),
-        "source_url", "sha256", lid.epoch_ms(F.col("ingested_at")).alias("ts_ms"), "experiment")
+    return file_dim(audit).join(held, "ingest_id", "left").select(
+        "ingest_ord", "ingest_id", "source_path", "source_url", "sha256", "ts_ms", "experiment")
 
 
 def trace(ids: DataFrame, dim: DataFrame, codes: DataFrame) -> DataFrame:
     """Source file of every id, with the fields the id carries."""
-    decoded = ids.select("lid", lid.decode_text(F.col("lid")).alias("f"))
+    decoded = ids.select("lid", lid.decode("lid").alias("f"))
     files = broadcast_bounded(dim.select("ingest_ord", "source_path", "source_url", "sha256"), "the lineage dimension")
-    names = F.broadcast(codes)
+    names = _few(codes)
     return (decoded.join(files, F.col("f.file") == F.col("ingest_ord"))
             .join(names, F.col("f.experiment") == F.col("code"))
             .select("lid", "source_path", "source_url", "sha256", F.col("f.ts_ms").alias("ts_ms"),
@@ -42,18 +53,16 @@ def trace(ids: DataFrame, dim: DataFrame, codes: DataFrame) -> DataFrame:
 
 def prefix_bounds(dim: DataFrame, codes: DataFrame, layer: int = 2) -> DataFrame:
     """Lowest and highest id any record of a file can carry in `layer`."""
-    coded = dim.join(F.broadcast(codes), "experiment")
-    first = lid.mint(F.col("ts_ms"), layer, F.col("code"), F.col("ingest_ord"), 0, 0, 0, 0)
-    last = lid.mint(F.col("ts_ms"), layer, F.col("code"), F.col("ingest_ord"), 15, 1023, 1023, 1)
-    top = last["lo"].bitwiseOR(F.lit(lid.RESERVED_LOW).cast("bigint"))
-    return coded.select("ingest_ord", "ingest_id", lid.to_text(first["hi"], first["lo"]).alias("lid_lo"),
-                        lid.to_text(last["hi"], top).alias("lid_hi"))
+    coded = dim.join(_few(codes), "experiment")
+    first = lid.mint_text("ts_ms", layer, "code", "ingest_ord", 0, 0, 0, 0)
+    last = lid.mint_text("ts_ms", layer, "code", "ingest_ord", 15, 1023, 1023, 1, reserved=lid.RESERVED_LOW)
+    return coded.select("ingest_ord", "ingest_id", first.alias("lid_lo"), last.alias("lid_hi"))
 
 
 def children(records: DataFrame, bounds: DataFrame) -> DataFrame:
     """Records of many files at once: equality on the file field narrows the range test."""
     files = broadcast_bounded(bounds, "the prefix bounds")
-    inside = (lid.text_file(F.col("lid")) == F.col("ingest_ord")) & F.col("lid").between(F.col("lid_lo"), F.col("lid_hi"))
+    inside = (lid.file("lid") == F.col("ingest_ord")) & F.col("lid").between(F.col("lid_lo"), F.col("lid_hi"))
     return records.join(files, inside).drop("lid_lo", "lid_hi")
 
 
@@ -63,13 +72,13 @@ def children_of(records: DataFrame, lid_lo: str, lid_hi: str) -> DataFrame:
 
 
 def layer_audit(rows: DataFrame, expected: int) -> DataFrame:
-    wrong = lid.text_layer(F.col("lid")) != expected
+    wrong = lid.layer("lid") != expected
     return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(wrong).alias("wrong_layer"))
 
 
 def file_consistency(rows: DataFrame, dim: DataFrame) -> DataFrame:
     """Per file field found in the ids: rows, and whether the dimension knows it with the same time."""
-    found = rows.groupBy(lid.text_file(F.col("lid")).alias("file"), lid.text_ts_ms(F.col("lid")).alias("id_ts_ms")).agg(
+    found = rows.groupBy(lid.file("lid").alias("file"), lid.ts_ms("lid").alias("id_ts_ms")).agg(
         F.count(F.lit(1)).alias("n_rows"))
     return (found.join(broadcast_bounded(dim.select("ingest_ord", "ts_ms"), "the lineage dimension"),
                        F.col("file") == F.col("ingest_ord"), "left")
@@ -77,17 +86,17 @@ def file_consistency(rows: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def canary_by_subject(rows: DataFrame, subject: str) -> DataFrame:
-    bit = F.when(lid.is_canary(F.col("lid")), 1).otherwise(0)
+    bit = F.when(lid.is_canary("lid"), 1).otherwise(0)
     return rows.groupBy(subject).agg(F.min(bit).alias("min_bit"), F.max(bit).alias("max_bit"))
 
 
 def canaries(records: DataFrame) -> DataFrame:
-    return records.where(lid.is_canary(F.col("lid")))
+    return records.where(lid.is_canary("lid"))
 
 
 def without_parent(rows: DataFrame, above: DataFrame) -> DataFrame:
     """Ids of `rows` whose parent id does not occur one layer up."""
-    ids = rows.select("lid").distinct().withColumn("parent_lid", lid.parent(F.col("lid")))
+    ids = rows.select("lid").distinct().withColumn("parent_lid", lid.parent("lid"))
     return ids.join(above.select(F.col("lid").alias("parent_lid")).distinct(), "parent_lid", "left_anti")
 
 

@@ -22,7 +22,7 @@ def describe(name: str, rows: DataFrame, dim: DataFrame) -> DataFrame:
     """
     files = dim.select("ingest_ord", "sha256")
     if "lid" in rows.columns:
-        per_file = rows.groupBy(lid.text_file(F.col("lid")).alias("ingest_ord")).agg(
+        per_file = rows.groupBy(lid.file("lid").alias("ingest_ord")).agg(
             F.count(F.lit(1)).alias("n"), F.min("lid").alias("lo"), F.max("lid").alias("hi"))
         joined = per_file.join(files, "ingest_ord", "left")
     else:

@@ -16,7 +16,7 @@ TOTAL_LIMIT = 500 * 1024**2
 def leaks(rows: DataFrame) -> DataFrame:
     """Canary rows per file of a scanned table, every file listed."""
     return rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(
-        F.count_if(lid.is_canary(F.col("lid"))).alias("canary_rows"))
+        F.count_if(lid.is_canary("lid")).alias("canary_rows"))
 
 
 def size_gate(files: DataFrame, file_limit: int = FILE_LIMIT, total_limit: int = TOTAL_LIMIT) -> DataFrame:
@@ -94,7 +94,7 @@ def unknown_commits(evidence: DataFrame, manifest: DataFrame, history: DataFrame
 
 def noisiest_channels(quality: DataFrame, limit: int = 100) -> DataFrame:
     """The report's top hundred by noise share; records without one come last."""
-    text = lid.to_crockford(lid.hi_word(F.col("lid")), lid.lo_word(F.col("lid")))
+    text = lid.crockford("lid")
     top = quality.orderBy(F.col("line_noise_ratio").desc_nulls_last(), "lid").limit(limit)
     return top.withColumn("lid", text)
 
@@ -137,7 +137,7 @@ def ranked_checks(evidence: DataFrame) -> DataFrame:
 
 def build_inventory(recording: DataFrame, file_sizes: DataFrame | None = None) -> DataFrame:
     """Subjects, runs, channels and samples per experiment, canary subjects left out; bytes when given."""
-    kept = recording.where(~lid.is_canary(F.col("lid")))
+    kept = recording.where(~lid.is_canary("lid"))
     records = kept.groupBy("experiment", "subject_src", "run", "channel_idx").agg(F.count(F.lit(1)).alias("samples"))
     table = records.groupBy("experiment").agg(
         F.count_distinct("subject_src").alias("subjects"), F.count_distinct(F.struct("subject_src", "run")).alias("runs"),

@@ -12,13 +12,17 @@ from pyspark.sql import functions as F
 
 from sampletide.functions import lid, values
 from sampletide.operators.pseudonym import replace_code
-from sampletide.sources.bounds import broadcast_bounded
+from sampletide.sources.bounds import broadcast_bounded, literal
 from sampletide.sources.registry import DATASETS, UNIT_SCALE
 
 
 def unit_scale(spark: SparkSession, scale: dict = UNIT_SCALE) -> DataFrame:
     rows = [(e, float(u), basis) for e, (u, basis) in scale.items()]
-    return spark.createDataFrame(rows, "experiment string, uv_per_unit float, scale_basis string")
+    return literal(spark, rows, "experiment string, uv_per_unit float, scale_basis string")
+
+
+def _few(scale: DataFrame) -> DataFrame:
+    return broadcast_bounded(scale, "the unit scales", lid.MAX_EXPERIMENTS)
 
 
 def _fields(rows: DataFrame, name: str) -> DataFrame:
@@ -26,7 +30,7 @@ def _fields(rows: DataFrame, name: str) -> DataFrame:
 
 
 def _down(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("lid", lid.relayer(F.col("lid"), 1))
+    return rows.withColumn("lid", lid.relayer("lid", 1))
 
 
 def subject(recording: DataFrame, key_map: DataFrame) -> DataFrame:
@@ -39,7 +43,7 @@ def record(recording: DataFrame, key_map: DataFrame, scale: DataFrame) -> DataFr
     """One row per record; its count includes missing samples. Names are joined after the aggregate."""
     keys = ["lid", "experiment", "subject_src", "run", "channel_idx"]
     counted = recording.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_samples_src"))
-    named = replace_code(counted, key_map).join(F.broadcast(scale.drop("uv_per_unit")), "experiment")
+    named = replace_code(counted, key_map).join(_few(scale.drop("uv_per_unit")), "experiment")
     return _fields(_down(named), "silver/record")
 
 
@@ -47,7 +51,7 @@ def recording(bronze: DataFrame, key_map: DataFrame, audit: DataFrame, scale: Da
     """Present samples in microvolts and milliseconds. Three broadcast joins, no shuffle of samples."""
     rates = broadcast_bounded(audit.select("ingest_id", "sample_rate_hz"), "the ingest audit")
     present = bronze.where(F.col("value_raw").isNotNull() & ~F.isnan("value_raw"))
-    joined = replace_code(present.join(rates, "ingest_id"), key_map).join(F.broadcast(scale), "experiment")
+    joined = replace_code(present.join(rates, "ingest_id"), key_map).join(_few(scale), "experiment")
     typed = joined.select(
         "experiment", "subject_pid", "run", "channel_idx",
         values.sample_time_ms(F.col("sample_idx"), F.col("sample_rate_hz")).alias("ts_ms"),

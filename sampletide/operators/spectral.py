@@ -30,11 +30,11 @@ def with_rate(samples: DataFrame, audit: DataFrame) -> DataFrame:
 
     The highest rate bounds the excerpt of every file, which lets the Parquet scan skip the row groups beyond.
     """
-    rates = with_ingest_ord(audit).select(lid.file_key_of(F.col("ingest_ord")).alias("file"), "sample_rate_hz")
+    rates = with_ingest_ord(audit).select(lid.file_key_of("ingest_ord").alias("file"), "sample_rate_hz")
     longest = audit.agg(F.max("sample_rate_hz") * EXCERPT_S).scalar()
     early = samples.where(F.col("sample_idx") < longest)
     return early.join(broadcast_bounded(rates, "the ingest audit"),
-                      lid.file_key(F.col("lid")) == F.col("file")).drop("file")
+                      lid.file_key("lid") == F.col("file")).drop("file")
 
 
 def line_noise(samples: DataFrame, key: str = "lid") -> DataFrame:
@@ -42,21 +42,14 @@ def line_noise(samples: DataFrame, key: str = "lid") -> DataFrame:
 
     `samples` carries sample_rate_hz, sample_idx and value_uv.
     """
-    length = F.col("sample_rate_hz") * EXCERPT_S
-    excerpt = samples.select(key, "sample_rate_hz", F.col("sample_idx").alias("i"),
-                             F.col("value_uv").cast("double").alias("x")).where(
-        (F.col("sample_idx") >= 0) & (F.col("sample_idx") < length))
-    x, bins = F.col("x"), _bins()
+    length = f"(sample_rate_hz * {EXCERPT_S})"
+    excerpt = samples.where(f"sample_idx >= 0 and sample_idx < {length}").select(
+        key, "sample_rate_hz", F.col("sample_idx").alias("i"), F.col("value_uv").cast("double").alias("x"))
     # Reducing k*i modulo the length first keeps the angle, and with it the precision, small.
-    angle = lambda k: F.expr(f"(i * {k} % (sample_rate_hz * {EXCERPT_S}))") * F.lit(2 * math.pi) / length
-    sums = [F.sum(x * wave(angle(k))).alias(f"{name}{k}") for k in bins for name, wave in (("c", F.cos), ("s", F.sin))]
-    swing = F.sum(F.when(F.col("i") % 2 == 0, x).otherwise(-x)).alias("nyquist")
+    sums = [F.expr(f"sum(x * {wave}((i * {k} % {length}) * {2 * math.pi!r}D / {length})) AS {wave}{k}")
+            for k in _bins() for wave in ("cos", "sin")]
     parts = excerpt.groupBy(key, "sample_rate_hz").agg(
-        F.count("x").alias("n"), F.var_pop("x").alias("variance"), swing, *sums)
-    power = lambda k: F.when(F.lit(2 * k) <= length,
-                             F.col(f"c{k}") * F.col(f"c{k}") + F.col(f"s{k}") * F.col(f"s{k}")).otherwise(0.0)
-    band = sum((power(k) for k in bins[1:]), power(bins[0]))
-    n = F.col("n").cast("double")
-    total = (n * n * F.col("variance") + F.col("nyquist") * F.col("nyquist")) / 2
-    whole = (F.col("n") == length) & (F.col("variance") > 0)
-    return parts.select(key, F.when(whole, band / total).alias("line_noise_ratio"))
+        F.expr("count(x) AS n"), F.expr("var_pop(x) AS variance"), F.expr("sum(if(i % 2 = 0, x, -x)) AS nyquist"), *sums)
+    band = " + ".join(f"if({2 * k} <= {length}, cos{k} * cos{k} + sin{k} * sin{k}, 0D)" for k in _bins())
+    total = "(cast(n as double) * n * variance + nyquist * nyquist) / 2"
+    return parts.select(key, F.expr(f"if(n = {length} and variance > 0, ({band}) / ({total}), null) AS line_noise_ratio"))

@@ -310,34 +310,33 @@ def lid_mint(f):
 
 @query
 def lid_decode(f):
-    return f.ids.select("event_id", lid.decode_text(F.col("lid")).alias("f")).select("event_id", "f.*")
+    return f.ids.select("event_id", lid.decode("lid").alias("f")).select("event_id", "f.*")
 
 
 @query
 def lid_uuid_roundtrip(f):
-    hi, lo = lid.hi_word(F.col("lid")), lid.lo_word(F.col("lid"))
-    return f.ids.select("event_id", hi.alias("hi"), lo.alias("lo")).select(
-        "event_id", "hi", "lo", lid.to_text(F.col("hi"), F.col("lo")).alias("lid"))
+    words = f.ids.select("event_id", lid.hi_word().alias("hi"), lid.lo_word().alias("lo"))
+    return words.withColumn("lid", lid.to_text("hi", "lo"))
 
 
 @query
 def lid_text(f):
-    return f.ids.select("event_id", lid.to_crockford(lid.hi_word(F.col("lid")), lid.lo_word(F.col("lid"))).alias("text"))
+    return f.ids.select("event_id", lid.crockford().alias("text"))
 
 
 @query
 def lid_parse(f):
-    text = lid.to_crockford(lid.hi_word(F.col("lid")), lid.lo_word(F.col("lid")))
-    return f.ids.select("event_id", F.lower(text).alias("text")).select(
-        "event_id", lid.text_from_crockford(F.col("text")).alias("lid"))
+    parsed = f.ids.select("event_id", F.lower(lid.crockford()).alias("text")).select(
+        "event_id", lid.from_crockford("text").alias("w"))
+    return parsed.select("event_id", lid.to_text("w.hi", "w.lo").alias("lid"))
 
 
 @query
 def lid_time(f):
     """Files and samples by the day embedded in the id."""
-    day = lid.time(F.col("lid")).cast("date").cast("string")
+    day = lid.time("lid").cast("date").cast("string")
     return f.bronze_recording.groupBy(day.alias("day")).agg(
-        F.count(F.lit(1)).alias("n_samples"), F.count_distinct(lid.text_file(F.col("lid"))).alias("n_files"))
+        F.count(F.lit(1)).alias("n_samples"), F.count_distinct(lid.file("lid")).alias("n_files"))
 
 
 @query
@@ -351,12 +350,12 @@ def lid_layer_audit(f):
 @query
 def lid_relayer(f):
     at_three = f.ids.where("layer = 3")
-    return at_three.select("event_id", lid.relayer(F.col("lid"), 3).alias("lid"))
+    return at_three.select("event_id", lid.relayer("lid", 3).alias("lid"))
 
 
 @query
 def lid_parent(f):
-    return f.ids.where("layer > 1").select("event_id", lid.parent(F.col("lid")).alias("lid"))
+    return f.ids.where("layer > 1").select("event_id", lid.parent("lid").alias("lid"))
 
 
 @query
@@ -366,7 +365,7 @@ def lineage_dim(f):
 
 @query
 def lid_trace(f):
-    return lineage.trace(f.record, f.dim, f.codes)
+    return lineage.trace(f.record, f.file_dim, f.codes)
 
 
 @query
@@ -386,7 +385,7 @@ def canary_records(f):
 
 @query
 def lid_file_consistency(f):
-    return lineage.file_consistency(f.recording, f.dim)
+    return lineage.file_consistency(f.recording, f.file_dim)
 
 
 @query
@@ -413,7 +412,7 @@ def pseudonymise(f):
 
 @query
 def keymap_new(f):
-    codes = f.samples.select("subject_src", lid.from_epoch_ms(lid.epoch_ms(F.col("ts"))).alias("created_at"))
+    codes = f.samples.select("subject_src", lid.to_millisecond("ts").alias("created_at"))
     known = f.key_map.where("subject_src in ('u0', 'u1', 'u2')")
     return pseudonym.new_keys(codes, known, TEST_SECRET).withColumn("created_at", F.col("created_at").cast("string"))
 
@@ -502,7 +501,7 @@ def dataset_version(f):
 def dataset_manifest(f):
     lake = {"bronze/recording": f.bronze_recording, "bronze/ingest_audit": f.audit, "silver/record": f.record,
             "silver/recording": f.recording, "silver/event": f.event, "gold/feature_window": f.windows}
-    listed = manifest.dataset_manifest(lake, f.dim)
+    listed = manifest.dataset_manifest(lake, f.file_dim)
     return listed.withColumn("file_digests", F.array_join("file_digests", ","))
 
 
@@ -605,7 +604,7 @@ def blocking_summary(f):
 @query
 def canary_leaks(f):
     """Canary rows of Silver, and of each mart, where there must be none."""
-    leaked = F.count_if(lid.is_canary(F.col("lid"))).alias("observed")
+    leaked = F.count_if(lid.is_canary("lid")).alias("observed")
     return one_column({"silver/record": f.record.agg(leaked), "gold/channel_quality": f.quality.agg(leaked),
                        "gold/feature_window": f.windows.agg(leaked)})
 
@@ -613,21 +612,21 @@ def canary_leaks(f):
 @query
 def flag_rms(f):
     """Threshold set inside the fixture's range, so that there are offenders."""
-    found = checks.implausible_rms(f.quality.withColumn("rms_uv", F.round(F.col("rms_uv").cast("double"), 4)), 1.2, 1000)
-    return checks.offender_text(found, [F.desc("rms_uv"), F.asc("lid")], f.quality)
+    found = checks.implausible_rms(f.quality_table.withColumn("rms_uv", F.round(F.col("rms_uv").cast("double"), 4)), 1.2, 1000)
+    return checks.offender_text(found, [F.desc("rms_uv"), F.asc("lid")], f.quality_table)
 
 
 @query
 def flag_line_noise(f):
-    graded = f.tone_quality.withColumn("line_noise_ratio", F.round(F.col("line_noise_ratio").cast("double"), 4))
-    return checks.offender_text(checks.noisy_channels(graded), [F.desc("line_noise_ratio"), F.asc("lid")], f.tone_quality)
+    graded = f.tone_table.withColumn("line_noise_ratio", F.round(F.col("line_noise_ratio").cast("double"), 4))
+    return checks.offender_text(checks.noisy_channels(graded), [F.desc("line_noise_ratio"), F.asc("lid")], f.tone_table)
 
 
 @query
 def flag_event_rate(f):
-    found = checks.odd_event_rates(f.summary)
+    found = checks.odd_event_rates(f.summary_table)
     return checks.offender_text(found.withColumn("per_minute", F.round("per_minute", 4)),
-                                [F.desc("per_minute"), F.asc("offender")], f.summary)
+                                [F.desc("per_minute"), F.asc("offender")], f.summary_table)
 
 
 @query

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sampletide.functions import lid, values
 from sampletide.operators import gold, ingest, lineage, manifest, pseudonym, silver, spectral
 from sampletide.session import materialise
+from sampletide.sources.bounds import literal
 from sampletide.sources.registry import EXPERIMENT_CODES
 
 # Fixed values of the fixture lake.
@@ -52,7 +53,7 @@ class Fixture:
         lake, so that the many small joins against it do not scan the samples again."""
         name = F.concat_ws("/", "experiment", "subject_src")
         below = F.concat(F.lit("raw/"), name, F.lit(".mat"))
-        first = lid.from_epoch_ms(lid.epoch_ms(F.min("ts")))
+        first = lid.to_millisecond("min(ts)")
         found = self.samples.groupBy("experiment", "subject_src").agg(
             F.count(F.lit(1)).alias("rows_written"), first.alias("ingested_at"))
         return materialise(found.select(
@@ -79,8 +80,8 @@ class Fixture:
     @cached_property
     def ingests(self) -> DataFrame:
         numbered = ingest.with_ingest_ord(self.sources)
-        return numbered.join(F.broadcast(self.codes), "experiment").select(
-            "experiment", "subject_src", "ingest_id", "ingest_ord", lid.epoch_ms(F.col("ingested_at")).alias("ts_ms"),
+        return numbered.join(self.codes, "experiment").select(
+            "experiment", "subject_src", "ingest_id", "ingest_ord", lid.epoch_ms("ingested_at").alias("ts_ms"),
             "code", F.when(F.col("subject_src") == CANARY, 1).otherwise(0).alias("radioactive"))
 
     @cached_property
@@ -120,7 +121,7 @@ class Fixture:
 
     @cached_property
     def labels(self) -> DataFrame:
-        return self.spark.createDataFrame(CUE_LABELS, "event_code smallint, event_label string")
+        return literal(self.spark, CUE_LABELS, "event_code smallint, event_label string")
 
     @cached_property
     def cues(self) -> DataFrame:
@@ -173,6 +174,23 @@ class Fixture:
     def dim(self) -> DataFrame:
         return lineage.lineage_dim(self.audit, self.bronze_recording)
 
+    @cached_property
+    def file_dim(self) -> DataFrame:
+        return lineage.file_dim(self.audit)
+
+    @cached_property
+    def quality_table(self) -> DataFrame:
+        """The mart written, for reports that read it more than once."""
+        return materialise(self.quality, "channel-quality")
+
+    @cached_property
+    def summary_table(self) -> DataFrame:
+        return materialise(self.summary, "experiment-summary")
+
+    @cached_property
+    def tone_table(self) -> DataFrame:
+        return materialise(self.tone_quality, "channel-quality")
+
     @cached_property
     def quality(self) -> DataFrame:
         return gold.channel_quality(self.record, self.recording)
@@ -192,7 +210,7 @@ class Fixture:
         """Seven channels by order key, every third with a 50 Hz tone (period four samples at 200 Hz)."""
         channel, i = F.col("o_orderkey") % SPECTRAL_CHANNELS, F.floor(F.col("o_orderkey") / SPECTRAL_CHANNELS)
         tone = F.when(channel % 3 != 0, 0).when(i % 4 == 1, 100).when(i % 4 == 3, -100).otherwise(0)
-        ids = lid.mint_text(F.lit(1_704_067_200_000), 2, 1, 1, 1, channel, 0, 0)
+        ids = lid.mint_text(1_704_067_200_000, 2, 1, 1, 1, f"o_orderkey % {SPECTRAL_CHANNELS}", 0, 0)
         return self.table("orders").select(
             F.lit("click").alias("experiment"), F.lit("p1").alias("subject_pid"), F.lit(1).cast("smallint").alias("run"),
             channel.cast("smallint").alias("channel_idx"), (i * 5).cast("bigint").alias("ts_ms"),
@@ -218,13 +236,13 @@ class Fixture:
     def id_fields(self) -> DataFrame:
         n, u = F.col("event_id"), F.col("user_id")
         return self.table("events").select(
-            "event_id", lid.epoch_ms(F.col("ts")).alias("ts_ms"), (n % 14 + 1).alias("layer"),
+            "event_id", lid.epoch_ms("ts").alias("ts_ms"), (n % 14 + 1).alias("layer"),
             (u % 256).alias("experiment"), (n % 65536).alias("file"), (n % 16).alias("run"),
             (n % 1024).alias("channel"), (u * 7 % 1024).alias("segment"), (n % 2).alias("radioactive"))
 
     @cached_property
     def ids(self) -> DataFrame:
-        fields = [F.col(c) for c in ("ts_ms", "layer", "experiment", "file", "run", "channel", "segment", "radioactive")]
+        fields = ("ts_ms", "layer", "experiment", "file", "run", "channel", "segment", "radioactive")
         return self.id_fields.withColumn("lid", lid.mint_text(*fields))
 
     # --- evidence from orders ---
@@ -259,7 +277,7 @@ class Fixture:
         """Counts of three datasets; the digest of one differs from what its checks saw."""
         counted = manifest.dataset_manifest(
             {"bronze/recording": self.bronze_recording, "silver/recording": self.recording,
-             "gold/feature_window": self.windows}, self.dim)
+             "gold/feature_window": self.windows}, self.file_dim)
         seen = F.when(F.col("dataset") == "gold/feature_window", F.concat("dataset", F.lit("R2"))).otherwise(
             F.when(F.col("dataset") == "silver/recording", F.concat("dataset", F.lit("R2"))).otherwise(F.col("dataset")))
         return counted.withColumn("dataset_version", F.sha2(seen, 256)).withColumn(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sampletide.functions import sql as sql_functions
 from sampletide.operators import checks, gold, lineage, manifest, publish, silver, spectral
 from sampletide.sources import files, reader, rules, writer
+from sampletide.sources.bounds import literal
 from sampletide.sources.registry import DATASETS, UNIT_SCALE
 
 SIMPLE_KINDS = ("not_null", "row_count_min", "accepted_values", "no_direct_identifier")
@@ -75,7 +76,7 @@ def _present(spark: SparkSession, root: str, skip=()) -> list[str]:
 def write_manifest(spark: SparkSession, root: str, commit: str) -> None:
     names = _present(spark, root, skip=("gold/dataset_manifest",))
     lake = {n: reader.dataset(spark, root, n) for n in names}
-    rows = manifest.complete(manifest.dataset_manifest(lake, dim(spark, root)), versions(spark, root, names),
+    rows = manifest.complete(manifest.dataset_manifest(lake, lineage.file_dim(reader.dataset(spark, root, "bronze/ingest_audit"))), versions(spark, root, names),
                              datetime.now(UTC).replace(tzinfo=None), commit)
     writer.write_dataset(rows, root, "gold/dataset_manifest", "overwrite")
 
@@ -124,10 +125,10 @@ def observe_contracts(spark: SparkSession, held: dict[str, DataFrame]) -> DataFr
         parts += [checks.duplicate_groups(rows, r.params["columns"]).select(
             F.lit(r.check_id).alias("check_id"), F.col("observed").cast("string")) for r in owned if r.kind == "unique"]
     every = rules.contract_rules(list(held))
-    facts = spark.createDataFrame([(r.check_id, r.dataset, r.kind, r.expected) for r in every],
-                                  "check_id string, dataset string, check_kind string, expected string")
+    facts = literal(spark, [(r.check_id, r.dataset, r.kind, r.expected) for r in every],
+                    "check_id string, dataset string, check_kind string, expected string")
     seen = reduce(DataFrame.unionByName, parts)
-    return seen.join(F.broadcast(facts), "check_id").withColumn(
+    return seen.join(facts, "check_id").withColumn(
         "result", checks.verdict(F.col("check_kind"), F.col("observed"), F.col("expected")))
 
 
@@ -194,9 +195,9 @@ def evidence(spark: SparkSession, root: str, run_id: str = "R1", commit: str = "
     owned = [r for r in [*governed, *rules.contract_rules(present), *extra] if r.dataset in present]
     if not _exists(spark, f"{root}/raw"):
         owned = [r for r in owned if r.kind != "hash_match"]
-    observed = spark.createDataFrame(observations(spark, root, owned), "check_id string, observed string, error string")
-    facts = spark.createDataFrame(
-        [(r.check_id, r.requirement_id, r.framework, r.dataset, r.kind, r.severity, r.clause, r.control, r.expected) for r in owned],
+    observed = literal(spark, observations(spark, root, owned), "check_id string, observed string, error string")
+    facts = literal(
+        spark, [(r.check_id, r.requirement_id, r.framework, r.dataset, r.kind, r.severity, r.clause, r.control, r.expected) for r in owned],
         "check_id string, requirement_id string, framework string, dataset string, check_kind string, severity string, "
         "clause string, control string, expected string")
     failed = F.col("error").isNotNull()

@@ -20,6 +20,8 @@ def session(master: str | None = None, **conf) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
         "spark.ui.enabled": "false",
+        # Stack traces for every column expression cost more than small queries do.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():

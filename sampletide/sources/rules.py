@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sampletide.sources.bounds import literal
 from sampletide.sources.registry import DATASETS
 
 REQUIREMENTS = Path(__file__).resolve().parent.parent / "governance" / "requirements.csv"
@@ -45,7 +46,7 @@ def read_requirements(spark: SparkSession, path: str) -> DataFrame:
 def governance_text(spark: SparkSession) -> DataFrame:
     """The packaged requirement file, as rows: read on the driver, since executors need not have the package."""
     lines = REQUIREMENTS.read_text(encoding="utf-8").splitlines()
-    text = spark.createDataFrame([(line,) for line in lines[1:]], "value string")
+    text = literal(spark, [(line,) for line in lines[1:]], "value string")
     options = {"escape": '"'}
     parsed = text.select(F.from_csv("value", REQUIREMENT_SCHEMA, options).alias("r")).select("r.*")
     return parsed.withColumn("params_json", F.col("params")).withColumn("params", F.from_json("params", "map<string,string>"))
