@@ -73,11 +73,7 @@ def _decode(hi: str, lo: str) -> str:
 
 
 def _words_text(hi: str, lo: str) -> str:
-    """32 hex digits with dashes set in from the right; each word enters the expression once."""
-    text = f"cast(lower(concat(lpad(hex({hi}), 16, '0'), lpad(hex({lo}), 16, '0'))) as binary)"
-    for position in (21, 17, 13, 9):
-        text = f"overlay({text} placing X'2D' from {position} for 0)"
-    return f"cast({text} as string)"
+    return _dashed(f"lower(concat(lpad(hex({hi}), 16, '0'), lpad(hex({lo}), 16, '0')))")
 
 
 def _slice(lid: str, position: int, length: int) -> str:
@@ -108,32 +104,35 @@ def _parent(lid: str) -> str:
             f"{_with_layer(lid, f'cast(lower(hex({layer} - 1)) as binary)')})")
 
 
-def _crockford(hi: str, lo: str) -> str:
-    """26 characters, five bits each from the top; the fourteenth takes bits of both words."""
-    def digit(i):
-        shift = 125 - 5 * i
-        if shift >= 64:
-            bits = f"shiftrightunsigned({hi}, {shift - 64})"
-        elif shift > 59:
-            bits = f"(shiftleft({hi}, {64 - shift}) | shiftrightunsigned({lo}, {shift}))"
-        else:
-            bits = f"shiftrightunsigned({lo}, {shift})"
-        return f"substr('{CROCKFORD}', cast({bits} & 31L as int) + 1, 1)"
-    return f"concat({', '.join(digit(i) for i in range(26))})"
+# conv writes base 32 as 0-9A-V; the id's text leaves out I, L, O and U.
+_PLAIN, _CROCKFORD = "IJKLMNOPQRSTUV", "JKMNPQRSTVWXYZ"
+
+
+def _crockford(lid: str) -> str:
+    """26 characters of five bits. The time is exactly the first ten; the other 80 bits are two groups of eight
+    characters or ten hex digits, so each group converts as one number."""
+    digits = f"replace({lid}, '-', '')"
+    parts = [f"lpad(conv(substr({digits}, {start}, {length}), 16, 32), {width}, '0')"
+             for start, length, width in ((1, 12, 10), (13, 10, 8), (23, 10, 8))]
+    return f"translate(concat({', '.join(parts)}), '{_PLAIN}', '{_CROCKFORD}')"
+
+
+def _dashed(digits: str) -> str:
+    """Dashes set into 32 hex digits, from the right."""
+    text = f"cast({digits} as binary)"
+    for position in (21, 17, 13, 9):
+        text = f"overlay({text} placing X'2D' from {position} for 0)"
+    return f"cast({text} as string)"
 
 
 def _from_crockford(text: str) -> str:
-    """struct<hi, lo>. 26 digits are 130 bits and the first two are proven zero: thirteen digits give 63 bits of
-    the high word, the fourteenth its last bit and the top four bits of the low word."""
+    """The id of a text; an error unless it is 26 characters of the alphabet that fit 128 bits."""
     bad = _fail(f"concat('lineage id: not a 26 character id: ', {text})", "string")
-    checked = f"if(upper({text}) not rlike '^[0-7][{CROCKFORD}]{{25}}$', {bad}, upper({text}))"
-    digits = f"transform(sequence(1, 26), i -> cast(locate(substr({checked}, i, 1), '{CROCKFORD}') - 1 as bigint))"
-
-    def fold(first, count, start):
-        return f"aggregate(slice(d, {first}, {count}), {start}, (acc, x) -> shiftleft(acc, 5) | x)"
-    high = f"shiftleft({fold(1, 13, '0L')}, 1) | shiftright(d[13], 4)"
-    low = fold(15, 12, "d[13] & 15L")
-    return f"transform(array({digits}), d -> named_struct('hi', {high}, 'lo', {low}))[0]"
+    plain = (f"translate(if(upper({text}) not rlike '^[0-7][{CROCKFORD}]{{25}}$', {bad}, upper({text})), "
+             f"'{_CROCKFORD}', '{_PLAIN}')")
+    parts = [f"lpad(conv(substr({plain}, {start}, {length}), 32, 16), {width}, '0')"
+             for start, length, width in ((1, 10, 12), (11, 8, 10), (19, 8, 10))]
+    return _dashed(f"lower(concat({', '.join(parts)}))")
 
 
 def _ts_ms(lid: str) -> str:
@@ -253,9 +252,9 @@ def time(lid: str = "lid") -> Column:
 
 def crockford(lid: str = "lid") -> Column:
     """26-character text of an id."""
-    return F.expr(_crockford(_hi(lid), _lo(lid)))
+    return F.expr(_crockford(lid))
 
 
 def from_crockford(text: str) -> Column:
-    """struct<hi, lo> of a 26-character text; fails unless it is one of the alphabet that fits 128 bits."""
+    """Id of a 26-character text; fails unless it is one of the alphabet that fits 128 bits."""
     return F.expr(_from_crockford(text))

@@ -33,7 +33,8 @@ def _scalars():
            "if(lid_layer(lid) = expected and expected < 15, concat(substr(lid, 1, 14), lower(hex(expected + 1)), "
            "substr(lid, 16)), raise_error(concat('lineage id: cannot go one layer down from ', lid_layer(lid))))")
     yield "lid_parent", "lid STRING", "STRING", text.parent("lid")
-    yield "lid_text", "lid STRING", "STRING", text.crockford("lid_hi(lid)", "lid_lo(lid)")
+    yield "lid_text", "lid STRING", "STRING", text.crockford("lid")
+    yield "lid_parse", "txt STRING", "STRING", text.from_crockford("txt")
 
 
 def register(spark: SparkSession) -> None:

@@ -28,7 +28,7 @@ def null_counts(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def duplicate_groups(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Groups of the columns that occur more than once; NULLs are one group, unlike in count(distinct)."""
-    repeated = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_occurrences")).where("_occurrences > 1")
     return repeated.agg(F.count(F.lit(1)).alias("observed"))
 
 
@@ -95,18 +95,14 @@ def offender_text_of(found: DataFrame, top: DataFrame, rows: DataFrame) -> DataF
 
 # --- rules that find offenders ---------------------------------------------------------------------
 
-def _id_text() -> Column:
-    return lid.crockford("lid")
-
-
 def implausible_rms(quality: DataFrame, low: float = 1, high: float = 1000) -> DataFrame:
     found = quality.where((F.col("rms_uv") < low) | (F.col("rms_uv") > high))
-    return found.select(_id_text().alias("offender"), "rms_uv", "lid")
+    return found.select(lid.crockford().alias("offender"), "rms_uv", "lid")
 
 
 def noisy_channels(quality: DataFrame, limit: float = 0.5) -> DataFrame:
     found = quality.where(F.col("line_noise_ratio") >= limit)
-    return found.select(_id_text().alias("offender"), "line_noise_ratio", "lid")
+    return found.select(lid.crockford().alias("offender"), "line_noise_ratio", "lid")
 
 
 def odd_event_rates(summary: DataFrame, low: float = 0.5, high: float = 2.0) -> DataFrame:

@@ -94,9 +94,8 @@ def unknown_commits(evidence: DataFrame, manifest: DataFrame, history: DataFrame
 
 def noisiest_channels(quality: DataFrame, limit: int = 100) -> DataFrame:
     """The report's top hundred by noise share; records without one come last."""
-    text = lid.crockford("lid")
     top = quality.orderBy(F.col("line_noise_ratio").desc_nulls_last(), "lid").limit(limit)
-    return top.withColumn("lid", text)
+    return top.withColumn("lid", lid.crockford())
 
 
 def _outcome():

@@ -93,7 +93,7 @@ def orphan_ingests(f):
 def aborted_files(f):
     """None in a finished layout; the listing still visits every file."""
     path = _silver_files(f)
-    every = files.listing(f.spark, path, "*.parquet").agg(F.count(F.lit(1)).alias("n_files"))
+    every = files.every_file(f.spark, path).agg(F.count(F.lit(1)).alias("n_files"))
     return files.aborted(f.spark, path).agg(F.count(F.lit(1)).alias("n_aborted")).select(
         "n_aborted", (every.scalar() > 0).cast("int").alias("has_files"))
 
@@ -326,9 +326,8 @@ def lid_text(f):
 
 @query
 def lid_parse(f):
-    parsed = f.ids.select("event_id", F.lower(lid.crockford()).alias("text")).select(
-        "event_id", lid.from_crockford("text").alias("w"))
-    return parsed.select("event_id", lid.to_text("w.hi", "w.lo").alias("lid"))
+    written = f.ids.select("event_id", F.lower(lid.crockford()).alias("text"))
+    return written.select("event_id", lid.from_crockford("text").alias("lid"))
 
 
 @query

@@ -212,7 +212,8 @@ class Fixture:
         tone = F.when(channel % 3 != 0, 0).when(i % 4 == 1, 100).when(i % 4 == 3, -100).otherwise(0)
         ids = lid.mint_text(1_704_067_200_000, 2, 1, 1, 1, f"o_orderkey % {SPECTRAL_CHANNELS}", 0, 0)
         return self.table("orders").select(
-            F.lit("click").alias("experiment"), F.lit("p1").alias("subject_pid"), F.lit(1).cast("smallint").alias("run"),
+            F.lit("click").alias("experiment"), F.concat(F.lit("p"), channel % 2).alias("subject_pid"),
+            (channel % 2 + 1).cast("smallint").alias("run"),
             channel.cast("smallint").alias("channel_idx"), (i * 5).cast("bigint").alias("ts_ms"),
             (F.col("o_totalprice") / 10000 + tone).cast("float").alias("value_uv"), ids.alias("lid"),
             i.cast("bigint").alias("sample_idx"))
@@ -281,7 +282,7 @@ class Fixture:
         seen = F.when(F.col("dataset") == "gold/feature_window", F.concat("dataset", F.lit("R2"))).otherwise(
             F.when(F.col("dataset") == "silver/recording", F.concat("dataset", F.lit("R2"))).otherwise(F.col("dataset")))
         return counted.withColumn("dataset_version", F.sha2(seen, 256)).withColumn(
-            "git_commit", F.substring(F.sha2(F.lit("commit7"), 256), 1, 40))
+            "git_commit", F.substring(F.sha2(F.concat(F.lit("build"), "n_records"), 256), 1, 40))
 
     @cached_property
     def published(self) -> DataFrame:

@@ -403,11 +403,11 @@ STATEMENTS = {
         USING (name) WHERE a.value <> b.value""",
     "unknown_commits": """SELECT DISTINCT git_commit, CASE WHEN git_commit = 'unknown' THEN 0 ELSE 1 END AS is_hash FROM (
         SELECT CASE WHEN result = 'error' THEN 'unknown' ELSE git_commit END AS git_commit FROM evidence
-        UNION ALL SELECT substr(sha256('commit7'), 1, 40)) WHERE git_commit NOT IN
+        UNION ALL SELECT substr(sha256('build' || n_records), 1, 40) FROM manifest) WHERE git_commit NOT IN
         (SELECT substr(sha256('commit' || (o_orderkey % 5)), 1, 40) FROM orders WHERE o_orderkey % 5 <> 3)""",
     "noisiest_channels": f"""SELECT experiment, subject_pid, run, channel_idx, n_samples, line_noise_ratio, {_text('lid')} AS lid FROM (
         SELECT * FROM (SELECT experiment, subject_pid, run, channel_idx, n_samples, line_noise_ratio, lid FROM quality
-            UNION ALL SELECT 'click', 'p1', 1, channel_idx, count(*), round(any_value(line_noise_ratio), 4), lid
+            UNION ALL SELECT 'click', 'p' || (channel_idx % 2), channel_idx % 2 + 1, channel_idx, count(*), round(any_value(line_noise_ratio), 4), lid
             FROM tones JOIN tone_noise USING (channel_idx) GROUP BY channel_idx, lid)
         ORDER BY line_noise_ratio DESC NULLS LAST, lid LIMIT 100)""",
     "framework_coverage": f"""SELECT framework, {_outcome()}, count(*) FILTER (dataset NOT LIKE 'gold/%') AS n_elsewhere FROM latest GROUP BY framework""",

@@ -10,6 +10,8 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sampletide.sources.bounds import literal
+
 FOOTER_SCHEMA = ("file string, row_group int, group_rows long, column_name string, encodings string, "
                  "has_dictionary boolean, n_values long, packed_bytes long, raw_bytes long, min_value string, "
                  "created_by string")
@@ -21,9 +23,35 @@ def listing(spark: SparkSession, path, glob: str = "*") -> DataFrame:
             .load(path).select("path", "length", F.col("modificationTime").alias("modified")))
 
 
-def aborted(spark: SparkSession, path, glob: str = "*.parquet") -> DataFrame:
+def _entries(recursive: bool):
+    def run(batches):
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                system, inner = pafs.FileSystem.from_uri(path)
+                scheme = path.split("://", 1)[0]
+                found = (system.get_file_info(pafs.FileSelector(inner, recursive=recursive)) if path.endswith("/")
+                         else [system.get_file_info(inner)])
+                rows = [(f"{scheme}://{i.path}{'' if i.is_file else '/'}", i.size if i.is_file else None) for i in found]
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()),
+                                                  pa.array([r[1] for r in rows], pa.int64())], names=["path", "length"])
+    return run
+
+
+def every_file(spark: SparkSession, path: str) -> DataFrame:
+    """path and length of all files below a folder, empty ones included: Spark's own file scans leave those out.
+
+    One task lists the top level, then each top-level folder is listed by a task of its own.
+    """
+    root = (path if "://" in path else f"file://{path}").rstrip("/") + "/"
+    schema = "path string, length long"
+    top = literal(spark, [(root,)], "path string").mapInArrow(_entries(False), schema)
+    below = top.select("path").repartition("path").mapInArrow(_entries(True), schema)
+    return below.where("length is not null")
+
+
+def aborted(spark: SparkSession, path: str, suffix: str = ".parquet") -> DataFrame:
     """Empty files an aborted write left behind."""
-    return listing(spark, path, glob).where("length = 0").select("path")
+    return every_file(spark, path).where(F.col("path").endswith(suffix) & (F.col("length") == 0)).select("path")
 
 
 def digests(spark: SparkSession, path, glob: str = "*.parquet") -> DataFrame:
