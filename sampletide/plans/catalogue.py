@@ -42,11 +42,19 @@ def one_column(parts: dict[str, DataFrame], column: str = "observed") -> DataFra
 
 # --- scans, sinks, layout -----------------------------------------------------------------------------
 
-def _silver_files(f: Fixture) -> str:
-    """Silver samples in the sorted layout, in a new folder. Several ranges, so several files."""
-    path = f"{scratch(f.spark, 'silver')}/silver/recording"
-    writer.layout_write(f.recording, path)
-    return path
+_WRITTEN: dict = {}
+
+
+def _silver_files(f: Fixture, fresh: bool = False) -> str:
+    """Silver samples in the sorted layout. Reports on files share one copy per application and input folder."""
+    key = (f.spark.sparkContext.applicationId, f.sf_dir)
+    if fresh or key not in _WRITTEN:
+        path = f"{scratch(f.spark, 'silver')}/silver/recording"
+        writer.layout_write(f.recording, path)
+        if fresh:
+            return path
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
 
 
 def _silver_rows(f: Fixture, path: str) -> DataFrame:
@@ -125,7 +133,7 @@ def silver_overwrite(f):
 @query
 def layout_write(f):
     """Sorted layout: rows per partition, rows out of order, row groups over the limit."""
-    path = _silver_files(f)
+    path = _silver_files(f, fresh=True)
     rows = _silver_rows(f, path)
     disorder = files.out_of_order(rows).agg(F.sum("out_of_order")).scalar()
     oversized = files.footers(f.spark, path).agg(F.count_if(F.col("group_rows") > writer.MAX_ROWS_PER_GROUP)).scalar()

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -54,10 +56,25 @@ def aborted(spark: SparkSession, path: str, suffix: str = ".parquet") -> DataFra
     return every_file(spark, path).where(F.col("path").endswith(suffix) & (F.col("length") == 0)).select("path")
 
 
+def _hash_files(batches):
+    for batch in batches:
+        sums = []
+        for path in batch.column(0).to_pylist():
+            system, inner = pafs.FileSystem.from_uri(path)
+            hasher = hashlib.sha256()
+            with system.open_input_stream(inner) as source:
+                while chunk := source.read(1 << 22):
+                    hasher.update(chunk)
+            sums.append(hasher.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sums, pa.string())],
+                                         names=["path", "length", "sha256"])
+
+
 def digests(spark: SparkSession, path, glob: str = "*.parquet") -> DataFrame:
-    """sha256 of every file. A file is read whole by one task: the layout writer bounds rows per file."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-            .load(path).select("path", "length", F.sha2("content", 256).alias("sha256")))
+    """sha256 of every file, read in chunks by the executors: a file of any size needs a few megabytes, where a
+    binary column would hold it whole and stop at two gigabytes. The listing spreads files over tasks by size."""
+    return listing(spark, path, glob).select("path", "length").mapInArrow(
+        _hash_files, "path string, length long, sha256 string")
 
 
 def _hash_runs(batches):
@@ -139,23 +156,68 @@ def copy(spark: SparkSession, source: str, target: str, glob: str = "*.parquet")
     return listing(spark, source, glob).select("path", below.alias("below")).mapInArrow(run, "path string, below string")
 
 
-def out_of_order(rows: DataFrame, order=("lid", "sample_idx"), block: int = 1 << 20) -> DataFrame:
+def _stretches(order):
+    """Per task: one row for each stretch of consecutive rows of a file, with the disorder inside it."""
+    def before(left, right):
+        """left sorts before right, column by column."""
+        less, equal = pc.less(left[0], right[0]), pc.equal(left[0], right[0])
+        for a, b in zip(left[1:], right[1:]):
+            less = pc.or_(less, pc.and_(equal, pc.less(a, b)))
+            equal = pc.and_(equal, pc.equal(a, b))
+        return less
+
+    def run(batches):
+        open_ = None
+
+        def close():
+            values = [[open_["file"]], [open_["start"]], [open_["rows"]], [open_["disorder"]],
+                      *[[v] for v in open_["first"]], *[[v] for v in open_["last"]]]
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], names=names)
+
+        for batch in batches:
+            keys = [batch.column(2 + k) for k in range(len(order))]
+            types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), *[k.type for k in keys], *[k.type for k in keys]]
+            names = ["file", "start", "rows", "disorder", *[f"first_{c}" for c in order], *[f"last_{c}" for c in order]]
+            path, index = batch.column(0), batch.column(1).to_numpy()
+            if not len(index):
+                continue
+            same = pc.equal(path[1:], path[:-1]).to_numpy(zero_copy_only=False) & (np.diff(index) == 1)
+            cuts = [0, *(np.flatnonzero(~same) + 1).tolist(), len(index)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                part = [k.slice(lo, hi - lo) for k in keys]
+                first, last = [p[0].as_py() for p in part], [p[-1].as_py() for p in part]
+                wrong = pc.sum(before([p[1:] for p in part], [p[:-1] for p in part])).as_py() or 0
+                name = path[lo].as_py()
+                if open_ and open_["file"] == name and open_["start"] + open_["rows"] == index[lo]:
+                    ends = None in first or None in open_["last"]
+                    open_["disorder"] += wrong + (not ends and tuple(first) < tuple(open_["last"]))
+                    open_["rows"] += hi - lo
+                    open_["last"] = last
+                else:
+                    if open_:
+                        yield close()
+                    open_ = {"file": name, "start": int(index[lo]), "rows": hi - lo, "disorder": wrong, "first": first, "last": last}
+        if open_:
+            yield close()
+    return run
+
+
+def out_of_order(rows: DataFrame, order=("lid", "sample_idx")) -> DataFrame:
     """(file, rows, out_of_order): rows that sort before their predecessor in file order.
 
-    A file may hold any share of the data, so rows are compared inside blocks of the file's row numbers; the
-    last row of a block is also sent to the next one as its predecessor.
+    A scan task reads its part of a file in order, so neighbours are compared where they are read and only one
+    row per part is shuffled, to compare the parts' ends. Shuffling rows back into file order would move the
+    whole table.
     """
-    key = F.struct(*order)
-    index = F.col("_metadata.row_index")
-    last_of_block = index % block == block - 1
-    home = F.floor(index / F.lit(block)).cast("bigint")
-    numbered = rows.select(
-        F.col("_metadata.file_path").alias("file"), index.alias("row_index"), key.alias("key"), home.alias("home"),
-        F.explode(F.when(last_of_block, F.array(home, home + 1)).otherwise(F.array(home))).alias("block"))
-    previous = F.lag("key").over(Window.partitionBy("file", "block").orderBy("row_index"))
-    return (numbered.withColumn("previous", previous).where("block = home")
-            .groupBy("file").agg(F.count(F.lit(1)).alias("rows"),
-                                 F.count_if(F.col("key") < F.col("previous")).alias("out_of_order")))
+    scanned = rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row_index"), *order)
+    kinds = {f.name: f.dataType.simpleString() for f in scanned.schema}
+    ends = ", ".join(f"{end}_{c} {kinds[c]}" for end in ("first", "last") for c in order)
+    parts = scanned.mapInArrow(_stretches(tuple(order)), f"file string, start long, rows long, disorder long, {ends}")
+    first, last = (F.struct(*[F.col(f"{end}_{c}").alias(c) for c in order]) for end in ("first", "last"))
+    by_start = Window.partitionBy("file").orderBy("start")
+    joined = parts.withColumns({"head": first, "before": F.lag(last).over(by_start)})
+    return joined.groupBy("file").agg(
+        F.sum("rows").alias("rows"), (F.sum("disorder") + F.count_if(F.col("head") < F.col("before"))).alias("out_of_order"))
 
 
 def sizes(spark: SparkSession, root: str, layers=("bronze", "silver"), dataset: str = "recording") -> DataFrame:

@@ -46,15 +46,34 @@ def test_hot_partition_is_cut_into_ranges(spark, tmp_path):
     assert spark.read.parquet(path).count() == 9000
 
 
-@pytest.mark.parametrize("block", [1, 2, 3, 1000])
-def test_disorder_is_found_across_blocks(spark, tmp_path, block):
+@pytest.mark.parametrize("batch", [1, 2, 3, 10000])
+def test_disorder_is_found_across_batches(spark, tmp_path, batch):
     path = str(tmp_path / "u")
     keys = [1, 2, 3, 2, 5, 4, 4, 9, 8]
     spark.createDataFrame([("x", k) for k in keys], "lid string, sample_idx long").coalesce(1).write.parquet(path)
-    found = files.out_of_order(spark.read.parquet(path), block=block).first()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    found = files.out_of_order(spark.read.parquet(path)).first()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10000)
     assert (found["rows"], found["out_of_order"]) == (9, sum(b < a for a, b in zip(keys, keys[1:])))
 
 
+def test_disorder_between_scan_tasks_is_found(spark, tmp_path):
+    """Small row groups read by different tasks: the only disorder lies between two of them."""
+    path = str(tmp_path / "split")
+    keys = [*range(500, 1000), *range(500)]
+    (spark.createDataFrame([("x" * 200, k) for k in keys], "lid string, sample_idx long").coalesce(1)
+     .write.option("parquet.block.row.count.limit", 100).option("parquet.enable.dictionary", "false").parquet(path))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = spark.read.parquet(path)
+        assert rows.rdd.getNumPartitions() > 1
+        found = files.out_of_order(rows).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [(r["rows"], r["out_of_order"]) for r in found] == [(1000, 1)]
+
+
 def test_rising_integers_are_stored_as_deltas(spark, samples):
     chunks = files.footers(spark, samples).where(F.col("column_name").isin("sample_idx", "ts_ms")).select("encodings").distinct().collect()
     assert all("DELTA_BINARY_PACKED" in r["encodings"] for r in chunks)
