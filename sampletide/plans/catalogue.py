@@ -11,7 +11,7 @@ from sampletide.functions import lid, values
 from sampletide.operators import checks, gold, ingest, layout, lineage, manifest, pseudonym, publish, spectral
 from sampletide.plans import lake as lake_plan
 from sampletide.plans.fixtures import (AREAS, CUE_RANGES, SENTINEL, SPECTRAL_RATE, TEST_SECRET, UNCOMMITTED, Fixture)
-from sampletide.session import scratch
+from sampletide.session import scratch, written_once
 from sampletide.sources import files, reader, rules, writer
 from sampletide.sources.registry import DATASETS, EXPERIMENT_CODES
 
@@ -42,19 +42,9 @@ def one_column(parts: dict[str, DataFrame], column: str = "observed") -> DataFra
 
 # --- scans, sinks, layout -----------------------------------------------------------------------------
 
-_WRITTEN: dict = {}
-
-
-def _silver_files(f: Fixture, fresh: bool = False) -> str:
+def _silver_files(f: Fixture) -> str:
     """Silver samples in the sorted layout. Reports on files share one copy per application and input folder."""
-    key = (f.spark.sparkContext.applicationId, f.sf_dir)
-    if fresh or key not in _WRITTEN:
-        path = f"{scratch(f.spark, 'silver')}/silver/recording"
-        writer.layout_write(f.recording, path)
-        if fresh:
-            return path
-        _WRITTEN[key] = path
-    return _WRITTEN[key]
+    return written_once(f.spark, (f.sf_dir, "silver"), lambda path: writer.layout_write(f.recording, path))
 
 
 def _silver_rows(f: Fixture, path: str) -> DataFrame:
@@ -133,7 +123,8 @@ def silver_overwrite(f):
 @query
 def layout_write(f):
     """Sorted layout: rows per partition, rows out of order, row groups over the limit."""
-    path = _silver_files(f, fresh=True)
+    path = scratch(f.spark, "layout")
+    writer.layout_write(f.recording, path)
     rows = _silver_rows(f, path)
     disorder = files.out_of_order(rows).agg(F.sum("out_of_order")).scalar()
     oversized = files.footers(f.spark, path).agg(F.count_if(F.col("group_rows") > writer.MAX_ROWS_PER_GROUP)).scalar()

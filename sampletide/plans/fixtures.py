@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sampletide.functions import lid, values
 from sampletide.operators import gold, ingest, lineage, manifest, pseudonym, silver, spectral
-from sampletide.session import materialise
+from sampletide.session import materialise, written_once
 from sampletide.sources.bounds import literal
 from sampletide.sources.registry import EXPERIMENT_CODES
 
@@ -51,19 +51,24 @@ class Fixture:
     def sources(self) -> DataFrame:
         """One row per source file: what the audit is made of. Written once, as the audit is a table of the
         lake, so that the many small joins against it do not scan the samples again."""
+        made = self._sources()
+        path = written_once(self.spark, (self.sf_dir, "audit"), lambda p: made.write.parquet(p))
+        return self.spark.read.schema(made.schema).parquet(path)
+
+    def _sources(self) -> DataFrame:
         name = F.concat_ws("/", "experiment", "subject_src")
         below = F.concat(F.lit("raw/"), name, F.lit(".mat"))
         first = lid.to_millisecond("min(ts)")
         found = self.samples.groupBy("experiment", "subject_src").agg(
             F.count(F.lit(1)).alias("rows_written"), first.alias("ingested_at"))
-        return materialise(found.select(
+        return found.select(
             F.concat_ws("-", "experiment", "subject_src").alias("ingest_id"), F.lit("/lake").alias("data_root"),
             F.when(name == "click/u0", F.concat(F.lit("/mnt/"), below)).otherwise(below).alias("source_path_rel"),
             F.concat(F.lit("https://example.org/"), F.col("experiment"), F.lit(".zip")).alias("source_url"),
             F.sha2(name, 256).alias("sha256"), (F.col("rows_written") * 4).alias("bytes"),
             F.when(F.col("experiment") == "click", 512).otherwise(1000).alias("sample_rate_hz"), "rows_written",
             F.lit("ingest").alias("tool"), F.lit("1").alias("tool_version"), F.lit("4.1").alias("engine_version"),
-            F.lit("host").alias("ingest_host"), "ingested_at", "experiment", "subject_src"), "audit")
+            F.lit("host").alias("ingest_host"), "ingested_at", "experiment", "subject_src")
 
     @cached_property
     def audit(self) -> DataFrame:

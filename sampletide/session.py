@@ -39,6 +39,19 @@ def scratch(spark: SparkSession, name: str = "work") -> str:
     return f"{base.rstrip('/')}/sampletide-{name}-{uuid.uuid4().hex}"
 
 
+_WRITTEN: dict = {}
+
+
+def written_once(spark: SparkSession, key: tuple, write) -> str:
+    """Path of a table written once per application: `write(path)` runs on first use of `key`."""
+    key = (spark.sparkContext.applicationId, *key)
+    if key not in _WRITTEN:
+        path = scratch(spark, key[-1])
+        write(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
 def materialise(table, name: str):
     """Write an intermediate to the shared scratch folder and read it back.
 

@@ -4,21 +4,29 @@ from __future__ import annotations
 
 import re
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from sampletide.functions import lid
 
 
+def _constant(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else repr(value)
+
+
 def literal(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A small fixed table as a local relation, whose size the planner knows."""
     fields = T.StructType.fromDDL(schema)
-    columns = list(zip(*rows)) if rows else [[] for _ in fields]
-    table = pa.table([pa.array(list(c), to_arrow_type(f.dataType)) for c, f in zip(columns, fields)], names=fields.names)
-    return spark.createDataFrame(table, fields)
+    if not rows:
+        return spark.createDataFrame([], fields)
+    values = ", ".join("(" + ", ".join(_constant(v) for v in row) + ")" for row in rows)
+    columns = ", ".join(f"cast({f.name} as {f.dataType.simpleString()}) AS {f.name}" for f in fields)
+    return spark.sql(f"SELECT {columns} FROM VALUES {values} AS t({', '.join(fields.names)})")
 
 
 def planned_bytes(table: DataFrame) -> int:

@@ -137,3 +137,10 @@ def test_children_by_literal_range(lake_inputs):
     one = lineage.children_of(lake_inputs.record, bound["lid_lo"], bound["lid_hi"]).select("lid").collect()
     every = lineage.children(lake_inputs.record, lineage.prefix_bounds(lake_inputs.dim, lake_inputs.codes)).where("ingest_ord = 7")
     assert sorted(r["lid"] for r in one) == sorted(r["lid"] for r in every.collect()) != []
+
+
+def test_literal_tables_keep_any_text(spark):
+    rows = [("it's", 1, 1.5), ('a "b" \\ \\n {c}', None, None), ("é\n", 3, -0.25)]
+    made = bounds.literal(spark, rows, "t string, n int, x float")
+    assert sorted(map(tuple, made.collect())) == sorted(rows)
+    assert bounds.planned_bytes(made) < 10_000
