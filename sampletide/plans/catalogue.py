@@ -11,7 +11,7 @@ from sampletide.functions import lid, values
 from sampletide.operators import checks, gold, ingest, layout, lineage, manifest, pseudonym, publish, spectral
 from sampletide.plans import lake as lake_plan
 from sampletide.plans.fixtures import (AREAS, CUE_RANGES, SENTINEL, SPECTRAL_RATE, TEST_SECRET, UNCOMMITTED, Fixture)
-from sampletide.session import scratch, written_once
+from sampletide.session import scratch
 from sampletide.sources import files, reader, rules, writer
 from sampletide.sources.registry import DATASETS, EXPERIMENT_CODES
 
@@ -43,8 +43,8 @@ def one_column(parts: dict[str, DataFrame], column: str = "observed") -> DataFra
 # --- scans, sinks, layout -----------------------------------------------------------------------------
 
 def _silver_files(f: Fixture) -> str:
-    """Silver samples in the sorted layout. Reports on files share one copy per application and input folder."""
-    return written_once(f.spark, (f.sf_dir, "silver"), lambda path: writer.layout_write(f.recording, path))
+    """Folder of the Silver sample table, in its sorted layout."""
+    return f.recording_path
 
 
 def _silver_rows(f: Fixture, path: str) -> DataFrame:
@@ -215,7 +215,7 @@ def expand_rules(f):
 def contract_rules(f):
     """Contract rules of the sample lake, observed over its rows."""
     held = {"silver/record": f.record, "silver/recording": f.recording, "silver/event": f.event,
-            "gold/experiment_summary": f.summary, "gold/feature_window": f.windows}
+            "gold/experiment_summary": f.summary_table, "gold/feature_window": f.window_table}
     return lake_plan.observe_contracts(f.spark, held)
 
 
@@ -281,7 +281,7 @@ def ingest_audit(f):
 
 @query
 def bronze_recording(f):
-    return rounded(f.bronze_recording, "value_raw")
+    return rounded(f.make_bronze_recording(), "value_raw")
 
 
 @query
@@ -304,7 +304,7 @@ def ingest_rejects(f):
 
 @query
 def lid_mint(f):
-    return f.ids.select("event_id", "lid")
+    return f.make_ids().select("event_id", "lid")
 
 
 @query
@@ -435,12 +435,12 @@ def silver_subject(f):
 
 @query
 def silver_record(f):
-    return f.record
+    return f.make_record()
 
 
 @query
 def silver_recording(f):
-    return rounded(f.recording, "value_uv", digits=6)
+    return rounded(f.make_recording(), "value_uv", digits=6)
 
 
 @query
@@ -498,7 +498,7 @@ def dataset_version(f):
 @query
 def dataset_manifest(f):
     lake = {"bronze/recording": f.bronze_recording, "bronze/ingest_audit": f.audit, "silver/record": f.record,
-            "silver/recording": f.recording, "silver/event": f.event, "gold/feature_window": f.windows}
+            "silver/recording": f.recording, "silver/event": f.event, "gold/feature_window": f.window_table}
     listed = manifest.dataset_manifest(lake, f.file_dim)
     return listed.withColumn("file_digests", F.array_join("file_digests", ","))
 
@@ -514,7 +514,7 @@ def check_not_null(f):
 def check_unique(f):
     return one_column({
         "record lid": checks.duplicate_groups(f.record, ["lid"]),
-        "window": checks.duplicate_groups(f.windows, ["lid", "window_start_ms"]),
+        "window": checks.duplicate_groups(f.window_table, ["lid", "window_start_ms"]),
         "sample lid": checks.duplicate_groups(f.recording, ["lid"]),
         "area": checks.duplicate_groups(f.electrode, ["brain_area"])})
 
@@ -528,7 +528,7 @@ def check_row_count(f):
 
 @query
 def check_no_identifier(f):
-    held = {"bronze/recording": f.bronze_recording, "silver/recording": f.recording, "gold/feature_window": f.windows}
+    held = {"bronze/recording": f.bronze_recording, "silver/recording": f.recording, "gold/feature_window": f.window_table}
     parts = [checks.forbidden_columns(rows, ["subject_src"]).withColumn("dataset", F.lit(n)) for n, rows in held.items()]
     return reduce(DataFrame.unionByName, parts)
 
@@ -603,8 +603,8 @@ def blocking_summary(f):
 def canary_leaks(f):
     """Canary rows of Silver, and of each mart, where there must be none."""
     leaked = F.count_if(lid.is_canary("lid")).alias("observed")
-    return one_column({"silver/record": f.record.agg(leaked), "gold/channel_quality": f.quality.agg(leaked),
-                       "gold/feature_window": f.windows.agg(leaked)})
+    return one_column({"silver/record": f.record.agg(leaked), "gold/channel_quality": f.quality_table.agg(leaked),
+                       "gold/feature_window": f.window_table.agg(leaked)})
 
 
 @query
@@ -711,7 +711,7 @@ def unknown_commits(f):
 
 @query
 def noisiest_channels(f):
-    quality = f.quality.unionByName(f.tone_quality)
+    quality = f.quality_table.unionByName(f.tone_table)
     graded = quality.withColumn("line_noise_ratio", F.round(F.col("line_noise_ratio").cast("double"), 4))
     return publish.noisiest_channels(graded).select("experiment", "subject_pid", "run", "channel_idx", "n_samples", "line_noise_ratio", "lid")
 

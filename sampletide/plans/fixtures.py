@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from sampletide.functions import lid, values
 from sampletide.operators import gold, ingest, lineage, manifest, pseudonym, silver, spectral
-from sampletide.session import materialise, written_once
+from sampletide.session import written_once
+from sampletide.sources import writer
 from sampletide.sources.bounds import literal
 from sampletide.sources.registry import EXPERIMENT_CODES
 
@@ -36,6 +37,22 @@ class Fixture:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def _table(self, name: str, make, partitions=()) -> DataFrame:
+        """A layer as a table: written once per application below the shared folder, then read like any other.
+
+        Later layers and checks scan the columns they need of the table before them, as in a lake, instead of
+        deriving every layer again from the source tables.
+        """
+        made = make()
+
+        def write(path):
+            if partitions:
+                writer.layout_write(made, path, partitions)
+            else:
+                made.write.parquet(path)
+        path = written_once(self.spark, (self.sf_dir, name), write)
+        return self.spark.read.schema(made.schema).parquet(path).select(*made.columns)
+
     # --- samples and audit from events ---
 
     @cached_property
@@ -51,9 +68,7 @@ class Fixture:
     def sources(self) -> DataFrame:
         """One row per source file: what the audit is made of. Written once, as the audit is a table of the
         lake, so that the many small joins against it do not scan the samples again."""
-        made = self._sources()
-        path = written_once(self.spark, (self.sf_dir, "audit"), lambda p: made.write.parquet(p))
-        return self.spark.read.schema(made.schema).parquet(path)
+        return self._table("audit", self._sources)
 
     def _sources(self) -> DataFrame:
         name = F.concat_ws("/", "experiment", "subject_src")
@@ -89,9 +104,12 @@ class Fixture:
             "experiment", "subject_src", "ingest_id", "ingest_ord", lid.epoch_ms("ingested_at").alias("ts_ms"),
             "code", F.when(F.col("subject_src") == CANARY, 1).otherwise(0).alias("radioactive"))
 
+    def make_bronze_recording(self) -> DataFrame:
+        return ingest.bronze_recording(self.samples, self.ingests)
+
     @cached_property
     def bronze_recording(self) -> DataFrame:
-        return ingest.bronze_recording(self.samples, self.ingests)
+        return self._table("bronze-recording", self.make_bronze_recording, ("experiment", "subject_src"))
 
     # --- electrodes ---
 
@@ -157,13 +175,24 @@ class Fixture:
     def subject(self) -> DataFrame:
         return silver.subject(self.bronze_recording, self.key_map)
 
+    def make_record(self) -> DataFrame:
+        return silver.record(self.bronze_recording, self.key_map, self.scale)
+
     @cached_property
     def record(self) -> DataFrame:
-        return silver.record(self.bronze_recording, self.key_map, self.scale)
+        return self._table("silver-record", self.make_record)
+
+    def make_recording(self) -> DataFrame:
+        return silver.recording(self.bronze_recording, self.key_map, self.audit, self.scale)
 
     @cached_property
     def recording(self) -> DataFrame:
-        return silver.recording(self.bronze_recording, self.key_map, self.audit, self.scale)
+        return self._table("silver-recording", self.make_recording, ("experiment", "subject_pid"))
+
+    @cached_property
+    def recording_path(self) -> str:
+        return written_once(self.spark, (self.sf_dir, "silver-recording"),
+                            lambda path: writer.layout_write(self.make_recording(), path))
 
     @cached_property
     def electrode(self) -> DataFrame:
@@ -185,16 +214,19 @@ class Fixture:
 
     @cached_property
     def quality_table(self) -> DataFrame:
-        """The mart written, for reports that read it more than once."""
-        return materialise(self.quality, "channel-quality")
+        return self._table("channel-quality", lambda: self.quality)
 
     @cached_property
     def summary_table(self) -> DataFrame:
-        return materialise(self.summary, "experiment-summary")
+        return self._table("experiment-summary", lambda: self.summary)
+
+    @cached_property
+    def window_table(self) -> DataFrame:
+        return self._table("feature-window", lambda: self.windows)
 
     @cached_property
     def tone_table(self) -> DataFrame:
-        return materialise(self.tone_quality, "channel-quality")
+        return self._table("tone-quality", lambda: self.tone_quality)
 
     @cached_property
     def quality(self) -> DataFrame:
@@ -248,6 +280,9 @@ class Fixture:
 
     @cached_property
     def ids(self) -> DataFrame:
+        return self._table("ids", self.make_ids)
+
+    def make_ids(self) -> DataFrame:
         fields = ("ts_ms", "layer", "experiment", "file", "run", "channel", "segment", "radioactive")
         return self.id_fields.withColumn("lid", lid.mint_text(*fields))
 
@@ -283,7 +318,7 @@ class Fixture:
         """Counts of three datasets; the digest of one differs from what its checks saw."""
         counted = manifest.dataset_manifest(
             {"bronze/recording": self.bronze_recording, "silver/recording": self.recording,
-             "gold/feature_window": self.windows}, self.file_dim)
+             "gold/feature_window": self.window_table}, self.file_dim)
         seen = F.when(F.col("dataset") == "gold/feature_window", F.concat("dataset", F.lit("R2"))).otherwise(
             F.when(F.col("dataset") == "silver/recording", F.concat("dataset", F.lit("R2"))).otherwise(F.col("dataset")))
         return counted.withColumn("dataset_version", F.sha2(seen, 256)).withColumn(

@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 import hashlib
+import sys
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs as pafs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sampletide.sources.bounds import literal
 
+# The task functions of this module travel to executors by value: the package is needed on the driver only.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FOOTER_SCHEMA = ("file string, row_group int, group_rows long, column_name string, encodings string, "
                  "has_dictionary boolean, n_values long, packed_bytes long, raw_bytes long, min_value string, "
                  "created_by string")
