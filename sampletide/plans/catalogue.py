@@ -197,7 +197,7 @@ def requirements_rules(f):
 
 def _rule_rows(f: Fixture) -> DataFrame:
     n = F.col("o_orderkey")
-    pattern = F.when(F.col("o_orderstatus") == "F", "gold/*").when(F.col("o_orderstatus") == "O", "silver/record").otherwise("docs/data")
+    pattern = F.when(F.col("o_orderstatus") == "F", "gold/*").when(F.col("o_orderstatus") == "O", "silver/record").otherwise("published/copy")
     return f.table("orders").select(
         F.lit("ALCOA+").alias("framework"), F.concat(F.lit("Q"), n).alias("requirement_id"), F.lit("all, present").alias("clause"),
         F.lit('at least {{min}} rows, "{{unit}}"').alias("control"), F.lit("row_count_min").alias("check_kind"),

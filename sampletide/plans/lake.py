@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sampletide.functions import sql as sql_functions
 from sampletide.operators import checks, gold, lineage, manifest, publish, silver, spectral
+from sampletide.session import exists
 from sampletide.sources import files, reader, rules, writer
 from sampletide.sources.bounds import literal
 from sampletide.sources.registry import DATASETS, UNIT_SCALE
@@ -66,11 +67,7 @@ def versions(spark: SparkSession, root: str, names) -> DataFrame:
 
 def _present(spark: SparkSession, root: str, skip=()) -> list[str]:
     """Datasets that have files: a driver-side listing of folder names, not of files."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    place = jvm.org.apache.hadoop.fs.Path(root)
-    system = place.getFileSystem(conf)
-    return [n for n in DATASETS if n not in skip and system.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/{n}"))]
+    return [n for n in DATASETS if n not in skip and exists(spark, f"{root}/{n}")]
 
 
 def write_manifest(spark: SparkSession, root: str, commit: str) -> None:
@@ -193,7 +190,7 @@ def evidence(spark: SparkSession, root: str, run_id: str = "R1", commit: str = "
     present = _present(spark, root)
     governed = rules.requirement_rules(checks.expand_rules(rules.governance_text(spark), tuple(present)))
     owned = [r for r in [*governed, *rules.contract_rules(present), *extra] if r.dataset in present]
-    if not _exists(spark, f"{root}/raw"):
+    if not exists(spark, f"{root}/raw"):
         owned = [r for r in owned if r.kind != "hash_match"]
     observed = literal(spark, observations(spark, root, owned), "check_id string, observed string, error string")
     facts = literal(
@@ -211,12 +208,6 @@ def evidence(spark: SparkSession, root: str, run_id: str = "R1", commit: str = "
     return reader.dataset(spark, root, "gold/evidence").where(F.col("run_id") == run_id)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
-
-
 def publish_gold(spark: SparkSession, root: str, out: str, history: DataFrame | None = None) -> DataFrame:
     """Gates first, then the copy, its manifest and summary. Returns the manifest rows."""
     present = [n for n in _present(spark, root) if n.startswith("gold/")]

@@ -207,7 +207,7 @@ _RATES = ("SELECT s.experiment || ' ' || s.subject_pid AS offender, round(s.rate
           "(SELECT *, 60.0::DOUBLE * n_events / nullif(duration_s::DOUBLE, 0) AS rate FROM summary) s JOIN "
           "(SELECT experiment, median(60.0::DOUBLE * n_events / nullif(duration_s::DOUBLE, 0)) AS middle FROM summary GROUP BY experiment) m "
           "USING (experiment) WHERE s.rate < 0.5 * m.middle OR s.rate > 2 * m.middle")
-_RULES = """SELECT 'Q' || o_orderkey AS requirement_id, CASE o_orderstatus WHEN 'F' THEN 'gold/*' WHEN 'O' THEN 'silver/record' ELSE 'docs/data' END AS dataset,
+_RULES = """SELECT 'Q' || o_orderkey AS requirement_id, CASE o_orderstatus WHEN 'F' THEN 'gold/*' WHEN 'O' THEN 'silver/record' ELSE 'published/copy' END AS dataset,
     (o_orderkey % 9)::VARCHAR AS minimum, CASE WHEN o_orderkey % 4 = 0 THEN 'flag' ELSE 'block' END AS severity FROM orders"""
 _GOLD = ("channel_quality", "experiment_summary", "feature_window", "evidence", "dataset_manifest")
 _CONTRACTS = {
@@ -275,6 +275,7 @@ STATEMENTS = {
     "layout_write": """SELECT experiment, subject_pid, count(*) AS n_rows, 0::BIGINT AS out_of_order, 0::BIGINT AS oversized_groups
         FROM recording GROUP BY experiment, subject_pid""",
     "evidence_append": "SELECT run_id, result, count(*) AS n_rows, strftime(max(ran_at), '%Y-%m-%d %H:%M:%S') AS last_ran_at FROM evidence GROUP BY ALL",
+    "aborted_files": "SELECT 0::BIGINT AS n_aborted, 1 AS has_files FROM events HAVING count(*) > 0",
     "multi_file_count": "SELECT 'orders' AS table_name, count(*) AS n_rows FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem",
     "file_sortedness": "SELECT count(*) AS n_rows, 0::BIGINT AS out_of_order FROM recording",
     "manifest_unnest": "SELECT string_split(path, '/')[2] AS mart, path, sha256 FROM published",
@@ -363,6 +364,8 @@ STATEMENTS = {
     "check_no_identifier": """SELECT 'bronze/recording' AS dataset, 1::BIGINT AS observed, count(*) AS n_rows FROM bronze
         UNION ALL SELECT 'silver/recording', 0, count(*) FROM recording UNION ALL SELECT 'gold/feature_window', 0, count(*) FROM windows""",
     "check_partition_layout": "SELECT 'as written' AS name, (SELECT 0 FROM events HAVING count(*) > 0)::VARCHAR AS observed",
+    "check_hash_match": "SELECT 1 AS found_both FROM orders HAVING count(*) > 0",
+    "check_retention": "SELECT 'silver/recording' AS name, 'pass' AS result FROM events HAVING count(*) > 0",
     "check_sql": _rows(scale="SELECT count(*) FROM record WHERE scale_basis NOT IN ('documented', 'assumed')",
                        large="SELECT count(*) FROM recording WHERE value_uv > 3"),
     "check_flag_offenders": "SELECT 'some' AS name, observed FROM (" + _flag(

@@ -39,13 +39,18 @@ def scratch(spark: SparkSession, name: str = "work") -> str:
     return f"{base.rstrip('/')}/sampletide-{name}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 _WRITTEN: dict = {}
 
 
 def written_once(spark: SparkSession, key: tuple, write) -> str:
     """Path of a table written once per application: `write(path)` runs on first use of `key`."""
     key = (spark.sparkContext.applicationId, *key)
-    if key not in _WRITTEN:
+    if key not in _WRITTEN or not exists(spark, _WRITTEN[key]):
         path = scratch(spark, key[-1])
         write(path)
         _WRITTEN[key] = path

@@ -53,13 +53,13 @@ def test_event_rates_use_the_median_of_their_experiment(spark):
 
 
 def test_rules_expand_by_pattern(spark):
-    rows = spark.createDataFrame([("r1", "gold/*", {"min": "1"}, "at least {{min}}"), ("r2", "docs/data", {}, "c"),
+    rows = spark.createDataFrame([("r1", "gold/*", {"min": "1"}, "at least {{min}}"), ("r2", "published/copy", {}, "c"),
                                   ("r3", "silver/record", {"columns": '["a","b"]'}, "c")],
                                  "requirement_id string, dataset string, params map<string,string>, control string").withColumn("check_kind", F.lit("k"))
     made = {r["check_id"]: (r["dataset"], r["control"]) for r in checks.expand_rules(rows).collect()}
     gold = [n for n in DATASETS if n.startswith("gold/")]
     assert {f"r1/k/{n}/1" for n in gold} < set(made)
-    assert made["r2/k/docs/data"] == ("docs/data", "c")
+    assert made["r2/k/published/copy"] == ("published/copy", "c")
     assert "r3/k/silver/record/['a', 'b']" in made
     assert made["r1/k/gold/evidence/1"] == ("gold/evidence", "at least 1")
 
