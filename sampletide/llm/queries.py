@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sampletide.llm import licenses, pii, quality, tokens
+from sampletide.llm import licenses, mixing, pii, quality, substring, tokens, toxicity
 from sampletide.llm.common import table, written
 from sampletide.session import scratch
 
@@ -15,6 +15,14 @@ def op1_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"), written)
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"), written)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), written)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), written)
 
@@ -26,13 +34,17 @@ def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read(manifest)
 
 
+def op7_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeats(table(spark, sf_dir, "documents"), written)
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii_spans, op5_quality_rules, op6_token_ids, op8_license_scan)}
+    return {f.__name__: f for f in (op1_pii_spans, op2_source_mix, op4_toxicity, op5_quality_rules, op6_token_ids, op7_repeated_lines, op8_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_source_mix": mixing.TAKEN_SQL, "op7_repeated_lines": substring.REPEATS_SQL}
