@@ -1,9 +1,9 @@
 """Token ids in Arrow stream-files of equal-length sequences.
 
 A file is Arrow's stream with a footer. Every record batch holds `ids` and `mask` as fixed-size lists, so sequence i of
-a batch is a slice of one buffer: a memory map gives it without copying or decoding. Mask values: 0 padding, 1 id,
-2 last id of a document. `docs` lists the documents that end in a sequence, in order, which makes a file complete in
-itself. Documents are range-partitioned by id: a file holds consecutive documents, only its last row is padded.
+a batch is a slice of one buffer: a memory map gives it without copying or decoding. Ids take 16 bits where the
+vocabulary allows, the mask one (false: padding). `docs` and `ends` list the documents that end in a sequence and the
+places of their last ids, which makes a file complete in itself. Documents are range-partitioned by id: a file holds consecutive documents, only its last row is padded.
 """
 
 from __future__ import annotations
@@ -32,9 +32,9 @@ LAST = int(END).to_bytes(4, "little")
 CACHE = 800_000
 
 
-def schema_of(length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length)),
-                      ("docs", pa.list_(pa.int64()))])
+def schema_of(length: int, vocabulary: int) -> pa.Schema:
+    return pa.schema([("ids", pa.list_(pa.uint16() if vocabulary <= 1 << 16 else pa.uint32(), length)), ("mask", pa.list_(pa.bool_(), length)),
+                      ("docs", pa.list_(pa.int64())), ("ends", pa.list_(pa.int32()))])
 
 
 def opened(path: str) -> tuple[pafs.FileSystem, str]:
@@ -74,8 +74,8 @@ class Encoder:
 class Rows:
     """Collects documents' ids and writes them as full batches of equal-length rows."""
 
-    def __init__(self, sink, length: int):
-        self.length, self.schema = length, schema_of(length)
+    def __init__(self, sink, length: int, vocabulary: int):
+        self.length, self.schema = length, schema_of(length, vocabulary)
         self.writer = pa.ipc.new_file(sink, self.schema)
         self.ids, self.ends, self.docs, self.held, self.total = [], [], [], 0, 0
 
@@ -91,17 +91,16 @@ class Rows:
     def write(self, rows: int) -> None:
         flat = np.concatenate(self.ids) if self.ids else np.zeros(0, np.uint32)
         size = rows * self.length
-        ids, mask = np.zeros(size, np.uint32), np.zeros(size, np.uint8)
-        used = min(size, len(flat))
-        ids[:used], mask[:used] = flat[:used], 1
+        wide = self.schema.field("ids").type.value_type
+        ids, used = np.zeros(size, wide.to_pandas_dtype()), min(size, len(flat))
+        ids[:used] = flat[:used]
         ends = np.array(self.ends, np.int64)
         done = ends < used
-        mask[ends[done]] = 2
         docs, row_of = [d for d, x in zip(self.docs, done, strict=True) if x], ends[done] // self.length
-        cuts = np.searchsorted(row_of, np.arange(rows + 1))
+        cuts = pa.array(np.searchsorted(row_of, np.arange(rows + 1)), pa.int32())
         self.writer.write_batch(pa.RecordBatch.from_arrays(
-            [pa.FixedSizeListArray.from_arrays(pa.array(ids), self.length), pa.FixedSizeListArray.from_arrays(pa.array(mask), self.length),
-             pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(docs, pa.int64()))], schema=self.schema))
+            [pa.FixedSizeListArray.from_arrays(pa.array(ids), self.length), pa.FixedSizeListArray.from_arrays(pa.array(np.arange(size) < used), self.length),
+             pa.ListArray.from_arrays(cuts, pa.array(docs, pa.int64())), pa.ListArray.from_arrays(cuts, pa.array(ends[done] % self.length, pa.int32()))], schema=self.schema))
         self.ids, self.held = [flat[used:]] if used < len(flat) else [], len(flat) - used
         self.docs = [d for d, x in zip(self.docs, done, strict=True) if not x]
         self.ends = (ends[~done] - used).tolist()
@@ -129,7 +128,7 @@ def write(docs: DataFrame, out: str, tokenizer: str, written, length: int = LENG
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         rows = sink = None
-        first, n = None, 0
+        n = 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), _texts(batch.column(1)), strict=True):
                 if rows is None:
@@ -138,7 +137,7 @@ def write(docs: DataFrame, out: str, tokenizer: str, written, length: int = LENG
                     system.create_dir(folder, recursive=True)
                     trial = f"{folder}/_{uuid.uuid4().hex}"
                     sink = system.open_output_stream(trial)
-                    rows, first = Rows(sink, length), doc_id
+                    rows = Rows(sink, length, encode.tokenizer.get_vocab_size())
                 rows.add(doc_id, encode(text))
                 n += 1
         if rows is not None:
@@ -174,14 +173,17 @@ def documents(path: str):
         held = []
         for i in range(reader.num_record_batches):
             batch = reader.get_batch(i)
-            ids, mask = (batch.column(c).flatten().to_numpy(zero_copy_only=True) for c in (0, 1))
+            ids = batch.column(0).flatten().to_numpy(zero_copy_only=True)
+            length, ends = batch.schema.field(0).type.list_size, batch.column(3)
+            row_of = np.repeat(np.arange(batch.num_rows), ends.value_lengths().to_numpy())
             at = 0
-            for doc_id, end in zip(batch.column(2).flatten().to_pylist(), np.flatnonzero(mask == 2) + 1, strict=True):
+            for doc_id, end in zip(batch.column(2).flatten().to_pylist(), row_of * length + ends.flatten().to_numpy() + 1, strict=True):
                 yield doc_id, np.concatenate([*held, ids[at:end]]) if held else ids[at:end]
                 held, at = [], end
-            rest = ids[at:][mask[at:] == 1]
-            if len(rest):
-                held.append(rest.copy())
+            if at < len(ids):
+                rest = ids[at:at + int(batch.column(1).flatten().slice(at).true_count)]
+                if len(rest):
+                    held.append(rest.copy())
 
 
 def read(manifest: DataFrame, written=None) -> DataFrame:

@@ -1,11 +1,11 @@
 """Toxic documents by class-conditional Kneser-Ney models.
 
 Two bigram models, of toxic and of ordinary labelled documents, are compared word by word. A class's bigram counts are
-discounted and backed off to its own discounted words, and those to shared counts of all documents, in which the
-classes agree: an expression that is rare in both classes scores about the same in both. Expressions below a pooled
-count have no class counts at all. Log-likelihoods are normalised by length over windows of a few words, as toxic
-wording is local, and a document's evidence is its highest window. A logistic curve, fitted on labelled documents
-outside the language models' share, turns that into a score.
+discounted and backed off to counts of words, discounted too (both count distinct contexts, not occurrences), and those
+to shared counts of all documents, in which the classes agree: an expression that is rare in both classes scores about
+the same in both. Expressions below a pooled count have no class counts at all. A
+document's evidence is its length-normalised ratio plus that of its strongest window of WINDOW words: toxic wording is
+local, and one word in hundreds hardly moves the ratio of a whole text. A logistic curve, set on labelled documents outside the language models' share, turns that into a score.
 
 The labelled sample is bounded: CLASS_DOCS documents per class, those with the smallest hash of their id. The shared
 counts cover every document.
@@ -24,7 +24,7 @@ from sampletide.llm.common import crc32_fold, mapped, travels
 travels(__name__)
 
 FOLDS, CLASS_DOCS = 5, 6000
-WINDOW, DISCOUNT, RARE = 16, 0.75, 4
+WINDOW, DISCOUNT, RARE = 1, 2.0, 8
 # Most bigrams and words with class counts, the most frequent ones: bounds the model that travels to tasks.
 MOST = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -34,30 +34,39 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
+def learnable(labels: DataFrame) -> DataFrame:
+    """doc_id, toxic (1 if any label says so) of the rows that may be learned from."""
+    return (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+            .where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+            .where(crc32_fold(F.col("doc_id"), FOLDS) != 0))
+
+
 def labelled(labels: DataFrame) -> DataFrame:
-    """doc_id, toxic (1 if any label says so), calibrates: learnable rows, at most CLASS_DOCS of each class."""
-    one = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-           .where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-           .where(crc32_fold(F.col("doc_id"), FOLDS) != 0).withColumn("draw", F.xxhash64("doc_id", F.lit(7))))
+    """doc_id, toxic, calibrates: at most CLASS_DOCS learnable rows of each class, a quarter of them for the curve."""
+    one = learnable(labels).withColumn("draw", F.xxhash64("doc_id", F.lit(7)))
     classes = [one.where(F.col("toxic") == c).orderBy("draw", "doc_id").limit(CLASS_DOCS) for c in (0, 1)]
     return classes[0].unionByName(classes[1]).select("doc_id", "toxic", (F.pmod("draw", F.lit(4)) == 0).alias("calibrates"))
 
 
+def chosen_of(labels: DataFrame) -> tuple[int, int]:
+    """Learnable rows of each class."""
+    found = {r["toxic"]: r["count"] for r in learnable(labels).groupBy("toxic").count().collect()}
+    return found.get(0, 0), found.get(1, 0)
+
+
 def class_counts(sample: DataFrame) -> DataFrame:
-    """left, right, c0, c1 (counts by class) of the sample's bigrams; right alone (left null) for words."""
+    """left, right, c0, c1: after how many distinct words a pair of neighbours follows in each class. Copies of a
+    passage add nothing."""
     def task(columns):
-        counts: dict = {}
+        met: dict = {}
         for text, toxic in zip(columns["text"].to_pylist(), columns["toxic"].to_pylist(), strict=True):
             found = words_of(text)
-            for pair in [*zip(found, found[1:]), *((None, w) for w in found)]:
-                c = counts.get(pair)
-                if c is None:
-                    c = counts[pair] = [0, 0]
-                c[toxic] += 1
-        return {"left": [k[0] for k in counts], "right": [k[1] for k in counts], "c0": [c[0] for c in counts.values()],
-                "c1": [c[1] for c in counts.values()]}
-    made = mapped(sample.select("text", "toxic"), task, "left string, right string, c0 long, c1 long")
-    return made.groupBy("left", "right").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+            for triple in set(zip(["", *found], found, found[1:])):
+                met[triple] = met.get(triple, 0) | 1 << toxic
+        return {"before": [k[0] for k in met], "left": [k[1] for k in met], "right": [k[2] for k in met], "classes": list(met.values())}
+    met = mapped(sample.select("text", "toxic"), task, "before string, left string, right string, classes int")
+    return (met.groupBy("before", "left", "right").agg(F.bit_or("classes").alias("classes")).groupBy("left", "right")
+            .agg(*[F.count(F.when(F.col("classes").bitwiseAND(1 << c) > 0, 1)).alias(f"c{c}") for c in (0, 1)]))
 
 
 class Vocabulary:
@@ -98,34 +107,30 @@ def shared_counts(docs: DataFrame, vocabulary) -> np.ndarray:
 class Model:
     """Log-likelihood ratios of the two class models over numbered words."""
 
-    def __init__(self, vocabulary: Vocabulary, unigrams: np.ndarray, bigrams: np.ndarray, shared: np.ndarray, totals):
-        """unigrams: (words + 1) x 2 counts; bigrams: rows of left, right, c0, c1; totals: words of each class."""
+    def __init__(self, vocabulary: Vocabulary, unigrams: np.ndarray, bigrams: np.ndarray, shared: np.ndarray, totals, lefts):
+        """unigrams: (words + 1) x 2 continuation counts; bigrams: rows of left, right, c0, c1; totals: distinct pairs
+        of each class; lefts: pairs that begin with a word, by class."""
         self.vocabulary = vocabulary
         size = len(unigrams)
         self.size = size
         base = (shared + 1) / (shared.sum() + size)
-        word = np.zeros((size, 2))
-        left_out = np.zeros((size, 2))
+        word, back = np.zeros((size, 2)), np.ones((size, 2))
+        keys = bigrams[:, 0] * size + bigrams[:, 1]
+        order = np.argsort(keys)
+        self.keys, rows = keys[order], bigrams[order]
+        full = []
         for c in (0, 1):
             total = max(float(totals[c]), 1.0)
             kept = np.maximum(unigrams[:, c] - DISCOUNT, 0)
             # Mass of discounts and of expressions without class counts goes by the shared counts.
             word[:, c] = kept / total + (1 - kept.sum() / total) * base
-            seen = bigrams[:, 2 + c] > 0
-            spent = np.bincount(bigrams[:, 0], np.maximum(bigrams[:, 2 + c] - DISCOUNT, 0), size)
-            left = np.maximum(unigrams[:, c], np.bincount(bigrams[:, 0], bigrams[:, 2 + c], size))
-            left_out[:, c] = np.where(left > 0, 1 - spent / np.maximum(left, 1), 1.0)
-            if not seen.any():
-                left_out[:, c] = 1.0
-        keys = bigrams[:, 0] * size + bigrams[:, 1]
-        order = np.argsort(keys)
-        self.keys, rows = keys[order], bigrams[order]
-        left_counts = [np.maximum(unigrams[:, c], np.bincount(bigrams[:, 0], bigrams[:, 2 + c], size)) for c in (0, 1)]
-        full = [np.maximum(rows[:, 2 + c] - DISCOUNT, 0) / np.maximum(left_counts[c][rows[:, 0]], 1) + left_out[rows[:, 0], c] * word[rows[:, 1], c] for c in (0, 1)]
+            pairs = np.maximum(rows[:, 2 + c] - DISCOUNT, 0) / np.maximum(lefts[rows[:, 0], c], 1)
+            back[:, c] = 1 - np.bincount(rows[:, 0], pairs, size)
+            full.append(pairs + back[rows[:, 0], c] * word[rows[:, 1], c])
         self.pair = np.log(full[1]) - np.log(full[0])
         self.word = np.log(word[:, 1]) - np.log(word[:, 0])
         self.word[0] = 0.0
-        self.back = np.log(np.maximum(left_out[:, 1], 1e-6)) - np.log(np.maximum(left_out[:, 0], 1e-6))
+        self.back = np.log(np.maximum(back[:, 1], 1e-6)) - np.log(np.maximum(back[:, 0], 1e-6))
         self.back[0] = 0.0
         self.curve = np.array([0.0, 0.0])
 
@@ -146,54 +151,65 @@ class Model:
         return out
 
     def evidence(self, text) -> float:
-        """Highest length-normalised ratio of any WINDOW words (of the whole text, if shorter); 0 without words."""
+        """Mean ratio of the text's words plus the highest mean of WINDOW neighbours; 0 without words."""
         ids = self.vocabulary.ids(text)
         if not len(ids):
             return 0.0
         sums = np.concatenate([[0.0], np.cumsum(self.ratios(ids))])
-        return float((sums[WINDOW:] - sums[:-WINDOW]).max() / WINDOW) if len(ids) > WINDOW else float(sums[-1] / WINDOW)
+        width = min(WINDOW, len(ids))
+        return float(sums[-1] / len(ids) + (sums[width:] - sums[:-width]).max() / WINDOW)
 
     def score(self, evidence: float) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.curve[0] + self.curve[1] * evidence, -40, 40))))
 
 
-def fitted_curve(evidence: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Logistic curve of one variable, classes weighted alike, slope not negative. Without both classes: never toxic."""
+def fitted_curve(evidence: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Curve that is 0.5 where the weighted errors are fewest, in the middle of the widest such gap: labels that
+    contradict a text move it little. Its steepness is the inverse spread below. Without both classes: never toxic."""
     if len(set(toxic.tolist())) < 2:
         return np.array([-5.0, 0.0])
-    x = np.stack([np.ones(len(evidence)), evidence], 1)
-    weight = np.where(toxic == 1, 0.5 / toxic.sum(), 0.5 / (1 - toxic).sum()) * len(toxic)
-    beta = np.zeros(2)
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        slope = x.T @ (weight * (toxic - p)) - 0.01 * beta
-        bend = (x * (weight * p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(2)
-        step = np.linalg.solve(bend, slope)
-        beta = beta + np.clip(step, -3, 3)
-        if np.abs(step).max() < 1e-9:
-            break
-    return beta if beta[1] > 0 else np.array([-5.0, 0.0])
+    order = np.argsort(evidence, kind="stable")
+    e, y, w = evidence[order], toxic[order], weight[order]
+    # Errors of a cut after the i-th smallest: toxic at or below it, others above.
+    errors = np.concatenate([[0.0], np.cumsum(w * y)]) + np.concatenate([np.cumsum((w * (1 - y))[::-1])[::-1], [0.0]])
+    gap = np.concatenate([[0.0], np.diff(e), [0.1 * (e[-1] - e[0]) + 1e-6]])
+    best = max(range(1, len(e) + 1), key=lambda i: (-errors[i], gap[i]))
+    if gap[best] <= 0:
+        best = min((i for i in range(1, len(e) + 1) if gap[i] > 0), key=lambda i: errors[i])
+    cut = e[best - 1] + gap[best] / 2
+    steep = 2.0 / max(float(np.std(e[y == 0])), 1e-3)
+    return np.array([-steep * cut, steep])
 
 
 def learn(docs: DataFrame, labels: DataFrame, written) -> Model:
     """Model and curve. The driver holds at most CLASS_DOCS labels per class and MOST expressions."""
     chosen = labelled(labels)
     sample = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id"), "toxicity-sample")
-    counts = written(class_counts(sample.where("not calibrates")), "toxicity-counts")
-    totals = counts.where("left is null").agg(F.coalesce(F.sum("c0"), F.lit(0)), F.coalesce(F.sum("c1"), F.lit(0))).first()
-
-    def frequent(rows):
-        return rows.where(F.col("c0") + F.col("c1") >= RARE).orderBy((F.col("c0") + F.col("c1")).desc(), "left", "right").limit(MOST).toArrow()
-    single, double = frequent(counts.where("left is null")), frequent(counts.where("left is not null"))
-    vocabulary = Vocabulary(single["right"].to_pylist())
+    pairs = written(class_counts(sample.where("not calibrates")), "toxicity-pairs")
+    kinds = [F.count(F.when(F.col(f"c{c}") > 0, 1)).alias(f"c{c}") for c in (0, 1)]
+    totals = pairs.agg(*kinds).first()
+    seen = F.col("c0") + F.col("c1")
+    follows = pairs.groupBy(F.col("right").alias("word")).agg(*kinds).where(seen >= RARE).orderBy(seen.desc(), "word").limit(MOST)
+    single = written(follows, "toxicity-words").toArrow()
+    lead = pairs.groupBy(F.col("left").alias("word")).agg(F.sum("c0").alias("l0"), F.sum("c1").alias("l1")).orderBy((F.col("l0") + F.col("l1")).desc(), "word").limit(MOST).toArrow()
+    double = pairs.where(seen >= RARE).orderBy(seen.desc(), "left", "right").limit(MOST).toArrow()
+    vocabulary = Vocabulary(single["word"].to_pylist())
     number = vocabulary.number
     unigrams = np.vstack([[0, 0], np.stack([single["c0"].to_numpy(), single["c1"].to_numpy()], 1)]) if len(single) else np.zeros((1, 2), np.int64)
-    pairs = [(number[a], number[b], c, d) for a, b, c, d in zip(*(double[n].to_pylist() for n in ("left", "right", "c0", "c1")), strict=True)
+    lefts = np.zeros((len(unigrams), 2))
+    for w, a, b in zip(*(lead[n].to_pylist() for n in ("word", "l0", "l1")), strict=True):
+        if w in number:
+            lefts[number[w]] = a, b
+    kept = [(number[a], number[b], c, d) for a, b, c, d in zip(*(double[n].to_pylist() for n in ("left", "right", "c0", "c1")), strict=True)
              if a in number and b in number]
     shared = shared_counts(docs, vocabulary)
-    model = Model(vocabulary, unigrams, np.array(pairs, np.int64).reshape(-1, 4), shared, totals)
+    model = Model(vocabulary, unigrams, np.array(kept, np.int64).reshape(-1, 4), shared, totals, lefts)
     held = model_evidence(sample.where("calibrates").select("doc_id", "text", "toxic"), model, "toxic").toPandas()
-    model.curve = fitted_curve(held["evidence"].to_numpy(float), held["toxic"].to_numpy(float))
+    toxic = held["toxic"].to_numpy(float)
+    # Classes weigh what they do among all learnable labels.
+    share = chosen_of(labels)
+    weight = np.where(toxic == 1, share[1] / max((toxic == 1).sum(), 1), share[0] / max((toxic == 0).sum(), 1))
+    model.curve = fitted_curve(held["evidence"].to_numpy(float), toxic, weight)
     return model
 
 
