@@ -26,8 +26,9 @@ travels(__name__)
 LENGTH, BATCH_ROWS, END = 2048, 256, 1
 # Ids that one file should hold at most, by the measure of one id per four characters.
 CHARS_PER_FILE = 64_000_000
-# A mark after an ASCII letter and before a gap is a piece of its own for the tokenizer too.
-_MARK = re.compile(rb"(?<=[A-Za-z])([.,;:!?])(?=[ \n]|\Z)")
+MARKS = (b".", b",", b";", b":", b"!", b"?")
+# Letters below this one are written the same in all Unicode versions and normal forms.
+PLAIN = "\u0250"
 LAST = int(END).to_bytes(4, "little")
 CACHE = 800_000
 
@@ -43,32 +44,52 @@ def opened(path: str) -> tuple[pafs.FileSystem, str]:
 
 
 class Encoder:
-    """Ids of whole texts, with the end id. Pieces between spaces, line breaks and a mark after a letter encode
-    independently of each other, as does ASCII case, so each distinct piece is encoded once and remembered; the
-    memory is bounded and starts anew when full. Texts that may hold special tokens are encoded as they are."""
+    """Ids of whole texts, with the end id. Pieces between spaces and line breaks encode independently of each other,
+    and ASCII case does not count, so each distinct piece is encoded once and remembered; the memory is bounded and
+    starts anew when full. A plain word needs no normalising or splitting, only the vocabulary's merges; a mark after a
+    word is a piece of its own. Texts that may hold special tokens are encoded as they are."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.merges = self.tokenizer.model.tokenize
+        self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def piece(self, piece: bytes) -> bytes:
+        word, mark = (piece[:-1], piece[-1:]) if piece[-1:] in MARKS and piece else (piece, b"")
+        text = word.decode()
+        if text.isalpha() and max(text) < PLAIN and text == text.lower():
+            ids = [t.id for t in self.merges(text if text.isascii() else self.bytes(text)[0][0])]
+            return array("I", ids).tobytes() + (self.known.get(mark) or array("I", self.ids(mark.decode())).tobytes() if mark else b"")
+        return array("I", self.ids(piece.decode())).tobytes()
 
     def __call__(self, text: str) -> np.ndarray:
         if "<|" in text:
-            return np.array([*self.encode([text])[0], END], "<u4")
-        pieces = _MARK.sub(rb" \1", text.encode().lower()).replace(b"\n", b" ").split(b" ")
+            return np.array([*self.ids(text), END], "<u4")
+        pieces = text.encode().lower().replace(b"\n", b" ").split(b" ")
+        known = self.known
         try:
-            return np.frombuffer(b"".join(map(self.known.__getitem__, pieces)) + LAST, "<u4")
+            return np.frombuffer(b"".join(map(known.__getitem__, pieces)) + LAST, "<u4")
         except KeyError:
-            new = list({p for p in pieces if p not in self.known})
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = list(set(pieces))
-        for i in range(0, len(new), 1000):
-            part = new[i:i + 1000]
-            self.known.update((p, array("I", ids).tobytes()) for p, ids in zip(part, self.encode([p.decode() for p in part]), strict=True))
-        return np.frombuffer(b"".join(map(self.known.__getitem__, pieces)) + LAST, "<u4")
+            if len(known) > CACHE:
+                known.clear()
+            for p in set(pieces):
+                if p not in known:
+                    known[p] = self.piece(p)
+        return np.frombuffer(b"".join(map(known.__getitem__, pieces)) + LAST, "<u4")
+
+
+def encoder(path: str) -> Encoder:
+    """One per Python worker: what it remembers serves the tasks to come. Modules outlive a task, task functions do not."""
+    import sys
+    import types
+    kept = sys.modules.setdefault("_encoders_of_this_worker", types.ModuleType("_encoders_of_this_worker"))
+    if path not in kept.__dict__:
+        kept.__dict__[path] = Encoder(path)
+    return kept.__dict__[path]
 
 
 class Rows:
@@ -132,7 +153,7 @@ def write(docs: DataFrame, out: str, tokenizer: str, written, length: int = LENG
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), _texts(batch.column(1)), strict=True):
                 if rows is None:
-                    encode = Encoder(tokenizer)
+                    encode = encoder(tokenizer)
                     system, folder = opened(out)
                     system.create_dir(folder, recursive=True)
                     trial = f"{folder}/_{uuid.uuid4().hex}"
