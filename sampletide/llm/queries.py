@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sampletide.llm import licenses, mixing, pii, quality, substring, tokens, toxicity
+from sampletide.llm import licenses, minhash, mixing, pii, quality, substring, tokens, toxicity
 from sampletide.llm.common import table, written
 from sampletide.session import scratch
 
@@ -42,8 +42,13 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), written, size=4)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii_spans, op2_source_mix, op4_toxicity, op5_quality_rules, op6_token_ids, op7_repeated_lines, op8_license_scan)}
+    return {f.__name__: f for f in (op1_pii_spans, op2_source_mix, op4_toxicity, op5_quality_rules, op6_token_ids, op7_repeated_lines, op8_license_scan,
+                                   op10_near_duplicates)}
 
 
 def oracle_sql() -> dict[str, str]:
