@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sampletide.llm import licenses, minhash, mixing, pii, quality, substring, tokens, toxicity
+from sampletide.llm import embed, licenses, minhash, mixing, packing, pii, quality, substring, tokens, toxicity
 from sampletide.llm.common import table, written
 from sampletide.session import scratch
 
@@ -19,6 +19,10 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"), written)
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), written)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), written)
 
@@ -42,13 +46,18 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed.near_duplicates(table(spark, sf_dir, "embeddings"), written)
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), written, size=4)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii_spans, op2_source_mix, op4_toxicity, op5_quality_rules, op6_token_ids, op7_repeated_lines, op8_license_scan,
-                                   op10_near_duplicates)}
+    every = (op1_pii_spans, op2_source_mix, op3_best_fit_packing, op4_toxicity, op5_quality_rules, op6_token_ids,
+             op7_repeated_lines, op8_license_scan, op9_near_vectors, op10_near_duplicates)
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
