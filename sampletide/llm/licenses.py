@@ -73,13 +73,13 @@ def rules() -> list[tuple[str, tuple[bytes, ...], re.Pattern, int, float]]:
         *_gnu("GPL", "gpl", "general", "1 2 3"), *_gnu("LGPL", "lgpl", "(?:lesser|library) general", "2 2.1 3"),
         *_gnu("AGPL", "agpl", "affero general", "1 3"), *_gnu("FDL", "gfdl", "free documentation", "1.1 1.2 1.3"),
         *_named("apache", "apache", "apache(?: software)?", "1 1.1 2"), *_named("mpl", "mozilla", "mozilla", "1.0 1.1 2.0", "mpl"),
-        *_named("epl", "eclipse", "eclipse", "1.0 2.0", "epl"), *_named("cddl", "cddl", "common development and distribution", "1.0 1.1"),
+        *_named("epl", "eclipse", "eclipse", "1.0 2.0", "epl"), *_named("cddl", "common development", "common development and distribution", "1.0 1.1"),
         *_named("eupl", "european", "european union", "1.1 1.2", "eupl"), *_named("artistic", "artistic", "(?:perl )?artistic", "1.0 2.0"),
         *_named("osl", "open software", "open software", "1.0 2.0 2.1 3.0", "osl"), *_named("afl", "academic", "academic free", "1.1 1.2 2.0 2.1 3.0", "afl"),
-        *_named("cpl", "common public", "common", "1.0", "cpl"), *_named("ms-pl", "microsoft", "microsoft", "", "ms pl"),
+        *_named("cpl", "common", "common", "1.0", "cpl"), *_named("ms-pl", "microsoft", "microsoft", "", "ms pl"),
         *_named("mit", "mit", "mit"), *_named("isc", "isc", "isc"), *_named("zlib", "zlib", "zlib(?: libpng)?"), *_named("boost", "boost", "boost software", "1", "bsl"),
         *_named("bsd-2", "bsd", "(?:simplified|free|2 clause) bsd", "", "bsd 2 clause"), *_named("bsd-3", "bsd", "(?:new|modified|revised|3 clause) bsd", "", "bsd 3 clause"),
-        *_named("bsd-4", "bsd", "(?:original|4 clause) bsd", "", "bsd 4 clause"), *_named("bsd", "bsd", "bsd"), *_named("wtfpl", "wtfpl", "do what the fuck you want to"),
+        *_named("bsd-4", "bsd", "(?:original|4 clause) bsd", "", "bsd 4 clause"), *_named("bsd", "bsd", "bsd"), *_named("wtfpl", "do what the", "do what the fuck you want to"),
         *_named("unlicense", "unlicense", "unlicense"), *_named("postgresql", "postgresql", "postgresql"), *_named("python", "python", "python(?: software foundation)?", "2"),
         *_named("php", "php", "php", "3.0 3.01"), *_named("ruby", "ruby", "ruby"), *_named("openssl", "openssl", "openssl"), *_named("w3c", "w3c", "w3c(?: software)?"),
         *_named("odbl", "open database", "(?:odc )?open database", "1.0", "odbl"), *_named("odc-by", "open data commons", "open data commons attribution", "1.0", "odc by"),
@@ -100,7 +100,7 @@ def rules() -> list[tuple[str, tuple[bytes, ...], re.Pattern, int, float]]:
     ]
     # Any pattern that cannot match without the word for licence is gated by its stem too.
     gates = {True: ("licen",), False: ()}
-    return sorted(((label, tuple(k.encode() for k in (key, *gates[bool(re.search(r"licen(?:\[cs\])?[es](?!\w*\)\?)(?!.?d?\)\?)", pattern))])), re.compile(rb"(?<![^ ])" + pattern.encode() + rb"(?![^ ])"), priority, score)
+    return sorted(((label, tuple(k.encode() for k in ("spdx" if pattern.startswith("spdx") else key, *gates[bool(re.search(r"licen(?:\[cs\])?[es](?!\w*\)\?)(?!.?d?\)\?)", pattern))])), re.compile(rb"(?<![^ ])" + pattern.encode() + rb"(?![^ ])"), priority, score)
                    for label, key, pattern, priority, score in made), key=lambda r: -r[3])
 
 
