@@ -96,11 +96,13 @@ def rules() -> list[tuple[str, tuple[bytes, ...], re.Pattern, int, float]]:
         ("bsd-4", "advertising", r"all advertising materials mentioning features or use of this software must display", 8, 0.98),
         ("zlib", "altered", r"altered source versions must be plainly marked as such", 8, 0.98), ("boost", "boost", r"boost software license version 1 0", 9, 1.0),
         ("apache-2", "apache", r"apache org licenses license 2 0", 9, 1.0), ("proprietary", "rights", r"all rights reserved", 1, 0.4),
-        ("proprietary", "proprietary", r"proprietary and confidential", 3, 0.7), ("proprietary", "unauthorized", r"unauthori[sz]ed copying of this (?:file|work) is strictly prohibited", 5, 0.9),
+        ("proprietary", "proprietary", r"proprietary and confidential", 3, 0.7), ("proprietary", "unauthori", r"unauthori[sz]ed copying of this (?:file|work) is strictly prohibited", 5, 0.9),
     ]
-    # Any pattern that cannot match without the word for licence is gated by its stem too.
-    gates = {True: ("licen",), False: ()}
-    return sorted(((label, tuple(k.encode() for k in ("spdx" if pattern.startswith("spdx") else key, *gates[bool(re.search(r"licen(?:\[cs\])?[es](?!\w*\)\?)(?!.?d?\)\?)", pattern))])), re.compile(rb"(?<![^ ])" + pattern.encode() + rb"(?![^ ])"), priority, score)
+    # A pattern that cannot match without the word for licence is gated by its stem too.
+    def keys(key, pattern):
+        certain = re.sub(r"\(\?:[^()]*\)\?", "", pattern)
+        return tuple(k.encode() for k in ("spdx" if pattern.startswith("spdx") else key, *["licen"] * ("licen" in certain)))
+    return sorted(((label, keys(key, pattern), re.compile(rb"(?<![^ ])" + pattern.encode() + rb"(?![^ ])"), priority, score)
                    for label, key, pattern, priority, score in made), key=lambda r: -r[3])
 
 
