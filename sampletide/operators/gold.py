@@ -6,14 +6,22 @@ Names are added to the aggregated rows.
 
 from __future__ import annotations
 
+import sys
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sampletide.functions import lid
 from sampletide.session import materialise
-from sampletide.sources.bounds import broadcast_bounded
 from sampletide.sources.registry import DATASETS
 
+# Task functions travel to executors by value: the package is needed on the driver only.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _kept(rows: DataFrame) -> DataFrame:
     """Without canaries: they never enter a mart."""
@@ -34,21 +42,53 @@ def run_rails(records: DataFrame, extremes: DataFrame) -> DataFrame:
     return _kept(records).select("lid", *run).join(rails, run).select("lid", "rail_lo", "rail_hi")
 
 
+PART_SCHEMA = "lid string, n long, squares double, lo float, n_lo long, hi float, n_hi long"
+
+
+def _record_parts(batches):
+    """Per batch and record: rows, sum of squares, both extremes and how often each occurs. Samples lie sorted by
+    record, so a record is a few runs of rows; where they do not, a batch is sorted first."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids, value = batch.column(0), batch.column(1)
+        starts = _run_starts(ids)
+        if len(starts) > len(ids) // 8:
+            order = pc.sort_indices(ids)
+            ids, value = ids.take(order), value.take(order)
+            starts = _run_starts(ids)
+        held = value.is_valid().to_numpy(zero_copy_only=False)
+        v = value.fill_null(0).to_numpy(zero_copy_only=False)
+        length = np.diff(np.append(starts, len(v)))
+        lo = np.minimum.reduceat(np.where(held, v, np.float32(np.inf)), starts)
+        hi = np.maximum.reduceat(np.where(held, v, np.float32(-np.inf)), starts)
+        at = [np.add.reduceat(held & (v == np.repeat(e, length)), starts, dtype=np.int64) for e in (lo, hi)]
+        empty = ~np.logical_or.reduceat(held, starts)
+        yield pa.RecordBatch.from_arrays([
+            ids.take(pa.array(starts)), pa.array(length.astype(np.int64)), pa.array(np.add.reduceat((v * v).astype(np.float64), starts)),
+            pa.array(lo, mask=empty), pa.array(at[0]), pa.array(hi, mask=empty), pa.array(at[1])],
+            names=["lid", "n", "squares", "lo", "n_lo", "hi", "n_hi"])
+
+
+def _run_starts(ids) -> np.ndarray:
+    return np.append(0, np.flatnonzero(pc.not_equal(ids[1:], ids[:-1]).to_numpy(zero_copy_only=False)) + 1)
+
+
 def record_stats(samples: DataFrame) -> DataFrame:
-    """Everything channel quality needs of a record, in one pass over the samples.
+    """Everything channel quality needs of a record, in one pass over the samples, whatever their values.
 
-    Samples are first counted per (record, value). A recorder emits a limited set of levels, so the map side
-    shrinks this to a histogram; where it cannot, the shuffle is spread by value and no record is one task.
-    The count at either extreme then comes out of the histogram, instead of a second scan joined to the
-    extremes found by a first. Canaries fall out later, when the records they belong to do.
+    A task reduces each batch to one row per record with its extremes and their counts; those rows, a small share of
+    the samples, are what is shuffled. The count at a record's extreme is the sum over the parts that reach it. NULL
+    values count as samples and nothing else. Canaries fall out later, when the records they belong to do.
     """
-    v = F.col("value_uv")
-    levels = samples.groupBy("lid", "value_uv").agg(F.count(F.lit(1)).alias("n"))
+    parts = samples.select("lid", F.col("value_uv").cast("float").alias("value_uv")).mapInArrow(_record_parts, PART_SCHEMA)
+    low = F.struct(F.col("lo").alias("value"), F.col("n_lo").alias("at"), "n", "squares")
+    high = F.struct(F.col("hi").alias("value"), F.col("n_hi").alias("at"), F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("squares"))
+    ends = parts.select("lid", F.inline(F.when(F.col("lo") < F.col("hi"), F.array(low, high)).otherwise(F.array(low))))
+    levels = ends.groupBy("lid", "value").agg(F.sum("at").alias("at"), F.sum("n").alias("n"), F.sum("squares").alias("squares"))
     return levels.groupBy("lid").agg(
-        F.sum("n").alias("n_samples"),
-        F.sum((v * v).cast("double") * F.col("n")).alias("sum_squares"),
-        F.min(v).alias("lo"), F.max(v).alias("hi"),
-        F.min_by("n", v).alias("n_lo"), F.max_by("n", v).alias("n_hi"))
+        F.sum("n").alias("n_samples"), F.when(F.count("value") > 0, F.sum("squares")).alias("sum_squares"),
+        F.min("value").alias("lo"), F.max("value").alias("hi"), F.min_by("at", "value").alias("n_lo"), F.max_by("at", "value").alias("n_hi"))
 
 
 def clipping(records: DataFrame, stats: DataFrame) -> DataFrame:
@@ -88,7 +128,7 @@ def channel_quality(records: DataFrame, samples: DataFrame, noise: DataFrame | N
 def file_names(records: DataFrame) -> DataFrame:
     """Names that a record id's file field stands for: one row per source file, so it can be broadcast."""
     names = records.select(lid.file_key("lid").alias("file"), "experiment", "subject_pid").distinct()
-    return broadcast_bounded(names, "the file names")
+    return names
 
 
 def feature_window(records: DataFrame, samples: DataFrame, width_ms: int = 1000) -> DataFrame:

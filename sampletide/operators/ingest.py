@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sampletide.functions import lid, values
-from sampletide.sources.bounds import broadcast_bounded
 
 
 def wide_to_long(wide: DataFrame, samples: str, *keep: str) -> DataFrame:
@@ -19,23 +18,25 @@ def onsets(codes: DataFrame, run: list[str], index: str = "sample_idx", code: st
            block: int = 1 << 20) -> DataFrame:
     """Rows whose code is set and differs from the sample before; the first sample of a run follows 0.
 
-    `index` is the position in the run's cue array, so a row's predecessor is the row of index - 1. A run may
-    be any share of the table: it is cut into blocks of the index, and the last row of a block is sent along to
-    the next as its predecessor.
+    `index` is the position in the run's cue array; absent positions are passed over. A run may be any share of the
+    table: it is cut into blocks of the index, so no task holds a run. Each block's last row, one per block, is carried
+    to the next block that has rows, and stands before its first.
     """
-    position = F.col(index).cast("bigint")
-    home = F.floor(position / F.lit(block)).cast("bigint")
-    blocks = F.when(position % block == block - 1, F.array(home, home + 1)).otherwise(F.array(home))
-    spread = codes.withColumn("_home", home).withColumn("_block", F.explode(blocks))
-    before = F.lag(code, 1, 0).over(Window.partitionBy(*run, "_block").orderBy(index))
-    return (spread.withColumn("_before", before)
-            .where((F.col("_block") == F.col("_home")) & (F.col(code) != 0) & (F.col(code) != F.col("_before")))
-            .drop("_home", "_block", "_before"))
+    home = F.floor(F.col(index).cast("bigint") / F.lit(block)).cast("bigint")
+    cut = codes.withColumn("_block", home)
+    ends = cut.groupBy(*run, "_block").agg(F.max(F.struct(index, code)).alias("_end"))
+    carried = ends.select(*run, "_block", F.lag("_end").over(Window.partitionBy(*run).orderBy("_block")).alias("_carried"))
+    inside = F.lag(F.struct(code)).over(Window.partitionBy(*run, "_block").orderBy(index))
+    before = (F.when(F.col("_inside").isNotNull(), F.col("_inside")[code])
+              .when(F.col("_carried").isNotNull(), F.col("_carried")[code]).otherwise(0))
+    return (cut.withColumn("_inside", inside).join(carried, [*run, "_block"]).withColumn("_before", before)
+            .where((F.col(code) != 0) & (F.col(code) != F.col("_before")))
+            .drop("_block", "_inside", "_carried", "_before").select(*codes.columns))
 
 
 def with_labels(events: DataFrame, labels: DataFrame) -> DataFrame:
     """Label of each code; a code without one keeps its row and a NULL label. A code is a 16-bit number."""
-    return events.join(broadcast_bounded(labels, "the label table"), "event_code", "left")
+    return events.join(labels, "event_code", "left")
 
 
 def sentinel_to_zero(code: Column, sentinel: int) -> Column:
@@ -64,11 +65,15 @@ def new_sources(offered: DataFrame, audit: DataFrame) -> DataFrame:
 
 
 def with_ingest_ord(audit: DataFrame) -> DataFrame:
-    """Position of each file in the append-only audit, in order of time and digest.
+    """Position of each file in the append-only audit: the one its row stores, which later batches never change.
+
+    A first batch that has none yet is numbered in order of time and digest.
 
     The id has 16 bits for it, so the numbered table has at most 65,535 rows and one task numbers them; one
     more fails the job.
     """
+    if "ingest_ord" in audit.columns:
+        return audit
     number = F.row_number().over(Window.orderBy("ingested_at", "sha256"))
     message = F.lit(f"the lineage id has room for {lid.MAX_FILES} files")
     return audit.withColumn("ingest_ord", F.when(number <= lid.MAX_FILES, number)
@@ -76,19 +81,17 @@ def with_ingest_ord(audit: DataFrame) -> DataFrame:
 
 
 def batch_ord(batch: DataFrame, audit: DataFrame) -> DataFrame:
-    """Ordinals of a new batch: they continue after the ones given out, whatever the batch's times are."""
-    key = ["ingest_id", "ingested_at", "sha256"]
-    every = (audit.select(*key, F.lit(0).alias("_new")).unionByName(batch.select(*key, F.lit(1).alias("_new"))))
-    number = F.row_number().over(Window.orderBy("_new", "ingested_at", "sha256"))
+    """Ordinals of a new batch: they continue after the highest the audit stores, whatever the batch's times are."""
+    last = with_ingest_ord(audit).agg(F.coalesce(F.max("ingest_ord"), F.lit(0))).scalar()
+    fresh = batch.drop("ingest_ord")
+    number = last + F.row_number().over(Window.orderBy("ingested_at", "sha256"))
     message = F.lit(f"the lineage id has room for {lid.MAX_FILES} files")
-    numbered = every.withColumn("ingest_ord", F.when(number <= lid.MAX_FILES, number)
-                                .otherwise(F.raise_error(message).cast("int")))
-    return batch.join(numbered.where("_new = 1").select("ingest_id", "ingest_ord"), "ingest_id")
+    return fresh.withColumn("ingest_ord", F.when(number <= lid.MAX_FILES, number).otherwise(F.raise_error(message).cast("int")).cast("int"))
 
 
 def split_routable(offered: DataFrame, codes: DataFrame) -> DataFrame:
     """Every offered source with its experiment code, or the reason it is skipped."""
-    known = offered.join(broadcast_bounded(codes, "the experiment codes", lid.MAX_EXPERIMENTS), "experiment", "left")
+    known = offered.join(codes, "experiment", "left")
     reason = F.concat(F.lit("experiment '"), F.col("experiment"), F.lit("' has no lineage code"))
     return known.withColumn("skipped", F.when(F.col("code").isNull(), reason))
 
@@ -98,7 +101,7 @@ def _with_prefix(rows: DataFrame, ingests: DataFrame) -> DataFrame:
     keys = ["experiment", "subject_src"]
     prefix = lid.file_prefix("ts_ms", 1, "code", "ingest_ord")
     batch = ingests.select(*keys, "ingest_id", "radioactive", prefix.alias("prefix"))
-    return rows.join(broadcast_bounded(batch, "the ingest batch"), keys)
+    return rows.join(batch, keys)
 
 
 def _bronze_lid(run, channel) -> Column:

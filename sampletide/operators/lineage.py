@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sampletide.functions import lid, values
 from sampletide.operators.ingest import with_ingest_ord
-from sampletide.sources.bounds import broadcast_bounded, literal
+from sampletide.sources.bounds import literal
 from sampletide.sources.registry import EXPERIMENT_CODES
 
 
@@ -17,7 +17,7 @@ def experiment_codes(spark: SparkSession, codes: dict[str, int] = EXPERIMENT_COD
 
 def _few(codes: DataFrame) -> DataFrame:
     """The experiment field has eight bits, so its code table has at most 255 rows."""
-    return broadcast_bounded(codes, "the experiment codes", lid.MAX_EXPERIMENTS)
+    return codes
 
 
 def edges(spark: SparkSession) -> DataFrame:
@@ -40,11 +40,11 @@ def lineage_dim(audit: DataFrame, recording: DataFrame) -> DataFrame:
 
 
 def trace(ids: DataFrame, dim: DataFrame, codes: DataFrame) -> DataFrame:
-    """Source file of every id, with the fields the id carries."""
+    """Source file of every id, with the fields the id carries. An id whose time is not its file's is no trace of it."""
     decoded = ids.select("lid", lid.decode("lid").alias("f"))
-    files = broadcast_bounded(dim.select("ingest_ord", "source_path", "source_url", "sha256"), "the lineage dimension")
+    files = dim.select("ingest_ord", "source_path", "source_url", "sha256", F.col("ts_ms").alias("_ts"))
     names = _few(codes)
-    return (decoded.join(files, F.col("f.file") == F.col("ingest_ord"))
+    return (decoded.join(files, (F.col("f.file") == F.col("ingest_ord")) & (F.col("f.ts_ms") == F.col("_ts")))
             .join(names, F.col("f.experiment") == F.col("code"))
             .select("lid", "source_path", "source_url", "sha256", F.col("f.ts_ms").alias("ts_ms"),
                     F.col("f.layer").alias("layer"), "experiment", F.col("f.run").alias("run"),
@@ -61,7 +61,7 @@ def prefix_bounds(dim: DataFrame, codes: DataFrame, layer: int = 2) -> DataFrame
 
 def children(records: DataFrame, bounds: DataFrame) -> DataFrame:
     """Records of many files at once: equality on the file field narrows the range test."""
-    files = broadcast_bounded(bounds, "the prefix bounds")
+    files = bounds
     inside = (lid.file("lid") == F.col("ingest_ord")) & F.col("lid").between(F.col("lid_lo"), F.col("lid_hi"))
     return records.join(files, inside).drop("lid_lo", "lid_hi")
 
@@ -80,7 +80,7 @@ def file_consistency(rows: DataFrame, dim: DataFrame) -> DataFrame:
     """Per file field found in the ids: rows, and whether the dimension knows it with the same time."""
     found = rows.groupBy(lid.file("lid").alias("file"), lid.ts_ms("lid").alias("id_ts_ms")).agg(
         F.count(F.lit(1)).alias("n_rows"))
-    return (found.join(broadcast_bounded(dim.select("ingest_ord", "ts_ms"), "the lineage dimension"),
+    return (found.join(dim.select("ingest_ord", "ts_ms"),
                        F.col("file") == F.col("ingest_ord"), "left")
             .select("file", "n_rows", F.when(F.col("ts_ms") == F.col("id_ts_ms"), 1).otherwise(0).alias("agrees")))
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sampletide.functions import values
-from sampletide.sources.bounds import broadcast_bounded
 
 
 def pseudonymise(rows: DataFrame, secret: bytes, code: str = "subject_src") -> DataFrame:
@@ -22,13 +21,13 @@ def new_keys(codes: DataFrame, key_map: DataFrame, secret: bytes) -> DataFrame:
 
 def replace_code(rows: DataFrame, key_map: DataFrame) -> DataFrame:
     """`subject_pid` in place of `subject_src`. Every mapped code came from an ingested file."""
-    keys = broadcast_bounded(key_map.select("subject_src", "subject_pid"), "the key map")
+    keys = key_map.select("subject_src", "subject_pid")
     return rows.join(keys, "subject_src").drop("subject_src")
 
 
-def reidentify(requests: DataFrame, key_map: DataFrame, log_path: str | None = None) -> DataFrame:
-    """Codes of requested pseudonyms, NULL for unknown ones. The request is logged before it is answered."""
-    if log_path:
-        requests.select("accessed_at", "actor", "purpose", "subject_pid").write.mode("append").parquet(log_path)
-    keys = broadcast_bounded(key_map.select("subject_pid", "subject_src"), "the key map")
+def reidentify(requests: DataFrame, key_map: DataFrame, log_path: str) -> DataFrame:
+    """Codes of requested pseudonyms, NULL for unknown ones. Every request is logged before it is answered."""
+    logged = [c for c in ("request_id", "accessed_at", "actor", "purpose", "subject_pid") if c in requests.columns]
+    requests.select(*logged).write.mode("append").parquet(log_path)
+    keys = key_map.select("subject_pid", "subject_src")
     return requests.join(keys, "subject_pid", "left")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sampletide.functions import lid
 from sampletide.operators.checks import latest_run
+from sampletide.sources import files
 
 # Limits of a published copy in bytes.
 FILE_LIMIT = 95 * 1024**2
@@ -30,14 +33,39 @@ def size_gate(files: DataFrame, file_limit: int = FILE_LIMIT, total_limit: int =
 def published_files(digests: DataFrame, root: str) -> DataFrame:
     """path below the root, bytes, sha256."""
     below = F.regexp_replace("path", "^file:/+", "/")
-    return digests.select(F.substring(below, len(root.rstrip("/")) + 2, 1 << 16).alias("path"),
+    return digests.select(F.substr(below, F.lit(len(root.rstrip("/")) + 2)).alias("path"),
                           F.col("length").alias("bytes"), "sha256")
 
 
+def publish_files(spark: SparkSession, source: str, out: str, below: str, gate=None) -> DataFrame:
+    """Copy the files of `source` into a new version of `out`, list them, and point to the version last.
+
+    Returns path (below the version), bytes, sha256, version. The list is that of the source joined to the digests of
+    the copies, so nothing that lies in the target by accident is in it, and a copy that is lost fails the job. Older
+    versions stay as they are; `current` names the one to read. `gate(place)` may refuse the finished version.
+    """
+    version = uuid.uuid4().hex
+    place = f"{out.rstrip('/')}/{version}"
+    copied = files.copy(spark, source, f"{place}/{below}")
+    copied.write.format("noop").mode("overwrite").save()
+    start = len(source.split("://", 1)[-1].rstrip("/")) + 2
+    listed = files.listing(spark, source, "*.parquet").select(
+        F.concat(F.lit(f"{below}/"), F.expr(f"substr(regexp_replace(path, '^file:/+', '/'), {start})")).alias("path"), F.col("length").alias("bytes"))
+    arrived = published_files(files.digests(spark, f"{place}/{below}"), place).select("path", "sha256")
+    checked = listed.join(arrived, "path", "left").withColumn("sha256", F.coalesce("sha256", F.raise_error(F.concat(F.lit("not copied: "), F.col("path")))))
+    checked.withColumn("version", F.lit(version)).write.json(f"{place}/manifest")
+    if gate:
+        gate(place)
+    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(f"{out.rstrip('/')}/current")
+    return spark.read.schema("path string, bytes long, sha256 string, version string").json(f"{place}/manifest")
+
+
 def verify(received: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Files received and how many differ from the manifest."""
-    joined = received.join(manifest.select("path", F.col("sha256").alias("published")), "path")
-    return joined.agg(F.count(F.lit(1)).alias("files"), F.count_if(F.col("sha256") != F.col("published")).alias("mismatches"))
+    """Files of the manifest that were received, how many of them differ from it, and how many never arrived."""
+    joined = manifest.select("path", F.col("sha256").alias("published")).join(received.select("path", "sha256"), "path", "left")
+    there = F.col("sha256").isNotNull()
+    return joined.agg(F.count_if(there).alias("files"), F.count_if(there & (F.col("sha256") != F.col("published"))).alias("mismatches"),
+                      F.count_if(~there).alias("missing"))
 
 
 def withheld_checks(checks: DataFrame, files: DataFrame) -> DataFrame:

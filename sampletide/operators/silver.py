@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sampletide.functions import lid, values
 from sampletide.operators.pseudonym import replace_code
-from sampletide.sources.bounds import broadcast_bounded, literal
+from sampletide.sources.bounds import literal
 from sampletide.sources.registry import DATASETS, UNIT_SCALE
 
 
@@ -22,7 +22,7 @@ def unit_scale(spark: SparkSession, scale: dict = UNIT_SCALE) -> DataFrame:
 
 
 def _few(scale: DataFrame) -> DataFrame:
-    return broadcast_bounded(scale, "the unit scales", lid.MAX_EXPERIMENTS)
+    return scale
 
 
 def _fields(rows: DataFrame, name: str) -> DataFrame:
@@ -49,7 +49,7 @@ def record(recording: DataFrame, key_map: DataFrame, scale: DataFrame) -> DataFr
 
 def recording(bronze: DataFrame, key_map: DataFrame, audit: DataFrame, scale: DataFrame) -> DataFrame:
     """Present samples in microvolts and milliseconds. Three broadcast joins, no shuffle of samples."""
-    rates = broadcast_bounded(audit.select("ingest_id", "sample_rate_hz"), "the ingest audit")
+    rates = audit.select("ingest_id", "sample_rate_hz")
     present = bronze.where(F.col("value_raw").isNotNull() & ~F.isnan("value_raw"))
     joined = replace_code(present.join(rates, "ingest_id"), key_map).join(_few(scale), "experiment")
     typed = joined.select(
@@ -64,7 +64,7 @@ def electrode(bronze: DataFrame, key_map: DataFrame) -> DataFrame:
 
 
 def event(bronze: DataFrame, key_map: DataFrame, audit: DataFrame) -> DataFrame:
-    rates = broadcast_bounded(audit.select("ingest_id", "sample_rate_hz"), "the ingest audit")
+    rates = audit.select("ingest_id", "sample_rate_hz")
     timed = bronze.join(rates, "ingest_id").withColumn(
         "ts_ms", values.sample_time_ms(F.col("sample_idx"), F.col("sample_rate_hz")))
     return _fields(_down(replace_code(timed, key_map)), "silver/event")

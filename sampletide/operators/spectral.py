@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from sampletide.functions import lid
 from sampletide.operators.ingest import with_ingest_ord
-from sampletide.sources.bounds import broadcast_bounded
 
 # Seconds of excerpt, and the inclusive bands in Hz.
 EXCERPT_S = 10
@@ -33,7 +32,7 @@ def with_rate(samples: DataFrame, audit: DataFrame) -> DataFrame:
     rates = with_ingest_ord(audit).select(lid.file_key_of("ingest_ord").alias("file"), "sample_rate_hz")
     longest = audit.agg(F.max("sample_rate_hz") * EXCERPT_S).scalar()
     early = samples.where(F.col("sample_idx") < longest)
-    return early.join(broadcast_bounded(rates, "the ingest audit"),
+    return early.join(rates,
                       lid.file_key("lid") == F.col("file")).drop("file")
 
 

@@ -89,11 +89,10 @@ def orphan_ingests(f):
 
 @query
 def aborted_files(f):
-    """None in a finished layout; the listing still visits every file."""
-    path = _silver_files(f)
-    every = files.every_file(f.spark, path).agg(F.count(F.lit(1)).alias("n_files"))
-    return files.aborted(f.spark, path).agg(F.count(F.lit(1)).alias("n_aborted")).select(
-        "n_aborted", (every.scalar() > 0).cast("int").alias("has_files"))
+    """Files of one status were left empty; the listing visits every file, level by level."""
+    root = f.blob_files(scratch(f.spark, "aborted"), "P")
+    every = files.every_file(f.spark, root, scratch(f.spark, "listing")).agg(F.count(F.lit(1)).alias("n_files"))
+    return files.aborted(f.spark, root, scratch(f.spark, "listing")).agg(F.count(F.lit(1)).alias("n_aborted")).select("n_aborted", every.scalar().alias("n_files"))
 
 
 @query
@@ -152,12 +151,8 @@ def multi_file_count(f):
 
 @query
 def file_digests(f):
-    return files.digests(f.spark, _silver_files(f))
-
-
-@query
-def parquet_footers(f):
-    return files.footers(f.spark, _silver_files(f))
+    root = f.blob_files(scratch(f.spark, "digests"))
+    return publish.published_files(files.digests(f.spark, f"{root}/raw"), root)
 
 
 @query
@@ -169,19 +164,19 @@ def file_sortedness(f):
 @query
 def layer_bytes(f):
     root = scratch(f.spark, "lake")
-    writer.write_dataset(f.bronze_recording, root, "bronze/recording")
-    writer.layout_write(f.recording, f"{root}/silver/recording")
-    return files.sizes(f.spark, root)
+    below = F.replace(F.col("path"), F.lit("raw/"), F.lit("bronze/recording/"))
+    files.write_blobs(f.blobs.withColumn("path", below), root)
+    return files.sizes(f.spark, root, layers=("bronze",))
 
 
 @query
 def manifest_unnest(f):
-    """A JSON manifest of nested file entries, written from the file list and unnested again."""
+    """JSON manifests of nested file entries, one line per mart and part, written from the file list and unnested again."""
     path = scratch(f.spark, "manifest")
-    entry = F.struct("path", "sha256")
-    grouped = f.published.groupBy(F.split_part("path", F.lit("/"), F.lit(2)).alias("mart")).agg(
-        F.collect_list(entry).alias("files"))
-    grouped.write.json(path)
+    part = F.regexp_extract("path", r"part-(\d+)", 1)
+    grouped = f.published.groupBy(F.split_part("path", F.lit("/"), F.lit(2)).alias("mart"), part.alias("part")).agg(
+        F.collect_list(F.struct("path", "sha256")).alias("files"))
+    grouped.drop("part").write.json(path)
     return rules.manifest_files(f.spark, path)
 
 
@@ -228,7 +223,9 @@ def wide_to_long(f):
 
 @query
 def event_onsets(f):
-    return f.onsets.select("sample_idx", "event_code")
+    """Cues whose positions have gaps, cut into blocks smaller than some of them."""
+    spread = f.wide.select(F.lit(1).alias("run"), (F.col("sample_idx") * 3 + F.floor(F.col("sample_idx") / 40) * 100).cast("bigint").alias("sample_idx"), "event_code")
+    return ingest.onsets(spread, ["run"], block=64).select("sample_idx", "event_code")
 
 
 @query
@@ -266,8 +263,9 @@ def new_sources(f):
 @query
 def ingest_ord(f):
     """Ordinals of the audit, and of a later batch that continues them."""
-    first = f.audit.where("ingest_id not like 'view-%'")
-    batch = f.audit.where("ingest_id like 'view-%'")
+    audit = f.audit.drop("ingest_ord")
+    first = audit.where("ingest_id not like 'view-%'")
+    batch = audit.where("ingest_id like 'view-%'")
     return ingest.with_ingest_ord(first).select("ingest_id", "ingest_ord").unionByName(
         ingest.batch_ord(batch, first).select("ingest_id", "ingest_ord"))
 
@@ -347,8 +345,11 @@ def lid_layer_audit(f):
 
 @query
 def lid_relayer(f):
-    at_three = f.ids.where("layer = 3")
-    return at_three.select("event_id", lid.relayer("lid", 3).alias("lid"))
+    """Every id one layer down, each expected on the layer its row names."""
+    moved = F.lit(None).cast("string")
+    for layer in range(1, 15):
+        moved = F.when(F.col("layer") == layer, lid.relayer("lid", layer)).otherwise(moved)
+    return f.ids.select("event_id", moved.alias("lid"))
 
 
 @query
@@ -470,7 +471,9 @@ def clipping(f):
 
 @query
 def channel_quality(f):
-    return rounded(f.quality, "rms_uv", "clipped_pct", "clipped_own_pct", "line_noise_ratio")
+    """The fixture's records, too short for a spectrum, and tones with their noise joined in."""
+    both = f.quality.unionByName(f.tone_quality)
+    return rounded(both, "rms_uv", "clipped_pct", "clipped_own_pct", "line_noise_ratio")
 
 
 @query
@@ -491,8 +494,10 @@ def feature_window(f):
 
 @query
 def dataset_version(f):
-    versions = [files.digests(f.spark, _silver_files(f)).withColumn("dataset", F.lit("silver/recording"))]
-    return files.dataset_versions(reduce(DataFrame.unionByName, versions))
+    """One digest per priority, over the sorted digests of its files."""
+    root = f.blob_files(scratch(f.spark, "versions"))
+    found = files.digests(f.spark, f"{root}/raw")
+    return files.dataset_versions(found.select(F.regexp_extract("path", "experiment=(.)", 1).alias("dataset"), "sha256"))
 
 
 @query
@@ -535,31 +540,33 @@ def check_no_identifier(f):
 
 @query
 def check_hash_match(f):
-    """Source files written from the orders, one per priority; one digest recorded wrongly, one file missing."""
+    """Files of one priority recorded wrongly, those of one status never written."""
     root = scratch(f.spark, "raw")
-    named = f.table("orders").select(F.substring("o_orderpriority", 1, 1).alias("part"),
-                                     F.concat_ws(",", "o_orderkey", "o_custkey").alias("value"))
-    named.write.partitionBy("part").text(f"{root}/raw")
-    found = files.digests(f.spark, f"{root}/raw", "part-*")
-    prefix = F.lit(root.rstrip("/") + "/")
-    below = F.replace(F.regexp_replace("path", "^file:/+", "/"), prefix, F.lit(""))
-    wrong = F.when(F.col("path").contains("part=3"), F.lit("0" * 64)).otherwise(F.col("sha256"))
-    audit = found.select(below.alias("source_path_rel"), wrong.alias("sha256"))
-    gone = audit.agg(F.lit("raw/missing.mat").alias("source_path_rel"), F.max("sha256").alias("sha256"))
-    return checks.digest_mismatches(audit.unionByName(gone), found, root).select((F.col("observed") >= 2).cast("int").alias("found_both"))
+    files.write_blobs(f.blobs.where("status <> 'P'"), root)
+    wrong = F.when(F.col("priority") == "3", F.lit("0" * 64)).otherwise(F.sha2("content", 256))
+    audit = f.blobs.select(F.col("path").alias("source_path_rel"), wrong.alias("sha256"))
+    return checks.digest_mismatches(audit, files.digests(f.spark, f"{root}/raw"), root)
 
 
 @query
 def check_partition_layout(f):
-    footers = files.footers(f.spark, _silver_files(f))
-    return one_column({"as written": checks.layout_violations(footers, writer.MAX_ROWS_PER_GROUP, 1)})
+    """One file per priority with groups of 1,000 rows: some have too few groups, and all too large ones by a lower limit."""
+    path = scratch(f.spark, "groups")
+    rows = f.table("orders").withColumn("priority", F.substring("o_orderpriority", 1, 1))
+    rows.repartition("priority").write.option("parquet.block.row.count.limit", 1000).partitionBy("priority").parquet(path)
+    found = files.footers(f.spark, path)
+    return one_column({"few": checks.layout_violations(found, 1000, 4), "large": checks.layout_violations(found, 999, 1), "fine": checks.layout_violations(found, 1000, 1)})
 
 
 @query
 def check_retention(f):
-    aged = checks.oldest_age_days(files.listing(f.spark, _silver_files(f), "*.parquet"))
-    return one_column({"silver/recording": aged}).select(
-        "name", checks.verdict(F.lit("retention"), F.col("observed"), F.lit("1")).alias("result"))
+    """File times set back by days that the orders name, per priority: age in whole days and verdict."""
+    parts = {}
+    back = F.expr("current_timestamp() - make_interval(0, 0, 0, cast(o_custkey % 900 as int), 1)")
+    for digit in "12345":
+        held = f.table("orders").where(F.col("o_orderpriority").startswith(digit)).select(back.alias("modified"))
+        parts[digit] = checks.oldest_age_days(held).select(F.floor("observed").alias("observed"))
+    return one_column(parts).withColumn("result", checks.verdict(F.lit("retention"), F.col("observed"), F.lit("880")))
 
 
 @query
@@ -657,27 +664,32 @@ def leak_gate(f):
 
 @query
 def size_gate(f):
-    found = files.listing(f.spark, _silver_files(f), "*.parquet")
-    return publish.size_gate(found).select("files_over", "allowed")
+    """Files over a limit of fourteen bytes and all bytes; refused for either, allowed within wider limits."""
+    root = f.blob_files(scratch(f.spark, "gate"))
+    found = files.listing(f.spark, f"{root}/raw")
+    narrow = publish.size_gate(found, 14, 1 << 20).withColumn("limits", F.lit("file"))
+    total = publish.size_gate(found, 1 << 20, 100).withColumn("limits", F.lit("total"))
+    return narrow.unionByName(total).unionByName(publish.size_gate(found, 1 << 20, 1 << 20).withColumn("limits", F.lit("none")))
 
 
 @query
 def publish_manifest(f):
-    path = _silver_files(f)
-    target = scratch(f.spark, "published")
-    publish.published_files(files.digests(f.spark, path), path).write.json(target)
-    return f.spark.read.schema("path string, bytes long, sha256 string").json(target)
+    """Published twice, the second time with other content: the manifest lists the second version alone."""
+    out = scratch(f.spark, "published")
+    first, second = f.blob_files(scratch(f.spark, "version"), "F"), f.blob_files(scratch(f.spark, "version"))
+    for root in (first, second):
+        listed = publish.publish_files(f.spark, f"{root}/raw", out, "raw")
+    return listed.select("path", "bytes", "sha256")
 
 
 @query
 def verify_manifest(f):
-    """Received files against the manifest, in which the files of one experiment are recorded wrongly."""
-    path = _silver_files(f)
-    received = publish.published_files(files.digests(f.spark, path), path)
-    altered = received.withColumn("sha256", F.when(F.col("path").contains("experiment=click"), F.lit("0" * 64))
-                                  .otherwise(F.col("sha256")))
-    return publish.verify(received, altered).select(
-        (F.col("mismatches") > 0).cast("int").alias("has_mismatch"), (F.col("files") > F.col("mismatches")).cast("int").alias("has_match"))
+    """Received files against the manifest: those of one priority recorded otherwise, those of one status never arrived."""
+    root = scratch(f.spark, "received")
+    files.write_blobs(f.blobs.where("status <> 'P'"), root)
+    received = publish.published_files(files.digests(f.spark, f"{root}/raw"), root)
+    told = F.when(F.col("priority") == "2", F.lit("0" * 64)).otherwise(F.sha2("content", 256))
+    return publish.verify(received, f.blobs.select("path", told.alias("sha256")))
 
 
 @query
@@ -762,16 +774,6 @@ def smallest_partition(f):
     return layout.smallest_partition(f.recording, f.record)
 
 
-@query
-def encoding_report(f):
-    return layout.encoding_report(files.footers(f.spark, _silver_files(f)))
-
-
-@query
-def encoding_cells(f):
-    return layout.encoding_cells(files.footers(f.spark, _silver_files(f)))
-
-
 @query
 def exact_sum(f):
     return layout.exact_sum(f.recording).withColumn("total", F.col("total").cast("string"))
@@ -785,11 +787,6 @@ def layout_variants(f):
         "version", "codec", "n_rows", F.col("total").cast("string").alias("total"))
 
 
-@query
-def footer_totals(f):
-    return layout.footer_totals(files.footers(f.spark, _silver_files(f)))
-
-
 @query
 def channel_in_list(f):
     return layout.channel_in_list(f.recording, [0, 2, *range(4, 512)])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sampletide.functions import lid, values
 from sampletide.operators import gold, ingest, lineage, manifest, pseudonym, silver, spectral
 from sampletide.session import written_once
-from sampletide.sources import writer
+from sampletide.sources import files, writer
 from sampletide.sources.bounds import literal
 from sampletide.sources.registry import EXPERIMENT_CODES
 
@@ -50,7 +50,7 @@ class Fixture:
                 writer.layout_write(made, path, partitions)
             else:
                 made.write.parquet(path)
-        path = written_once(self.spark, (self.sf_dir, name), write)
+        path = written_once(self.spark, self.sf_dir, name, write)
         return self.spark.read.schema(made.schema).parquet(path).select(*made.columns)
 
     # --- samples and audit from events ---
@@ -76,19 +76,25 @@ class Fixture:
         first = lid.to_millisecond("min(ts)")
         found = self.samples.groupBy("experiment", "subject_src").agg(
             F.count(F.lit(1)).alias("rows_written"), first.alias("ingested_at"))
-        return found.select(
+        return ingest.with_ingest_ord(found.select(
             F.concat_ws("-", "experiment", "subject_src").alias("ingest_id"), F.lit("/lake").alias("data_root"),
             F.when(name == "click/u0", F.concat(F.lit("/mnt/"), below)).otherwise(below).alias("source_path_rel"),
             F.concat(F.lit("https://example.org/"), F.col("experiment"), F.lit(".zip")).alias("source_url"),
             F.sha2(name, 256).alias("sha256"), (F.col("rows_written") * 4).alias("bytes"),
             F.when(F.col("experiment") == "click", 512).otherwise(1000).alias("sample_rate_hz"), "rows_written",
             F.lit("ingest").alias("tool"), F.lit("1").alias("tool_version"), F.lit("4.1").alias("engine_version"),
-            F.lit("host").alias("ingest_host"), "ingested_at", "experiment", "subject_src")
+            F.lit("host").alias("ingest_host"), "ingested_at", "experiment", "subject_src"))
 
     @cached_property
     def audit(self) -> DataFrame:
         return self.sources.drop("experiment", "subject_src")
 
+    @cached_property
+    def raw_files(self) -> DataFrame:
+        """The captures the audit names, where they lie in the lake: path, content."""
+        below = F.col("source_path_rel")
+        return self.sources.where(~below.startswith("/")).select(below.alias("path"), F.concat_ws("/", "experiment", "subject_src").alias("content"))
+
     @cached_property
     def partial_audit(self) -> DataFrame:
         return self.audit.where(F.col("ingest_id") != UNCOMMITTED)
@@ -191,7 +197,7 @@ class Fixture:
 
     @cached_property
     def recording_path(self) -> str:
-        return written_once(self.spark, (self.sf_dir, "silver-recording"),
+        return written_once(self.spark, self.sf_dir, "silver-recording",
                             lambda path: writer.layout_write(self.make_recording(), path))
 
     @cached_property
@@ -324,13 +330,28 @@ class Fixture:
         return counted.withColumn("dataset_version", F.sha2(seen, 256)).withColumn(
             "git_commit", F.substring(F.sha2(F.concat(F.lit("build"), "n_records"), 256), 1, 40))
 
+    @cached_property
+    def blobs(self) -> DataFrame:
+        """Files of known content, one per priority and status of the orders: path, content, priority, status."""
+        priority = F.substring("o_orderpriority", 1, 1)
+        held = self.table("orders").groupBy(priority.alias("priority"), F.col("o_orderstatus").alias("status")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("o_custkey").alias("total"))
+        return held.select(F.concat_ws("/", F.lit("raw"), F.concat(F.lit("experiment="), "priority"), F.concat("status", F.lit(".parquet"))).alias("path"),
+                           F.concat_ws(",", "priority", "status", "n", "total").alias("content"), "priority", "status")
+
+    def blob_files(self, root: str, empty_status: str = "") -> str:
+        """The blobs as files below `root`, those of one status empty."""
+        content = F.when(F.col("status") == empty_status, "").otherwise(F.col("content"))
+        files.write_blobs(self.blobs.withColumn("content", content), root)
+        return root
+
     @cached_property
     def published(self) -> DataFrame:
         """Published files with the digest received: one file of the windows did not arrive intact."""
         part = F.col("o_orderkey") % 50
-        name = F.when(F.col("o_orderstatus") == "F", "channel_quality").otherwise("feature_window")
+        name = F.when(F.col("o_orderstatus") == "F", "channel_quality").when(F.col("o_orderstatus") == "P", "feature_window").otherwise("experiment_summary")
         path = F.concat(F.lit("gold/"), name, F.lit("/part-"), part, F.lit(".parquet"))
         broken = (name == "feature_window") & (part == 7)
-        return self.table("orders").where("o_orderstatus <> 'O'").select(path.alias("path"), broken.alias("broken")).distinct().select(
+        return self.table("orders").select(path.alias("path"), broken.alias("broken")).distinct().select(
             "path", F.sha2("path", 256).alias("sha256"),
             F.sha2(F.when(F.col("broken"), F.concat("path", F.lit("x"))).otherwise(F.col("path")), 256).alias("received"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sampletide.functions import sql as sql_functions
 from sampletide.operators import checks, gold, lineage, manifest, publish, silver, spectral
-from sampletide.session import exists
+from sampletide.session import exists, scratch
 from sampletide.sources import files, reader, rules, writer
 from sampletide.sources.bounds import literal
 from sampletide.sources.registry import DATASETS, UNIT_SCALE
@@ -26,7 +26,8 @@ def write_bronze(root: str, recording: DataFrame, electrode: DataFrame, event: D
         writer.write_dataset(rows, root, f"bronze/{name}")
 
 
-def write_silver(spark: SparkSession, root: str, key_map: DataFrame, scale: dict = UNIT_SCALE) -> None:
+def write_silver(spark: SparkSession, root: str, key_map: DataFrame, scale: dict = UNIT_SCALE, **layout) -> None:
+    """`layout` goes to the sorted write of the samples."""
     bronze = {n: reader.dataset(spark, root, f"bronze/{n}") for n in ("recording", "electrode", "event", "ingest_audit")}
     units = silver.unit_scale(spark, scale)
     built = {
@@ -38,7 +39,7 @@ def write_silver(spark: SparkSession, root: str, key_map: DataFrame, scale: dict
     for name, rows in built.items():
         writer.write_dataset(rows, root, name, "overwrite")
     samples = silver.recording(bronze["recording"], key_map, bronze["ingest_audit"], units)
-    writer.layout_write(samples, f"{root}/silver/recording")
+    writer.layout_write(samples, f"{root}/silver/recording", **layout)
 
 
 def write_gold(spark: SparkSession, root: str, commit: str, codes: DataFrame | None = None) -> None:
@@ -185,13 +186,15 @@ def observations(spark: SparkSession, root: str, owned: list[rules.Rule]) -> lis
 
 def evidence(spark: SparkSession, root: str, run_id: str = "R1", commit: str = "0000000",
              extra: list[rules.Rule] = ()) -> DataFrame:
-    """Run governance and contract rules, append the run's evidence, return its rows."""
+    """Run governance and contract rules, append the run's evidence, return its rows.
+
+    Every rule of every registered dataset runs, whether the dataset has files or not: a lost dataset is an empty table
+    that fails its row counts, and a check of files that are not there is an error row.
+    """
     views(spark, root)
     present = _present(spark, root)
-    governed = rules.requirement_rules(checks.expand_rules(rules.governance_text(spark), tuple(present)))
-    owned = [r for r in [*governed, *rules.contract_rules(present), *extra] if r.dataset in present]
-    if not exists(spark, f"{root}/raw"):
-        owned = [r for r in owned if r.kind != "hash_match"]
+    governed = rules.requirement_rules(checks.expand_rules(rules.governance_text(spark), tuple(DATASETS)))
+    owned = [*governed, *rules.contract_rules(), *extra]
     observed = literal(spark, observations(spark, root, owned), "check_id string, observed string, error string")
     facts = literal(
         spark, [(r.check_id, r.requirement_id, r.framework, r.dataset, r.kind, r.severity, r.clause, r.control, r.expected) for r in owned],
@@ -208,31 +211,70 @@ def evidence(spark: SparkSession, root: str, run_id: str = "R1", commit: str = "
     return reader.dataset(spark, root, "gold/evidence").where(F.col("run_id") == run_id)
 
 
-def publish_gold(spark: SparkSession, root: str, out: str, history: DataFrame | None = None) -> DataFrame:
-    """Gates first, then the copy, its manifest and summary. Returns the manifest rows."""
+def refused(rows: DataFrame, what: str, folder: str) -> None:
+    """Raise if there are rows: all of them are written below `folder`, the message has their number and the place."""
+    place = f"{folder}/refused-{what.replace(' ', '-')}"
+    rows.write.mode("overwrite").json(place)
+    n = rows.sparkSession.read.schema(rows.schema).json(place).count()
+    if n:
+        raise ValueError(f"refused: {n} {what}, listed in {place}")
+
+
+def publish_gold(spark: SparkSession, root: str, out: str, history: DataFrame | None = None, file_limit: int = publish.FILE_LIMIT,
+                 total_limit: int = publish.TOTAL_LIMIT) -> DataFrame:
+    """Gates first, then a new version of the copy with its manifest. Returns the manifest rows.
+
+    The summary is written with the marts, so it is copied, digested and listed like them. Rules over the published
+    copy run on the new version before anything points to it.
+    """
     present = [n for n in _present(spark, root) if n.startswith("gold/")]
     with_ids = [n for n in present if "lid" in DATASETS[n].fields]
+    reports = scratch(spark, "publish")
     gates = [publish.leaks(reader.read_plain(spark, root, n)) for n in with_ids]
-    leaking = reduce(DataFrame.unionByName, gates).where("canary_rows > 0").select("path").take(5)
-    if leaking:
-        raise ValueError(f"refused: canary records in {[r['path'] for r in leaking]}")
+    refused(reduce(DataFrame.unionByName, gates).where("canary_rows > 0"), "files with canary records", reports)
     records = reader.dataset(spark, root, "gold/evidence"), reader.dataset(spark, root, "gold/dataset_manifest")
-    if history is not None and (lost := publish.unknown_commits(*records, history).take(5)):
-        raise ValueError(f"refused: commits outside the history: {[r['git_commit'] for r in lost]}")
-    gate = publish.size_gate(files.listing(spark, [f"{root}/{n}" for n in present], "*.parquet")).first()
+    if history is not None:
+        refused(publish.unknown_commits(*records, history), "commits outside the history", reports)
+    publish.build_summary(*records).write.mode("overwrite").parquet(f"{root}/gold/build_summary")
+    gate = publish.size_gate(files.listing(spark, [f"{root}/{n}" for n in [*present, "gold/build_summary"]], "*.parquet"), file_limit, total_limit).first()
     if not gate["allowed"]:
         raise ValueError(f"refused: {gate['files_over']} files over the limit, {gate['bytes']} bytes in all")
-    copied = files.copy(spark, f"{root}/gold", f"{out}/gold")
-    copied.write.format("noop").mode("overwrite").save()
-    publish.build_summary(*records).write.mode("overwrite").json(f"{out}/summary")
-    listed = publish.published_files(files.digests(spark, f"{out}/gold"), out)
-    listed.write.mode("overwrite").json(f"{out}/manifest")
-    return spark.read.schema("path string, bytes long, sha256 string").json(f"{out}/manifest")
+    return publish.publish_files(spark, f"{root}/gold", out, "gold", lambda place: refused(
+        reduce(DataFrame.unionByName, [publish.leaks(reader.read_plain(spark, place, n)) for n in with_ids]).where("canary_rows > 0"),
+        "published files with canary records", reports))
+
+
+def published_root(spark: SparkSession, out: str) -> str:
+    """The version of a published copy that `current` points to."""
+    return f"{out.rstrip('/')}/{spark.read.text(f'{out.rstrip(chr(47))}/current').first()['value']}"
+
+
+def recheck_published(spark: SparkSession, out: str, extra: list[rules.Rule] = ()) -> DataFrame:
+    """check_id, dataset, result of the rules over the marts of a published copy, run on what was received.
+
+    The copy is verified first: a check that reads a mart of which a file is missing or differs is 'not run'.
+    """
+    place = published_root(spark, out)
+    views(spark, place)
+    listed = spark.read.schema("path string, bytes long, sha256 string").json(f"{place}/manifest")
+    received = publish.published_files(files.digests(spark, f"{place}/gold"), place).select("path", F.col("sha256").alias("received"))
+    marts = [n for n in DATASETS if n.startswith("gold/")]
+    governed = rules.requirement_rules(checks.expand_rules(rules.governance_text(spark), tuple(DATASETS)))
+    owned = [r for r in [*governed, *rules.contract_rules(marts), *extra] if r.dataset in marts and r.kind != "retention"]
+    facts = literal(spark, [(r.check_id, r.dataset, r.kind, r.expected, r.params.get("sql", "")) for r in owned],
+                    "check_id string, dataset string, check_kind string, expected string, sql string")
+    withheld = publish.withheld_checks(facts, listed.join(received, "path", "left")).select("check_id", F.lit(1).alias("withheld"))
+    observed = literal(spark, observations(spark, place, owned), "check_id string, observed string, error string")
+    result = (F.when(F.col("withheld") == 1, "not run").when(F.col("error").isNotNull(), "error")
+              .otherwise(checks.verdict(F.col("check_kind"), F.col("observed"), F.col("expected"))))
+    return facts.join(observed, "check_id").join(withheld, "check_id", "left").select("check_id", "dataset", result.alias("result"))
 
 
 def build(fixture, root: str) -> str:
     """The lake of the fixture tables, Bronze to Gold, below `root`."""
+    files.write_blobs(fixture.raw_files, root)
     write_bronze(root, fixture.bronze_recording, fixture.bronze_electrode, fixture.bronze_event, fixture.audit)
-    write_silver(fixture.spark, root, fixture.key_map)
+    # Small files, yet of several row groups each, as the layout rule asks.
+    write_silver(fixture.spark, root, fixture.key_map, rows_per_group=4, split_by=("experiment", "subject_pid"))
     write_gold(fixture.spark, root, "0000000")
     return root

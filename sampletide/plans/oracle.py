@@ -133,6 +133,14 @@ VIEWS = {
                   sum(CASE WHEN sample_idx % 2 = 0 THEN value_uv::DOUBLE ELSE -value_uv::DOUBLE END) AS alt
               FROM tones WHERE sample_idx < 2000 GROUP BY channel_idx) t
         JOIN (SELECT channel_idx, sum(re * re + im * im) AS power FROM tone_bins GROUP BY channel_idx) b USING (channel_idx)""",
+    "tone_quality": """SELECT 'click' AS experiment, 'p' || (channel_idx % 2) AS subject_pid, (channel_idx % 2 + 1)::SMALLINT AS run,
+        channel_idx::SMALLINT AS channel_idx, count(*) AS n_samples, 0::BIGINT AS missing_samples, sqrt(avg(value_uv * value_uv))::FLOAT AS rms_uv,
+        (100.0::DOUBLE * count(*) FILTER (value_uv IN (rail_lo, rail_hi)) / count(*))::FLOAT AS clipped_pct,
+        (100.0::DOUBLE * count(*) FILTER (value_uv IN (lo, hi)) / count(*))::FLOAT AS clipped_own_pct,
+        any_value(line_noise_ratio)::FLOAT AS line_noise_ratio, 'documented' AS scale_basis, lid
+        FROM (SELECT *, min(value_uv) OVER r AS rail_lo, max(value_uv) OVER r AS rail_hi, min(value_uv) OVER c AS lo, max(value_uv) OVER c AS hi
+              FROM tones WINDOW r AS (PARTITION BY channel_idx % 2), c AS (PARTITION BY channel_idx)) t
+        JOIN tone_noise USING (channel_idx) GROUP BY channel_idx, lid""",
     "ids": f"""SELECT *, {_lid('ts_ms', 'layer', 'experiment', 'file', 'run', 'channel', 'segment', 'radioactive')} AS lid FROM (
         SELECT event_id, {_MS.format('ts')} AS ts_ms, event_id % 14 + 1 AS layer, user_id % 256 AS experiment, event_id % 65536 AS file,
             event_id % 16 AS run, event_id % 1024 AS channel, user_id * 7 % 1024 AS segment, event_id % 2 AS radioactive FROM events)""",
@@ -152,8 +160,11 @@ VIEWS = {
         UNION ALL SELECT 'silver/recording', 2, count(*), sha256('silver/recordingR2') FROM recording
         UNION ALL SELECT 'gold/feature_window', 3, count(*), sha256('gold/feature_windowR2') FROM windows""",
     "published": """SELECT DISTINCT path, sha256(path) AS sha256, sha256(path || CASE WHEN bad THEN 'x' ELSE '' END) AS received FROM (
-        SELECT 'gold/' || CASE o_orderstatus WHEN 'F' THEN 'channel_quality' ELSE 'feature_window' END || '/part-' || (o_orderkey % 50) || '.parquet' AS path,
-            o_orderstatus <> 'F' AND o_orderkey % 50 = 7 AS bad FROM orders WHERE o_orderstatus <> 'O')""",
+        SELECT 'gold/' || CASE o_orderstatus WHEN 'F' THEN 'channel_quality' WHEN 'P' THEN 'feature_window' ELSE 'experiment_summary' END
+            || '/part-' || (o_orderkey % 50) || '.parquet' AS path, o_orderstatus = 'P' AND o_orderkey % 50 = 7 AS bad FROM orders)""",
+    "blobs": """SELECT 'raw/experiment=' || priority || '/' || status || '.parquet' AS path, priority || ',' || status || ',' || n || ',' || total AS content,
+        priority, status FROM (SELECT substr(o_orderpriority, 1, 1) AS priority, o_orderstatus AS status, count(*) AS n, sum(o_custkey)::BIGINT AS total
+        FROM orders GROUP BY ALL)""",
     "history_summary": """SELECT r AS upto, count(DISTINCT CASE WHEN dataset LIKE 'gold/%' THEN dataset END) AS gold_datasets, count(*) AS checks,
         count(*) FILTER (result = 'pass') AS n_pass, count(*) FILTER (result <> 'pass' AND severity = 'block') AS n_fail,
         count(*) FILTER (result <> 'pass' AND severity = 'flag') AS n_flag, strftime(min(ran_at), '%Y-%m-%d %H:%M:%S') AS ran_at,
@@ -260,6 +271,8 @@ def _outcome():
     return ("count(*) AS checks, count(*) FILTER (result = 'pass') AS n_pass, count(*) FILTER (result <> 'pass') AS n_not_pass")
 
 
+_BLOB_FILES = "SELECT path, length(content)::BIGINT AS bytes, sha256(content) AS sha256 FROM blobs"
+
 STATEMENTS = {
     # scans, sinks, layout
     "scan_dataset": "SELECT experiment, subject_src, count(*) AS n_rows, max(lid) AS last_lid FROM bronze_events GROUP BY ALL",
@@ -275,9 +288,12 @@ STATEMENTS = {
     "layout_write": """SELECT experiment, subject_pid, count(*) AS n_rows, 0::BIGINT AS out_of_order, 0::BIGINT AS oversized_groups
         FROM recording GROUP BY experiment, subject_pid""",
     "evidence_append": "SELECT run_id, result, count(*) AS n_rows, strftime(max(ran_at), '%Y-%m-%d %H:%M:%S') AS last_ran_at FROM evidence GROUP BY ALL",
-    "aborted_files": "SELECT 0::BIGINT AS n_aborted, 1 AS has_files FROM events HAVING count(*) > 0",
+    "dataset_version": "SELECT priority AS dataset, sha256(string_agg(sha256(content), chr(10) ORDER BY sha256(content))) AS dataset_version FROM blobs GROUP BY priority",
+    "aborted_files": "SELECT count(*) FILTER (status = 'P') AS n_aborted, count(*) AS n_files FROM blobs",
     "multi_file_count": "SELECT 'orders' AS table_name, count(*) AS n_rows FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem",
     "file_sortedness": "SELECT count(*) AS n_rows, 0::BIGINT AS out_of_order FROM recording",
+    "file_digests": _BLOB_FILES,
+    "layer_bytes": "SELECT 'bronze' AS layer, priority AS experiment, count(*) AS files, sum(length(content))::BIGINT AS bytes FROM blobs GROUP BY ALL",
     "manifest_unnest": "SELECT string_split(path, '/')[2] AS mart, path, sha256 FROM published",
     "requirements_rules": f"SELECT requirement_id, 'row_count_min' AS check_kind, dataset, severity, minimum, 2 AS n_params FROM ({_RULES})",
     "expand_rules": f"""SELECT requirement_id || '/row_count_min/' || d || '/' || minimum || '/rows' AS check_id, requirement_id, d AS dataset,
@@ -287,7 +303,7 @@ STATEMENTS = {
     # ingestion
     "wide_to_long": """SELECT vec_id AS sample_idx, (c - 1)::SMALLINT AS channel_idx, round(embedding[c]::DOUBLE, 6) AS value_raw
         FROM (SELECT *, unnest(range(1, len(embedding) + 1)) AS c FROM embeddings)""",
-    "event_onsets": "SELECT sample_idx, event_code FROM cue_onsets",
+    "event_onsets": "SELECT sample_idx * 3 + sample_idx // 40 * 100 AS sample_idx, event_code FROM cue_onsets",
     "event_labels": "SELECT sample_idx, event_code, event_label FROM cues",
     "code_remap": f"""SELECT sample_idx, event_code, {_AREA_CASE.format('event_code')} AS area,
         CASE WHEN event_code BETWEEN 1 AND 4 THEN 'house' WHEN event_code BETWEEN 5 AND 8 THEN 'face' END AS label
@@ -299,7 +315,8 @@ STATEMENTS = {
     "new_sources": """SELECT sha256, source_path_rel, experiment, subject_src FROM sources WHERE substr(subject_src, 2)::INTEGER >= 5""",
     "ingest_ord": """SELECT ingest_id, row_number() OVER (ORDER BY experiment = 'view', ingested_at, sha256)::INTEGER AS ingest_ord FROM sources""",
     "ingest_audit": """SELECT ingest_id, data_root, source_path_rel, source_url, sha256, bytes, sample_rate_hz, rows_written, tool, tool_version,
-        engine_version, ingest_host, rtrim(rtrim(strftime(ingested_at, '%Y-%m-%d %H:%M:%S.%g'), '0'), '.') AS ingested_at FROM sources""",
+        engine_version, ingest_host, rtrim(rtrim(strftime(ingested_at, '%Y-%m-%d %H:%M:%S.%g'), '0'), '.') AS ingested_at,
+        row_number() OVER (ORDER BY sources.ingested_at, sha256)::INTEGER AS ingest_ord FROM sources""",
     "bronze_recording": f"SELECT {_BRONZE_COLUMNS}, {_r('value_raw')}, ingest_id, lid FROM bronze",
     "bronze_electrode": "SELECT experiment, subject_src, channel_idx, x_mm, y_mm, z_mm, brain_area, ingest_id, lid FROM bronze_electrodes",
     "bronze_event": "SELECT experiment, subject_src, run, sample_idx, event_code, event_label, ingest_id, lid FROM bronze_events",
@@ -317,7 +334,7 @@ STATEMENTS = {
         FROM samples s JOIN ingests i USING (experiment, subject_src) GROUP BY 1""",
     "lid_layer_audit": """SELECT 'record' AS source, count(*) AS n_rows, 0::BIGINT AS wrong_layer FROM record
         UNION ALL SELECT 'mixed', count(*), count(*) FILTER (layer <> 2) FROM ids""",
-    "lid_relayer": f"SELECT event_id, {_layer('lid', 4)} AS lid FROM ids WHERE layer = 3",
+    "lid_relayer": "SELECT event_id, substr(lid, 1, 14) || printf('%x', layer + 1) || substr(lid, 16) AS lid FROM ids",
     "lid_parent": "SELECT event_id, substr(lid, 1, 14) || printf('%x', layer - 1) || substr(lid, 16) AS lid FROM ids WHERE layer > 1",
     "lineage_dim": "SELECT ingest_ord, ingest_id, source_path, source_url, sha256, ts_ms, experiment FROM dim",
     "lid_trace": """SELECT r.lid, d.source_path, d.source_url, d.sha256, d.ts_ms, 2 AS layer, r.experiment, r.run, r.channel_idx AS channel, 0 AS segment
@@ -346,7 +363,7 @@ STATEMENTS = {
     "run_rails": f"SELECT lid, {_r('rail_lo', 6)}, {_r('rail_hi', 6)} FROM rails",
     "clipping": f"SELECT lid, {_r('clipped_pct')}, {_r('clipped_own_pct')} FROM quality",
     "channel_quality": f"""SELECT experiment, subject_pid, run, channel_idx, n_samples, missing_samples, {_r('rms_uv')}, {_r('clipped_pct')},
-        {_r('clipped_own_pct')}, line_noise_ratio, scale_basis, lid FROM quality""",
+        {_r('clipped_own_pct')}, {_r('line_noise_ratio')}, scale_basis, lid FROM (SELECT * FROM quality UNION ALL SELECT * FROM tone_quality)""",
     "line_noise": f"SELECT channel_idx::SMALLINT AS channel_idx, {_r('line_noise_ratio')} FROM tone_noise",
     "experiment_summary": f"SELECT experiment, subject_pid, n_runs, n_channels, {_r('duration_s')}, n_events FROM summary",
     "feature_window": f"""SELECT experiment, subject_pid, run, channel_idx, window_start_ms, {_r('mean_uv')}, {_r('std_uv')}, {_r('p2p_uv')}, lid,
@@ -363,9 +380,11 @@ STATEMENTS = {
         silver__recording="SELECT count(*) FROM recording", silver__record="SELECT count(*) FROM record") + ")",
     "check_no_identifier": """SELECT 'bronze/recording' AS dataset, 1::BIGINT AS observed, count(*) AS n_rows FROM bronze
         UNION ALL SELECT 'silver/recording', 0, count(*) FROM recording UNION ALL SELECT 'gold/feature_window', 0, count(*) FROM windows""",
-    "check_partition_layout": "SELECT 'as written' AS name, (SELECT 0 FROM events HAVING count(*) > 0)::VARCHAR AS observed",
-    "check_hash_match": "SELECT 1 AS found_both FROM orders HAVING count(*) > 0",
-    "check_retention": "SELECT 'silver/recording' AS name, 'pass' AS result FROM events HAVING count(*) > 0",
+    "check_partition_layout": """SELECT name, count(*) FILTER (bad)::VARCHAR AS observed FROM (SELECT unnest(['few', 'large', 'fine']) AS name,
+        unnest([n <= 3000, n >= 1000, false]) AS bad FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderpriority)) GROUP BY name""",
+    "check_hash_match": "SELECT count(*) FILTER (status = 'P' OR priority = '3') AS observed FROM blobs",
+    "check_retention": """SELECT substr(o_orderpriority, 1, 1) AS name, max(o_custkey % 900)::VARCHAR AS observed,
+        CASE WHEN max(o_custkey % 900) <= 880 THEN 'pass' ELSE 'fail' END AS result FROM orders GROUP BY 1""",
     "check_sql": _rows(scale="SELECT count(*) FROM record WHERE scale_basis NOT IN ('documented', 'assumed')",
                        large="SELECT count(*) FROM recording WHERE value_uv > 3"),
     "check_flag_offenders": "SELECT 'some' AS name, observed FROM (" + _flag(
@@ -392,8 +411,12 @@ STATEMENTS = {
         FROM manifest m JOIN latest l USING (dataset)""",
     # publication and reports
     "leak_gate": f"SELECT count(*) FILTER ({_canary('lid')}) AS canary_rows, 1 AS refused FROM recording",
-    "size_gate": "SELECT 0::BIGINT AS files_over, 1 AS allowed FROM events HAVING count(*) > 0",
-    "verify_manifest": "SELECT 1 AS has_mismatch, 1 AS has_match FROM events HAVING count(*) > 0",
+    "size_gate": """SELECT limits, count(*) AS files, count(*) FILTER (length(content) > most) AS files_over, sum(length(content))::BIGINT AS bytes,
+        CASE WHEN count(*) FILTER (length(content) > most) = 0 AND sum(length(content)) <= whole THEN 1 ELSE 0 END AS allowed
+        FROM blobs, (VALUES ('file', 14, 1048576), ('total', 1048576, 100), ('none', 1048576, 1048576)) v(limits, most, whole) GROUP BY limits, most, whole""",
+    "verify_manifest": """SELECT count(*) FILTER (status <> 'P') AS files, count(*) FILTER (priority = '2' AND status <> 'P') AS mismatches,
+        count(*) FILTER (status = 'P') AS missing FROM blobs""",
+    "publish_manifest": _BLOB_FILES,
     "withheld_checks": """SELECT check_id, dataset FROM latest WHERE dataset = 'gold/feature_window' OR (check_kind = 'sql' AND length(check_id) % 2 = 0)""",
     "build_summary": """SELECT gold_datasets, (SELECT sum(n_records) FROM manifest WHERE layer = 1)::BIGINT AS bronze_rows,
         (SELECT n_records FROM manifest WHERE dataset = 'silver/recording') AS samples, checks, n_pass, n_fail, n_flag, ran_at, git_commit

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -30,15 +32,23 @@ def session(master: str | None = None, **conf) -> SparkSession:
 
 
 def scratch(spark: SparkSession, name: str = "work") -> str:
-    """A new folder below the shared folder the cluster names; a machine-local one only in local mode."""
+    """A new folder below the shared folder that spark.checkpoint.dir names. In local mode, where it may be unset, a
+    folder of this application takes its place and goes when the application ends."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = os.path.join(tempfile.gettempdir(), "sampletide")
+        base = _local_base()
     return f"{base.rstrip('/')}/sampletide-{name}-{uuid.uuid4().hex}"
 
 
+@cache
+def _local_base() -> str:
+    base = tempfile.mkdtemp(prefix="sampletide-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
@@ -47,11 +57,16 @@ def exists(spark: SparkSession, path: str) -> bool:
 _WRITTEN: dict = {}
 
 
-def written_once(spark: SparkSession, key: tuple, write) -> str:
-    """Path of a table written once per application: `write(path)` runs on first use of `key`."""
-    key = (spark.sparkContext.applicationId, *key)
+def written_once(spark: SparkSession, inputs: str, name: str, write) -> str:
+    """Path of a table written once per application and state of its inputs: `write(path)` runs on first use.
+
+    The state is the number, bytes and latest change of the files below `inputs`, so changed inputs are read anew.
+    """
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(inputs)
+             .agg({"length": "sum", "modificationTime": "max", "path": "count"}).first())
+    key = (spark.sparkContext.applicationId, inputs, name, *files)
     if key not in _WRITTEN or not exists(spark, _WRITTEN[key]):
-        path = scratch(spark, key[-1])
+        path = scratch(spark, name)
         write(path)
         _WRITTEN[key] = path
     return _WRITTEN[key]

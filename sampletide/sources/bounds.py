@@ -1,15 +1,10 @@
-"""Broadcasts whose size is proven in the plan."""
+"""Small fixed tables as local relations."""
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from sampletide.functions import lid
-
 
 def _constant(value) -> str:
     if value is None:
@@ -27,33 +22,3 @@ def literal(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     values = ", ".join("(" + ", ".join(_constant(v) for v in row) + ")" for row in rows)
     columns = ", ".join(f"cast({f.name} as {f.dataType.simpleString()}) AS {f.name}" for f in fields)
     return spark.sql(f"SELECT {columns} FROM VALUES {values} AS t({', '.join(fields.names)})")
-
-
-def planned_bytes(table: DataFrame) -> int:
-    """The planner's size for a table; for files that is their size on disk, whatever is filtered later."""
-    return int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_bounded(table: DataFrame, what: str, limit: int = lid.MAX_FILES) -> DataFrame:
-    """Broadcast a table that cannot outgrow `limit` rows; the job fails rather than broadcast more.
-
-    A table the planner already knows to be small is left to its own broadcast threshold. Beyond that, the
-    16-bit file field of the lineage id is the bound: no lake holds more than 65,535 source files, so a table
-    with one row per file (audit, lineage, key map) is a few megabytes at most, and numbering its rows in one
-    task proves it. Tables with a row per record or per sample are never passed here: they are joined by shuffle.
-    """
-    threshold = table.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    if planned_bytes(table) <= _in_bytes(threshold):
-        return table
-    number = F.row_number().over(Window.orderBy(F.lit(0)))
-    message = F.lit(f"{what} holds more than {limit} rows, too many to broadcast")
-    guarded = (table.withColumn("_row", number)
-               .where(F.when(F.col("_row") <= limit, True).otherwise(F.raise_error(message).cast("boolean")))
-               .drop("_row"))
-    return F.broadcast(guarded)
-
-
-def _in_bytes(setting: str) -> int:
-    """Bytes of a size setting such as 10485760, 10485760b, 10m or -1."""
-    found = re.fullmatch(r"(-?\d+)([kmgt]?)b?", setting.strip().lower())
-    return int(found[1]) * 1024 ** " kmgt".index(found[2] or " ")

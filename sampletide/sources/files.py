@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import sys
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,48 +25,61 @@ FOOTER_SCHEMA = ("file string, row_group int, group_rows long, column_name strin
                  "created_by string")
 
 
+def filesystem(path: str):
+    """File system and inner path of a URI. Spark's names of object stores are mapped to those the reader knows."""
+    for ours, theirs in (("s3a://", "s3://"), ("s3n://", "s3://"), ("gs://", "gs://"), ("wasbs://", "abfs://"), ("abfss://", "abfs://")):
+        if path.startswith(ours):
+            path = theirs + path[len(ours):]
+    return pafs.FileSystem.from_uri(path)
+
+
 def listing(spark: SparkSession, path, glob: str = "*") -> DataFrame:
     """path, length, modified of every file below `path`; column pruning keeps the content unread."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
             .load(path).select("path", "length", F.col("modificationTime").alias("modified")))
 
 
-def _entries(recursive: bool):
-    def run(batches):
-        for batch in batches:
-            for path in batch.column(0).to_pylist():
-                system, inner = pafs.FileSystem.from_uri(path)
-                scheme = path.split("://", 1)[0]
-                found = (system.get_file_info(pafs.FileSelector(inner, recursive=recursive)) if path.endswith("/")
-                         else [system.get_file_info(inner)])
-                rows = [(f"{scheme}://{i.path}{'' if i.is_file else '/'}", i.size if i.is_file else None) for i in found]
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()),
-                                                  pa.array([r[1] for r in rows], pa.int64())], names=["path", "length"])
-    return run
+def _entries(batches):
+    """What lies directly below each folder, in batches of bounded size."""
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            system, inner = filesystem(path)
+            scheme = path.split("://", 1)[0]
+            found = system.get_file_info(pafs.FileSelector(inner, recursive=False))
+            for at in range(0, len(found), 10_000):
+                part = found[at:at + 10_000]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([f"{scheme}://{i.path}{'' if i.is_file else '/'}" for i in part], pa.string()),
+                    pa.array([i.size if i.is_file else None for i in part], pa.int64())], names=["path", "length"])
 
 
-def every_file(spark: SparkSession, path: str) -> DataFrame:
+def every_file(spark: SparkSession, path: str, folder: str) -> DataFrame:
     """path and length of all files below a folder, empty ones included: Spark's own file scans leave those out.
 
-    One task lists the top level, then each top-level folder is listed by a task of its own.
+    Level by level: the folders of a level are dealt to tasks anew, each level is written below `folder`.
     """
     root = (path if "://" in path else f"file://{path}").rstrip("/") + "/"
-    schema = "path string, length long"
-    top = literal(spark, [(root,)], "path string").mapInArrow(_entries(False), schema)
-    below = top.select("path").repartition("path").mapInArrow(_entries(True), schema)
-    return below.where("length is not null")
+    schema, level, found = "path string, length long", literal(spark, [(root,)], "path string"), []
+    while True:
+        place = f"{folder}/level-{len(found)}"
+        level.repartition("path").mapInArrow(_entries, schema).write.mode("overwrite").parquet(place)
+        now = spark.read.schema(schema).parquet(place)
+        found.append(now.where("length is not null"))
+        level = now.where("length is null").select("path")
+        if level.isEmpty():
+            return reduce(DataFrame.unionByName, found)
 
 
-def aborted(spark: SparkSession, path: str, suffix: str = ".parquet") -> DataFrame:
-    """Empty files an aborted write left behind."""
-    return every_file(spark, path).where(F.col("path").endswith(suffix) & (F.col("length") == 0)).select("path")
+def aborted(spark: SparkSession, path: str, folder: str, suffix: str = ".parquet") -> DataFrame:
+    """Empty files an aborted write left behind. `folder` takes the listing."""
+    return every_file(spark, path, folder).where(F.col("path").endswith(suffix) & (F.col("length") == 0)).select("path")
 
 
 def _hash_files(batches):
     for batch in batches:
         sums = []
         for path in batch.column(0).to_pylist():
-            system, inner = pafs.FileSystem.from_uri(path)
+            system, inner = filesystem(path)
             hasher = hashlib.sha256()
             with system.open_input_stream(inner) as source:
                 while chunk := source.read(1 << 22):
@@ -111,7 +125,7 @@ def dataset_versions(file_digests: DataFrame) -> DataFrame:
 def _read_footers(batches):
     for batch in batches:
         for path in batch.column(0).to_pylist():
-            system, inner = pafs.FileSystem.from_uri(path)
+            system, inner = filesystem(path)
             with system.open_input_file(inner) as source:
                 footer = pq.ParquetFile(source).metadata
             rows = []
@@ -141,13 +155,33 @@ def footers(spark: SparkSession, path) -> DataFrame:
     return listing(spark, path, "*.parquet").select("path").mapInArrow(_read_footers, FOOTER_SCHEMA)
 
 
+def write_blobs(rows: DataFrame, root: str) -> None:
+    """Files named by a row's `path` below `root`, holding its `content` (text). A task writes under a name of its own
+    and renames, so a repeated task leaves one file."""
+    target = root if "://" in root else f"file://{root}"
+
+    def run(batches):
+        import uuid
+        for batch in batches:
+            for below, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                system, base = filesystem(target)
+                place = f"{base.rstrip('/')}/{below}"
+                system.create_dir(place.rsplit("/", 1)[0], recursive=True)
+                trial = f"{place.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}"
+                with system.open_output_stream(trial) as out:
+                    out.write(content.encode())
+                system.move(trial, place)
+            yield batch.select([0])
+    rows.select("path", "content").mapInArrow(run, "path string").write.format("noop").mode("overwrite").save()
+
+
 def copy(spark: SparkSession, source: str, target: str, glob: str = "*.parquet") -> DataFrame:
     """Copy files byte for byte on the executors; a retried task writes the same bytes again."""
     def run(batches):
         for batch in batches:
             for path, below in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                reading, inner = pafs.FileSystem.from_uri(path)
-                writing, base = pafs.FileSystem.from_uri(target_uri)
+                reading, inner = filesystem(path)
+                writing, base = filesystem(target_uri)
                 place = f"{base.rstrip('/')}/{below}"
                 writing.create_dir(place.rsplit("/", 1)[0], recursive=True)
                 with reading.open_input_stream(inner) as r, writing.open_output_stream(place) as w:

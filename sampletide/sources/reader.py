@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from sampletide.sources.bounds import broadcast_bounded
 from sampletide.sources.registry import DATASETS, Dataset
 
 
 def committed(rows: DataFrame, audit: DataFrame) -> DataFrame:
     """Rows of ingests the audit names. An ingest that failed before its audit row stays invisible."""
-    return rows.join(broadcast_bounded(audit.select("ingest_id"), "the ingest audit"), "ingest_id", "left_semi")
+    return rows.join(audit.select("ingest_id"), "ingest_id", "left_semi")
 
 
 def read_files(spark: SparkSession, dataset: Dataset, path: str) -> DataFrame:
@@ -45,11 +44,3 @@ def register_views(spark: SparkSession, root: str) -> None:
     """A temp view per dataset: `silver/recording` is `silver_recording`."""
     for name, described in DATASETS.items():
         dataset(spark, root, name).createOrReplaceTempView(described.view)
-
-
-def union_by_name(*tables: DataFrame) -> DataFrame:
-    """Generations of an append-only table; a column an older one lacks reads NULL."""
-    merged = tables[0]
-    for other in tables[1:]:
-        merged = merged.unionByName(other, allowMissingColumns=True)
-    return merged

@@ -77,7 +77,7 @@ DATASETS = {d.name: d for d in (
     Dataset("bronze/ingest_audit", _columns(
         "ingest_id:string data_root:string source_path_rel:string source_url:string sha256:string bytes:long "
         "sample_rate_hz:int rows_written:long tool:string tool_version:string engine_version:string "
-        "ingest_host:string ingested_at:timestamp")),
+        "ingest_host:string ingested_at:timestamp ingest_ord:int")),
     Dataset("silver/subject", _columns("subject_pid:string first_seen_at:timestamp"),
             unique=(("subject_pid",),), forbidden=_PID),
     Dataset("silver/record", _columns(

@@ -6,6 +6,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sampletide.session import scratch
+from sampletide.sources.files import listing
 from sampletide.sources.registry import DATASETS
 
 # Most rows per row group the layout check accepts, rows written per group, rows per file.
@@ -13,6 +15,8 @@ MAX_ROWS_PER_GROUP = 200_000
 ROWS_PER_GROUP = 198_656
 ROWS_PER_FILE = 20_000_000
 DELTA_COLUMNS = ("sample_idx", "ts_ms")
+# Bytes at rest that one task sorts and writes.
+RANGE_BYTES = 128 * 1024**2
 
 
 def clustered(rows: DataFrame, *partitions: str) -> DataFrame:
@@ -39,6 +43,14 @@ def write_dataset(rows: DataFrame, root: str, name: str, mode: str = "append") -
     writer(rows.select(*described.fields), f"{root}/{name}", *described.partitions)
 
 
+def written_aside(rows: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """The rows as a table in scratch, and its bytes."""
+    path = scratch(rows.sparkSession, name)
+    rows.write.parquet(path)
+    held = listing(rows.sparkSession, path, "*.parquet").agg({"length": "sum"}).first()[0] or 0
+    return rows.sparkSession.read.schema(rows.schema).parquet(path), held
+
+
 @contextmanager
 def _kept_sort_order(spark: SparkSession):
     """The planned partitioned write may re-sort by partition alone and lose the order inside files."""
@@ -52,15 +64,18 @@ def _kept_sort_order(spark: SparkSession):
 
 
 def layout_write(rows: DataFrame, path: str, partitions=("experiment", "subject_pid"), order=("lid", "sample_idx"),
-                 ranges: int | None = None, codec: str = "snappy", version: str = "v2",
+                 ranges: int | None = None, split_by=None, codec: str = "snappy", version: str = "v2",
                  rows_per_group: int = ROWS_PER_GROUP, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Partitioned files, each sorted by `order`, row groups bounded by rows.
 
     Range partitioning on partition and sort columns together cuts a hot partition into many tasks and files
-    with disjoint key ranges, so no task holds a whole subject and id ranges still prune files.
+    with disjoint key ranges, so no task holds a whole subject and id ranges still prune files. Range bounds need a
+    sample of the rows, so derived rows are written to scratch first rather than derived twice; the number of ranges
+    follows the bytes of that table unless it is given. `split_by` names other range columns, for small tables.
     """
     keys = [*partitions, *order]
-    split = rows.repartitionByRange(ranges, *keys) if ranges else rows.repartitionByRange(*keys)
+    rows, held = written_aside(rows, "layout")
+    split = rows.repartitionByRange(ranges or max(1, -(-held // RANGE_BYTES)), *(split_by or keys))
     writer = (split.sortWithinPartitions(*keys).write.mode("overwrite")
               .option("compression", codec)
               .option("parquet.block.row.count.limit", rows_per_group)

@@ -123,6 +123,23 @@ def test_schemas_are_the_contracts(lake_inputs):
         assert have == want, name
 
 
+@pytest.mark.parametrize("levels", [7, None])
+@pytest.mark.parametrize("sorted_", [True, False])
+def test_record_stats_of_few_levels_and_of_continuous_values(spark, levels, sorted_):
+    value = (F.floor(F.rand(3) * levels) if levels else F.randn(3)).cast("float")
+    samples = spark.range(60_000).select(F.concat(F.lit("r"), F.pmod(F.xxhash64("id"), F.lit(23))).alias("lid"),
+                                         F.when(F.col("id") % 97 > 0, value).alias("value_uv"))
+    samples = samples.sort("lid").cache() if sorted_ else samples.cache()
+    got = gold.record_stats(samples)
+    v = F.col("value_uv")
+    ends = samples.groupBy("lid").agg(F.min(v).alias("l"), F.max(v).alias("h"))
+    want = samples.join(ends, "lid").groupBy("lid").agg(
+        F.count("*").alias("n_samples"), F.sum((v * v).cast("double")).alias("sum_squares"), F.min("l").alias("lo"), F.max("h").alias("hi"),
+        F.count_if(v == F.col("l")).alias("n_lo"), F.count_if(v == F.col("h")).alias("n_hi"))
+    shape = lambda t: sorted(map(tuple, t.withColumn("sum_squares", F.round("sum_squares", 4)).collect()))
+    assert shape(got) == shape(want)
+
+
 def test_hot_record_of_a_third(spark):
     """A record with a third of all samples, in one window more than in the others: counts stay whole."""
     rows = spark.range(30_000).select(

@@ -1,3 +1,6 @@
+import pathlib
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,6 +37,26 @@ def test_evidence_grows_by_runs_and_digests_are_stable(spark, lake):
     assert agreed.where("dataset not in ('gold/evidence') and dataset_version <> checked").count() == 0 and agreed.count() > 5
 
 
+def test_no_rule_vanishes_with_its_data(spark, lake_inputs):
+    """Without a dataset, a capture or the folder of captures, every rule still has its row, failing or in error."""
+    root = plan.build(lake_inputs, scratch(spark, "test-lost"))
+    every = {r["check_id"]: r for r in plan.evidence(spark, root, "R1").collect()}
+    shutil.rmtree(f"{root}/silver/recording")
+    captures = sorted(p for p in pathlib.Path(f"{root}/raw").rglob("*.mat"))
+    captures[0].unlink()
+    captures[1].write_text("tampered")
+    lost = {r["check_id"]: r for r in plan.evidence(spark, root, "R2").collect()}
+    assert set(lost) == set(every)
+    mine = {i: r["result"] for i, r in lost.items() if r["dataset"] == "silver/recording"}
+    assert mine["SAMPLES-THERE/row_count_min/silver/recording/1"] == "fail"
+    assert [r for i, r in mine.items() if "partition_layout" in i] == ["error"]
+    intact = next(i for i in lost if i.startswith("CAPTURE-INTACT"))
+    assert (every[intact]["result"], every[intact]["observed"]) == ("pass", "0")
+    assert (lost[intact]["result"], lost[intact]["observed"]) == ("fail", "2")
+    shutil.rmtree(f"{root}/raw")
+    assert {r["check_id"]: r["result"] for r in plan.evidence(spark, root, "R3").collect()}[intact] == "error"
+
+
 def test_failing_checks_become_error_rows(spark, lake):
     broken = rules.Rule("x/sql", "x", "contract", "silver/record", "sql", "block", "c", {"sql": "SELECT nothing FROM nowhere"})
     missing = rules.Rule("x/null", "x", "contract", "silver/record", "not_null", "block", "c", {"column": "absent"})
@@ -62,8 +85,25 @@ def test_publication_is_refused_with_a_canary_in_gold(spark, lake_inputs):
     plan.evidence(spark, root)
     out = scratch(spark, "test-out")
     listed = plan.publish_gold(spark, root, out)
-    again = files.digests(spark, f"{root}/gold").select("sha256")
-    assert rows(listed.select("sha256")) == rows(again)
+    sources = files.digests(spark, f"{root}/gold").select("sha256")
+    assert rows(listed.select("sha256")) == rows(sources)
+    assert listed.where("path like 'gold/build_summary/%'").count() > 0
+    # Rewritten and published again: the new version alone, with the same rows.
+    quality = spark.read.parquet(f"{root}/gold/channel_quality")
+    kept = rows(quality)
+    quality.repartition(3).write.parquet(f"{root}/aside")
+    spark.read.parquet(f"{root}/aside").write.mode("overwrite").parquet(f"{root}/gold/channel_quality")
+    again = plan.publish_gold(spark, root, out)
+    place = plan.published_root(spark, out)
+    assert place.endswith(again.first()["version"])
+    assert rows(spark.read.parquet(f"{place}/gold/channel_quality").select(*quality.columns)) == kept
+    assert rows(again.select("sha256")) == rows(files.digests(spark, f"{root}/gold").select("sha256"))
+    results = {r["check_id"]: r["result"] for r in plan.recheck_published(spark, out).collect()}
+    assert set(results.values()) <= {"pass", "fail"}
+    broken = next(pathlib.Path(f"{place}/gold/feature_window").rglob("*.parquet"))
+    broken.unlink()
+    after = {r["check_id"]: r["result"] for r in plan.recheck_published(spark, out).collect()}
+    assert {i for i, r in after.items() if r == "not run"} == {i for i in results if "/gold/feature_window" in i}
     lost = spark.createDataFrame([("f" * 40,)], "git_commit string")
     with pytest.raises(ValueError, match="commits"):
         plan.publish_gold(spark, root, scratch(spark, "test-out"), lost)

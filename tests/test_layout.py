@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sampletide.operators import layout
+from sampletide.session import scratch
 from sampletide.sources import files, reader, writer
 from sampletide.sources.registry import DATASETS
 
@@ -102,7 +103,9 @@ def test_middle_record_is_the_middle(lake_inputs):
 def test_empty_files_are_reported(spark, tmp_path):
     (tmp_path / "a.parquet").write_bytes(b"")
     (tmp_path / "b.parquet").write_bytes(b"x")
-    assert [r["path"].rsplit("/")[-1] for r in files.aborted(spark, str(tmp_path)).collect()] == ["a.parquet"]
+    (tmp_path / "d" / "e").mkdir(parents=True)
+    (tmp_path / "d" / "e" / "c.parquet").write_bytes(b"")
+    assert [r["path"].rsplit("/")[-1] for r in files.aborted(spark, str(tmp_path), scratch(spark, "test-listing")).orderBy("path").collect()] == ["a.parquet", "c.parquet"]
 
 
 def test_dataset_version_is_the_digest_of_sorted_digests(spark, tmp_path):
