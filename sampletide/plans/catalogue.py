@@ -596,9 +596,10 @@ def check_verdicts(f):
 
 @query
 def evidence_run(f):
-    """A lake built and checked end to end; its evidence rows."""
+    """A lake built and checked end to end; its evidence rows. The age of files is shown in whole days."""
     root = lake_plan.build(f, scratch(f.spark, "lake"))
-    return lake_plan.evidence(f.spark, root).drop("ran_at")
+    whole = F.when(F.col("check_kind") == "retention", F.floor(F.col("observed").cast("double")).cast("string")).otherwise(F.col("observed"))
+    return lake_plan.evidence(f.spark, root).select("check_id", "dataset", "check_kind", "severity", "result", whole.alias("observed"), "expected")
 
 
 @query

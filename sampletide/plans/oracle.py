@@ -6,9 +6,14 @@ digit from text, quality is computed from the samples directly, the spectrum bin
 
 from __future__ import annotations
 
+import csv
+import fnmatch
+import json
 import re
 
 from sampletide.plans.fixtures import AREAS, TEST_SECRET
+from sampletide.sources import rules
+from sampletide.sources.registry import DATASETS
 
 _IPAD = bytes(b ^ 0x36 for b in TEST_SECRET.ljust(64, b"\0")).hex()
 _OPAD = bytes(b ^ 0x5C for b in TEST_SECRET.ljust(64, b"\0")).hex()
@@ -254,6 +259,57 @@ def _contract_sql():
             "WHEN observed::DOUBLE = expected::DOUBLE THEN 'pass' ELSE 'fail' END AS result FROM (" + " UNION ALL ".join(parts) + ")")
 
 
+_LAKE_VIEWS = {
+    "bronze/recording": "bronze", "bronze/electrode": "bronze_electrodes", "bronze/event": "bronze_events",
+    "bronze/ingest_audit": "(SELECT *, ingest_ord AS stored FROM ingests)", "silver/subject": "(SELECT subject_pid, created_at AS first_seen_at FROM keys)",
+    "silver/record": "record", "silver/recording": "recording", "silver/electrode": "electrode", "silver/event": "event",
+    "gold/channel_quality": "quality", "gold/experiment_summary": "summary", "gold/feature_window": "windows"}
+_PACES = ("SELECT s.experiment || ' ' || s.subject_pid AS offender, s.pace FROM (SELECT *, 60.0::DOUBLE * n_events / nullif(duration_s::DOUBLE, 0) AS pace FROM summary) s "
+          "JOIN (SELECT experiment, median(60.0::DOUBLE * n_events / nullif(duration_s::DOUBLE, 0)) AS typical FROM summary GROUP BY experiment) m USING (experiment) "
+          "WHERE NOT s.pace BETWEEN 0.5 * m.typical AND 2 * m.typical")
+
+
+def _evidence_sql():
+    """Every rule of the packaged file and of the contracts with what it observes in the fixture's lake.
+
+    Tables that the build fills itself (evidence, manifest, subjects' keys) have no NULL; files and captures are intact.
+    """
+    owned = [(r.check_id, r.dataset, r.kind, r.severity, r.expected, r.params) for r in rules.contract_rules()]
+    with rules.REQUIREMENTS.open(encoding="utf-8", newline="") as lines:
+        for row in csv.DictReader(lines):
+            params = json.loads(row["params"])
+            for name in [n for n in DATASETS if fnmatch.fnmatchcase(n, row["dataset"])] or [row["dataset"]]:
+                check = "/".join([row["requirement_id"], row["check_kind"], name, *map(str, params.values())])
+                fixed = {"row_count_min": "min", "retention": "max_age_days"}.get(row["check_kind"])
+                expected = str(params[fixed]) if fixed else "no records" if row["check_kind"] == "sql" and row["severity"] == "flag" else "0"
+                owned.append((check, name, row["check_kind"], row["severity"], expected, params))
+    parts = []
+    for check, name, kind, severity, expected, params in owned:
+        view, observed = _LAKE_VIEWS.get(name), "0"
+        if kind == "row_count_min":
+            observed = f"(SELECT count(*) FROM {view})" if view else "0"
+        elif kind == "not_null" and view:
+            observed = f"(SELECT count(*) - count({params['column']}) FROM {view})"
+        elif kind == "unique" and view:
+            observed = f"(SELECT count(*) FROM (SELECT 1 FROM {view} GROUP BY {', '.join(params['columns'])} HAVING count(*) > 1))"
+        elif kind == "accepted_values" and view:
+            listed = ", ".join(f"'{v}'" for v in params["values"])
+            observed = f"(SELECT count(*) FROM {view} WHERE {params['column']} NOT IN ({listed}))"
+        elif kind == "sql" and severity == "block":
+            observed = f"(SELECT count(*) FROM {view} WHERE {_canary('lid')})"
+        elif kind == "sql" and "low" in params:
+            observed = "(" + _flag(f"SELECT {_text('lid')} AS offender, rms_uv, lid FROM quality WHERE NOT rms_uv BETWEEN 1 AND 1000", "rms_uv DESC, lid", "quality") + ")"
+        elif kind == "sql" and "share" in params:
+            observed = "(" + _flag(f"SELECT {_text('lid')} AS offender, line_noise_ratio, lid FROM quality WHERE NOT line_noise_ratio < 0.5", "line_noise_ratio DESC, lid", "quality") + ")"
+        elif kind == "sql":
+            observed = "(" + _flag(_PACES, "pace DESC, offender", "summary") + ")"
+        quoted = check.replace("'", "''")
+        parts.append(f"SELECT '{quoted}' AS check_id, '{name}' AS dataset, '{kind}' AS check_kind, '{severity}' AS severity, ({observed})::VARCHAR AS observed, '{expected}' AS expected")
+    relation = ("CASE check_kind WHEN 'row_count_min' THEN observed::DOUBLE >= expected::DOUBLE WHEN 'retention' THEN observed::DOUBLE <= expected::DOUBLE "
+                "ELSE observed = expected END")
+    return f"SELECT *, CASE WHEN {relation} THEN 'pass' ELSE 'fail' END AS result FROM (" + " UNION ALL ".join(parts) + ")"
+
+
 _MANIFEST_SOURCES = {
     "bronze/recording": ("1", "bronze", "ingest_ord"), "silver/record": ("2", "record", None), "silver/recording": ("2", "recording", "ingest_ord"),
     "silver/event": ("2", "event", None), "gold/feature_window": ("3", "windows", None)}
@@ -274,6 +330,7 @@ def _outcome():
 _BLOB_FILES = "SELECT path, length(content)::BIGINT AS bytes, sha256(content) AS sha256 FROM blobs"
 
 STATEMENTS = {
+    "evidence_run": _evidence_sql(),
     # scans, sinks, layout
     "scan_dataset": "SELECT experiment, subject_src, count(*) AS n_rows, max(lid) AS last_lid FROM bronze_events GROUP BY ALL",
     "union_by_name_scan": """SELECT run_id, count(*) AS n_rows, CASE WHEN run_id = 'R0' THEN 0 ELSE count(*) END AS with_control,

@@ -10,7 +10,7 @@ FIELDS = tuple(name for name, _, _ in lid.HIGH_FIELDS + lid.LOW_FIELDS)
 SHIFTS = tuple(shift + 64 for _, _, shift in lid.HIGH_FIELDS) + tuple(shift for _, _, shift in lid.LOW_FIELDS)
 WIDTHS = tuple(width for _, width, _ in lid.HIGH_FIELDS + lid.LOW_FIELDS)
 _RANDOM = random.Random(5)
-CASES = [tuple(_RANDOM.getrandbits(w) for w in WIDTHS) for _ in range(6)] + [
+CASES = [tuple(_RANDOM.getrandbits(w) for w in WIDTHS) for _ in range(6)] + [(5, 2, 3, 4, 5, 6, 7, 1),
     tuple(0 for _ in WIDTHS), tuple((1 << w) - 1 for w in WIDTHS), *(tuple((1 << w) - 1 if i == j else 0 for j, w in enumerate(WIDTHS)) for i in range(len(WIDTHS)))]
 SCHEMA = ", ".join(f"{f} long" for f in FIELDS)
 
