@@ -38,8 +38,8 @@ def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read(manifest)
 
 
-def op7_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring.repeats(table(spark, sf_dir, "documents"), written)
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.passages(table(spark, sf_dir, "documents"), written)
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,9 +56,9 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (op1_pii_spans, op2_source_mix, op3_best_fit_packing, op4_toxicity, op5_quality_rules, op6_token_ids,
-             op7_repeated_lines, op8_license_scan, op9_near_vectors, op10_near_duplicates)
+             op7_repeated_passages, op8_license_scan, op9_near_vectors, op10_near_duplicates)
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_source_mix": mixing.TAKEN_SQL, "op7_repeated_lines": substring.REPEATS_SQL}
+    return {"op2_source_mix": mixing.TAKEN_SQL, "op7_repeated_passages": substring.PASSAGES_SQL}
