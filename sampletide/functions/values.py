@@ -20,20 +20,5 @@ def to_microvolt(value_raw: Column, uv_per_unit: Column) -> Column:
     return (value_raw.cast("float") * uv_per_unit.cast("float")).cast("float")
 
 
-def hmac_sha256_hex(secret: bytes, message: Column) -> Column:
-    """HMAC from two nested digests, all on the JVM. Only the padded blocks of the secret enter the plan."""
-    key = secret.ljust(64, b"\0")
-    if len(key) != 64:
-        raise ValueError("the secret must be at most 64 bytes")
-    inner = F.unhex(F.lit(bytes(b ^ 0x36 for b in key).hex()))
-    outer = F.unhex(F.lit(bytes(b ^ 0x5C for b in key).hex()))
-    digest = F.unhex(F.sha2(F.concat(inner, F.encode(message, "UTF-8")), 256))
-    return F.sha2(F.concat(outer, digest), 256)
-
-
-def pseudonym(secret: bytes, code: Column) -> Column:
-    return F.substring(hmac_sha256_hex(secret, code), 1, 16)
-
-
 def source_path(data_root: Column, path: Column) -> Column:
     return F.when(path.startswith("/"), path).otherwise(F.concat_ws("/", data_root, path))

@@ -419,9 +419,9 @@ def keymap_new(f):
 @query
 def reidentify(f):
     """Requests for every subject's pseudonym, every seventh one unknown; logged, then answered."""
-    who = F.concat(F.lit("u"), F.col("event_id") % 10)
-    pid = F.when(F.col("event_id") % 7 == 0, F.lit("0" * 16)).otherwise(values.pseudonym(TEST_SECRET, who))
-    requests = f.table("events").select(F.col("event_id").alias("request_id"), F.col("ts").alias("accessed_at"),
+    who = f.table("events").withColumn("who", F.concat(F.lit("u"), F.col("event_id") % 10))
+    pid = F.when(F.col("event_id") % 7 == 0, F.lit("0" * 16)).otherwise(F.col("subject_pid"))
+    requests = pseudonym.pseudonymise(who, TEST_SECRET, "who").select(F.col("event_id").alias("request_id"), F.col("ts").alias("accessed_at"),
                                         F.lit("auditor").alias("actor"), F.lit("inspection").alias("purpose"), pid.alias("subject_pid"))
     answered = pseudonym.reidentify(requests, f.key_map, f"{scratch(f.spark, 'access')}/log")
     return answered.select("request_id", "subject_pid", "subject_src")

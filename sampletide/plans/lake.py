@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
 from functools import reduce
 
@@ -17,6 +18,8 @@ from sampletide.sources import files, reader, rules, writer
 from sampletide.sources.bounds import literal
 from sampletide.sources.registry import DATASETS, UNIT_SCALE
 
+# Datasets whose checks run at the same time: jobs of one session, which shares its tasks between them.
+SIDE_BY_SIDE = 6
 SIMPLE_KINDS = ("not_null", "row_count_min", "accepted_values", "no_direct_identifier")
 
 
@@ -159,10 +162,9 @@ def _observe_other(spark: SparkSession, root: str, rule: rules.Rule) -> DataFram
 def observations(spark: SparkSession, root: str, owned: list[rules.Rule]) -> list[tuple]:
     """(check_id, observed, error) of every rule. A check that fails becomes an error row and stops nothing.
 
-    One-pass rules of a dataset share a scan; only if that scan fails are they run one by one.
+    One-pass rules of a dataset share a scan; only if that scan fails are they run one by one. Datasets are checked
+    side by side, each by jobs of its own.
     """
-    seen = []
-
     def attempt(plan, ids):
         try:
             rows = plan().collect()
@@ -170,18 +172,28 @@ def observations(spark: SparkSession, root: str, owned: list[rules.Rule]) -> lis
         except PySparkException as e:
             return [(i, None, str(e).splitlines()[0]) for i in ids]
 
-    for name in dict.fromkeys(r.dataset for r in owned):
-        simple = [r for r in owned if r.dataset == name and r.kind in SIMPLE_KINDS]
+    def of_dataset(name):
+        seen, mine = [], [r for r in owned if r.dataset == name]
+        simple = [r for r in mine if r.kind in SIMPLE_KINDS]
         if simple:
             rows = reader.dataset(spark, root, name)
-            found = attempt(lambda: observe_simple(rows, simple), [r.check_id for r in simple])
+            seen = attempt(lambda: observe_simple(rows, simple), [r.check_id for r in simple])
+            if any(e for _, _, e in seen):
+                seen = [o for r in simple for o in attempt(lambda: observe_simple(rows, [r]), [r.check_id])]
+        named = lambda rule: _observe_other(spark, root, rule).select(
+            F.lit(rule.check_id).alias("check_id"), F.col("observed").cast("string"))
+        unique = [r for r in mine if r.kind == "unique"]
+        if unique:
+            found = attempt(lambda: reduce(DataFrame.unionByName, [named(r) for r in unique]), [r.check_id for r in unique])
             if any(e for _, _, e in found):
-                found = [o for r in simple for o in attempt(lambda: observe_simple(rows, [r]), [r.check_id])]
-            seen += found
-        for rule in (r for r in owned if r.dataset == name and r.kind not in SIMPLE_KINDS):
-            seen += attempt(lambda: _observe_other(spark, root, rule).select(
-                F.lit(rule.check_id).alias("check_id"), F.col("observed").cast("string")), [rule.check_id])
-    return seen
+                found = [o for r in unique for o in attempt(lambda: named(r), [r.check_id])]
+            seen = seen + found
+        for rule in (r for r in mine if r.kind not in (*SIMPLE_KINDS, "unique")):
+            seen = seen + attempt(lambda: named(rule), [rule.check_id])
+        return seen
+
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        return [o for part in pool.map(of_dataset, dict.fromkeys(r.dataset for r in owned)) for o in part]
 
 
 def evidence(spark: SparkSession, root: str, run_id: str = "R1", commit: str = "0000000",

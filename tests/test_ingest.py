@@ -93,11 +93,14 @@ def test_uncommitted_rows_are_invisible(lake_inputs):
 
 
 def test_pseudonym_is_the_standard_hmac(spark):
-    secret = bytes(range(32))
-    codes = ["u0", "", "é", "x" * 200]
-    rows = pseudonym.pseudonymise(spark.createDataFrame([(c,) for c in codes], "subject_src string"), secret).collect()
-    for r in rows:
-        assert r["subject_pid"] == hmac.new(secret, r["subject_src"].encode(), hashlib.sha256).hexdigest()[:16]
+    codes = ["u0", "", "é", "x" * 200, None, "u0"]
+    for secret in (bytes(range(32)), b"k" * 200):
+        made = pseudonym.pseudonymise(spark.createDataFrame([(c,) for c in codes], "subject_src string"), secret)
+        for r in made.collect():
+            code = r["subject_src"]
+            assert r["subject_pid"] == (None if code is None else hmac.new(secret, code.encode(), hashlib.sha256).hexdigest()[:16])
+        plan = made._jdf.queryExecution().toString()
+        assert secret.hex() not in plan and bytes(b ^ 0x36 for b in secret[:64].ljust(64, b"\0")).hex() not in plan.lower()
 
 
 def test_reidentification_is_logged_first(spark, lake_inputs, tmp_path):
