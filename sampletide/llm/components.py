@@ -2,7 +2,7 @@
 
 Every round ties each node's greater neighbours to its smallest one, then its smaller neighbours to the smallest of
 them, until all nodes hang on the smallest of their component. A round is two aggregates and two joins over the links
-and is written, so lineage stays short; the driver sees a count and a checksum.
+and is written, so lineage stays short; the driver sees a count and a checksum. Nodes with many links are salted.
 """
 
 from __future__ import annotations
@@ -16,6 +16,25 @@ from sampletide.llm.common import travels
 travels(__name__)
 
 
+SALTS, HOT_NODES = 64, 1000
+
+
+def with_least(links: DataFrame, key: str, other: str, least, written, n: int) -> DataFrame:
+    """`links` with m, the least of `other` of each `key`.
+
+    Nodes with more than 2 n / HOT_NODES of the n links are at most HOT_NODES, so that table may be broadcast. Their
+    links are dealt by a salt as well, and their row of the least is there once for each salt.
+    """
+    found = written(links.groupBy(key).agg(least.alias("m"), F.count("*").alias("degree")), "least")
+    limit = max(1000, 2 * n // HOT_NODES)
+    hot = found.where(F.col("degree") > limit).select(F.col(key).alias("hot"))
+    salts = F.when(F.col("degree") > limit, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    spread = found.select(key, "m", F.explode(salts).alias("salt"))
+    salt = F.when(F.col("hot").isNotNull(), F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    return (links.join(F.broadcast(hot), F.col(key) == F.col("hot"), "left").withColumn("salt", salt).drop("hot")
+            .join(spread, [key, "salt"]).drop("salt"))
+
+
 def connected(links: DataFrame, written) -> DataFrame:
     """node, root (smallest node of its component) of every node but the roots; `links` has long columns a and b."""
     now = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
@@ -26,11 +45,11 @@ def connected(links: DataFrame, written) -> DataFrame:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = state
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select("b", "a"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = written(small.union(low.select("a", F.col("m").alias("b"))).distinct(), "links")
+        tied = with_least(both, "u", "v", F.least(F.min("v"), F.min("u")), written, 2 * state[0])
+        large = written(tied.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct(), "links")
+        tied = with_least(large, "a", "b", F.min("b"), written, 2 * state[0])
+        small = tied.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
+        now = written(small.distinct(), "links")
 
 
 class Sets:

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from sampletide.llm import minhash
+from sampletide.llm import components, minhash
 from sampletide.llm.components import Sets, connected
 
 
@@ -67,11 +67,13 @@ def test_intersections():
     assert minhash.intersections(sets[:12], sets[12:], width=7).tolist() == want
 
 
-def test_components(spark, kept_table):
+@pytest.mark.parametrize("hot", [1000, 1_000_000])
+def test_components(spark, kept_table, monkeypatch, hot):
+    monkeypatch.setattr(components, "HOT_NODES", hot)
     rng = random.Random(10)
-    links = [(rng.randrange(3000), rng.randrange(3000)) for _ in range(1400)] + [(i, i + 1) for i in range(5000, 5200)] + [(9000, 9000 + i) for i in range(1, 500)]
+    links = [(rng.randrange(3000), rng.randrange(3000)) for _ in range(1400)] + [(i, i + 1) for i in range(5000, 5200)] + [(9000, 9000 + i) for i in range(1, 2500)] + [(20_000, 12_000 + i) for i in range(1, 2500)]
     got = {r.node: r.root for r in connected(spark.createDataFrame(links, "a long, b long"), kept_table).collect()}
-    sets = Sets(10_000)
+    sets = Sets(20_001)
     for a, b in links:
         sets.join(a, b)
     assert got == {i: int(r) for i, r in enumerate(sets.roots()) if r != i}
