@@ -3,12 +3,13 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from sampletide.plans import catalogue, oracle
 from verify import TABLES, bag
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = queries(), oracle_sql()
-# Built and checked end to end in test_lake.
+QUERIES, ORACLES = catalogue.queries(), oracle.oracle_sql()
+# Built and checked end to end in test_lake; verify.py compares its rows with SQL.
 SLOW = {"evidence_run"}
 
 
