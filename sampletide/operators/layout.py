@@ -10,17 +10,6 @@ from sampletide.session import materialise
 from sampletide.sources import files, writer
 
 
-def encoding_report(footers: DataFrame) -> DataFrame:
-    """Per column: encodings, chunks with a dictionary, bytes, bytes per value, share of all bytes."""
-    columns = footers.groupBy("column_name").agg(
-        F.array_join(F.array_sort(F.collect_set("encodings")), ", ").alias("encodings"),
-        F.count_if("has_dictionary").alias("dictionary_groups"), F.count(F.lit(1)).alias("row_groups"),
-        F.sum("n_values").alias("n_values"), F.sum("packed_bytes").alias("packed_bytes"), F.sum("raw_bytes").alias("raw_bytes"))
-    packed = F.col("packed_bytes").cast("double")
-    return (columns.withColumn("bytes_per_value", F.round(packed / F.col("n_values"), 2))
-            .withColumn("percent", F.round(100.0 * packed / F.sum("packed_bytes").over(Window.partitionBy(F.lit(1))), 1)))
-
-
 def encoding_cells(footers: DataFrame, columns=("ts_ms", "sample_idx", "value_uv")) -> DataFrame:
     """Row groups, and packed bytes and encodings of the named columns, one row."""
     named = lambda c, x: F.when(F.col("column_name") == c, F.col(x))
@@ -31,16 +20,6 @@ def encoding_cells(footers: DataFrame, columns=("ts_ms", "sample_idx", "value_uv
     return footers.agg(groups, *cells)
 
 
-def footer_totals(footers: DataFrame) -> DataFrame:
-    """Files, row groups, rows and the writers named in the footers."""
-    groups = footers.groupBy("file", "row_group").agg(
-        F.max("group_rows").alias("group_rows"), F.max("created_by").alias("created_by"))
-    by_file = groups.groupBy("file").agg(F.count(F.lit(1)).alias("row_groups"), F.sum("group_rows").alias("n"),
-                                         F.max("created_by").alias("created_by"))
-    return by_file.agg(F.count(F.lit(1)).alias("files"), F.sum("row_groups").alias("row_groups"), F.sum("n").alias("n_rows"),
-                       F.array_join(F.array_sort(F.collect_set("created_by")), ", ").alias("writers"))
-
-
 def exact_sum(rows: DataFrame, value: str = "value_uv") -> DataFrame:
     """Row count and a sum that does not depend on the order of addition. Through DOUBLE: a FLOAT cast straight
     to DECIMAL is rounded in single precision by some engines."""

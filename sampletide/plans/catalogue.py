@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sampletide.functions import lid, values
 from sampletide.operators import checks, gold, ingest, layout, lineage, manifest, pseudonym, publish, spectral
 from sampletide.plans import lake as lake_plan
-from sampletide.plans.fixtures import (AREAS, CUE_RANGES, SENTINEL, SPECTRAL_RATE, TEST_SECRET, UNCOMMITTED, Fixture)
+from sampletide.plans.fixtures import (AREAS, CUE_RANGES, SENTINEL, SPECTRAL_RATE, TEST_SECRET, Fixture)
 from sampletide.session import scratch
 from sampletide.sources import files, reader, rules, writer
-from sampletide.sources.registry import DATASETS, EXPERIMENT_CODES
+from sampletide.sources.registry import DATASETS
 
 REGISTRY: dict = {}
 
