@@ -1,10 +1,11 @@
 """Quality rules whose cutoffs are chosen with a guarantee on false rejections.
 
-Rules reject a document when a signal lies beyond a cutoff. Cutoffs come from labelled holdouts: per stratum (language)
-and rule, cutoffs are tried from the mildest to the strictest. Each is a test of "more than the allowed share of good
-documents is rejected", done with the exact binomial (Clopper-Pearson) bound; the strictest before the first failure
-is taken, so the fixed order needs no correction inside a rule, and the error level is divided by the number of rules
-times strata (Bonferroni). A stratum with too few labels certifies nothing and rejects nothing.
+Rules reject a document when a signal lies beyond a cutoff. Cutoffs come from labelled holdouts: per stratum (language),
+the cutoffs of all rules are tightened along one fixed PATH of moves (rule, step). Each move is a test of "more than the
+allowed share of good documents is rejected by any rule", done with the exact binomial (Clopper-Pearson) bound; the last
+move before the first failure is taken, so the fixed order needs no correction inside a stratum, and the error level is
+divided by the number of strata only (Bonferroni). A stratum with too few labels (fewer than log(delta / strata) /
+log(1 - risk), 437 with four strata) certifies nothing and rejects nothing.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ SYMBOLS = "#*$%&|<>"
 STEPS = tuple(round(1.0 - i / 40, 4) for i in range(40))
 RULES = ("symbols", "dup_lines", "repeat_words", "long_words", "upper", "few_distinct")
 RISK, DELTA = 0.01, 0.05
+# Moves as places in RULES and STEPS: the milder half of the steps for all rules in turn, then the rest rule by rule.
+_MILD = len(STEPS) // 2
+PATH = [(r, s) for s in range(_MILD) for r in range(len(RULES))] + [(r, s) for r in range(len(RULES)) for s in range(_MILD, len(STEPS))]
 
 
 def repeated_words(ids: np.ndarray) -> int:
@@ -111,29 +115,33 @@ def strictest(rejected: list[int], n: int, risk: float, delta: float, steps=STEP
 
 
 def cutoffs(measured_: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """stratum, then one cutoff per rule (null: the rule rejects nothing). `risk` is shared by the rules of a stratum.
+    """stratum, then one cutoff per rule (null: the rule rejects nothing). `risk` holds for all rules of a stratum together.
 
     Good documents are those whose labels all say 1. Documents that fail the base are not the rules' to judge.
-    Counts per (stratum, rule, step) are aggregated first, so one stratum is a few hundred rows.
+    Counts per (stratum, move) are aggregated first, so one stratum is a few hundred rows.
     """
     good = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
             .where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("q"))
             .where("q = 1").select("doc_id"))
     held = measured_.where("not base_failed").join(good, "doc_id", "left_semi")
-    # Number of the mildest step that a value reaches: step i is 1 - i/40.
-    bins = F.posexplode(F.array(*[F.ceil(F.round((1 - F.col(r)) * 40, 9)).cast("int") for r in RULES])).alias("rule", "step")
-    counted = held.select("stratum", bins).groupBy("stratum", "rule", "step").agg(F.count("*").alias("n"))
-    strata = held.select("stratum").distinct().count()
-    level, each = delta / (max(strata, 1) * len(RULES)), risk / len(RULES)
+    # Number of the mildest step that a value reaches (step i is 1 - i/40), and with it the first move that rejects it.
+    def first(place: int, name: str):
+        moves = [PATH.index((place, i)) for i in range(len(STEPS))] + [len(PATH)]
+        step = F.least(F.ceil(F.round((1 - F.col(name)) * 40, 9)).cast("int"), F.lit(len(STEPS)))
+        return F.array(*map(F.lit, moves))[F.greatest(step, F.lit(0))]
+    counted = (held.select("stratum", F.least(*[first(i, n) for i, n in enumerate(RULES)]).alias("move"))
+               .groupBy("stratum", "move").agg(F.count("*").alias("n")))
+    level = delta / max(held.select("stratum").distinct().count(), 1)
 
     def choose(frame):
         import pandas as pd
-        out = {"stratum": [frame["stratum"].iloc[0]]}
-        for i, name in enumerate(RULES):
-            own = frame[frame["rule"] == i]
-            counts = np.zeros(len(STEPS) + 1, np.int64)
-            np.add.at(counts, np.clip(own["step"].to_numpy(), 0, len(STEPS)), own["n"].to_numpy())
-            out[f"cut_{name}"] = [strictest(np.cumsum(counts)[:-1].tolist(), int(counts.sum()), each, level)]
+        counts = np.zeros(len(PATH) + 1, np.int64)
+        np.add.at(counts, frame["move"].to_numpy(), frame["n"].to_numpy())
+        last = strictest(np.cumsum(counts)[:-1].tolist(), int(counts.sum()), risk, level, range(len(PATH)))
+        cut: dict = dict.fromkeys(RULES)
+        for rule, step in PATH[:0 if last is None else last + 1]:
+            cut[RULES[rule]] = STEPS[step]
+        out = {"stratum": [frame["stratum"].iloc[0]]} | {f"cut_{n}": [v] for n, v in cut.items()}
         return pd.DataFrame(out).astype({f"cut_{n}": "float64" for n in RULES})
     return counted.groupBy("stratum").applyInPandas(choose, "stratum string, " + ", ".join(f"cut_{r} double" for r in RULES))
 

@@ -69,3 +69,23 @@ def test_odd_rows(odd, no_documents, labels, kept_table):
     assert quality.judge(no_documents, none, kept_table).count() == 0
     repeated = labels([(1, 1, None), (1, 1, 0), (None, 1, 0), (2, None, None)])
     assert quality.judge(odd, repeated, kept_table).count() == 9
+
+
+def test_few_labels_are_enough(documents, labels, kept_table):
+    """440 good labels in each of four languages certify cutoffs of several rules; 430 are too few for any."""
+    rng = random.Random(6)
+
+    def text(kind):
+        found = ["".join(rng.choices("abcdefgh", k=5)) + "#" * (kind == "symbols") for _ in range(100)]
+        return " ".join(w.upper() if kind == "upper" else w for w in found)
+    rows, known = [], []
+    for lang, good in (("en", 440), ("de", 440), ("fr", 440), ("es", 430)):
+        for kind in ["good"] * good + ["symbols", "upper"] * 20:
+            rows.append((len(rows), text(kind), lang))
+            known.append((len(known), int(kind == "good"), 0))
+    assert min(n for n in range(1, 1000) if quality.upper_bound(0, n, quality.DELTA / 4) <= quality.RISK) == 437
+    got = {r.doc_id: r for r in quality.judge(documents(rows), labels(known), kept_table).collect()}
+    for (i, _, lang), (_, good, _) in zip(rows, known, strict=True):
+        assert got[i].kept == bool(good or lang == "es"), (lang, got[i])
+    rules = {r for g in got.values() for r in g.failed_rules.split(",") if r}
+    assert {"symbols", "upper"} <= rules
