@@ -83,8 +83,8 @@ def digest(own: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(own.tobytes())
 
 
-def sketches(docs: DataFrame, size: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, digest, signature of every row; no digest without words."""
+def sketches(docs: DataFrame, size: int = WORDS, number: str | None = None) -> DataFrame:
+    """doc_id, n_shingles, digest, signature of every row, and its row (column `number`); no digest without words."""
     def task(columns):
         import pyarrow as pa
         counts, digests, parts = [], [], []
@@ -94,9 +94,11 @@ def sketches(docs: DataFrame, size: int = WORDS) -> DataFrame:
             digests.append(digest(own) if len(own) else None)
             parts.append(signature(own) if len(own) else np.zeros(COORDINATES, np.int32))
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(parts) + 1) * COORDINATES, pa.int32()), pa.array(np.concatenate(parts)))
-        return {"doc_id": columns["doc_id"], "n_shingles": counts, "digest": digests, "signature": pa.array(lists.to_pylist(), pa.list_(pa.int32()))}
-    return mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), task,
-                  "doc_id long, n_shingles long, digest binary, signature array<int>")
+        made = {"doc_id": columns["doc_id"], "n_shingles": counts, "digest": digests, "signature": pa.array(lists.to_pylist(), pa.list_(pa.int32()))}
+        return made | ({"row": columns["row"]} if number else {})
+    more = [F.col(number).alias("row")] if number else []
+    return mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *more), task,
+                  "doc_id long, n_shingles long, digest binary, signature array<int>" + (", row long" if number else ""))
 
 
 def blocks(members: DataFrame, sizes: DataFrame, key: str, payload: list[str]) -> DataFrame:
@@ -220,6 +222,18 @@ def full_sets(docs: DataFrame, chosen: DataFrame, size: int) -> DataFrame:
     return made.join(chosen, "digest").dropDuplicates(["digest"])
 
 
+def linked_classes(docs: DataFrame, reps: DataFrame, written, size: int, percent: int) -> DataFrame:
+    """node, root of the classes that link to another; `reps` has node, digest, rep and signature of all classes."""
+    maybe = written(connected(candidates(reps, written), written), "minhash-maybe")
+    member = maybe.select("node", F.col("root").alias("part")).union(maybe.select("root", "root").distinct())
+    chosen = written(member.join(reps.select("node", "digest", "rep"), "node"), "minhash-chosen")
+    sets = written(full_sets(docs, chosen.select("digest", "rep", "node", "part"), size).select("part", "node", "shingles"), "minhash-sets")
+    sizes = sets.groupBy("part").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.length("shingles")) / BLOCK_BYTES)).alias("cut"))
+    sizes = written(sizes, "minhash-parts")
+    links = written(starred(blocks(sets, sizes, "part", ["shingles"]), compared(percent)), "minhash-links")
+    return written(connected(links, written), "minhash-components")
+
+
 def near_duplicates(docs: DataFrame, written, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept; one row per row of `docs`.
 
@@ -231,14 +245,7 @@ def near_duplicates(docs: DataFrame, written, size: int = WORDS, percent: int =
     own = written(sketches(docs, size), "minhash-sketches")
     classes = own.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("signature").alias("signature"))
     reps = written(classes.withColumn("node", F.monotonically_increasing_id()), "minhash-classes")
-    maybe = written(connected(candidates(reps, written), written), "minhash-maybe")
-    member = maybe.select("node", F.col("root").alias("part")).union(maybe.select("root", "root").distinct())
-    chosen = written(member.join(reps.select("node", "digest", "rep"), "node"), "minhash-chosen")
-    sets = written(full_sets(docs, chosen.select("digest", "rep", "node", "part"), size).select("part", "node", "shingles"), "minhash-sets")
-    sizes = sets.groupBy("part").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.length("shingles")) / BLOCK_BYTES)).alias("cut"))
-    sizes = written(sizes, "minhash-parts")
-    links = written(starred(blocks(sets, sizes, "part", ["shingles"]), compared(percent)), "minhash-links")
-    found = written(connected(links, written), "minhash-components")
+    found = linked_classes(docs, reps, written, size, percent)
     label = found.union(found.select("root", "root").distinct()).join(reps.select("node", "rep"), "node")
     least = label.groupBy("root").agg(F.min("rep").alias("least"))
     linked = label.join(least, "root").select("node", "least")
@@ -250,8 +257,24 @@ def near_duplicates(docs: DataFrame, written, size: int = WORDS, percent: int =
 
 
 def without_near_duplicates(docs: DataFrame, written, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of `docs` that stand for their component; all columns stay."""
-    gone = near_duplicates(docs, written, size, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(written(gone, "minhash-gone"), F.col("_gone") == docs["doc_id"].cast("long"), "left_anti")
-
+    """One row of `docs` per component; all columns stay.
 
+    It is the row with the smallest id, of several the first one as written; rows without an id come last. Rows are
+    told apart by a number of their own, so ids may be null or repeat. Rows without words stay.
+    """
+    number = "_row"
+    while number in map(str.lower, docs.columns):
+        number += "_"
+    docs = written(docs.withColumn(number, F.monotonically_increasing_id()), "minhash-rows")
+    own = written(sketches(docs, size, number), "minhash-sketches")
+    # False comes before true: an id before none.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    classes = own.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("signature").alias("signature"), first)
+    reps = written(classes.withColumn("node", F.monotonically_increasing_id()), "minhash-classes")
+    found = linked_classes(docs, reps, written, size, percent)
+    label = found.union(found.select("root", "root").distinct()).join(reps.select("node", "first"), "node")
+    linked = label.join(label.groupBy("root").agg(F.min("first").alias("least")), "root").select("node", "least")
+    stands = written(reps.select("digest", "n", "node", "first").join(linked, "node", "left").where("n > 1 or least is not null")
+                     .select("digest", F.coalesce("least", "first")["row"].alias("stands")), "minhash-final")
+    gone = own.select("digest", "row").join(stands, "digest").where("row <> stands").select(F.col("row").alias(number))
+    return docs.join(written(gone, "minhash-gone"), number, "left_anti").drop(number)

@@ -87,3 +87,15 @@ def test_odd_rows(odd, no_documents, kept_table):
     assert minhash.near_duplicates(no_documents, kept_table).count() == 0
     kept = minhash.without_near_duplicates(odd, kept_table)
     assert kept.columns == odd.columns
+
+
+def test_one_row_of_a_component_stays(odd, documents, kept_table):
+    kept = minhash.without_near_duplicates(odd, kept_table).collect()
+    # Of the copies (None, 5, 5) one with the id stays; rows without words and others all stay.
+    assert sorted((r.doc_id for r in kept), key=str) == [1, 2, 3, 5, 6, 7, None]
+    assert [r.doc_id for r in kept if r.text == "one two three four five six"] == [5]
+    long, other = " ".join(f"a{i}" for i in range(100)), " ".join(f"b{i}" for i in range(100))
+    # Copies and a near copy without ids; a near copy that shares its id with a clean document.
+    rows = [(None, long), (None, long), (None, long + " z"), (1, other), (2, other + " z"), (2, "a clean document of its own")]
+    kept = minhash.without_near_duplicates(documents(rows).repartition(3), kept_table).collect()
+    assert sorted(((r.doc_id, r.text[:2]) for r in kept), key=str) == [(1, "b0"), (2, "a "), (None, "a0")]
