@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sampletide.llm import discriminant, embed, licenses, merkle, minhash, mixing, packing, pii, quality, substring, tokens, toxicity
+from sampletide.llm import discriminant, embed, licenses, merkle, minhash, mixing, packing, pii, quality, repair, substring, tokens, toxicity
 from sampletide.llm.common import table, written
 from sampletide.session import scratch
 
@@ -54,6 +54,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), written, size=4)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.audited(table(spark, sf_dir, "conversations"), written)
+
+
 def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discriminant.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), written)
 
@@ -64,10 +68,10 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (op1_pii_spans, op2_source_mix, op3_best_fit_packing, op4_toxicity, op5_quality_rules, op6_token_ids,
-             op7_repeated_passages, op8_license_scan, op9_near_vectors, op10_near_duplicates, op12_quality_classifier, op13_merkle_manifest)
+             op7_repeated_passages, op8_license_scan, op9_near_vectors, op10_near_duplicates, op11_conversation_repair, op12_quality_classifier, op13_merkle_manifest)
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_source_mix": mixing.TAKEN_SQL, "op7_repeated_passages": substring.PASSAGES_SQL,
-            "op13_merkle_manifest": merkle.VERIFIED_SQL}
+            "op11_conversation_repair": repair.AUDITED_SQL, "op13_merkle_manifest": merkle.VERIFIED_SQL}
