@@ -33,6 +33,8 @@ START, SYSTEM, USER, ASSISTANT = range(4)
 LEGAL = ("su", "ua", "au")
 # Most rows and characters of a stretch.
 BLOCK, CHARACTERS = 4096, 8_000_000
+# Rows of a range.
+RANGE = 100_000
 _ROWS = 200
 
 _BASE, _PRIME = 1_000_003, (1 << 61) - 1
@@ -326,11 +328,12 @@ def _stream(rows: DataFrame, task, schema: str) -> DataFrame:
 
 def stretches(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     """Conversations that lie inside one task's range and one block, whole (seq null); of all others the stretches (seq -1)
-    and their rows (seq from 0)."""
+    and their rows (seq from 0). The number of ranges follows the rows."""
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // RANGE))
     order = ["conv_id", "live", "known", "turn", "role", "digest", "copy"]
     flat = rows.select("conv_id", "live", "place.known", "place.turn", "role", "digest", "place.copy", "fault", "text")
     keys = [F.col(c).asc_nulls_first() for c in order]
-    dealt = flat.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    dealt = flat.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
 
     def task(every):
         from pyspark import TaskContext
