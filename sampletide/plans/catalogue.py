@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sampletide.functions import lid, values
-from sampletide.operators import checks, gold, ingest, layout, lineage, manifest, pseudonym, publish, spectral
+from sampletide.operators import (checks, closure, gold, ingest, layout, lineage, manifest, pseudonym, publish, ranges,
+                                  spectral)
 from sampletide.plans import lake as lake_plan
 from sampletide.plans.fixtures import (AREAS, CUE_RANGES, SENTINEL, SPECTRAL_RATE, TEST_SECRET, Fixture)
 from sampletide.session import scratch
@@ -377,6 +378,36 @@ def lid_children(f):
     return lineage.children(f.record, lineage.prefix_bounds(f.dim, f.codes)).select("ingest_ord", "ingest_id", "lid", "n_samples_src")
 
 
+@query
+def lid_ranges(f):
+    """Ids in overlapping ranges of any width, from one user's day to all of a kind."""
+    held = ranges.within(f.ids, f.id_ranges)
+    return held.groupBy("name", "lid_lo", "lid_hi").agg(F.count(F.lit(1)).alias("n_records"), F.sum("event_id").alias("events"))
+
+
+def reach(pairs: DataFrame, other: str) -> DataFrame:
+    """Per id and number of steps: how many others, and the first and last of them."""
+    return pairs.groupBy("lid", "steps").agg(F.count(F.lit(1)).alias("n"), F.min(other).alias("first"), F.max(other).alias("last"))
+
+
+@query
+def lineage_ancestors(f):
+    """All ancestors of every order over edges with several parents and a cycle."""
+    return reach(closure.ancestors(f.edges, f.table("orders").select(f.node("o_orderkey", 3).alias("lid"))), "ancestor_lid")
+
+
+@query
+def lineage_descendants(f):
+    return reach(closure.descendants(f.edges, f.table("supplier").select(f.node("s_suppkey", 1).alias("lid"))), "descendant_lid")
+
+
+@query
+def lineage_roots(f):
+    """What every order was made from, the edges between suppliers aside: suppliers that have no parent."""
+    made = f.edges.where(lid.layer("child_lid") > 1)
+    return reach(closure.roots(made, f.table("orders").select(f.node("o_orderkey", 3).alias("lid"))), "root_lid")
+
+
 @query
 def canary_records(f):
     return lineage.canaries(f.record).select("lid", "experiment", "subject_pid", "run", "channel_idx")

@@ -292,6 +292,31 @@ class Fixture:
         fields = ("ts_ms", "layer", "experiment", "file", "run", "channel", "segment", "radioactive")
         return self.id_fields.withColumn("lid", lid.mint_text(*fields))
 
+    # --- derived records: orders made from parts, parts from suppliers, suppliers from one another ---
+
+    def node(self, key: str, layer: int):
+        """Id of a derived record: its number lies in the file and channel fields."""
+        return lid.mint_text(1_704_067_200_000, layer, 1, f"{key} % 65536", 0, f"({key} div 65536) % 1024", 0, 0)
+
+    @cached_property
+    def edges(self) -> DataFrame:
+        """A supplier's parent is the one of half its number; the first one's parent is the third, which closes a cycle."""
+        lines, suppliers = self.table("lineitem"), self.table("supplier")
+        above = "if(s_suppkey = 1, 3L, s_suppkey div 2)"
+        named = [lines.select(self.node("l_orderkey", 3).alias("child_lid"), self.node("l_partkey", 2).alias("parent_lid")),
+                 lines.select(self.node("l_partkey", 2).alias("child_lid"), self.node("l_suppkey", 1).alias("parent_lid")),
+                 suppliers.select(self.node("s_suppkey", 1).alias("child_lid"), self.node(above, 1).alias("parent_lid"))]
+        return named[0].unionByName(named[1]).unionByName(named[2])
+
+    # --- ranges of ids: of a user's day, of a kind's day, of a kind ---
+
+    @cached_property
+    def id_ranges(self) -> DataFrame:
+        day, user = F.to_date("ts").cast("string"), F.col("user_id").cast("string")
+        own = self.table("events").select("event_id", "event_type", day.alias("day"), user.alias("user")).join(self.ids, "event_id")
+        kinds = F.array(F.concat_ws("/", "user", "day"), F.concat_ws("/", "event_type", "day"), F.col("event_type"))
+        return own.select(F.explode(kinds).alias("name"), "lid").groupBy("name").agg(F.min("lid").alias("lid_lo"), F.max("lid").alias("lid_hi"))
+
     # --- evidence from orders ---
 
     @cached_property

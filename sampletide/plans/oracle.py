@@ -177,6 +177,17 @@ VIEWS = {
 }
 
 
+def _node(key, layer):
+    return _lid("1704067200000", str(layer), "1", f"{key} % 65536", "0", f"({key} // 65536) % 1024")
+
+
+VIEWS["edges"] = f"""SELECT DISTINCT * FROM (SELECT {_node('l_orderkey', 3)} AS child_lid, {_node('l_partkey', 2)} AS parent_lid FROM lineitem
+    UNION ALL SELECT {_node('l_partkey', 2)}, {_node('l_suppkey', 1)} FROM lineitem
+    UNION ALL SELECT {_node('s_suppkey', 1)}, {_node('(CASE s_suppkey WHEN 1 THEN 3 ELSE s_suppkey // 2 END)', 1)} FROM supplier)"""
+VIEWS["id_ranges"] = """SELECT name, min(lid) AS lid_lo, max(lid) AS lid_hi FROM (SELECT lid, unnest([user_id || '/' || strftime(ts, '%Y-%m-%d'),
+    event_type || '/' || strftime(ts, '%Y-%m-%d'), event_type]) AS name FROM events JOIN ids USING (event_id)) GROUP BY name"""
+
+
 def _needs(sql: str) -> list[str]:
     words = set(re.findall(r"\b\w+\b", sql))
     return [name for name in VIEWS if name in words]
@@ -327,6 +338,16 @@ def _outcome():
     return ("count(*) AS checks, count(*) FILTER (result = 'pass') AS n_pass, count(*) FILTER (result <> 'pass') AS n_not_pass")
 
 
+# Longer than any shortest path here: suppliers are as many levels deep as their number has bits.
+_FARTHEST = 24
+
+
+def _closure(start, at, to):
+    return f"""SELECT lid, steps, count(*) AS n, min(node) AS first, max(node) AS last FROM (SELECT lid, node, min(steps)::INTEGER AS steps FROM (WITH RECURSIVE walk AS (
+        SELECT s.lid, {to} AS node, 1 AS steps FROM ({start}) s JOIN edges ON {at} = s.lid
+        UNION SELECT w.lid, {to}, steps + 1 FROM walk w JOIN edges ON {at} = w.node WHERE steps < {_FARTHEST}) SELECT * FROM walk) GROUP BY lid, node) GROUP BY lid, steps"""
+
+
 _BLOB_FILES = "SELECT path, length(content)::BIGINT AS bytes, sha256(content) AS sha256 FROM blobs"
 
 STATEMENTS = {
@@ -398,6 +419,11 @@ STATEMENTS = {
         FROM record r JOIN keys k USING (subject_pid) JOIN dim d ON d.ingest_id = r.experiment || '-' || k.subject_src""",
     "lid_prefix_bounds": "SELECT ingest_ord, ingest_id, lid_lo, lid_hi FROM bounds",
     "lid_children": "SELECT b.ingest_ord, b.ingest_id, r.lid, r.n_samples_src FROM record r JOIN bounds b ON r.lid BETWEEN b.lid_lo AND b.lid_hi",
+    "lid_ranges": "SELECT name, lid_lo, lid_hi, count(*) AS n_records, sum(event_id)::BIGINT AS events FROM id_ranges JOIN ids ON lid BETWEEN lid_lo AND lid_hi GROUP BY ALL",
+    "lineage_ancestors": _closure(f"SELECT {_node('o_orderkey', 3)} AS lid FROM orders", "child_lid", "parent_lid"),
+    "lineage_descendants": _closure(f"SELECT {_node('s_suppkey', 1)} AS lid FROM supplier", "parent_lid", "child_lid"),
+    "lineage_roots": f"""SELECT {_node('l_orderkey', 3)} AS lid, 2 AS steps, count(DISTINCT root_lid) AS n, min(root_lid) AS first, max(root_lid) AS last FROM lineitem JOIN (SELECT DISTINCT l_partkey, {_node('l_suppkey', 1)} AS root_lid
+        FROM lineitem) USING (l_partkey) GROUP BY ALL""",
     "canary_records": f"SELECT lid, experiment, subject_pid, run, channel_idx FROM record WHERE {_canary('lid')}",
     "lid_file_consistency": "SELECT ingest_ord::INTEGER AS file, count(*) AS n_rows, 1 AS agrees FROM recording GROUP BY ingest_ord",
     "canary_by_subject": """SELECT subject_pid, CASE subject_src WHEN 'u9' THEN 1 ELSE 0 END AS min_bit, CASE subject_src WHEN 'u9' THEN 1 ELSE 0 END AS max_bit
