@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sampletide.functions import lid
+from sampletide.operators import quantiles
 from sampletide.sources.registry import DATASETS
 
 # A number in plain decimal form: neither NaN, nor infinity, nor a suffix of the type.
@@ -108,7 +109,7 @@ def odd_event_rates(summary: DataFrame, low: float = 0.5, high: float = 2.0) ->
     """Subjects whose event rate lies outside multiples of their experiment's median rate."""
     per_minute = F.try_divide(F.lit(60.0) * F.col("n_events"), F.col("duration_s").cast("double"))
     rates = summary.select("experiment", "subject_pid", per_minute.alias("per_minute"))
-    middle = rates.groupBy("experiment").agg(F.median("per_minute").alias("middle"))
+    middle = quantiles.median(rates, ["experiment"], "per_minute").withColumnRenamed("median", "middle")
     joined = rates.join(middle, "experiment")
     outside = (F.col("per_minute") < low * F.col("middle")) | (F.col("per_minute") > high * F.col("middle"))
     return joined.where(outside).select(

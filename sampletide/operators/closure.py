@@ -42,8 +42,8 @@ def reached(edges: DataFrame, ids: DataFrame, upward: bool = True, most: int = S
             front = front.join(hot.withColumnRenamed("at", "node"), "node", "left").withColumn(
                 "slot", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("slots") - 1, F.lit(0)))))
         step = front.join(links, (F.col("node") == F.col("at")) & (front["slot"] == links["slot"])).select("lid", F.col("to").alias("node")).distinct()
-        for before in found:
-            step = step.join(before, ["lid", "node"], "left_anti")
+        if found:
+            step = step.join(reduce(DataFrame.unionByName, found), ["lid", "node"], "left_anti")
         front = materialise(step, "closure")
         if front.isEmpty():
             break

@@ -9,6 +9,10 @@ from sampletide.functions import lid
 from sampletide.session import materialise
 from sampletide.sources import files, writer
 
+# Prefix lengths of an id's text, four hex digits apart, and ids that may be sorted in one task.
+PREFIXES = (4, 8, 13, 18, 23, 28, 32, 36)
+FEW = 100_000
+
 
 def encoding_cells(footers: DataFrame, columns=("ts_ms", "sample_idx", "value_uv")) -> DataFrame:
     """Row groups, and packed bytes and encodings of the named columns, one row."""
@@ -47,24 +51,39 @@ def channel_aggregate(samples: DataFrame) -> DataFrame:
     return samples.groupBy("channel_idx").agg(F.avg("value_uv").alias("mean_uv"), F.count(F.lit(1)).alias("n_samples"))
 
 
-def middle_record(samples: DataFrame) -> DataFrame:
-    """Rows and mean of the record in the middle of all ids in order.
+def middle_id(ids: DataFrame, few: int = FEW) -> str | None:
+    """The id in the middle of all different ids of `ids` (lid) in order; None without any.
 
-    The middle is found in two steps: the file in which it lies, from counts per file (at most 65,535), then
-    its place among that file's records. No task sees all records.
+    Found from counts per prefix, four hex digits longer at each step, so a step has at most 65,536 groups; what is left is
+    ranked once it is few. No task sees all ids, and only a few numbers reach the driver.
     """
-    records = samples.groupBy("lid").agg(F.avg("value_uv").alias("mean_uv"), F.count(F.lit(1)).alias("n_samples"))
-    placed = materialise(records.withColumn("prefix", F.substring("lid", 1, 23)), "records")
-    per_file = placed.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.orderBy("prefix"))
-    everything = F.sum("n").over(Window.partitionBy(F.lit(1)))
-    target = F.floor(F.col("everything") / 2)
-    holder = (per_file.withColumn("upto", upto).withColumn("everything", everything)
-              .where((F.col("upto") > target) & (F.col("upto") - F.col("n") <= target))
-              .select("prefix", (target - F.col("upto") + F.col("n") + 1).alias("place")))
-    inside = placed.join(F.broadcast(holder), "prefix")
-    ranked = inside.withColumn("rank", F.row_number().over(Window.partitionBy("prefix").orderBy("lid")))
-    return ranked.where(F.col("rank") == F.col("place")).select("lid", "n_samples", "mean_uv")
+    held = materialise(ids.select("lid").where("lid is not null").distinct(), "ids")
+    n, first, last = held.agg(F.count(F.lit(1)), F.min("lid"), F.max("lid")).first()
+    place = n // 2
+    for length in PREFIXES:
+        if n <= few:
+            break
+        if first[:length] == last[:length]:
+            continue
+        counted = held.groupBy(F.substring("lid", 1, length).alias("prefix")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("lid").alias("first"), F.max("lid").alias("last"))
+        upto = counted.withColumn("upto", F.sum("n").over(Window.orderBy("prefix")))
+        prefix, n, first, last, before = upto.where(F.col("upto") > place).orderBy("prefix").select(
+            "prefix", "n", "first", "last", F.col("upto") - F.col("n")).first()
+        place -= before
+        held = held.where(F.col("lid").between(first, last))
+    found = held.orderBy("lid").offset(place).limit(1).first()
+    return found["lid"] if found else None
+
+
+def record_read(samples: DataFrame, wanted: str) -> DataFrame:
+    """Rows and mean of one record: a literal equality, so that file statistics leave out all row groups without the id."""
+    return samples.where(F.col("lid") == wanted).groupBy("lid").agg(F.count(F.lit(1)).alias("n_samples"), F.avg("value_uv").alias("mean_uv"))
+
+
+def middle_record(samples: DataFrame) -> DataFrame:
+    """Rows and mean of the record in the middle of all ids in order: its id from the ids alone, its rows by a pruned read."""
+    return record_read(samples, middle_id(samples) or "")
 
 
 def smallest_partition(samples: DataFrame, records: DataFrame) -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sampletide.functions import lid, values
-from sampletide.operators import (checks, closure, gold, ingest, layout, lineage, manifest, pseudonym, publish, ranges,
-                                  spectral)
+from sampletide.operators import (checks, closure, gold, ingest, layout, lineage, manifest, pseudonym, publish, quantiles,
+                                  ranges, reproducible, spectral)
 from sampletide.plans import lake as lake_plan
 from sampletide.plans.fixtures import (AREAS, CUE_RANGES, SENTINEL, SPECTRAL_RATE, TEST_SECRET, Fixture)
 from sampletide.session import scratch
@@ -17,6 +17,8 @@ from sampletide.sources import files, reader, rules, writer
 from sampletide.sources.registry import DATASETS
 
 REGISTRY: dict = {}
+# Powers of two by line number, for sums of numbers far apart.
+POWERS = (-60, -30, 0, 40, 80, 100, -100)
 
 
 def query(fn):
@@ -822,3 +824,43 @@ def layout_variants(f):
 @query
 def channel_in_list(f):
     return layout.channel_in_list(f.recording, [0, 2, *range(4, 512)])
+
+
+def _weighed(f) -> DataFrame:
+    """Quantities times powers of two far apart, negative on open lines: sums that plain addition gets wrong."""
+    power = F.element_at(F.array(*map(F.lit, POWERS)), F.col("l_linenumber"))
+    sign = F.when(F.col("l_linestatus") == "O", -1).otherwise(1)
+    return f.table("lineitem").select("l_returnflag", (F.col("l_quantity") * sign * F.pow(F.lit(2.0), power)).alias("x"))
+
+
+@query
+def reproducible_sums(f):
+    """Sums of values from below 1e-9 to above 1e30, equal in every digit shown under any partitioning."""
+    found = reproducible.sums(_weighed(f), ["l_returnflag"], {"total": F.col("x")})
+    return found.select("l_returnflag", F.format_string("%.12e", "total").alias("total"), F.col("total_n").alias("n"))
+
+
+@query
+def reproducible_moments(f):
+    return rounded(reproducible.moments(f.recording, ["channel_idx"], "value_uv"), "mean", "rms", "stddev", digits=6)
+
+
+def _prices(f) -> DataFrame:
+    """Prices of all lines as one group, and by return flag."""
+    names = F.array(F.lit("all"), F.concat(F.lit("flag "), "l_returnflag"))
+    return f.table("lineitem").select(F.explode(names).alias("name"), F.col("l_extendedprice").alias("price"))
+
+
+@query
+def grouped_median(f):
+    return rounded(quantiles.median(_prices(f), ["name"], "price"), "median", digits=3)
+
+
+@query
+def grouped_percentiles(f):
+    """Prices at nearest ranks, one to 99 percent."""
+    shares = (1, 25, 90, 99)
+    ranks = lambda n: [F.floor((n * p + 99) / 100) - 1 for p in shares]
+    found = quantiles.order_statistics(_prices(f), ["name"], "price", ranks)
+    percent = F.element_at(F.array(*map(F.lit, shares)), F.col("which") + 1)
+    return rounded(found.select("name", percent.alias("percent"), F.col("value").alias("price")), "price", digits=3)

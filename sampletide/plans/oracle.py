@@ -338,6 +338,7 @@ def _outcome():
     return ("count(*) AS checks, count(*) FILTER (result = 'pass') AS n_pass, count(*) FILTER (result <> 'pass') AS n_not_pass")
 
 
+_PRICES = "SELECT unnest(['all', 'flag ' || l_returnflag]) AS name, l_extendedprice AS price FROM lineitem"
 # Longer than any shortest path here: suppliers are as many levels deep as their number has bits.
 _FARTHEST = 24
 
@@ -543,6 +544,14 @@ STATEMENTS = {
     "exact_sum": "SELECT count(*) AS n_rows, sum(value_uv::DOUBLE::DECIMAL(38, 6))::DECIMAL(38, 6)::VARCHAR AS total FROM recording",
     "layout_variants": """SELECT version, codec, n_rows, total FROM (SELECT count(*) AS n_rows, sum(value_uv::DOUBLE::DECIMAL(38, 6))::DECIMAL(38, 6)::VARCHAR AS total
         FROM recording), (VALUES ('v1', 'snappy'), ('v1', 'zstd'), ('v2', 'snappy'), ('v2', 'zstd')) v(version, codec)""",
+    "reproducible_sums": """SELECT l_returnflag, printf('%.12e', sum(k * power(2.0::DOUBLE, p) ORDER BY p DESC)) AS total, sum(n)::BIGINT AS n FROM (
+        SELECT l_returnflag, [-60, -30, 0, 40, 80, 100, -100][l_linenumber] AS p, count(*) AS n,
+            sum(l_quantity::HUGEINT * CASE l_linestatus WHEN 'O' THEN -1 ELSE 1 END)::DOUBLE AS k FROM lineitem GROUP BY ALL) GROUP BY l_returnflag""",
+    "reproducible_moments": """SELECT channel_idx, count(value_uv) AS n, round(avg(value_uv::DOUBLE), 6) AS mean, round(sqrt(avg(value_uv::DOUBLE * value_uv)), 6) AS rms,
+        round(stddev_pop(value_uv::DOUBLE), 6) AS stddev FROM recording GROUP BY channel_idx""",
+    "grouped_median": f"SELECT name, round(median(price), 3) AS median FROM ({_PRICES}) GROUP BY name",
+    "grouped_percentiles": f"""SELECT name, percent, round(price, 3) AS price FROM (SELECT name, price, row_number() OVER (PARTITION BY name ORDER BY price) AS place,
+        count(*) OVER (PARTITION BY name) AS n FROM ({_PRICES})), (VALUES (1), (25), (90), (99)) v(percent) WHERE place = (n * percent + 99) // 100""",
     "channel_in_list": "SELECT count(*) AS n FROM recording WHERE channel_idx <> 1 AND channel_idx <> 3",
 }
 
