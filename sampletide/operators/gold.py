@@ -22,6 +22,9 @@ from sampletide.sources.registry import DATASETS
 # Task functions travel to executors by value: the package is needed on the driver only.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Records whose extremes are sent to every task: some 60 bytes each.
+KNOWN_RECORDS = 500_000
+
 
 def _kept(rows: DataFrame) -> DataFrame:
     """Without canaries: they never enter a mart."""
@@ -74,13 +77,28 @@ def _run_starts(ids) -> np.ndarray:
     return np.append(0, np.flatnonzero(pc.not_equal(ids[1:], ids[:-1]).to_numpy(zero_copy_only=False)) + 1)
 
 
-def record_stats(samples: DataFrame) -> DataFrame:
-    """Everything channel quality needs of a record, in one pass over the samples, whatever their values.
+def record_stats(samples: DataFrame, most: int = KNOWN_RECORDS) -> DataFrame:
+    """Everything channel quality needs of a record, whatever the values of its samples: lid, n_samples, sum_squares, lo, hi, and
+    how often each extreme occurs.
 
-    A task reduces each batch to one row per record with its extremes and their counts; those rows, a small share of
-    the samples, are what is shuffled. The count at a record's extreme is the sum over the parts that reach it. NULL
-    values count as samples and nothing else. Canaries fall out later, when the records they belong to do.
+    Two scans of built-in aggregates: the extremes first, then how many samples lie at them. The second joins the extremes, one
+    row a record, which are sent to every task while they are at most `most` records; beyond that one Arrow pass does both.
+    Neither way shuffles samples. NULL values count as samples and nothing else. Canaries fall out later, when the records
+    they belong to do.
     """
+    own = samples.select("lid", F.col("value_uv").cast("float").alias("v"))
+    ends = materialise(own.groupBy("lid").agg(
+        F.count(F.lit(1)).alias("n_samples"), F.sum(F.col("v") * F.col("v")).alias("sum_squares"), F.min("v").alias("lo"), F.max("v").alias("hi")), "record-extremes")
+    if ends.count() > most:
+        return _record_stats_in_one_pass(samples)
+    at = own.join(F.broadcast(ends.select("lid", "lo", "hi")), "lid").where((F.col("v") <= F.col("lo")) | (F.col("v") >= F.col("hi")))
+    counted = at.groupBy("lid").agg(F.count_if(F.col("v") == F.col("lo")).alias("n_lo"), F.count_if(F.col("v") == F.col("hi")).alias("n_hi"))
+    return ends.join(counted, "lid", "left").select("lid", "n_samples", "sum_squares", "lo", "hi", "n_lo", "n_hi")
+
+
+def _record_stats_in_one_pass(samples: DataFrame) -> DataFrame:
+    """The same by Arrow batches: a task reduces each batch to one row per record with its extremes and their counts; those rows
+    are what is shuffled. The count at a record's extreme is the sum over the parts that reach it."""
     parts = samples.select("lid", F.col("value_uv").cast("float").alias("value_uv")).mapInArrow(_record_parts, PART_SCHEMA)
     low = F.struct(F.col("lo").alias("value"), F.col("n_lo").alias("at"), "n", "squares")
     high = F.struct(F.col("hi").alias("value"), F.col("n_hi").alias("at"), F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("squares"))

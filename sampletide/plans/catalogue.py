@@ -168,7 +168,7 @@ def file_sortedness(f):
 def layer_bytes(f):
     root = scratch(f.spark, "lake")
     below = F.replace(F.col("path"), F.lit("raw/"), F.lit("bronze/recording/"))
-    files.write_blobs(f.blobs.withColumn("path", below), root)
+    files.write_lines(f.blob_lines.withColumn("path", below), root)
     return files.sizes(f.spark, root, layers=("bronze",))
 
 
@@ -574,8 +574,7 @@ def check_no_identifier(f):
 @query
 def check_hash_match(f):
     """Files of one priority recorded wrongly, those of one status never written."""
-    root = scratch(f.spark, "raw")
-    files.write_blobs(f.blobs.where("status <> 'P'"), root)
+    root = f.blob_files(scratch(f.spark, "raw"), without="P")
     wrong = F.when(F.col("priority") == "3", F.lit("0" * 64)).otherwise(F.sha2("content", 256))
     audit = f.blobs.select(F.col("path").alias("source_path_rel"), wrong.alias("sha256"))
     return checks.digest_mismatches(audit, files.digests(f.spark, f"{root}/raw"), root)
@@ -698,12 +697,12 @@ def leak_gate(f):
 
 @query
 def size_gate(f):
-    """Files over a limit of fourteen bytes and all bytes; refused for either, allowed within wider limits."""
+    """Files over a limit of 4 MiB and all bytes; refused for either, allowed within wider limits."""
     root = f.blob_files(scratch(f.spark, "gate"))
-    found = files.listing(f.spark, f"{root}/raw")
-    narrow = publish.size_gate(found, 14, 1 << 20).withColumn("limits", F.lit("file"))
-    total = publish.size_gate(found, 1 << 20, 100).withColumn("limits", F.lit("total"))
-    return narrow.unionByName(total).unionByName(publish.size_gate(found, 1 << 20, 1 << 20).withColumn("limits", F.lit("none")))
+    found, wide = files.listing(f.spark, f"{root}/raw"), 1 << 60
+    narrow = publish.size_gate(found, 1 << 22, wide).withColumn("limits", F.lit("file"))
+    total = publish.size_gate(found, wide, 100).withColumn("limits", F.lit("total"))
+    return narrow.unionByName(total).unionByName(publish.size_gate(found, wide, wide).withColumn("limits", F.lit("none")))
 
 
 @query
@@ -719,8 +718,7 @@ def publish_manifest(f):
 @query
 def verify_manifest(f):
     """Received files against the manifest: those of one priority recorded otherwise, those of one status never arrived."""
-    root = scratch(f.spark, "received")
-    files.write_blobs(f.blobs.where("status <> 'P'"), root)
+    root = f.blob_files(scratch(f.spark, "received"), without="P")
     received = publish.published_files(files.digests(f.spark, f"{root}/raw"), root)
     told = F.when(F.col("priority") == "2", F.lit("0" * 64)).otherwise(F.sha2("content", 256))
     return publish.verify(received, f.blobs.select("path", told.alias("sha256")))

@@ -28,6 +28,8 @@ CUE_RANGES = [(1, 4, "house"), (5, 8, "face")]
 SENTINEL = 9
 SPECTRAL_RATE = 200
 SPECTRAL_CHANNELS = 7
+ORDERS_PER_FILE = 256
+LONG_LINE = 6000
 
 
 class Fixture:
@@ -355,19 +357,27 @@ class Fixture:
         return counted.withColumn("dataset_version", F.sha2(seen, 256)).withColumn(
             "git_commit", F.substring(F.sha2(F.concat(F.lit("build"), "n_records"), 256), 1, 40))
 
+    @cached_property
+    def blob_lines(self) -> DataFrame:
+        """Files of known content, one per block of order keys with its order lines: path, line, priority, status. The lines of the
+        first block are long, which makes one file greater than the chunks that digests and copies read."""
+        block = F.expr(f"l_orderkey div {ORDERS_PER_FILE}")
+        line = F.concat_ws(",", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("bigint"), "l_returnflag")
+        priority = (block % 5 + 1).cast("string")
+        below = F.concat(F.lit("raw/experiment="), priority, F.lit("/block-"), block, F.lit(".parquet"))
+        return self.table("lineitem").select(
+            below.alias("path"), F.when(block == 0, F.rpad(line, LONG_LINE, ".")).otherwise(line).alias("line"),
+            priority.alias("priority"), F.element_at(F.array(*map(F.lit, "FOP")), (block % 3 + 1).cast("int")).alias("status"))
+
     @cached_property
     def blobs(self) -> DataFrame:
-        """Files of known content, one per priority and status of the orders: path, content, priority, status."""
-        priority = F.substring("o_orderpriority", 1, 1)
-        held = self.table("orders").groupBy(priority.alias("priority"), F.col("o_orderstatus").alias("status")).agg(
-            F.count(F.lit(1)).alias("n"), F.sum("o_custkey").alias("total"))
-        return held.select(F.concat_ws("/", F.lit("raw"), F.concat(F.lit("experiment="), "priority"), F.concat("status", F.lit(".parquet"))).alias("path"),
-                           F.concat_ws(",", "priority", "status", "n", "total").alias("content"), "priority", "status")
-
-    def blob_files(self, root: str, empty_status: str = "") -> str:
-        """The blobs as files below `root`, those of one status empty."""
-        content = F.when(F.col("status") == empty_status, "").otherwise(F.col("content"))
-        files.write_blobs(self.blobs.withColumn("content", content), root)
+        """One row per file: path, content, priority, status. A block has a bounded number of lines."""
+        return self.blob_lines.groupBy("path", "priority", "status").agg(F.array_join(F.array_sort(F.collect_list("line")), "\n").alias("content"))
+
+    def blob_files(self, root: str, empty_status: str = "", without: str = "") -> str:
+        """The files below `root`; those of one status empty, those of another not written."""
+        line = F.when(F.col("status") != empty_status, F.col("line"))
+        files.write_lines(self.blob_lines.where(F.col("status") != without).select("path", line.alias("line")), root)
         return root
 
     @cached_property

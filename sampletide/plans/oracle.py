@@ -167,9 +167,10 @@ VIEWS = {
     "published": """SELECT DISTINCT path, sha256(path) AS sha256, sha256(path || CASE WHEN bad THEN 'x' ELSE '' END) AS received FROM (
         SELECT 'gold/' || CASE o_orderstatus WHEN 'F' THEN 'channel_quality' WHEN 'P' THEN 'feature_window' ELSE 'experiment_summary' END
             || '/part-' || (o_orderkey % 50) || '.parquet' AS path, o_orderstatus = 'P' AND o_orderkey % 50 = 7 AS bad FROM orders)""",
-    "blobs": """SELECT 'raw/experiment=' || priority || '/' || status || '.parquet' AS path, priority || ',' || status || ',' || n || ',' || total AS content,
-        priority, status FROM (SELECT substr(o_orderpriority, 1, 1) AS priority, o_orderstatus AS status, count(*) AS n, sum(o_custkey)::BIGINT AS total
-        FROM orders GROUP BY ALL)""",
+    "blobs": """SELECT 'raw/experiment=' || (block % 5 + 1) || '/block-' || block || '.parquet' AS path, content, (block % 5 + 1)::VARCHAR AS priority,
+        ['F', 'O', 'P'][block % 3 + 1] AS status FROM (SELECT block, string_agg(CASE block WHEN 0 THEN rpad(line, 6000, '.') ELSE line END, chr(10)
+            ORDER BY CASE block WHEN 0 THEN rpad(line, 6000, '.') ELSE line END) AS content FROM (SELECT l_orderkey // 256 AS block, concat_ws(',', l_orderkey,
+            l_linenumber, l_partkey, l_suppkey, l_quantity::BIGINT, l_returnflag) AS line FROM lineitem) GROUP BY block)""",
     "history_summary": """SELECT r AS upto, count(DISTINCT CASE WHEN dataset LIKE 'gold/%' THEN dataset END) AS gold_datasets, count(*) AS checks,
         count(*) FILTER (result = 'pass') AS n_pass, count(*) FILTER (result <> 'pass' AND severity = 'block') AS n_fail,
         count(*) FILTER (result <> 'pass' AND severity = 'flag') AS n_flag, strftime(min(ran_at), '%Y-%m-%d %H:%M:%S') AS ran_at,
@@ -497,7 +498,7 @@ STATEMENTS = {
     "leak_gate": f"SELECT count(*) FILTER ({_canary('lid')}) AS canary_rows, 1 AS refused FROM recording",
     "size_gate": """SELECT limits, count(*) AS files, count(*) FILTER (length(content) > most) AS files_over, sum(length(content))::BIGINT AS bytes,
         CASE WHEN count(*) FILTER (length(content) > most) = 0 AND sum(length(content)) <= whole THEN 1 ELSE 0 END AS allowed
-        FROM blobs, (VALUES ('file', 14, 1048576), ('total', 1048576, 100), ('none', 1048576, 1048576)) v(limits, most, whole) GROUP BY limits, most, whole""",
+        FROM blobs, (VALUES ('file', 4194304, 1152921504606846976), ('total', 1152921504606846976, 100), ('none', 1152921504606846976, 1152921504606846976)) v(limits, most, whole) GROUP BY limits, most, whole""",
     "verify_manifest": """SELECT count(*) FILTER (status <> 'P') AS files, count(*) FILTER (priority = '2' AND status <> 'P') AS mismatches,
         count(*) FILTER (status = 'P') AS missing FROM blobs""",
     "publish_manifest": _BLOB_FILES,

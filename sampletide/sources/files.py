@@ -175,6 +175,40 @@ def write_blobs(rows: DataFrame, root: str) -> None:
     rows.select("path", "content").mapInArrow(run, "path string").write.format("noop").mode("overwrite").save()
 
 
+def write_lines(rows: DataFrame, root: str) -> None:
+    """Files named by `path` below `root` with the lines of that path in order; a path whose lines are null is an empty file.
+
+    Lines are dealt by path, sorted and streamed, so a file of any size is never held; a task writes under a name of its
+    own and renames, so a repeated task leaves one file.
+    """
+    target = root if "://" in root else f"file://{root}"
+
+    def run(batches):
+        import uuid
+        system, base = filesystem(target)
+        path = out = trial = place = None
+        for batch in batches:
+            for below, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if below != path:
+                    if out is not None:
+                        out.close()
+                        system.move(trial, place)
+                    path, place = below, f"{base.rstrip('/')}/{below}"
+                    folder = place.rsplit("/", 1)[0]
+                    system.create_dir(folder, recursive=True)
+                    trial = f"{folder}/.{uuid.uuid4().hex}"
+                    out, first = system.open_output_stream(trial), True
+                if line is not None:
+                    out.write((line if first else "\n" + line).encode())
+                    first = False
+            yield batch.select([0])
+        if out is not None:
+            out.close()
+            system.move(trial, place)
+    dealt = rows.select("path", "line").repartition("path").sortWithinPartitions("path", "line")
+    dealt.mapInArrow(run, "path string").write.format("noop").mode("overwrite").save()
+
+
 def copy(spark: SparkSession, source: str, target: str, glob: str = "*.parquet") -> DataFrame:
     """Copy files byte for byte on the executors; a retried task writes the same bytes again."""
     def run(batches):
