@@ -50,3 +50,32 @@ def test_odd_rows(spark, kept_table):
     assert sorted(got, key=str) == sorted(
         [(i, 0, i, True) for i in (1, 2, 3, 4, 5, 6, 9)] + [(7, 3, 7, True)] * 2 + [(i, 3, 7, False) for i in (8, 10, 11)] + [(None, 0, None, False)], key=str)
     assert embed.near_duplicates(spark.createDataFrame([], SCHEMA), kept_table).count() == 0
+
+
+def test_ids_with_several_vectors(spark, kept_table):
+    """No vector of an id is lost, and an id counts once however many of its vectors are linked."""
+    rows = [(1, [1.0, 0, 0]), (1, [0, 1.0, 0]), (2, [1.0, 0, 0]), (3, [0, 1.0, 0])]
+    table = spark.createDataFrame([(i, [float(x) for x in r], 0) for i, r in rows], SCHEMA)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in embed.near_duplicates(table, kept_table).collect()} == {1: (2, 1), 2: (1, 1), 3: (1, 1)}
+
+
+def test_several_vectors_and_copies_against_all_pairs(spark, kept_table):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(12, 16))
+    rows = []
+    for i in range(300):
+        for _ in range(1 + (i % 9 == 0) * 2):
+            exact = rng.random() < 0.4
+            rows.append((i, (base[rng.integers(12)] + (0 if exact else 1) * rng.normal(size=16) * 0.12).astype(np.float32)))
+    rows += rows[:20]
+    unit = np.array([r / np.linalg.norm(r) for _, r in rows], float)
+    ids = np.array([i for i, _ in rows])
+    near = unit @ unit.T >= 0.95
+    links = {i: {int(x) for x in ids[near[ids == i].any(0)]} - {i} for i in range(300)}
+    root = {i: i for i in links}
+    while (new := {i: min([root[i], *(root[j] for j in links[i])]) for i in links}) != root:
+        root = new
+    table = spark.createDataFrame([(int(i), r.tolist(), 0) for i, r in rows], SCHEMA).repartition(4)
+    got = embed.near_duplicates(table, kept_table).collect()
+    assert len(got) == len(rows)
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == {i: (len(links[i]), root[i], root[i] == i) for i in links}
