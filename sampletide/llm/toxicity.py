@@ -1,19 +1,22 @@
 """Toxic documents by class-conditional Kneser-Ney models.
 
-Two bigram models, of toxic and of ordinary labelled documents, are compared word by word. A class's bigram counts are
-discounted and backed off to counts of words, discounted too (both count distinct contexts, not occurrences), and those
-to shared counts of all documents, in which the classes agree: an expression that is rare in both classes scores about
-the same in both. Expressions below a pooled count have no class counts at all. A
-document's evidence is its length-normalised ratio plus that of its strongest window of WINDOW words: toxic wording is
-local, and one word in hundreds hardly moves the ratio of a whole text. A logistic curve, set on labelled documents outside the language models' share, turns that into a score.
+Two bigram models, of toxic and of ordinary labelled documents, are compared word by word. Pairs of neighbouring words are
+counted as they occur and discounted; the mass that the discount frees goes to the class's words, which are counted by the
+different words they follow and discounted too; and that mass goes by shared counts of the words of all documents, in which
+the classes agree. An expression whose counts do not exceed the discount in either class is thus wholly smoothed by the
+shared counts and says the same in both; it needs no entry in the model, which is why the model is small, but nothing is
+left out of it. A document's evidence weighs its length-normalised ratio, that of its strongest word, and the most that a
+word's neighbour adds: toxic wording is local, and one word in hundreds hardly moves the ratio of a whole text. The weights
+and the logistic curve that makes a score are set on labelled documents outside the language models' share.
 
 The labelled sample is bounded: CLASS_DOCS documents per class, those with the smallest hash of their id. The shared
-counts cover every document.
+counts cover every word of every document and lie in a table, which the model's words are joined with.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -24,9 +27,10 @@ from sampletide.llm.common import crc32_fold, mapped, travels
 travels(__name__)
 
 FOLDS, CLASS_DOCS = 5, 6000
-WINDOW, DISCOUNT, RARE = 1, 2.0, 8
-# Most bigrams and words with class counts, the most frequent ones: bounds the model that travels to tasks.
-MOST = 300_000
+# Discounts of pair counts and of the numbers of words that a word follows.
+PAIR_DISCOUNT, WORD_DISCOUNT = 3.0, 3.0
+# Different words a task counts before it hands them on.
+HELD_WORDS = 400_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -55,18 +59,37 @@ def chosen_of(labels: DataFrame) -> tuple[int, int]:
 
 
 def class_counts(sample: DataFrame) -> DataFrame:
-    """left, right, c0, c1: after how many distinct words a pair of neighbours follows in each class. Copies of a
-    passage add nothing."""
+    """left, right, c0, c1: how often two words are neighbours in each class."""
     def task(columns):
-        met: dict = {}
+        met: tuple = Counter(), Counter()
         for text, toxic in zip(columns["text"].to_pylist(), columns["toxic"].to_pylist(), strict=True):
             found = words_of(text)
-            for triple in set(zip(["", *found], found, found[1:])):
-                met[triple] = met.get(triple, 0) | 1 << toxic
-        return {"before": [k[0] for k in met], "left": [k[1] for k in met], "right": [k[2] for k in met], "classes": list(met.values())}
-    met = mapped(sample.select("text", "toxic"), task, "before string, left string, right string, classes int")
-    return (met.groupBy("before", "left", "right").agg(F.bit_or("classes").alias("classes")).groupBy("left", "right")
-            .agg(*[F.count(F.when(F.col("classes").bitwiseAND(1 << c) > 0, 1)).alias(f"c{c}") for c in (0, 1)]))
+            met[toxic].update(zip(found, found[1:]))
+        keys = list(met[0].keys() | met[1].keys())
+        return {"left": [k[0] for k in keys], "right": [k[1] for k in keys], "c0": [met[0][k] for k in keys], "c1": [met[1][k] for k in keys]}
+    made = mapped(sample.select("text", "toxic"), task, "left string, right string, c0 long, c1 long")
+    return made.groupBy("left", "right").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+
+
+def shared_counts(docs: DataFrame) -> DataFrame:
+    """word, n: occurrences of every word of all documents."""
+    import pyarrow as pa
+
+    def run(batches):
+        met: Counter = Counter()
+
+        def handed():
+            return pa.RecordBatch.from_arrays([pa.array(list(met), pa.string()), pa.array(list(met.values()), pa.int64())], names=["word", "n"])
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                for text in batch.column(0).slice(at, 64).to_pylist():
+                    met.update(words_of(text))
+                if len(met) > HELD_WORDS:
+                    yield handed()
+                    met.clear()
+        if met:
+            yield handed()
+    return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 class Vocabulary:
@@ -81,88 +104,163 @@ class Vocabulary:
         return np.fromiter((get(w, 0) for w in found), np.int64, len(found))
 
 
-def shared_counts(docs: DataFrame, vocabulary) -> np.ndarray:
-    """Occurrences of each word of the vocabulary in all documents, place 0 for the others. A task sends one number
-    per word it met; they are added by word."""
-    def run(batches):
-        import pyarrow as pa
-        own, total = vocabulary, None
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                ids = own.ids(text)
-                if total is None:
-                    total = np.zeros(len(own.number) + 1, np.int64)
-                total += np.bincount(ids, minlength=len(total)) if len(ids) > len(total) // 8 else 0
-                if len(ids) <= len(total) // 8:
-                    np.add.at(total, ids, 1)
-        if total is not None:
-            met = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), pa.array(total[met], pa.int64())], names=["id", "n"])
-    rows = docs.select("text").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(len(vocabulary.number) + 1)
-    out[rows["id"].to_numpy()] = rows["n"].to_numpy()
-    return out
-
-
 class Model:
-    """Log-likelihood ratios of the two class models over numbered words."""
-
-    def __init__(self, vocabulary: Vocabulary, unigrams: np.ndarray, bigrams: np.ndarray, shared: np.ndarray, totals, lefts):
-        """unigrams: (words + 1) x 2 continuation counts; bigrams: rows of left, right, c0, c1; totals: distinct pairs
-        of each class; lefts: pairs that begin with a word, by class."""
-        self.vocabulary = vocabulary
-        size = len(unigrams)
-        self.size = size
-        base = (shared + 1) / (shared.sum() + size)
-        word, back = np.zeros((size, 2)), np.ones((size, 2))
-        keys = bigrams[:, 0] * size + bigrams[:, 1]
+    """Log-likelihood ratios of the two class models over numbered words; 0 is any word without an entry."""
+
+    def __init__(self, vocabulary: Vocabulary, words: np.ndarray, pairs: np.ndarray, shared: np.ndarray, lefts: np.ndarray, totals, freed):
+        """words: per number the continuation counts of both classes; pairs: rows of left, right, c0, c1 that exceed the discount
+        in a class; shared: probability of each word in all documents; lefts: occurrences as a left word in both classes;
+        totals: all different pairs of each class; freed: the share of words' mass that the discount frees in each class."""
+        self.vocabulary, self.size = vocabulary, len(words)
+        keys = pairs[:, 0] * self.size + pairs[:, 1]
         order = np.argsort(keys)
-        self.keys, rows = keys[order], bigrams[order]
-        full = []
+        self.keys, rows = keys[order], pairs[order]
+        word, back, full = np.zeros((self.size, 2)), np.ones((self.size, 2)), []
         for c in (0, 1):
-            total = max(float(totals[c]), 1.0)
-            kept = np.maximum(unigrams[:, c] - DISCOUNT, 0)
-            # Mass of discounts and of expressions without class counts goes by the shared counts.
-            word[:, c] = kept / total + (1 - kept.sum() / total) * base
-            pairs = np.maximum(rows[:, 2 + c] - DISCOUNT, 0) / np.maximum(lefts[rows[:, 0], c], 1)
-            back[:, c] = 1 - np.bincount(rows[:, 0], pairs, size)
-            full.append(pairs + back[rows[:, 0], c] * word[rows[:, 1], c])
+            word[:, c] = np.maximum(words[:, c] - WORD_DISCOUNT, 0) / max(float(totals[c]), 1.0) + freed[c] * shared
+            kept = np.maximum(rows[:, 2 + c] - PAIR_DISCOUNT, 0) / np.maximum(lefts[rows[:, 0], c], 1)
+            back[:, c] -= np.bincount(rows[:, 0], kept, self.size)
+            full.append(kept + back[rows[:, 0], c] * word[rows[:, 1], c])
         self.pair = np.log(full[1]) - np.log(full[0])
         self.word = np.log(word[:, 1]) - np.log(word[:, 0])
-        self.word[0] = 0.0
-        self.back = np.log(np.maximum(back[:, 1], 1e-6)) - np.log(np.maximum(back[:, 0], 1e-6))
-        self.back[0] = 0.0
-        self.curve = np.array([0.0, 0.0])
+        # The shared probability of a word without class counts is the same in both.
+        self.word[0] = np.log(freed[1]) - np.log(freed[0])
+        self.back = np.log(back[:, 1]) - np.log(back[:, 0])
+        self.weights, self.curve = np.ones(3), np.array([0.0, 0.0])
 
     def ratios(self, ids: np.ndarray) -> np.ndarray:
         """Toxic minus ordinary log-likelihood of every word given the one before it."""
-        out = self.word[ids].copy()
+        out = self.word[ids]
+        if len(ids) > 1:
+            out[1:] += self.back[ids[:-1]]
         if len(ids) > 1 and len(self.keys):
-            left, right = ids[:-1], ids[1:]
-            known = (left > 0) & (right > 0)
-            keys = left[known] * self.size + right[known]
+            keys = ids[:-1] * self.size + ids[1:]
             at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            hit = self.keys[at] == keys
-            rest = out[1:]
-            rest += self.back[left]
-            values = rest[known]
-            values[hit] = self.pair[at[hit]]
-            rest[known] = values
+            hit = np.flatnonzero(self.keys[at] == keys)
+            out[1 + hit] = self.pair[at[hit]]
         return out
 
-    def evidence(self, text) -> float:
-        """Mean ratio of the text's words plus the highest mean of WINDOW neighbours; 0 without words."""
+    def signs(self, text) -> tuple[float, float, float]:
+        """Mean ratio of the text's words, the highest ratio of a word by itself, and the most that a word's neighbour adds."""
         ids = self.vocabulary.ids(text)
         if not len(ids):
-            return 0.0
-        sums = np.concatenate([[0.0], np.cumsum(self.ratios(ids))])
-        width = min(WINDOW, len(ids))
-        return float(sums[-1] / len(ids) + (sums[width:] - sums[:-width]).max() / WINDOW)
+            return 0.0, 0.0, 0.0
+        full, alone = self.ratios(ids), self.word[ids]
+        return float(full.mean()), float(alone.max()), float((full - alone).max())
+
+    def evidence(self, text) -> float:
+        return float(self.weights @ self.signs(text))
 
     def score(self, evidence: float) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.curve[0] + self.curve[1] * evidence, -40, 40))))
 
 
+def fitted_weights(signs: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weights of the signs by a ridge logistic regression, none below 0: a sign that speaks against toxicity is left out."""
+    active = list(range(signs.shape[1])) if 0 < toxic.sum() < len(toxic) else []
+    spread = np.maximum(signs.std(0), 1e-6) if active else None
+    while active:
+        x = np.column_stack([np.ones(len(signs)), (signs[:, active] - signs[:, active].mean(0)) / spread[active]])
+        w, ridge = np.zeros(x.shape[1]), np.diag([1e-6] + [1e-2 * weight.sum()] * len(active))
+        for _ in range(30):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            w -= np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + ridge, x.T @ (weight * (p - toxic)) + ridge @ w)
+        if (w[1:] >= 0).all():
+            out = np.zeros(signs.shape[1])
+            out[active] = w[1:] / spread[active]
+            return out
+        active = [a for a, v in zip(active, w[1:], strict=True) if v > 0]
+    return np.ones(signs.shape[1])
+
+
+def fitted_curve(evidence: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Curve that is 0.5 where the weighted errors are fewest, in the middle of the widest such gap: labels that
+    contradict a text move it little. Its steepness is the inverse spread below. Without both classes: never toxic."""
+    if len(set(toxic.tolist())) < 2:
+        return np.array([-5.0, 0.0])
+    order = np.argsort(evidence, kind="stable")
+    e, y, w = evidence[order], toxic[order], weight[order]
+    # Errors of a cut after the i-th smallest: toxic at or below it, others above.
+    errors = np.concatenate([[0.0], np.cumsum(w * y)]) + np.concatenate([np.cumsum((w * (1 - y))[::-1])[::-1], [0.0]])
+    gap = np.concatenate([[0.0], np.diff(e), [0.1 * (e[-1] - e[0]) + 1e-6]])
+    best = max(range(1, len(e) + 1), key=lambda i: (-errors[i], gap[i]))
+    if gap[best] <= 0:
+        best = min((i for i in range(1, len(e) + 1) if gap[i] > 0), key=lambda i: errors[i])
+    cut = e[best - 1] + gap[best] / 2
+    steep = 2.0 / max(float(np.std(e[y == 0])), 1e-3)
+    return np.array([-steep * cut, steep])
+
+
+def learn(docs: DataFrame, labels: DataFrame, written) -> Model:
+    """Model and curve. The driver holds at most CLASS_DOCS labels per class, and the entries that exceed a discount in
+    their texts."""
+    chosen = labelled(labels)
+    sample = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id"), "toxicity-sample")
+    pairs = written(class_counts(sample.where("not calibrates")), "toxicity-pairs")
+    kinds = [F.count(F.when(F.col(f"c{c}") > 0, 1)).alias(f"c{c}") for c in (0, 1)]
+    totals = pairs.agg(*kinds).first()
+    follows = written(pairs.groupBy(F.col("right").alias("word")).agg(*kinds), "toxicity-words")
+    over = [F.greatest(F.col(f"c{c}") - WORD_DISCOUNT, F.lit(0.0)) for c in (0, 1)]
+    kept_mass = follows.agg(*[F.coalesce(F.sum(x), F.lit(0.0)) for x in over]).first()
+    freed = [1 - kept_mass[c] / max(totals[c], 1) for c in (0, 1)]
+    double = pairs.where(f"c0 > {PAIR_DISCOUNT} or c1 > {PAIR_DISCOUNT}").toArrow()
+    named = pairs.where(f"c0 > {PAIR_DISCOUNT} or c1 > {PAIR_DISCOUNT}").select(F.explode(F.array("left", "right")).alias("word"))
+    entries = named.unionByName(follows.where(f"c0 > {WORD_DISCOUNT} or c1 > {WORD_DISCOUNT}").select("word")).distinct()
+    counts = written(shared_counts(docs), "toxicity-shared")
+    everything = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    lead = pairs.groupBy(F.col("left").alias("word")).agg(F.sum("c0").alias("l0"), F.sum("c1").alias("l1"))
+    single = written(entries.join(follows, "word", "left").join(lead, "word", "left").join(counts, "word", "left").na.fill(0), "toxicity-entries").toArrow()
+    vocabulary = Vocabulary(single["word"].to_pylist())
+    number = vocabulary.number
+    column = lambda *names: np.vstack([np.zeros((1, len(names))), np.stack([single[n].to_numpy().astype(float) for n in names], 1)])
+    shared = (column("n")[:, 0] + 1) / (everything[0] + everything[1] + 1)
+    kept = np.array([(number[a], number[b], c, d) for a, b, c, d in zip(*(double[n].to_pylist() for n in ("left", "right", "c0", "c1")), strict=True)], np.int64)
+    model = Model(vocabulary, column("c0", "c1"), kept.reshape(-1, 4), shared, column("l0", "l1"), totals, freed)
+    held = model_signs(sample.where("calibrates").select("text", "toxic"), model).toPandas()
+    toxic, signs = held["toxic"].to_numpy(float), held[["mean", "word", "pair"]].to_numpy(float)
+    # Classes weigh what they do among all learnable labels.
+    share = chosen_of(labels)
+    weight = np.where(toxic == 1, share[1] / max((toxic == 1).sum(), 1), share[0] / max((toxic == 0).sum(), 1))
+    model.weights = fitted_weights(signs, toxic, weight)
+    model.curve = fitted_curve(signs @ model.weights, toxic, weight)
+    return model
+
+
+def model_signs(sample: DataFrame, model) -> DataFrame:
+    def task(columns):
+        rows = [model.signs(t) for t in columns["text"].to_pylist()]
+        return {"toxic": columns["toxic"]} | {n: [r[i] for r in rows] for i, n in enumerate(("mean", "word", "pair"))}
+    return mapped(sample, task, "toxic int, mean double, word double, pair double")
+
+
+def model_evidence(docs: DataFrame, model) -> DataFrame:
+    def task(columns):
+        return {"doc_id": columns["doc_id"], "evidence": [model.evidence(t) for t in columns["text"].to_pylist()]}
+    return mapped(docs, task, "doc_id long, evidence double")
+
+
+def score(self, evidence: float) -> float:
+        return float(1 / (1 + np.exp(-np.clip(self.curve[0] + self.curve[1] * evidence, -40, 40))))
+
+
+def fitted_weights(signs: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weights of the signs by a ridge logistic regression, none below 0: a sign that speaks against toxicity is left out."""
+    active = list(range(signs.shape[1])) if 0 < toxic.sum() < len(toxic) else []
+    spread = np.maximum(signs.std(0), 1e-6) if active else None
+    while active:
+        x = np.column_stack([np.ones(len(signs)), (signs[:, active] - signs[:, active].mean(0)) / spread[active]])
+        w, ridge = np.zeros(x.shape[1]), np.diag([1e-6] + [1e-2 * weight.sum()] * len(active))
+        for _ in range(30):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            w -= np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + ridge, x.T @ (weight * (p - toxic)) + ridge @ w)
+        if (w[1:] >= 0).all():
+            out = np.zeros(signs.shape[1])
+            out[active] = w[1:] / spread[active]
+            return out
+        active = [a for a, v in zip(active, w[1:], strict=True) if v > 0]
+    return np.ones(signs.shape[1])
+
+
 def fitted_curve(evidence: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Curve that is 0.5 where the weighted errors are fewest, in the middle of the widest such gap: labels that
     contradict a text move it little. Its steepness is the inverse spread below. Without both classes: never toxic."""
@@ -182,34 +280,37 @@ def fitted_curve(evidence: np.ndarray, toxic: np.ndarray, weight: np.ndarray) ->
 
 
 def learn(docs: DataFrame, labels: DataFrame, written) -> Model:
-    """Model and curve. The driver holds at most CLASS_DOCS labels per class and MOST expressions."""
+    """Model and curve. The driver holds at most CLASS_DOCS labels per class, and the entries that exceed a discount in
+    their texts."""
     chosen = labelled(labels)
     sample = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id"), "toxicity-sample")
     pairs = written(class_counts(sample.where("not calibrates")), "toxicity-pairs")
     kinds = [F.count(F.when(F.col(f"c{c}") > 0, 1)).alias(f"c{c}") for c in (0, 1)]
     totals = pairs.agg(*kinds).first()
-    seen = F.col("c0") + F.col("c1")
-    follows = pairs.groupBy(F.col("right").alias("word")).agg(*kinds).where(seen >= RARE).orderBy(seen.desc(), "word").limit(MOST)
-    single = written(follows, "toxicity-words").toArrow()
-    lead = pairs.groupBy(F.col("left").alias("word")).agg(F.sum("c0").alias("l0"), F.sum("c1").alias("l1")).orderBy((F.col("l0") + F.col("l1")).desc(), "word").limit(MOST).toArrow()
-    double = pairs.where(seen >= RARE).orderBy(seen.desc(), "left", "right").limit(MOST).toArrow()
+    follows = written(pairs.groupBy(F.col("right").alias("word")).agg(*kinds), "toxicity-words")
+    over = [F.greatest(F.col(f"c{c}") - WORD_DISCOUNT, F.lit(0.0)) for c in (0, 1)]
+    kept_mass = follows.agg(*[F.coalesce(F.sum(x), F.lit(0.0)) for x in over]).first()
+    freed = [1 - kept_mass[c] / max(totals[c], 1) for c in (0, 1)]
+    double = pairs.where(f"c0 > {PAIR_DISCOUNT} or c1 > {PAIR_DISCOUNT}").toArrow()
+    named = pairs.where(f"c0 > {PAIR_DISCOUNT} or c1 > {PAIR_DISCOUNT}").select(F.explode(F.array("left", "right")).alias("word"))
+    entries = named.unionByName(follows.where(f"c0 > {WORD_DISCOUNT} or c1 > {WORD_DISCOUNT}").select("word")).distinct()
+    counts = written(shared_counts(docs), "toxicity-shared")
+    everything = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    lead = pairs.groupBy(F.col("left").alias("word")).agg(F.sum("c0").alias("l0"), F.sum("c1").alias("l1"))
+    single = written(entries.join(follows, "word", "left").join(lead, "word", "left").join(counts, "word", "left").na.fill(0), "toxicity-entries").toArrow()
     vocabulary = Vocabulary(single["word"].to_pylist())
     number = vocabulary.number
-    unigrams = np.vstack([[0, 0], np.stack([single["c0"].to_numpy(), single["c1"].to_numpy()], 1)]) if len(single) else np.zeros((1, 2), np.int64)
-    lefts = np.zeros((len(unigrams), 2))
-    for w, a, b in zip(*(lead[n].to_pylist() for n in ("word", "l0", "l1")), strict=True):
-        if w in number:
-            lefts[number[w]] = a, b
-    kept = [(number[a], number[b], c, d) for a, b, c, d in zip(*(double[n].to_pylist() for n in ("left", "right", "c0", "c1")), strict=True)
-             if a in number and b in number]
-    shared = shared_counts(docs, vocabulary)
-    model = Model(vocabulary, unigrams, np.array(kept, np.int64).reshape(-1, 4), shared, totals, lefts)
-    held = model_evidence(sample.where("calibrates").select("doc_id", "text", "toxic"), model, "toxic").toPandas()
-    toxic = held["toxic"].to_numpy(float)
+    column = lambda *names: np.vstack([np.zeros((1, len(names))), np.stack([single[n].to_numpy().astype(float) for n in names], 1)])
+    shared = (column("n")[:, 0] + 1) / (everything[0] + everything[1] + 1)
+    kept = np.array([(number[a], number[b], c, d) for a, b, c, d in zip(*(double[n].to_pylist() for n in ("left", "right", "c0", "c1")), strict=True)], np.int64)
+    model = Model(vocabulary, column("c0", "c1"), kept.reshape(-1, 4), shared, column("l0", "l1"), totals, freed)
+    held = model_signs(sample.where("calibrates").select("text", "toxic"), model).toPandas()
+    toxic, signs = held["toxic"].to_numpy(float), held[["mean", "word", "pair"]].to_numpy(float)
     # Classes weigh what they do among all learnable labels.
     share = chosen_of(labels)
     weight = np.where(toxic == 1, share[1] / max((toxic == 1).sum(), 1), share[0] / max((toxic == 0).sum(), 1))
-    model.curve = fitted_curve(held["evidence"].to_numpy(float), toxic, weight)
+    model.weights = fitted_weights(signs, toxic, weight)
+    model.curve = fitted_curve(signs @ model.weights, toxic, weight)
     return model
 
 
