@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sampletide.functions import lid, values
-from sampletide.operators import (checks, closure, gold, ingest, layout, lineage, manifest, pseudonym, publish, quantiles,
+from sampletide.operators import (checks, closure, diff, gold, ingest, layout, lineage, manifest, pseudonym, publish, quantiles,
                                   ranges, reproducible, spectral)
 from sampletide.plans import lake as lake_plan
 from sampletide.plans.fixtures import (AREAS, CUE_RANGES, SENTINEL, SPECTRAL_RATE, TEST_SECRET, Fixture)
 from sampletide.session import scratch
-from sampletide.sources import files, reader, rules, writer
+from sampletide.sources import batches, digest_index, files, reader, rules, writer
 from sampletide.sources.registry import DATASETS
 
 REGISTRY: dict = {}
@@ -862,3 +862,61 @@ def grouped_percentiles(f):
     found = quantiles.order_statistics(_prices(f), ["name"], "price", ranks)
     percent = F.element_at(F.array(*map(F.lit, shares)), F.col("which") + 1)
     return rounded(found.select("name", percent.alias("percent"), F.col("value").alias("price")), "price", digits=3)
+
+
+@query
+def retry_append(f):
+    """Orders appended in batches: one twice, one cut off before its commit and sent again, one cut off for good."""
+    path, orders = scratch(f.spark, "batches"), f.table("orders")
+    part = lambda s: orders.where(F.col("o_orderstatus") == s)
+    batches.append(part("F"), path, "F", "o_orderpriority")
+    batches.append(part("F"), path, "F", "o_orderpriority")
+    batches.write_attempt(part("O").where("o_orderpriority < '3'"), path, "o_orderpriority")
+    batches.append(part("O"), path, "O", "o_orderpriority")
+    batches.write_attempt(part("P"), path, "o_orderpriority")
+    rows = batches.read(f.spark, path, orders.schema)
+    return rows.groupBy("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("o_orderkey").alias("keys"))
+
+
+@query
+def unique_rules(f):
+    """Every uniqueness rule of the samples and of the lines in one scan each: held, broken, and with columns that swap values."""
+    lines = checks.duplicate_groups_of(f.table("lineitem"), {
+        "line": ["l_orderkey", "l_linenumber"], "order": ["l_orderkey"], "pair": ["l_partkey", "l_suppkey"], "swapped": ["l_suppkey", "l_partkey"]})
+    samples = checks.duplicate_groups_of(f.recording, {"sample": ["lid", "sample_idx"], "record": ["lid"], "place": ["experiment", "sample_idx"]})
+    return lines.unionByName(samples)
+
+
+@query
+def indexed_digests(f):
+    """Files hashed, those of one priority rewritten: only what changed is hashed again."""
+    root, index = f.blob_files(scratch(f.spark, "indexed")), scratch(f.spark, "index")
+    digest_index.digests(f.spark, f"{root}/raw", index, again=0)
+    changed = F.concat(F.lit("x"), F.col("line"))
+    files.write_lines(f.blob_lines.where("priority = '2'").withColumn("line", changed), root)
+    found = digest_index.digests(f.spark, f"{root}/raw", index, again=0)
+    below = F.substr(F.regexp_replace("path", "^file:/+", "/"), F.lit(len(root) + 2))
+    return found.select(below.alias("path"), F.col("length").alias("bytes"), "sha256", "state")
+
+
+@query
+def widened_scan(f):
+    """Two generations of files in one folder, the older with narrower types and other capitals, under the wider schema."""
+    path, orders = scratch(f.spark, "generations"), f.table("orders")
+    old = orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").cast("int").alias("O_ORDERKEY"), F.col("o_custkey").cast("int"), "o_orderstatus",
+                                                     F.col("o_custkey").cast("float").alias("amount"))
+    new = orders.where("o_orderstatus <> 'F'").select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_custkey").cast("double").alias("amount"))
+    for rows in (old, new):
+        rows.write.mode("append").parquet(path)
+    read = f.spark.read.schema("o_orderkey long, o_custkey long, o_orderstatus string, amount double").parquet(path)
+    return read.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("o_orderkey").alias("keys"), F.sum("o_custkey").alias("customers"),
+                                             F.sum("amount").alias("amount"))
+
+
+@query
+def version_diff(f):
+    """Orders against a version with rows taken out, changed and put in."""
+    old = f.table("orders")
+    kept = old.where("o_orderkey % 101 <> 0").withColumn("o_totalprice", F.expr("if(o_orderkey % 103 = 0, o_totalprice + 1, o_totalprice)"))
+    more = old.where("o_orderkey % 107 = 0").withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+    return diff.changes(old, kept.unionByName(more), ["o_orderkey"])

@@ -184,7 +184,8 @@ def observations(spark: SparkSession, root: str, owned: list[rules.Rule]) -> lis
             F.lit(rule.check_id).alias("check_id"), F.col("observed").cast("string"))
         unique = [r for r in mine if r.kind == "unique"]
         if unique:
-            found = attempt(lambda: reduce(DataFrame.unionByName, [named(r) for r in unique]), [r.check_id for r in unique])
+            found = attempt(lambda: checks.duplicate_groups_of(reader.dataset(spark, root, name), {r.check_id: r.params["columns"] for r in unique}),
+                            [r.check_id for r in unique])
             if any(e for _, _, e in found):
                 found = [o for r in unique for o in attempt(lambda: named(r), [r.check_id])]
             seen = seen + found

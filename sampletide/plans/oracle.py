@@ -553,6 +553,18 @@ STATEMENTS = {
     "grouped_median": f"SELECT name, round(median(price), 3) AS median FROM ({_PRICES}) GROUP BY name",
     "grouped_percentiles": f"""SELECT name, percent, round(price, 3) AS price FROM (SELECT name, price, row_number() OVER (PARTITION BY name ORDER BY price) AS place,
         count(*) OVER (PARTITION BY name) AS n FROM ({_PRICES})), (VALUES (1), (25), (90), (99)) v(percent) WHERE place = (n * percent + 99) // 100""",
+    "retry_append": """SELECT o_orderstatus, o_orderpriority, count(*) AS n_rows, sum(o_orderkey)::BIGINT AS keys FROM orders
+        WHERE o_orderstatus <> 'P' GROUP BY ALL""",
+    "unique_rules": " UNION ALL ".join(f"SELECT '{name}' AS check_id, count(*) AS observed FROM (SELECT 1 FROM {view} GROUP BY {columns} HAVING count(*) > 1)"
+        for name, view, columns in (("line", "lineitem", "l_orderkey, l_linenumber"), ("order", "lineitem", "l_orderkey"), ("pair", "lineitem", "l_partkey, l_suppkey"),
+                                    ("swapped", "lineitem", "l_suppkey, l_partkey"), ("sample", "recording", "lid, sample_idx"), ("record", "recording", "lid"),
+                                    ("place", "recording", "experiment, sample_idx"))),
+    "indexed_digests": """SELECT path, length(now)::BIGINT AS bytes, sha256(now) AS sha256, CASE priority WHEN '2' THEN 'new' ELSE 'known' END AS state FROM
+        (SELECT *, CASE priority WHEN '2' THEN 'x' || replace(content, chr(10), chr(10) || 'x') ELSE content END AS now FROM blobs)""",
+    "widened_scan": """SELECT o_orderstatus, count(*) AS n_rows, sum(o_orderkey)::BIGINT AS keys, sum(o_custkey)::BIGINT AS customers, sum(o_custkey::DOUBLE) AS amount
+        FROM orders GROUP BY o_orderstatus""",
+    "version_diff": """SELECT o_orderkey, CASE WHEN o_orderkey % 101 = 0 THEN 'deleted' ELSE 'changed' END AS change FROM orders WHERE o_orderkey % 101 = 0 OR o_orderkey % 103 = 0
+        UNION ALL SELECT -o_orderkey - 1, 'inserted' FROM orders WHERE o_orderkey % 107 = 0""",
     "channel_in_list": "SELECT count(*) AS n FROM recording WHERE channel_idx <> 1 AND channel_idx <> 3",
 }
 

@@ -92,8 +92,12 @@ def _hash_files(batches):
 def digests(spark: SparkSession, path, glob: str = "*.parquet") -> DataFrame:
     """sha256 of every file, read in chunks by the executors: a file of any size needs a few megabytes, where a
     binary column would hold it whole and stop at two gigabytes. The listing spreads files over tasks by size."""
-    return listing(spark, path, glob).select("path", "length").mapInArrow(
-        _hash_files, "path string, length long, sha256 string")
+    return hashed(listing(spark, path, glob).select("path", "length"))
+
+
+def hashed(files: DataFrame) -> DataFrame:
+    """path, length, sha256 of listed files (path, length)."""
+    return files.mapInArrow(_hash_files, "path string, length long, sha256 string")
 
 
 def _hash_runs(batches):
