@@ -4,8 +4,10 @@ Rules reject a document when a signal lies beyond a cutoff. Cutoffs come from la
 the cutoffs of all rules are tightened along one fixed PATH of moves (rule, step). Each move is a test of "more than the
 allowed share of good documents is rejected by any rule", done with the exact binomial (Clopper-Pearson) bound; the last
 move before the first failure is taken, so the fixed order needs no correction inside a stratum, and the error level is
-divided by the number of strata only (Bonferroni). A stratum with too few labels (fewer than log(delta / strata) /
-log(1 - risk), 437 with four strata) certifies nothing and rejects nothing.
+divided by the number of strata only (Bonferroni). Strata with too few labels to certify anything by themselves (fewer than
+log(delta / strata) / log(1 - risk), 437 with four strata) are pooled and judged as one stratum; the bound then holds for the
+pool as a whole. While the pool has too few, the smallest stratum that stands alone joins it. Whether a stratum is pooled
+depends on how many labels it has, not on what they say. With fewer than 299 labels in all nothing is rejected.
 """
 
 from __future__ import annotations
@@ -104,6 +106,25 @@ def upper_bound(k: int, n: int, delta: float) -> float:
     return high
 
 
+def needed(delta: float, risk: float) -> int:
+    """Fewest good labels with which a cutoff that rejects none of them is certified."""
+    return math.ceil(math.log(delta) / math.log(1 - risk))
+
+
+def standing(large: dict[str, int], others: int, risk: float, delta: float) -> tuple[set[str], float]:
+    """Strata that are judged by themselves, and the error level of every judged stratum, the pool included. `others` are the
+    labels of strata not in `large`. Strata with too few labels go to the pool; while it has too few, the smallest one joins it."""
+    alone, pool = dict(large), others
+    while True:
+        level = delta / max(len(alone) + (pool > 0), 1)
+        short = {s for s, n in alone.items() if n < needed(level, risk)}
+        if not short and alone and 0 < pool < needed(level, risk):
+            short = {min(alone, key=lambda s: (alone[s], s))}
+        if not short:
+            return set(alone), level
+        pool += sum(alone.pop(s) for s in short)
+
+
 def strictest(rejected: list[int], n: int, risk: float, delta: float, steps=STEPS) -> float | None:
     """The last step, from mild to strict, before the first whose bound on false rejections exceeds the risk."""
     chosen = None
@@ -115,7 +136,8 @@ def strictest(rejected: list[int], n: int, risk: float, delta: float, steps=STEP
 
 
 def cutoffs(measured_: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """stratum, then one cutoff per rule (null: the rule rejects nothing). `risk` holds for all rules of a stratum together.
+    """stratum, then one cutoff per rule (null: the rule rejects nothing). `risk` holds for all rules of a stratum together, and
+    for small strata in the pool of them.
 
     Good documents are those whose labels all say 1. Documents that fail the base are not the rules' to judge.
     Counts per (stratum, move) are aggregated first, so one stratum is a few hundred rows.
@@ -131,7 +153,11 @@ def cutoffs(measured_: DataFrame, labels: DataFrame, risk: float = RISK, delta:
         return F.array(*map(F.lit, moves))[F.greatest(step, F.lit(0))]
     counted = (held.select("stratum", F.least(*[first(i, n) for i, n in enumerate(RULES)]).alias("move"))
                .groupBy("stratum", "move").agg(F.count("*").alias("n")))
-    level = delta / max(held.select("stratum").distinct().count(), 1)
+    # Strata that could stand alone, of which there are fewer than labels over `needed(delta)`.
+    sizes = counted.groupBy("stratum").agg(F.sum("n").alias("n"))
+    large = {r["stratum"]: r["n"] for r in sizes.where(F.col("n") >= needed(delta, risk)).collect()}
+    alone, level = standing(large, (sizes.agg(F.sum("n")).first()[0] or 0) - sum(large.values()), risk, delta)
+    pooled = F.when(F.col("stratum").isin(sorted(alone)), F.col("stratum")) if alone else F.lit(None).cast("string")
 
     def choose(frame):
         import pandas as pd
@@ -141,9 +167,14 @@ def cutoffs(measured_: DataFrame, labels: DataFrame, risk: float = RISK, delta:
         cut: dict = dict.fromkeys(RULES)
         for rule, step in PATH[:0 if last is None else last + 1]:
             cut[RULES[rule]] = STEPS[step]
-        out = {"stratum": [frame["stratum"].iloc[0]]} | {f"cut_{n}": [v] for n, v in cut.items()}
+        out = {"pool": [frame["pool"].iloc[0]]} | {f"cut_{n}": [v] for n, v in cut.items()}
         return pd.DataFrame(out).astype({f"cut_{n}": "float64" for n in RULES})
-    return counted.groupBy("stratum").applyInPandas(choose, "stratum string, " + ", ".join(f"cut_{r} double" for r in RULES))
+    cut = ", ".join(f"cut_{r} double" for r in RULES)
+    judged = (counted.withColumn("pool", F.coalesce(F.concat(F.lit("="), pooled), F.lit(""))).groupBy("pool", "move").agg(F.sum("n").alias("n"))
+              .groupBy("pool").applyInPandas(choose, f"pool string, {cut}"))
+    # A language without a label is in no pool: nothing is known of it.
+    every = sizes.select("stratum").withColumn("pool", F.coalesce(F.concat(F.lit("="), pooled), F.lit("")))
+    return every.join(judged, "pool").select("stratum", *[f"cut_{r}" for r in RULES])
 
 
 def judge(docs: DataFrame, labels: DataFrame, written, risk: float = RISK, delta: float = DELTA) -> DataFrame:
