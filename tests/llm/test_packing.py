@@ -62,3 +62,16 @@ def test_odd_rows(odd, no_documents, kept_table):
     assert len(rows) == 8 + 30  # the long text is 29 full pieces and a rest
     assert sum(r.bin_id is None for r in rows) == 4
     assert packing.pack(no_documents, kept_table).count() == 0
+
+
+def test_equal_tables_give_equal_bins(documents, kept_table):
+    """Whatever the partitions and the order of rows, repeated rows, nulls and long texts included."""
+    rng = random.Random(6)
+    rows = [(rng.choice([None, *range(300)]), " ".join(f"w{rng.randint(0, 30)}" for _ in range(rng.choice([0, 3, 20, 49, 50, 130]))), "en", rng.choice(["a", "b", None])) for _ in range(400)]
+    rows += rows[:60] * 2
+    found = []
+    for parts in (1, 4, 7):
+        rng.shuffle(rows)
+        got = packing.pack(documents(rows).repartition(parts), kept_table, capacity=50, group=100).collect()
+        found.append(sorted(map(tuple, got), key=str))
+    assert found[0] == found[1] == found[2] and len({r[4] for r in found[0]}) > 50
