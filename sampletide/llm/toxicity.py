@@ -29,8 +29,8 @@ travels(__name__)
 FOLDS, CLASS_DOCS = 5, 6000
 # Discounts of pair counts and of the numbers of words that a word follows.
 PAIR_DISCOUNT, WORD_DISCOUNT = 3.0, 3.0
-# Different words a task counts before it hands them on.
-HELD_WORDS = 400_000
+# Different words or pairs a task counts before it hands them on.
+HELD_WORDS = 100_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -60,14 +60,27 @@ def chosen_of(labels: DataFrame) -> tuple[int, int]:
 
 def class_counts(sample: DataFrame) -> DataFrame:
     """left, right, c0, c1: how often two words are neighbours in each class."""
-    def task(columns):
+    import pyarrow as pa
+
+    def run(batches):
         met: tuple = Counter(), Counter()
-        for text, toxic in zip(columns["text"].to_pylist(), columns["toxic"].to_pylist(), strict=True):
-            found = words_of(text)
-            met[toxic].update(zip(found, found[1:]))
-        keys = list(met[0].keys() | met[1].keys())
-        return {"left": [k[0] for k in keys], "right": [k[1] for k in keys], "c0": [met[0][k] for k in keys], "c1": [met[1][k] for k in keys]}
-    made = mapped(sample.select("text", "toxic"), task, "left string, right string, c0 long, c1 long")
+
+        def handed():
+            for c in (0, 1):
+                keys, n = list(met[c]), pa.array(list(met[c].values()), pa.int64())
+                none = pa.array(np.zeros(len(keys), np.int64))
+                met[c].clear()
+                yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in keys], pa.string()) for i in (0, 1)] + ([none, n] if c else [n, none]), names=["left", "right", "c0", "c1"])
+        for batch in batches:
+            for at in range(0, batch.num_rows, 32):
+                part = batch.slice(at, 32)
+                for text, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    found = words_of(text)
+                    met[toxic].update(zip(found, found[1:]))
+                if len(met[0]) + len(met[1]) > HELD_WORDS:
+                    yield from handed()
+        yield from handed()
+    made = sample.select("text", "toxic").mapInArrow(run, "left string, right string, c0 long, c1 long")
     return made.groupBy("left", "right").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
 
 
@@ -87,8 +100,7 @@ def shared_counts(docs: DataFrame) -> DataFrame:
                 if len(met) > HELD_WORDS:
                     yield handed()
                     met.clear()
-        if met:
-            yield handed()
+        yield handed()
     return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
