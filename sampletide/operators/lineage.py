@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sampletide.functions import lid, values
+from sampletide.operators import closure
 from sampletide.operators.ingest import with_ingest_ord
 from sampletide.sources.bounds import literal
 from sampletide.sources.registry import EXPERIMENT_CODES
@@ -15,13 +16,8 @@ def experiment_codes(spark: SparkSession, codes: dict[str, int] = EXPERIMENT_COD
     return literal(spark, [(c, e) for e, c in codes.items()], "code int, experiment string")
 
 
-def _few(codes: DataFrame) -> DataFrame:
-    """The experiment field has eight bits, so its code table has at most 255 rows."""
-    return codes
-
-
 def edges(spark: SparkSession) -> DataFrame:
-    """Multi-parent edges: none so far, the schema is what readers rely on."""
+    """Multi-parent edges of a new lake: none, with the schema that readers rely on. `origins` follows them."""
     return spark.createDataFrame([], "child_lid string, parent_lid string")
 
 
@@ -43,17 +39,26 @@ def trace(ids: DataFrame, dim: DataFrame, codes: DataFrame) -> DataFrame:
     """Source file of every id, with the fields the id carries. An id whose time is not its file's is no trace of it."""
     decoded = ids.select("lid", lid.decode("lid").alias("f"))
     files = dim.select("ingest_ord", "source_path", "source_url", "sha256", F.col("ts_ms").alias("_ts"))
-    names = _few(codes)
     return (decoded.join(files, (F.col("f.file") == F.col("ingest_ord")) & (F.col("f.ts_ms") == F.col("_ts")))
-            .join(names, F.col("f.experiment") == F.col("code"))
+            .join(codes, F.col("f.experiment") == F.col("code"))
             .select("lid", "source_path", "source_url", "sha256", F.col("f.ts_ms").alias("ts_ms"),
                     F.col("f.layer").alias("layer"), "experiment", F.col("f.run").alias("run"),
                     F.col("f.channel").alias("channel"), F.col("f.segment").alias("segment")))
 
 
+def origins(ids: DataFrame, parents: DataFrame, dim: DataFrame, codes: DataFrame) -> DataFrame:
+    """(lid, source_path, sha256): every source file an id was made from, over edges (child_lid, parent_lid) of any depth to ids
+    without a parent, and through these to their files. An id without a parent has the file of its own fields."""
+    own = ids.select("lid").distinct()
+    alone = own.join(parents.select(F.col("child_lid").alias("lid")).distinct(), "lid", "left_anti").select("lid", F.col("lid").alias("root_lid"))
+    found = closure.roots(parents, own).select("lid", "root_lid").unionByName(alone)
+    traced = trace(found.select(F.col("root_lid").alias("lid")).distinct(), dim, codes).select(F.col("lid").alias("root_lid"), "source_path", "sha256")
+    return found.join(traced, "root_lid").select("lid", "source_path", "sha256").distinct()
+
+
 def prefix_bounds(dim: DataFrame, codes: DataFrame, layer: int = 2) -> DataFrame:
     """Lowest and highest id any record of a file can carry in `layer`."""
-    coded = dim.join(_few(codes), "experiment")
+    coded = dim.join(codes, "experiment")
     first = lid.mint_text("ts_ms", layer, "code", "ingest_ord", 0, 0, 0, 0)
     last = lid.mint_text("ts_ms", layer, "code", "ingest_ord", 15, 1023, 1023, 1, reserved=lid.RESERVED_LOW)
     return coded.select("ingest_ord", "ingest_id", first.alias("lid_lo"), last.alias("lid_hi"))

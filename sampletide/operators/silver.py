@@ -1,7 +1,7 @@
 """Bronze to Silver: typed, scaled, pseudonymised.
 
-Key map and audit have a row per source file at most and are broadcast behind that bound; the sample table is
-never shuffled to be typed. The Silver id is the Bronze id one layer down, so no join against the record
+Key map and audit have a row per source file at most and are joined plainly, so the planner broadcasts them while they are small;
+the sample table is then not shuffled to be typed. The Silver id is the Bronze id one layer down, so no join against the record
 table is needed to find it.
 """
 
@@ -21,10 +21,6 @@ def unit_scale(spark: SparkSession, scale: dict = UNIT_SCALE) -> DataFrame:
     return literal(spark, rows, "experiment string, uv_per_unit float, scale_basis string")
 
 
-def _few(scale: DataFrame) -> DataFrame:
-    return scale
-
-
 def _fields(rows: DataFrame, name: str) -> DataFrame:
     return rows.select(*DATASETS[name].fields)
 
@@ -43,15 +39,15 @@ def record(recording: DataFrame, key_map: DataFrame, scale: DataFrame) -> DataFr
     """One row per record; its count includes missing samples. Names are joined after the aggregate."""
     keys = ["lid", "experiment", "subject_src", "run", "channel_idx"]
     counted = recording.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_samples_src"))
-    named = replace_code(counted, key_map).join(_few(scale.drop("uv_per_unit")), "experiment")
+    named = replace_code(counted, key_map).join(scale.drop("uv_per_unit"), "experiment")
     return _fields(_down(named), "silver/record")
 
 
 def recording(bronze: DataFrame, key_map: DataFrame, audit: DataFrame, scale: DataFrame) -> DataFrame:
-    """Present samples in microvolts and milliseconds. Three broadcast joins, no shuffle of samples."""
+    """Present samples in microvolts and milliseconds, by three joins with tables of a row per file or experiment."""
     rates = audit.select("ingest_id", "sample_rate_hz")
     present = bronze.where(F.col("value_raw").isNotNull() & ~F.isnan("value_raw"))
-    joined = replace_code(present.join(rates, "ingest_id"), key_map).join(_few(scale), "experiment")
+    joined = replace_code(present.join(rates, "ingest_id"), key_map).join(scale, "experiment")
     typed = joined.select(
         "experiment", "subject_pid", "run", "channel_idx",
         values.sample_time_ms(F.col("sample_idx"), F.col("sample_rate_hz")).alias("ts_ms"),

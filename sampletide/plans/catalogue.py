@@ -410,6 +410,13 @@ def lineage_roots(f):
     return reach(closure.roots(made, f.table("orders").select(f.node("o_orderkey", 3).alias("lid"))), "root_lid")
 
 
+@query
+def lineage_sources(f):
+    """Source files of derived records with many parents, and of records that have none."""
+    ids = f.summary_edges.select(F.col("child_lid").alias("lid")).unionByName(f.record.select("lid"))
+    return lineage.origins(ids, f.summary_edges, f.file_dim, f.codes)
+
+
 @query
 def canary_records(f):
     return lineage.canaries(f.record).select("lid", "experiment", "subject_pid", "run", "channel_idx")

@@ -310,6 +310,12 @@ class Fixture:
                  suppliers.select(self.node("s_suppkey", 1).alias("child_lid"), self.node(above, 1).alias("parent_lid"))]
         return named[0].unionByName(named[1]).unionByName(named[2])
 
+    @cached_property
+    def summary_edges(self) -> DataFrame:
+        """One derived record per experiment and channel, made from the records of all subjects and runs."""
+        made = lid.mint_text(1_704_067_200_000, 3, "code", 0, 0, "channel_idx", 0, 0)
+        return self.record.join(self.codes, "experiment").select(made.alias("child_lid"), F.col("lid").alias("parent_lid"))
+
     # --- ranges of ids: of a user's day, of a kind's day, of a kind ---
 
     @cached_property

@@ -426,6 +426,8 @@ STATEMENTS = {
     "lineage_descendants": _closure(f"SELECT {_node('s_suppkey', 1)} AS lid FROM supplier", "parent_lid", "child_lid"),
     "lineage_roots": f"""SELECT {_node('l_orderkey', 3)} AS lid, 2 AS steps, count(DISTINCT root_lid) AS n, min(root_lid) AS first, max(root_lid) AS last FROM lineitem JOIN (SELECT DISTINCT l_partkey, {_node('l_suppkey', 1)} AS root_lid
         FROM lineitem) USING (l_partkey) GROUP BY ALL""",
+    "lineage_sources": f"""SELECT DISTINCT unnest([r.lid, {_lid('1704067200000', '3', 'c.code', '0', '0', 'r.channel_idx')}]) AS lid, d.source_path, d.sha256
+        FROM record r JOIN codes c USING (experiment) JOIN keys k USING (subject_pid) JOIN dim d ON d.ingest_id = r.experiment || '-' || k.subject_src""",
     "canary_records": f"SELECT lid, experiment, subject_pid, run, channel_idx FROM record WHERE {_canary('lid')}",
     "lid_file_consistency": "SELECT ingest_ord::INTEGER AS file, count(*) AS n_rows, 1 AS agrees FROM recording GROUP BY ingest_ord",
     "canary_by_subject": """SELECT subject_pid, CASE subject_src WHEN 'u9' THEN 1 ELSE 0 END AS min_bit, CASE subject_src WHEN 'u9' THEN 1 ELSE 0 END AS max_bit
