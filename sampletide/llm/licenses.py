@@ -1,7 +1,7 @@
 """License notices by ordered signature rules.
 
 Rules are regular expressions over normalised words (lower case, joined by single blanks). They are written per licence
-family as phrases and expanded over versions and ways of naming them, which gives a few hundred. A rule runs only on
+family as phrases and expanded over versions and ways of naming them, and by hand for the sentences of their texts. A rule runs only on
 texts that hold its keyword. Detections are settled in order of priority: one that lies inside a detection of higher
 priority, or of the same priority but longer, is suppressed. Base phrases are detections that nothing suppresses.
 """
@@ -67,6 +67,61 @@ def _creative(kind: str, words: str) -> list:
             (f"cc-{kind}", "cc by", rf"cc {kind.replace('-', ' ')}(?= |$)", 3, 0.7)]
 
 
+# Sentences of licence texts and of the notices they ask for, by which a text is known that never names its licence.
+BODIES = (
+    ("mit", "sublicense", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software", 8, 0.99),
+    ("mit", "substantial portions", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", 7, 0.98),
+    ("isc", "disclaims", "the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness", 7, 0.97),
+    ("bsd", "redistributions", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", 7, 0.97),
+    ("bsd", "redistributions", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation", 7, 0.97),
+    ("bsd", "warranties", r"this software is provided by (?:\S+ ){1,8}as is and any express or implied warranties", 6, 0.9),
+    ("apache-2", "in writing", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis", 8, 0.98),
+    ("apache-2", "compliance", "you may not use this file except in compliance with the license you may obtain a copy of the license at", 7, 0.96),
+    ("apache-2", "contributor", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license", 9, 0.99),
+    ("apache-2", "derivative works", "derivative works shall mean any work whether in source or object form that is based on or derived from the work", 9, 0.99),
+    ("gpl", "free software", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license", 7, 0.98),
+    ("gpl", "in the hope", "this (?:program|software|file) is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose", 6, 0.9),
+    ("gpl-1", "mercy", "the license agreements of most software companies try to keep users at the mercy of those companies", 9, 0.99),
+    ("gpl-2", "freedom", "the licenses for most software are designed to take away your freedom to share and change it", 9, 0.97),
+    ("gpl-2", "general public", "this license applies to any program or other work which contains a notice placed by the copyright holder saying it may be distributed under the terms of this general public license", 9, 0.99),
+    ("gpl-3", "copyleft", "the gnu general public license is a free copyleft license for software and other kinds of works", 9, 0.99),
+    ("gpl-3", "propagate", "to propagate a work means to do anything with it that without permission would make you directly or secondarily liable for infringement under applicable copyright law", 6, 0.9),
+    ("lgpl", "library", "this library is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license", 8, 0.98),
+    ("lgpl-2.1", "lesser", "the lesser general public license applies to some specially designated software packages typically libraries", 9, 0.99),
+    ("lgpl-3", "lesser", "this version of the gnu lesser general public license incorporates the terms and conditions of version 3 of the gnu general public license", 9, 0.99),
+    ("agpl-3", "affero", "the gnu affero general public license is a free copyleft license for software and other kinds of works", 9, 0.99),
+    ("agpl-3", "remotely", "your modified version must prominently offer all users interacting with it remotely through a computer network", 9, 0.99),
+    ("fdl", "free documentation", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", 8, 0.98),
+    ("mpl-2.0", "mozilla", "this source code form is subject to the terms of the mozilla public license v 2 0", 9, 1.0),
+    ("mpl-2.0", "covered software", "covered software means source code form to which the initial contributor has attached the notice in exhibit a", 9, 0.99),
+    ("mpl-1.1", "mozilla", "the contents of this file are subject to the mozilla public license version 1 1", 9, 1.0),
+    ("epl", "eclipse", "the accompanying program is provided under the terms of this eclipse public license", 8, 0.99),
+    ("epl", "recipient", "any use reproduction or distribution of the program constitutes recipient s acceptance of this agreement", 6, 0.85),
+    ("cddl", "common development", "the contents of this file are subject to the terms of the common development and distribution license", 9, 1.0),
+    ("cc-by", "redistribute", "you are free to share copy and redistribute the material in any medium or format", 5, 0.85),
+    ("cc-by", "appropriate credit", "you must give appropriate credit provide a link to the license and indicate if changes were made", 5, 0.85),
+    ("cc-by-nc", "commercial", "you may not use the material for commercial purposes", 6, 0.9),
+    ("cc-by-sa", "build upon", "if you remix transform or build upon the material you must distribute your contributions under the same license as the original", 7, 0.97),
+    ("cc-by-nd", "build upon", "if you remix transform or build upon the material you may not distribute the modified material", 7, 0.97),
+    ("cc0", "public domain", "the person who associated a work with this deed has dedicated the work to the public domain", 9, 0.99),
+    ("cc0", "waived", r"to the extent possible under law (?:\S+ ){1,12}has waived all copyright and related or neighboring rights", 9, 0.99),
+    ("unlicense", "compiled binary", "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary", 9, 1.0),
+    ("wtfpl", "verbatim", "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed", 9, 1.0),
+    ("zlib", "alter it", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely", 9, 1.0),
+    ("zlib", "misrepresented", "the origin of this software must not be misrepresented you must not claim that you wrote the original software", 8, 0.99),
+    ("boost-1", "organization", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", 9, 1.0),
+    ("artistic-1.0", "artistic", "the copyright holder maintains some semblance of artistic control over the development of the package", 9, 0.99),
+    ("ofl", "font", "the goals of the open font license ofl are to stimulate worldwide development of collaborative font projects", 9, 0.99),
+    ("postgresql", "written agreement", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted", 9, 0.99),
+    ("python", "psf", "psf is making python available to licensee on an as is basis", 9, 0.99),
+    ("openssl", "openssl", "this product includes software developed by the openssl project for use in the openssl toolkit", 9, 1.0),
+    ("ms-pl", "accompanying", "this license governs use of the accompanying software if you use the software you accept this license", 8, 0.95),
+    ("eupl", "eupl", "licensed under the eupl", 8, 0.97),
+    ("json", "not evil", "the software shall be used for good not evil", 9, 1.0),
+    ("beerware", "retain this notice", "as long as you retain this notice you can do whatever you want with this stuff", 9, 1.0),
+)
+
+
 def rules() -> list[tuple[str, tuple[bytes, ...], re.Pattern, int, float]]:
     """(label, keywords, pattern, priority, score) in order of falling priority."""
     made = [
@@ -97,6 +152,7 @@ def rules() -> list[tuple[str, tuple[bytes, ...], re.Pattern, int, float]]:
         ("zlib", "altered", r"altered source versions must be plainly marked as such", 8, 0.98), ("boost", "boost", r"boost software license version 1 0", 9, 1.0),
         ("apache-2", "apache", r"apache org licenses license 2 0", 9, 1.0), ("proprietary", "rights", r"all rights reserved", 1, 0.4),
         ("proprietary", "proprietary", r"proprietary and confidential", 3, 0.7), ("proprietary", "unauthori", r"unauthori[sz]ed copying of this (?:file|work) is strictly prohibited", 5, 0.9),
+        *BODIES,
     ]
     # A pattern that cannot match without the word for licence is gated by its stem too.
     def keys(key, pattern):

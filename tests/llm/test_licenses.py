@@ -62,3 +62,39 @@ def test_odd_rows(odd, no_documents):
     rows = licenses.scan(odd).collect()
     assert len(rows) == 9 and {r.labels for r in rows} == {""} and {r.score for r in rows} == {0.0}
     assert licenses.scan(no_documents).count() == 0
+
+
+@pytest.mark.parametrize(("text", "label"), [
+    ("// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0.", "mpl-2.0"),
+    ("This library is free software; you can redistribute it and/or\n * modify it under the terms of the GNU Lesser General Public\n * License", "lgpl"),
+    ("The licenses for most software are designed to take away your\nfreedom to share and change it.", "gpl-2"),
+    ("your modified version must prominently offer all users\ninteracting with it remotely through a computer network", "agpl-3"),
+    ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES", "bsd"),
+    ("Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS", "apache-2"),
+    ("The origin of this software must not be misrepresented; you must not claim that you wrote the original software.", "zlib"),
+    ("To the extent possible under law, the author of this work has waived all copyright and related or neighboring rights", "cc0"),
+    ("If you remix, transform, or build upon the material, you must distribute your contributions under the same license as the original.", "cc-by-sa"),
+    ("The Software shall be used for Good, not Evil.", "json")])
+def test_texts_that_do_not_name_their_licence(text, label):
+    assert label in licenses.scanned(text)[5].split(",")
+
+
+def test_every_sentence_of_a_body_is_found():
+    for label, _, pattern, _, _ in licenses.BODIES:
+        text = pattern.replace("(?:\\S+ ){1,8}", "some people ").replace("(?:\\S+ ){1,12}", "the authors ").replace("(?:lesser|library)", "library").replace("(?:program|software|file)", "file")
+        assert any(d[2] == label for d in licenses.detections(text.encode())), text
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["licensed under the apache license version 2 0", "under the", "gnu", "general public license", "version 2", "mozilla public license 2 0",
+                                 "cc by nc", "cc by nc sa 4 0", "bsd license", "3 clause bsd license", "all rights reserved", "word", "mit license"]), max_size=14))
+def test_suppression_against_comparing_all(parts):
+    """A detection stays unless a kept one of an earlier place in the order holds it: compared one by one, without gates."""
+    line = " ".join(parts).encode()
+    every = sorted({(m.start(), m.end(), label, priority, score) for label, _, pattern, priority, score in licenses.RULES for m in pattern.finditer(line)},
+                   key=lambda d: (-d[3], d[0] - d[1], d[0], d[2]))
+    kept = []
+    for d in every:
+        if all(not (k[0] <= d[0] and d[1] <= k[1]) for k in kept):
+            kept.append(d)
+    assert licenses.detections(line) == sorted(kept)
