@@ -86,14 +86,19 @@ def record_stats(samples: DataFrame, most: int = KNOWN_RECORDS) -> DataFrame:
     Neither way shuffles samples. NULL values count as samples and nothing else. Canaries fall out later, when the records
     they belong to do.
     """
+    return _stats_and_extremes(samples, most)[0]
+
+
+def _stats_and_extremes(samples: DataFrame, most: int = KNOWN_RECORDS) -> tuple[DataFrame, DataFrame]:
+    """The statistics, to be read once, and a written table that has their lid, lo and hi."""
     own = samples.select("lid", F.col("value_uv").cast("float").alias("v"))
     ends = materialise(own.groupBy("lid").agg(
         F.count(F.lit(1)).alias("n_samples"), F.sum(F.col("v") * F.col("v")).alias("sum_squares"), F.min("v").alias("lo"), F.max("v").alias("hi")), "record-extremes")
     if ends.count() > most:
-        return _record_stats_in_one_pass(samples)
+        return _record_stats_in_one_pass(samples), ends
     at = own.join(F.broadcast(ends.select("lid", "lo", "hi")), "lid").where((F.col("v") <= F.col("lo")) | (F.col("v") >= F.col("hi")))
     counted = at.groupBy("lid").agg(F.count_if(F.col("v") == F.col("lo")).alias("n_lo"), F.count_if(F.col("v") == F.col("hi")).alias("n_hi"))
-    return ends.join(counted, "lid", "left").select("lid", "n_samples", "sum_squares", "lo", "hi", "n_lo", "n_hi")
+    return ends.join(counted, "lid", "left").select("lid", "n_samples", "sum_squares", "lo", "hi", "n_lo", "n_hi"), ends
 
 
 def _record_stats_in_one_pass(samples: DataFrame) -> DataFrame:
@@ -109,15 +114,17 @@ def _record_stats_in_one_pass(samples: DataFrame) -> DataFrame:
         F.min("value").alias("lo"), F.max("value").alias("hi"), F.min_by("at", "value").alias("n_lo"), F.max_by("at", "value").alias("n_hi"))
 
 
-def clipping(records: DataFrame, stats: DataFrame) -> DataFrame:
+def clipping(records: DataFrame, stats: DataFrame, extremes: DataFrame | None = None) -> DataFrame:
     """Share of a record's samples at the run's rails and at its own extremes, percent.
 
     A sample sits on a rail of its run only if the record's own extreme is that rail, so the counts at the own
-    extremes answer both. When low and high coincide the samples are counted once.
+    extremes answer both. When low and high coincide the samples are counted once. `extremes`, where given, saves reading
+    `stats` twice.
     """
     run = ["experiment", "subject_pid", "run"]
     named = stats.join(records, "lid")
-    rails = named.groupBy(*run).agg(F.min("lo").alias("rail_lo"), F.max("hi").alias("rail_hi"))
+    ends = named if extremes is None else extremes.select("lid", "lo", "hi").join(records.select("lid", *run), "lid")
+    rails = ends.groupBy(*run).agg(F.min("lo").alias("rail_lo"), F.max("hi").alias("rail_hi"))
     joined = named.join(rails, run)
     at = lambda hit, n: F.when(hit, F.col(n)).otherwise(0)
     on_rails = at(F.col("lo") == F.col("rail_lo"), "n_lo") + at(
@@ -129,8 +136,7 @@ def clipping(records: DataFrame, stats: DataFrame) -> DataFrame:
 
 def channel_quality(records: DataFrame, samples: DataFrame, noise: DataFrame | None = None) -> DataFrame:
     """One row per kept record with samples."""
-    stats = materialise(record_stats(samples), "record-stats")
-    measured = clipping(_kept(records), stats)
+    measured = clipping(_kept(records), *_stats_and_extremes(samples))
     if noise is None:
         measured = measured.withColumn("line_noise_ratio", F.lit(None).cast("float"))
     else:
