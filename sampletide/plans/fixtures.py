@@ -300,6 +300,11 @@ class Fixture:
         """Id of a derived record: its number lies in the file and channel fields."""
         return lid.mint_text(1_704_067_200_000, layer, 1, f"{key} % 65536", 0, f"({key} div 65536) % 1024", 0, 0)
 
+    @property
+    def node_order(self) -> list[str]:
+        """Keys that count past the file field carry on in the channel: by layer, channel and file, ids lie in order of their keys."""
+        return ["substr(lid, 1, 18)", "substr(lid, 25, 12)", "substr(lid, 20, 4)"]
+
     @cached_property
     def edges(self) -> DataFrame:
         """A supplier's parent is the one of half its number; the first one's parent is the third, which closes a cycle."""

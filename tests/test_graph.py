@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from sampletide.operators import closure, ranges
 from sampletide.sources.bounds import literal
@@ -58,6 +59,43 @@ def test_roots_and_nothing(spark, graph):
     assert closure.ancestors(frame.limit(0), ids).collect() == []
 
 
+@pytest.mark.parametrize("most", [7, 100_000])
+@pytest.mark.parametrize("upward", [True, False])
+@pytest.mark.parametrize("near", [[], ["substr(lid, 3, 1)", "reverse(lid)"]])
+def test_totals(spark, graph, most, upward, near):
+    """Counts and ends of what is reached, whatever the order of the numbers."""
+    edges, frame = graph
+    starts = sorted({a for e in edges for a in e}) + ["lonely"]
+    ids = spark.createDataFrame([(s,) for s in [*starts, "n03", None]], "lid string")
+    want = {}
+    for s in starts:
+        for n, k in walked(edges, s, upward).items():
+            want.setdefault((s, k), []).append(n)
+    got = {(r.lid, r.steps): (r.n, r["first"], r["last"]) for r in closure.totals(frame, ids, upward, near, most=most).collect()}
+    assert got == {key: (len(held), min(held), max(held)) for key, held in want.items()}
+
+
+def test_totals_of_roots_and_nothing(spark, graph):
+    edges, frame = graph
+    parents = {a for a, _ in edges}
+    ids = spark.createDataFrame([("n05",), ("n99",)], "lid string")
+    got = {(r.lid, r.steps): r.n for r in closure.totals(frame, ids, only_roots=True).collect()}
+    want = [(s, k) for s in ("n05", "n99") for n, k in walked(edges, s).items() if n not in parents]
+    assert got == {key: want.count(key) for key in want}
+    assert closure.totals(frame, ids.limit(0)).collect() == []
+    assert closure.totals(frame.limit(0), ids).collect() == []
+
+
+def test_sets_are_words(spark):
+    """Ids reached together are a word, not a row each: 50 parents of 40 records, reached again by 40 more."""
+    pairs = [(f"b{i:02}", f"a{j:02}") for i in range(40) for j in range(50)] + [(f"c{i:02}", f"b{i:02}") for i in range(40)]
+    edges = spark.createDataFrame(pairs, "child_lid string, parent_lid string")
+    number = {n: i for i, n in enumerate(sorted({x for p in pairs for x in p}))}
+    links = spark.createDataFrame([(number[c], number[p], number[p] // closure.BITS, number[p] % closure.BITS) for c, p in pairs], "at long, to long, word long, bit int")
+    assert sum(t.count() for t in closure._exact(links, 100_000)) <= 40 * 3
+    assert closure.totals(edges, edges.select(F.col("child_lid").alias("lid"))).where("steps = 2").agg(F.sum("n")).first()[0] == 40 * 50
+
+
 @pytest.fixture(scope="module")
 def ids():
     """Ids that share prefixes of every length, and one that occurs often."""
