@@ -15,8 +15,10 @@ MAX_ROWS_PER_GROUP = 200_000
 ROWS_PER_GROUP = 198_656
 ROWS_PER_FILE = 20_000_000
 DELTA_COLUMNS = ("sample_idx", "ts_ms")
-# Bytes at rest that one task sorts and writes.
+# Bytes at rest and rows that one task sorts and writes. Sorted ids and numbers that rise take a few bytes a row at rest and some 200
+# in a sort, so bytes alone do not bound a task's memory.
 RANGE_BYTES = 128 * 1024**2
+RANGE_ROWS = 1_000_000
 
 
 def clustered(rows: DataFrame, *partitions: str) -> DataFrame:
@@ -71,11 +73,12 @@ def layout_write(rows: DataFrame, path: str, partitions=("experiment", "subject_
     Range partitioning on partition and sort columns together cuts a hot partition into many tasks and files
     with disjoint key ranges, so no task holds a whole subject and id ranges still prune files. Range bounds need a
     sample of the rows, so derived rows are written to scratch first rather than derived twice; the number of ranges
-    follows the bytes of that table unless it is given. `split_by` names other range columns, for small tables.
+    follows the bytes and rows of that table unless it is given. `split_by` names other range columns, for small tables.
     """
     keys = [*partitions, *order]
     rows, held = written_aside(rows, "layout")
-    split = rows.repartitionByRange(ranges or max(1, -(-held // RANGE_BYTES)), *(split_by or keys))
+    ranges = ranges or max(1, -(-held // RANGE_BYTES), -(-rows.count() // RANGE_ROWS))
+    split = rows.repartitionByRange(ranges, *(split_by or keys))
     writer = (split.sortWithinPartitions(*keys).write.mode("overwrite")
               .option("compression", codec)
               .option("parquet.block.row.count.limit", rows_per_group)

@@ -47,6 +47,16 @@ def test_hot_partition_is_cut_into_ranges(spark, tmp_path):
     assert spark.read.parquet(path).count() == 9000
 
 
+def test_ranges_follow_the_rows(spark, tmp_path, monkeypatch):
+    """Rows that take few bytes at rest are cut into ranges all the same, each written by its task."""
+    monkeypatch.setattr(writer, "RANGE_ROWS", 500)
+    path = str(tmp_path / "many")
+    rows = spark.range(5000).select(F.lit("a").alias("experiment"), F.lit("p").alias("subject_pid"), F.lit("0").alias("lid"), F.col("id").alias("sample_idx"))
+    writer.layout_write(rows, path)
+    held = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+    assert len(held) == 10 and max(held) < 1000 and sum(held) == 5000
+
+
 @pytest.mark.parametrize("batch", [1, 2, 3, 10000])
 def test_disorder_is_found_across_batches(spark, tmp_path, batch):
     path = str(tmp_path / "u")
