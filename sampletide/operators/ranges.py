@@ -4,6 +4,8 @@ A range of the 128-bit id is cut into pieces at the digits where its ends part:
 in one prefix cell beyond the lower end, below the upper end, or between both. Ids carry their prefix of each length that
 occurs, so the join is one of equal cells, and every pair of id and range is found by exactly one piece. A wide range is a
 few pieces with short prefixes; cells that hold many ids are dealt over slots, to which their pieces are sent.
+
+What is only counted or added up needs no pairs: `totals` takes the sums over all ids up to each end of a range from each other.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sampletide.operators.running import PART_ROWS, running
 from sampletide.session import materialise
 
 # Prefix lengths of the id's text, four digits apart (with the dashes); the whole id last.
@@ -60,3 +63,28 @@ def within(records: DataFrame, ranges: DataFrame, lo: str = "lid_lo", hi: str =
     held = ((F.col("_in.level") == F.col("_level")) & (F.col("_in.cell") == F.col("_cell")) & (F.col("_at") == F.col("_slot"))
             & (F.col("_above").isNull() | (F.col("lid") > F.col("_above"))) & (F.col("_below").isNull() | (F.col("lid") < F.col("_below"))))
     return placed.join(cut, held).drop("_in", "_at", "_slot", "_level", "_cell", "_above", "_below")
+
+
+def totals(records: DataFrame, ranges: DataFrame, sums: dict[str, str], lo: str = "lid_lo", hi: str = "lid_hi", part_rows: int = PART_ROWS) -> DataFrame:
+    """`ranges` that hold an id of `records` (lid and others), with `n_records` and per name of `sums` the sum of that whole-number
+    column over the ids in the range: `within`, counted, without a row per pair of id and range.
+
+    The work is one sort of ids and ends, whatever the ranges' widths and however they overlap.
+    """
+    exact = "decimal(38,0)"
+    names = {"n_records": F.count(F.lit(1)), **{name: F.sum(F.col(c).cast(exact)) for name, c in sums.items()}}
+    named = ranges.where(F.col(lo) <= F.col(hi))
+    # A row per different id and end; an end that is no id adds nothing.
+    held = records.where("lid is not null").groupBy("lid").agg(*[total.cast(exact).alias(n) for n, total in names.items()])
+    none = [F.lit(None).cast(exact).alias(n) for n in names]
+    ends = named.select(F.explode(F.array(lo, hi)).alias("lid")).distinct().select("lid", *none)
+    own = held.unionByName(ends).groupBy("lid").agg(*[F.sum(n).alias(n) for n in names])
+    own = own.select("lid", *[F.coalesce(n, F.lit(0).cast(exact)).alias(n) for n in names], *[F.col(n).isNotNull().cast("int").alias(f"has_{n}") for n in names])
+    counted = {f"upto_{n}": F.col(n) for n in names} | {f"known_{n}": F.col(f"has_{n}") for n in names}
+    upto = materialise(running(own, ["lid"], counted, part_rows), "upto")
+    last = upto.select(F.col("lid").alias(hi), *[F.col(c).alias(f"_to_{c}") for c in counted])
+    first = upto.select(F.col("lid").alias(lo), *[(F.col(f"upto_{n}") - F.col(n)).alias(f"_from_upto_{n}") for n in names],
+                        *[(F.col(f"known_{n}") - F.col(f"has_{n}")).alias(f"_from_known_{n}") for n in names])
+    # A sum of no values is null, as it is over the rows themselves.
+    found = {n: F.when(F.col(f"_to_known_{n}") > F.col(f"_from_known_{n}"), F.col(f"_to_upto_{n}") - F.col(f"_from_upto_{n}")).cast("bigint") for n in names}
+    return named.join(last, hi).join(first, lo).select(*[F.col(c) for c in ranges.columns], *[v.alias(n) for n, v in found.items()]).where("n_records > 0")

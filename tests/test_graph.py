@@ -121,6 +121,26 @@ def test_within(spark, ids, most):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.mark.parametrize("part_rows", [20, 200_000])
+def test_totals_of_ranges(spark, ids, part_rows):
+    """Counts and sums of overlapping ranges, with ends that are no ids, an id that occurs often, values that are null."""
+    rng = random.Random(9)
+    ends = [tuple(sorted(rng.sample(ids, 2))) for _ in range(60)] + [(i, i) for i in ids[:5]] + [(ids[3][:-1] + "0", ids[3][:-1] + "f")]
+    ends += [("0", "1"), ("00000000-0000-0000-0000-000000000000", "ffffffff-ffff-ffff-ffff-ffffffffffff"), (max(ids), min(ids)), (None, ids[0]), (ids[0], None)]
+    frame = spark.createDataFrame([(n, *e) for n, e in enumerate(ends)], "name int, lid_lo string, lid_hi string")
+    values = [(None if n % 4 == 0 else n * 10 ** 15 - 10 ** 17, i) for n, i in enumerate(ids)]
+    records = spark.createDataFrame([*values, (5, None)], "value long, lid string")
+    found = ranges.totals(records, frame, {"total": "value"}, part_rows=part_rows)
+    got = {r.name: (r.n_records, r.total) for r in found.collect()}
+    want = {}
+    for n, (lo, hi) in enumerate(ends):
+        inside = [v for v, i in values if lo and hi and lo <= i <= hi]
+        if inside:
+            told = [v for v in inside if v is not None]
+            want[n] = len(inside), sum(told) if told else None
+    assert got == want and found.columns == ["name", "lid_lo", "lid_hi", "n_records", "total"]
+
+
 def test_pieces_are_few(spark):
     lo, hi = "018c0000-0000-2010-0001-000000000000", "018c0000-0001-2010-0001-000000000000"
     frame = literal(spark, [("018c" + lo[4:], hi)], "lid_lo string, lid_hi string")
