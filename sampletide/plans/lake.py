@@ -287,7 +287,7 @@ def build(fixture, root: str) -> str:
     """The lake of the fixture tables, Bronze to Gold, below `root`."""
     files.write_blobs(fixture.raw_files, root)
     write_bronze(root, fixture.bronze_recording, fixture.bronze_electrode, fixture.bronze_event, fixture.audit)
-    # Small files, yet of several row groups each, as the layout rule asks.
-    write_silver(fixture.spark, root, fixture.key_map, rows_per_group=4, split_by=("experiment", "subject_pid"))
+    # Files of any size are of several row groups each, as the layout rule asks.
+    write_silver(fixture.spark, root, fixture.key_map, groups_per_file=2)
     write_gold(fixture.spark, root, "0000000")
     return root

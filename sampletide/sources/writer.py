@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sampletide.session import scratch
+from sampletide.session import materialise, scratch
 from sampletide.sources.files import listing
 from sampletide.sources.registry import DATASETS
 
@@ -65,28 +67,49 @@ def _kept_sort_order(spark: SparkSession):
         spark.conf.set(key, before)
 
 
+def _by_group_size(rows: DataFrame, partitions, groups: int, most: int) -> list[tuple[DataFrame, int, int]]:
+    """(rows, their number, rows per group): partitions of like size together, so that a file of each has `groups` row groups
+    at least and, up to `most` rows a group, some four times as many at most. Sizes are powers of four: a dozen parts."""
+    size = F.pow(F.lit(4.0), F.floor(F.log(4.0, F.col("n") / groups))).cast("bigint")
+    counted = rows.groupBy(*partitions).agg(F.count(F.lit(1)).alias("n"))
+    sized = materialise(counted.withColumn("size", F.greatest(F.lit(1), F.least(F.lit(most), size))), "group-sizes")
+    parts = []
+    for r in sized.groupBy("size").agg(F.sum("n").alias("n")).orderBy("size").collect():
+        mine = sized.where(F.col("size") == r["size"])
+        same = reduce(lambda x, y: x & y, [rows[c].eqNullSafe(mine[c]) for c in partitions])
+        parts.append((rows.join(mine, same, "left_semi"), r["n"], r["size"]))
+    return parts or [(rows, 0, most)]
+
+
 def layout_write(rows: DataFrame, path: str, partitions=("experiment", "subject_pid"), order=("lid", "sample_idx"),
                  ranges: int | None = None, split_by=None, codec: str = "snappy", version: str = "v2",
-                 rows_per_group: int = ROWS_PER_GROUP, rows_per_file: int = ROWS_PER_FILE) -> None:
+                 rows_per_group: int = ROWS_PER_GROUP, rows_per_file: int = ROWS_PER_FILE, groups_per_file: int | None = None) -> None:
     """Partitioned files, each sorted by `order`, row groups bounded by rows.
 
     Range partitioning on partition and sort columns together cuts a hot partition into many tasks and files
     with disjoint key ranges, so no task holds a whole subject and id ranges still prune files. Range bounds need a
     sample of the rows, so derived rows are written to scratch first rather than derived twice; the number of ranges
     follows the bytes and rows of that table unless it is given. `split_by` names other range columns, for small tables.
+    With `groups_per_file` a partition is one file of so many row groups at least, their size following its rows up to
+    `rows_per_group`.
     """
     keys = [*partitions, *order]
     rows, held = written_aside(rows, "layout")
-    ranges = ranges or max(1, -(-held // RANGE_BYTES), -(-rows.count() // RANGE_ROWS))
-    split = rows.repartitionByRange(ranges, *(split_by or keys))
-    writer = (split.sortWithinPartitions(*keys).write.mode("overwrite")
-              .option("compression", codec)
-              .option("parquet.block.row.count.limit", rows_per_group)
-              .option("maxRecordsPerFile", rows_per_file)
-              .option("parquet.writer.version", version))
-    if version == "v2":
-        # Without a dictionary the v2 writer stores steadily rising integers as deltas.
-        for column in DELTA_COLUMNS:
-            writer = writer.option(f"parquet.enable.dictionary#{column}", "false")
-    with _kept_sort_order(rows.sparkSession):
-        writer.partitionBy(*partitions).parquet(path)
+    total = rows.count()
+    parts = _by_group_size(rows, partitions, groups_per_file, rows_per_group) if groups_per_file else [(rows, total, rows_per_group)]
+    if groups_per_file:
+        split_by = partitions
+    for i, (part, n, group) in enumerate(parts):
+        cut = ranges or max(1, -(-held * n // max(1, total * RANGE_BYTES)), -(-n // RANGE_ROWS))
+        split = part.repartitionByRange(cut, *(split_by or keys))
+        writer = (split.sortWithinPartitions(*keys).write.mode("append" if i else "overwrite")
+                  .option("compression", codec)
+                  .option("parquet.block.row.count.limit", group)
+                  .option("maxRecordsPerFile", rows_per_file)
+                  .option("parquet.writer.version", version))
+        if version == "v2":
+            # Without a dictionary the v2 writer stores steadily rising integers as deltas.
+            for column in DELTA_COLUMNS:
+                writer = writer.option(f"parquet.enable.dictionary#{column}", "false")
+        with _kept_sort_order(rows.sparkSession):
+            writer.partitionBy(*partitions).parquet(path)

@@ -57,6 +57,21 @@ def test_ranges_follow_the_rows(spark, tmp_path, monkeypatch):
     assert len(held) == 10 and max(held) < 1000 and sum(held) == 5000
 
 
+def test_row_groups_follow_the_rows_of_a_partition(spark, tmp_path):
+    """Each file has two groups and more, and a large one not thousands: every reader of a part of it reads about them all."""
+    path = str(tmp_path / "groups")
+    sizes = {"a": 2, "b": 37, "c": 5000, "d": 40_000, None: 90}
+    named = F.explode(F.array(*[F.struct(F.lit(k).cast("string").alias("experiment"), F.lit(n).alias("n")) for k, n in sizes.items()]))
+    rows = spark.range(40_000).select("id", named.alias("s")).where("id < s.n").select(
+        "s.experiment", F.lit("p").alias("subject_pid"), F.lit("0").alias("lid"), F.col("id").alias("sample_idx"))
+    writer.layout_write(rows, path, groups_per_file=2)
+    kept = spark.read.parquet(path)
+    assert {r["experiment"]: r["count"] for r in kept.groupBy("experiment").count().collect()} == sizes
+    groups = files.footers(spark, path).groupBy("file").agg(F.count_distinct("row_group").alias("n")).collect()
+    assert len(groups) == len(sizes) and all(2 <= r["n"] <= 9 for r in groups)
+    assert files.out_of_order(kept).agg(F.sum("out_of_order")).first()[0] == 0
+
+
 @pytest.mark.parametrize("batch", [1, 2, 3, 10000])
 def test_disorder_is_found_across_batches(spark, tmp_path, batch):
     path = str(tmp_path / "u")
