@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from sampletide.functions import lid
 from sampletide.operators import quantiles
-from sampletide.session import materialise
 from sampletide.sources.registry import DATASETS
 
 # A number in plain decimal form: neither NaN, nor infinity, nor a suffix of the type.
 NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 NO_OFFENDER = "no records"
 OFFENDERS_NAMED = 5
+# Keys of uniqueness rules that a task counts, some hundred bytes each.
+ENTRIES_PER_TASK = 4_000_000
 
 
 # --- observations ---------------------------------------------------------------------------------
@@ -36,24 +37,22 @@ def duplicate_groups(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 def duplicate_groups_of(rows: DataFrame, rules: dict[str, Sequence[str]]) -> DataFrame:
     """(check_id, observed): `duplicate_groups` of many rules in one scan.
 
-    Every row gives a hash of each rule's columns; counts of (rule, hash) are combined before the shuffle. Only hashes that
-    occur again are compared in full, by a second scan that meets nothing where the keys are unique.
+    The rules' columns are grouping sets, so values are grouped as they are and combined before the shuffle; rules that name the
+    same columns in another order are one set. Keys that hardly repeat fill a task's memory, so a large table is first dealt
+    to tasks of few enough rows.
     """
-    kind = {f.name: f.dataType.typeName() for f in rows.schema}
-
-    def whole(columns):
-        # Adding 0 makes the two zeros of a float one value, as grouping does.
-        return F.to_json(F.struct(*[(F.col(c) + 0.0 if kind[c] in ("float", "double") else F.col(c)).alias(c) for c in columns]), {"ignoreNullFields": "false"})
-    hashes = F.array(*[F.struct(F.lit(name).alias("check_id"), F.xxhash64(*columns).alias("hash")) for name, columns in rules.items()])
-    counted = rows.select(F.inline(hashes)).groupBy("check_id", "hash").agg(F.count(F.lit(1)).alias("n"))
-    again = materialise(counted.where("n > 1").select("check_id", "hash"), "hashes-again")
-    names = rows.sparkSession.createDataFrame([(n,) for n in rules], "check_id string")
-    if again.isEmpty():
-        return names.select("check_id", F.lit(0).cast("bigint").alias("observed"))
-    keys = F.array(*[F.struct(F.lit(name).alias("check_id"), F.xxhash64(*columns).alias("hash"), whole(columns).alias("key")) for name, columns in rules.items()])
-    met = rows.select(F.inline(keys)).join(again, ["check_id", "hash"], "left_semi")
-    groups = met.groupBy("check_id", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").groupBy("check_id").agg(F.count(F.lit(1)).alias("k"))
-    return names.join(groups, "check_id", "left").select("check_id", F.coalesce("k", F.lit(0)).cast("bigint").alias("observed"))
+    sets = [list(c) for c in dict.fromkeys(tuple(sorted(set(c))) for c in rules.values())]
+    columns = sorted({c for s in sets for c in s})
+    # As the function numbers a set: a bit per column that is not in it, the first column's the highest.
+    number = lambda held: sum(1 << i for i, c in enumerate(reversed(columns)) if c not in held)
+    narrow = rows.select(*columns)
+    tasks = -(-narrow.count() * len(sets) // ENTRIES_PER_TASK)
+    if tasks > rows.sparkSession.sparkContext.defaultParallelism:
+        narrow = narrow.repartition(tasks)
+    found = narrow.groupingSets(sets, *columns).agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n"))
+    groups = found.where("_n > 1").groupBy("_set").agg(F.count(F.lit(1)).alias("_k"))
+    names = rows.sparkSession.createDataFrame([(n, number(c)) for n, c in rules.items()], "check_id string, _set bigint")
+    return names.join(groups, "_set", "left").select("check_id", F.coalesce("_k", F.lit(0)).cast("bigint").alias("observed"))
 
 
 def row_count(rows: DataFrame) -> DataFrame:

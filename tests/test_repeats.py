@@ -136,3 +136,14 @@ def test_swapped_nulls_are_no_duplicates(spark):
     """Hashing passes over nulls, so the two rows share a hash; compared in full they differ."""
     frame = spark.createDataFrame([(None, 5), (5, None)], "a int, b int")
     assert checks.duplicate_groups_of(frame, {"ab": ["a", "b"]}).first().observed == 0
+
+
+def test_unique_rules_read_and_deal_a_key_once(spark, monkeypatch):
+    """Keys that repeat are no text and no second join: one scan, one exchange of values, and many tasks for many keys."""
+    monkeypatch.setattr(checks, "ENTRIES_PER_TASK", 100)
+    frame = spark.range(3000).selectExpr("id div 2 as a", "id % 700 as b", "if(id % 3 = 0, null, id) as c")
+    rules = {"a": ["a"], "ab": ["a", "b"], "ba": ["b", "a"], "c": ["c"]}
+    found = checks.duplicate_groups_of(frame, rules)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") == 1 and plan.count("Range") == 1 and "to_json" not in plan and "Repartition 90" in plan
+    assert {r.check_id: r.observed for r in found.collect()} == {"a": 1500, "ab": 0, "ba": 0, "c": 1}
