@@ -179,38 +179,52 @@ def write_blobs(rows: DataFrame, root: str) -> None:
     rows.select("path", "content").mapInArrow(run, "path string").write.format("noop").mode("overwrite").save()
 
 
-def write_lines(rows: DataFrame, root: str) -> None:
-    """Files named by `path` below `root` with the lines of that path in order; a path whose lines are null is an empty file.
-
-    Lines are dealt by path, sorted and streamed, so a file of any size is never held; a task writes under a name of its
-    own and renames, so a repeated task leaves one file.
-    """
-    target = root if "://" in root else f"file://{root}"
-
+def _line_files(target: str):
+    """Per task: (path, line) rows in order of path become files below `target`; one row is returned per file. The lines of a
+    path in a batch are written at once."""
     def run(batches):
         import uuid
         system, base = filesystem(target)
         path = out = trial = place = None
         for batch in batches:
-            for below, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            paths, lines, closed = batch.column(0), batch.column(1), []
+            cuts = np.flatnonzero(pc.not_equal(paths[1:], paths[:-1]).to_numpy(zero_copy_only=False)) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(paths)]):
+                if lo == hi:
+                    continue
+                below = paths[lo].as_py()
                 if below != path:
                     if out is not None:
                         out.close()
                         system.move(trial, place)
+                        closed.append(path)
                     path, place = below, f"{base.rstrip('/')}/{below}"
                     folder = place.rsplit("/", 1)[0]
                     system.create_dir(folder, recursive=True)
                     trial = f"{folder}/.{uuid.uuid4().hex}"
                     out, first = system.open_output_stream(trial), True
-                if line is not None:
-                    out.write((line if first else "\n" + line).encode())
+                held = lines.slice(lo, hi - lo).drop_null().to_pylist()
+                if held:
+                    out.write((("" if first else "\n") + "\n".join(held)).encode())
                     first = False
-            yield batch.select([0])
+            if closed:
+                yield pa.RecordBatch.from_arrays([pa.array(closed, pa.string())], names=["path"])
         if out is not None:
             out.close()
             system.move(trial, place)
+            yield pa.RecordBatch.from_arrays([pa.array([path], pa.string())], names=["path"])
+    return run
+
+
+def write_lines(rows: DataFrame, root: str) -> None:
+    """Files named by `path` below `root` with the lines of that path in order; a path whose lines are null is an empty file.
+
+    Lines are dealt by path, sorted and streamed, so a file of any size is never held; a task writes under a name of its
+    own and renames, so a repeated task leaves one file.
+    """
+    target = root if "://" in root else f"file://{root}"
     dealt = rows.select("path", "line").repartition("path").sortWithinPartitions("path", "line")
-    dealt.mapInArrow(run, "path string").write.format("noop").mode("overwrite").save()
+    dealt.mapInArrow(_line_files(target), "path string").write.format("noop").mode("overwrite").save()
 
 
 def copy(spark: SparkSession, source: str, target: str, glob: str = "*.parquet") -> DataFrame:

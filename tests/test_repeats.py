@@ -3,6 +3,7 @@
 import os
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,3 +148,16 @@ def test_unique_rules_read_and_deal_a_key_once(spark, monkeypatch):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Expand") == 1 and plan.count("Range") == 1 and "to_json" not in plan and "Repartition 90" in plan
     assert {r.check_id: r.observed for r in found.collect()} == {"a": 1500, "ab": 0, "ba": 0, "c": 1}
+
+
+def test_a_task_returns_a_row_per_file_and_not_per_line(tmp_path):
+    """Lines of a path that batches cut, empty lines and a path without any."""
+    given = [("a", "x"), ("a", None), ("a", ""), ("b/c", None), ("d", ""), ("d", "é")]
+    for size in (1, 2, 6):
+        root = tmp_path / str(size)
+        root.mkdir()
+        batches = [pa.RecordBatch.from_pylist([{"path": p, "line": v} for p, v in given[i:i + size]], pa.schema([("path", pa.string()), ("line", pa.string())]))
+                   for i in range(0, len(given), size)]
+        assert [p for b in files._line_files(f"file://{root}")([*batches, batches[0].slice(0, 0)]) for p in b.column(0).to_pylist()] == ["a", "b/c", "d"]
+        assert {n: (root / n).read_text() for n in ("a", "b/c", "d")} == {"a": "x\n", "b/c": "", "d": "\né"}
+        assert sorted(p.name for p in root.rglob("*") if p.is_file()) == ["a", "c", "d"]
