@@ -4,7 +4,8 @@ A record may have several parents, so parentage beyond the layers of an id is a
 only pairs found in the last round are joined with the edges, and only pairs not found before stay. Cycles therefore end
 by themselves. There are as many rounds as the longest of the shortest paths, each a written table.
 
-`totals` answers what only counts and ends of the pairs are wanted for. Ids are numbered so that neighbours in some order share a
+`totals` answers what only counts and ends of the pairs are wanted for. Where the core of the edges is small it is walked by `funnel`;
+otherwise ids are numbered so that neighbours in some order share a
 word, and what an id reaches in a number of steps is a set of words with a bit per id. A round joins edges with words and not
 with ids, and takes them together by bits.
 """
@@ -16,6 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sampletide.operators import funnel
 from sampletide.operators.running import running
 from sampletide.session import materialise
 
@@ -119,13 +121,20 @@ def _exact(links: DataFrame, most: int) -> list[DataFrame]:
     return found
 
 
-def totals(edges: DataFrame, ids: DataFrame, upward: bool = True, near: list[str] | None = None, only_roots: bool = False, most: int = SLOT) -> DataFrame:
+def totals(edges: DataFrame, ids: DataFrame, upward: bool = True, near: list[str] | None = None, only_roots: bool = False, most: int = SLOT, core: int = funnel.CORE) -> DataFrame:
     """(lid, steps, n, first, last): how many ids an id of `ids` (lid) reaches in so many steps and no fewer, and the first and last of
     them in order: `reached`, counted, without a row per pair. With `only_roots` just those that have no edge on are counted.
 
     `near` has SQL expressions of `lid` in whose order ids reached together lie together; results do not depend on it, the size of
     the sets does. The sets of all ids with edges are found, as they are made of one another; for a few ids `reached` does less.
+    Where the core of the edges has up to `core` ids it is walked by `funnel`, which keeps no sets of the others.
     """
+    walked = funnel.totals(edges, ids, upward, near, only_roots, core)
+    return _by_words(edges, ids, upward, near, only_roots, most) if walked is None else walked
+
+
+def _by_words(edges: DataFrame, ids: DataFrame, upward: bool, near: list[str] | None, only_roots: bool, most: int) -> DataFrame:
+    """The totals by sets of words."""
     at, to = ("child_lid", "parent_lid") if upward else ("parent_lid", "child_lid")
     raw = edges.select(F.col(at).alias("at"), F.col(to).alias("to")).where("at is not null and to is not null")
     starts = ids.select("lid").where("lid is not null")

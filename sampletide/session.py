@@ -72,7 +72,7 @@ def written_once(spark: SparkSession, inputs: str, name: str, write) -> str:
     return _WRITTEN[key]
 
 
-def materialise(table, name: str):
+def materialise(table, name: str, **options):
     """Write an intermediate to the shared scratch folder and read it back.
 
     For a small result of a large scan that several branches of one plan use: the scan runs once, the lineage
@@ -80,5 +80,5 @@ def materialise(table, name: str):
     """
     spark = table.sparkSession
     path = scratch(spark, name)
-    table.write.parquet(path)
+    table.write.options(**options).parquet(path)
     return spark.read.schema(table.schema).parquet(path)

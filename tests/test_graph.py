@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sampletide.operators import closure, ranges
+from sampletide.operators import closure, funnel, ranges
 from sampletide.sources.bounds import literal
 
 
@@ -96,6 +96,97 @@ def test_sets_are_words(spark):
     assert closure.totals(edges, edges.select(F.col("child_lid").alias("lid"))).where("steps = 2").agg(F.sum("n")).first()[0] == 40 * 50
 
 
+@pytest.mark.parametrize("upward", [True, False])
+def test_totals_by_words(spark, graph, upward):
+    """Without a core that tasks may hold, sets of words give the same."""
+    edges, frame = graph
+    starts = sorted({a for e in edges for a in e})
+    want = {}
+    for s in starts:
+        for n, k in walked(edges, s, upward).items():
+            want.setdefault((s, k), []).append(n)
+    ids = spark.createDataFrame([(s,) for s in starts], "lid string")
+    got = {(r.lid, r.steps): (r.n, r["first"], r["last"]) for r in closure.totals(frame, ids, upward, core=0, most=7).collect()}
+    assert got == {key: (len(held), min(held), max(held)) for key, held in want.items()}
+
+
+@pytest.fixture(scope="module")
+def made():
+    """Records of parts and, some, of their makers; parts of makers, a few of nothing; makers of makers, with a cycle, and one of two others."""
+    rng = random.Random(5)
+    pairs = [(f"r{rng.randint(0, 60):02}", f"p{rng.randint(0, 19):02}") for _ in range(150)] + [(f"r{i:02}", f"s{i:02}") for i in range(0, 30, 7)]
+    pairs += [(f"p{rng.randint(0, 16):02}", f"s{rng.randint(0, 29):02}") for _ in range(60)]
+    return pairs + [(f"s{i:02}", f"s{i // 2 if i > 1 else 3:02}") for i in range(1, 30)] + [("s05", "s09")]
+
+
+@pytest.mark.parametrize("block", [20, 250_000])
+@pytest.mark.parametrize("upward", [True, False])
+def test_totals_of_few_parents_hold_no_sets(spark, made, monkeypatch, upward, block):
+    """Blocks of ids are walked through the core; no set of an id is made, in one block or many."""
+    monkeypatch.setattr(closure, "_exact", None)
+    monkeypatch.setattr(funnel.totals, "__defaults__", (*funnel.totals.__defaults__[:-1], block))
+    starts = sorted({a for e in made for a in e}) + ["lonely"]
+    ids = spark.createDataFrame([(s,) for s in [*starts, "r03", None]], "lid string")
+    frame = spark.createDataFrame([*made, *made[:9], (None, "s01"), ("r02", None)], "child_lid string, parent_lid string")
+    want = {}
+    for s in starts:
+        for n, k in walked(made, s, upward).items():
+            want.setdefault((s, k), []).append(n)
+    found = closure.totals(frame, ids, upward, ["reverse(lid)"])
+    got = [(r.lid, r.steps, r.n, r["first"], r["last"]) for r in found.collect()]
+    assert sorted(got) == sorted((*key, len(held), min(held), max(held)) for key, held in want.items())
+    assert [(f.name, f.dataType.simpleString()) for f in found.schema] == [("lid", "string"), ("steps", "int"), ("n", "bigint"), ("first", "string"), ("last", "string")]
+
+
+def test_totals_of_few_starts_and_roots(spark, made):
+    parents, starts = {a for a, _ in made}, ["r01", "r07", "p03", "p18", "s29"]
+    ids = spark.createDataFrame([(s,) for s in starts], "lid string")
+    frame = spark.createDataFrame(made, "child_lid string, parent_lid string")
+    for upward, only_roots in ((True, True), (True, False), (False, False)):
+        want = {}
+        for s in starts:
+            for n, k in walked(made, s, upward).items():
+                if not only_roots or n not in parents:
+                    want.setdefault((s, k), []).append(n)
+        got = [(r.lid, r.steps, r.n, r["first"], r["last"]) for r in funnel.totals(frame, ids, upward, None, only_roots, block=30).collect()]
+        assert sorted(got) == sorted((*key, len(held), min(held), max(held)) for key, held in want.items())
+
+
+def test_block_is_walked_in_parts(made, monkeypatch):
+    """What a task does with a block: few pairs and few counts at a time give what all at once give."""
+    names = sorted({n for e in made for n in e if n[0] == "s"})
+    place = {n: i for i, n in enumerate(names)}
+    kin = {a: sorted({place[b] for x, b in made if x == a}) for a in sorted({a for a, _ in made if a[0] != "r"})}
+    own = [a for a in kin if a in place]
+    lists = funnel.pa.list_(funnel.pa.int32())
+    core = dict(told=funnel.pa.table({"lid": names, "told": [True] * len(names)}),
+                own=funnel.pa.table({"place": funnel.pa.array([place[a] for a in own], funnel.pa.int32()), "kin": funnel.pa.array([kin[a] for a in own], lists)}))
+    rows = [(0, a, b, None) for a, b in made if a[0] == "r"] + [(k, a, None, c) for k in (1, 2) for a, c in kin.items()]
+    for upward in (True, False):
+        rows_of = rows + [(3, a, None, None) for a in sorted({a for e in made for a in e if upward or a[0] == "p"})]
+        block = funnel.pa.table({"kind": [r[0] for r in rows_of], "at": [r[1] for r in rows_of], "to": funnel.pa.array([r[2] for r in rows_of], funnel.pa.string()),
+                                 "kin": funnel.pa.array([r[3] for r in rows_of], lists)})
+        results = []
+        for pairs, counts in ((16_000_000, 2_000_000), (70, 5)):
+            monkeypatch.setattr(funnel, "PAIRS", pairs)
+            monkeypatch.setattr(funnel, "COUNTS", counts)
+            results.append(sorted(tuple(r.values()) for b in funnel._counted(block, **funnel._core(**core, upward=upward, only_roots=False)) for r in b.to_pylist()))
+        want = {}
+        for s in sorted({a for e in made for a in e}):
+            for n, k in walked(made, s, upward).items():
+                want.setdefault((s, k), []).append(n)
+        assert results[0] == results[1] == sorted((*key, len(held), min(held), max(held)) for key, held in want.items() if upward or key[0][0] != "r")
+
+
+def test_large_core_and_hot_ids_are_left(spark, made):
+    """A core that tasks may not hold, and an id whose edges fill blocks, are for the sets of words."""
+    frame = spark.createDataFrame(made, "child_lid string, parent_lid string")
+    ids = frame.select(F.col("child_lid").alias("lid"))
+    assert funnel.totals(frame, ids, core=20) is None
+    hot = spark.createDataFrame([("r00", f"p{i:03}") for i in range(500)], frame.schema)
+    assert funnel.totals(frame.unionByName(hot), ids, block=50) is None
+
+
 @pytest.fixture(scope="module")
 def ids():
     """Ids that share prefixes of every length, and one that occurs often."""
