@@ -4,10 +4,9 @@ A record may have several parents, so parentage beyond the layers of an id is a
 only pairs found in the last round are joined with the edges, and only pairs not found before stay. Cycles therefore end
 by themselves. There are as many rounds as the longest of the shortest paths, each a written table.
 
-`totals` answers what only counts and ends of the pairs are wanted for. Where the core of the edges is small it is walked by `funnel`;
-otherwise ids are numbered so that neighbours in some order share a
-word, and what an id reaches in a number of steps is a set of words with a bit per id. A round joins edges with words and not
-with ids, and takes them together by bits.
+`totals` answers what only counts and ends of the pairs are wanted for. Where the core of the edges is small it is walked by
+`funnel`. Otherwise ids are numbered so that neighbours in some order share a word, and what an id reaches in a number of steps is
+a set of words with a bit per id. A round joins edges with words and not with ids, and takes them together by bits.
 """
 
 from __future__ import annotations

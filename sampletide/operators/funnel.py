@@ -24,8 +24,10 @@ CORE = 200_000
 CORE_EDGES = 4_000_000
 # Hashes of ids sent to every task, eight bytes each.
 KNOWN = 2_000_000
-# Edges of a block; ranges that ids are told apart by; sampled ids of a block; blocks that one id may fill.
+# Edges of a block, fewer where a set has more core parents than KIN; ranges that ids are told apart by; sampled ids of a block; blocks that
+# one id may fill.
 BLOCK = 250_000
+KIN = 64
 RANGES = 512
 SAMPLED = 100
 HOT = 4
@@ -105,6 +107,7 @@ def totals(edges: DataFrame, ids: DataFrame, upward: bool = True, near: list[str
         return None
     lower = _by_child(links, reached, many, "left_anti")
     n = links.count() - n_inner + n_sets
+    block = max(1, block * KIN // max(KIN, n_inner // max(1, n_sets)))
     numbered, parts = _blocks(lower.select(F.col("at").alias("lid")).unionByName(sets.select("lid")), near or [], n, block)
     if numbered is None:
         return None
